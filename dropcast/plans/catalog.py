@@ -308,3 +308,437 @@ def q_feature_quality(spark, sf):
     ranges = dict(VALID_RANGES)
     ranges.update({k: v for k, v in REQUEST_RANGES.items() if k not in ranges})
     return M.feature_quality_counters(_raw(spark, sf), ranges)
+
+
+# ---- 2.2 / 2.4 cleaning ------------------------------------------------------------
+
+@query("dedupe_first")
+def q_dedupe(spark, sf):
+    return rounded(C.dedupe_first(_raw(spark, sf)))
+
+
+def _stringly(spark, sf):
+    r = _raw(spark, sf)
+    eid = F.col("event_id")
+    return r.select(
+        "order_id", "event_id",
+        F.col("order_timestamp").cast("string").alias("order_timestamp"),
+        F.when(eid % 29 == 0, F.lit("x")).otherwise(F.col("zone_id").cast("string")).alias("zone_id"),
+        F.when(eid % 23 == 0, F.lit("n/a")).otherwise(F.col("prep_time_minutes").cast("string")).alias("prep_time_minutes"),
+        F.col("traffic_multiplier").cast("string").alias("traffic_multiplier"),
+        F.col("pickup_lat").cast("string").alias("pickup_lat"),
+    )
+
+
+@query("coerce_types")
+def q_coerce(spark, sf):
+    return rounded(C.coerce_types(_stringly(spark, sf)))
+
+
+@query("impute_missing")
+def q_impute(spark, sf):
+    res = C.impute_missing(_raw(spark, sf))
+    return rounded(res.df.select("order_id", "event_id", "order_timestamp", "weather_condition", "prep_time_minutes"))
+
+
+@query("range_filter_or_clip")
+def q_ranges(spark, sf):
+    return rounded(C.range_filter_or_clip(_raw(spark, sf)))
+
+
+def _clip_query(method):
+    def fn(spark, sf):
+        out, _, _ = C.bounds_clip(_d(spark, sf), "actual_eta_minutes", method, 1.5)
+        return rounded(out.select("order_id", "actual_eta_minutes"))
+    return fn
+
+
+QUERIES["iqr_bounds_clip"] = _clip_query("iqr")
+QUERIES["zscore_bounds_clip"] = _clip_query("zscore")
+QUERIES["fixed_bounds_clip"] = _clip_query("bounds")
+
+
+@query("clean_orders")
+def q_clean(spark, sf):
+    return rounded(C.clean_orders(_raw(spark, sf)).df)
+
+
+@query("cleaning_report")
+def q_clean_report(spark, sf):
+    rep = C.clean_orders(_raw(spark, sf)).report
+    return rounded(C.cleaning_report_frame(spark, rep))
+
+
+# ---- 2.3 / 2.4 features, joins, lookups ------------------------------------------------
+
+from ..operators import features as FE  # noqa: E402
+from ..operators import lookups as LK  # noqa: E402
+from ..sources import sinks as SK  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+
+SPLIT_TS = "2024-01-16 00:00:00"
+
+
+def _train(d):
+    return d.filter(F.col("order_timestamp") < F.lit(SPLIT_TS).cast("timestamp_ntz"))
+
+
+def _test(d):
+    return d.filter(F.col("order_timestamp") >= F.lit(SPLIT_TS).cast("timestamp_ntz"))
+
+
+@query("zone_centroids")
+def q_centroids(spark, sf):
+    m = FE.GeoFeatures().fit(_d(spark, sf))
+    return rounded(m._tables["centroids"])
+
+
+@query("join_zone_centroid")
+def q_zone_centroid(spark, sf):
+    d = _d(spark, sf)
+    m = FE.GeoFeatures().fit(d.filter("zone_id <= 6"))
+    return rounded(m.transform(d).select("order_id", "dist_to_zone_centroid"))
+
+
+@query("target_encoding_fit")
+def q_te_fit(spark, sf):
+    m = FE.TargetEncoder(columns=["restaurant_id"]).fit(_train(_d(spark, sf)))
+    return rounded(m._tables["restaurant_id"])
+
+
+@query("join_target_encoding")
+def q_te_join(spark, sf):
+    d = _d(spark, sf)
+    m = FE.TargetEncoder(columns=["zone_id", "restaurant_type"]).fit(_train(d).filter("zone_id <= 6"))
+    return rounded(m.transform(d).select("order_id", "zone_id_encoded", "restaurant_type_encoded"))
+
+
+@query("group_eta_stats")
+def q_group_stats(spark, sf):
+    m = FE.GroupStats(keys=["restaurant_id"]).fit(_train(_d(spark, sf)))
+    return rounded(m._tables["restaurant_id"])
+
+
+def _zone_stats_model(d):
+    return FE.GroupStats(keys=["zone_id"]).fit(_train(d).filter("zone_id <= 6"))
+
+
+@query("join_group_stats")
+def q_join_group_stats(spark, sf):
+    d = _d(spark, sf)
+    out = _zone_stats_model(d).transform(d)
+    return rounded(out.select("order_id", "zone_id_eta_mean", "zone_id_eta_median", "zone_id_eta_std", "zone_id_order_count"))
+
+
+@query("fill_group_stats")
+def q_fill_group_stats(spark, sf):
+    d = _d(spark, sf)
+    out = _zone_stats_model(d).transform(d.filter("zone_id > 6"))
+    return rounded(out.select("zone_id", "zone_id_eta_mean", "zone_id_eta_median", "zone_id_eta_std",
+                              "zone_id_order_count").distinct())
+
+
+@query("lookup_zone_stats_with_defaults")
+def q_lookup_zone(spark, sf):
+    d = _d(spark, sf)
+    m = _zone_stats_model(d)
+    out = LK.lookup_zone_stats_with_defaults(d.select("order_id", "zone_id"), m._tables["zone_id"],
+                                             m._scalars["rows_zone_id"])
+    return rounded(out.drop("zone_id"))
+
+
+@query("lookup_hit_rate")
+def q_hit_rate(spark, sf):
+    d = _d(spark, sf)
+    m = _zone_stats_model(d)
+    out = LK.lookup_zone_stats_with_defaults(d.select("order_id", "zone_id"), m._tables["zone_id"])
+    return M.lookup_hit_rate(out.withColumn("_m", F.when(F.col("zone_stats_hit"), F.lit(1))), "zone_stats", "zone_id", "_m")
+
+
+def _zone_counts(d):
+    return d.groupBy("zone_id").agg(F.count(F.lit(1)).alias("order_count"), F.max("actual_eta_minutes").alias("max_eta"))
+
+
+@query("upsert_zone_statistics")
+def q_upsert(spark, sf):
+    d = _d(spark, sf)
+    existing = _zone_counts(_train(d).filter("zone_id <= 6"))
+    incoming = _zone_counts(d)
+    return rounded(SK.insert_if_absent(existing, incoming, ["zone_id"]))
+
+
+@query("touch_updated_at")
+def q_touch(spark, sf):
+    d = _d(spark, sf)
+    old = _zone_counts(_train(d)).withColumn("updated_at", F.lit(SPLIT_TS).cast("timestamp_ntz"))
+    new = _zone_counts(d.filter("zone_id <= 4")).unionByName(_zone_counts(_train(d).filter("zone_id IN (5, 6)")))
+    return rounded(SK.touch_updated_at(old, new, ["zone_id"], ["order_count", "max_eta"], "2024-02-01 00:00:00"))
+
+
+@query("impute_features_train_median")
+def q_train_median(spark, sf):
+    r = _raw(spark, sf)
+    m = FE.MedianImputer(inputCols=["prep_time_minutes"]).fit(_train(r))
+    return rounded(m.transform(r).select("order_id", "event_id", "order_timestamp", "prep_time_minutes"))
+
+
+FEATURE_OUT = ["order_id"] + [
+    "haversine_distance_km", "bearing", "bearing_sin", "bearing_cos", "lat_diff", "lng_diff", "manhattan_proxy",
+    "dist_to_zone_centroid", "hour_of_day", "day_of_week", "month", "day_of_month", "week_of_year",
+    "hour_sin", "hour_cos", "dow_sin", "dow_cos", "month_sin", "month_cos",
+    "is_morning_rush", "is_lunch_rush", "is_dinner_rush", "is_late_night", "is_weekend",
+    "zone_id_encoded", "restaurant_type_encoded", "zone_id_eta_mean", "zone_id_eta_median", "zone_id_eta_std",
+    "zone_id_order_count", "weather_encoded", "weather_cloudy", "weather_fog", "weather_heavy_rain", "weather_rain",
+]
+INT_FEATURES = {"hour_of_day", "day_of_week", "month", "day_of_month", "week_of_year", "is_morning_rush",
+                "is_lunch_rush", "is_dinner_rush", "is_late_night", "is_weekend", "weather_encoded",
+                "weather_cloudy", "weather_fog", "weather_heavy_rain", "weather_rain", "zone_id_order_count"}
+
+
+def _longs(df, cols):
+    return df.select(*[F.col(c).cast("long").alias(c) if c in INT_FEATURES else F.col(c) for c in cols])
+
+
+@query("feature_pipeline")
+def q_feature_pipeline(spark, sf):
+    d = _d(spark, sf)
+    model = FE.feature_pipeline().fit(_train(d))
+    return rounded(_longs(model.transform(d), FEATURE_OUT))
+
+
+@query("prepare_training")
+def q_prepare_training(spark, sf):
+    tr = _train(_d(spark, sf))
+    out, _ = FE.prepare_training(tr)
+    cols = ["order_id", "zone_id_encoded", "restaurant_type_encoded", "zone_id_eta_mean", "zone_id_eta_median",
+            "zone_id_eta_std", "zone_id_order_count", "restaurant_id_eta_mean", "restaurant_id_eta_median",
+            "restaurant_id_eta_std", "restaurant_id_order_count"]
+    return rounded(out.select(*[F.col(c).cast("long").alias(c) if c.endswith("_order_count") else F.col(c) for c in cols]))
+
+
+@query("prepare_inference")
+def q_prepare_inference(spark, sf):
+    d = _d(spark, sf)
+    model = FE.feature_pipeline().fit(_train(d))
+    out = FE.prepare_inference(_test(d), model)
+    return rounded(_longs(out, FEATURE_OUT))
+
+
+@query("select_model_features")
+def q_select_features(spark, sf):
+    d = _d(spark, sf)
+    out = FE.feature_pipeline().fit(_train(d)).transform(d)
+    sel = FE.select_model_features(FE.drop_target(out), keep=["order_id"])
+    return rounded(_longs(sel, sel.columns))
+
+
+@query("complete_features")
+def q_complete_features(spark, sf):
+    d = _d(spark, sf)
+    out = FE.feature_pipeline().fit(_train(d)).transform(d.drop("rider_reliability"))
+    return rounded(FE.complete_features(out, keep=["order_id"]))
+
+
+@query("lag_features")
+def q_lags(spark, sf):
+    d = _d(spark, sf)
+    m = FE.LagFeatures(groupCols=["zone_id"]).fit(_train(d))
+    out = m.transform(d)
+    return rounded(out.select("order_id", "zone_id_actual_eta_minutes_lag_1", "zone_id_actual_eta_minutes_lag_3",
+                              "zone_id_actual_eta_minutes_lag_7"))
+
+
+@query("rolling_mean_prior5")
+def q_rolling(spark, sf):
+    d = _d(spark, sf)
+    m = FE.LagFeatures(groupCols=["restaurant_id"], lags=[1]).fit(_train(d))
+    return rounded(m.transform(d).select("order_id", "restaurant_id_actual_eta_minutes_rolling_mean"))
+
+
+@query("concat_columns")
+def q_concat(spark, sf):
+    r = _raw(spark, sf)
+    m = FE.WeatherFeatures().fit(_train(r))
+    out = m.transform(r)
+    cols = ["order_id", "order_timestamp", "weather_encoded"] + sorted(c for c in out.columns if c.startswith("weather_") and c not in ("weather_condition", "weather_multiplier", "weather_encoded"))
+    return out.select(*[F.col(c).cast("long").alias(c) if c.startswith("weather_") else F.col(c) for c in cols])
+
+
+@query("tagged_union")
+def q_tagged(spark, sf):
+    d = _d(spark, sf).select("order_id", "actual_eta_minutes")
+    dd = _d(spark, sf)
+    ref = _train(dd).select("order_id", "actual_eta_minutes").withColumn("w", F.lit("reference"))
+    cur = _test(dd).select("order_id", "actual_eta_minutes").withColumn("w", F.lit("current"))
+    del d
+    return rounded(ref.unionByName(cur))
+
+
+@query("enrich_orders_with_dims")
+def q_enrich(spark, sf):
+    o = FX.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    c = FX.table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey", "c_mktsegment")
+    n = FX.table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    out = LK.enrich_orders_with_dims(o, [(c, "o_custkey"), (n, "c_nationkey")])
+    return rounded(out.select("o_orderkey", "o_totalprice", "c_name", "c_mktsegment", "n_name"))
+
+
+@query("distance_matrix")
+def q_distance_matrix(spark, sf):
+    d = _d(spark, sf)
+    origins = d.groupBy("zone_id").agg(F.avg("pickup_lat").alias("lat"), F.avg("pickup_lng").alias("lng")).select(
+        F.col("zone_id").cast("long").alias("origin_idx"), "lat", "lng")
+    dests = d.groupBy("restaurant_id").agg(F.avg("dropoff_lat").alias("lat"), F.avg("dropoff_lng").alias("lng")).select(
+        F.col("restaurant_id").alias("dest_idx"), "lat", "lng")
+    return rounded(LK.distance_matrix(origins, dests))
+
+
+def _prediction_log(spark, sf):
+    p = _pred(spark, sf)
+    return p.select(X.prediction_id(F.col("order_id"), F.lit("v1")).alias("prediction_id"), "order_id",
+                    "event_id", "order_timestamp", "predicted_eta_minutes", "actual_eta_minutes")
+
+
+@query("join_prediction_feedback")
+def q_feedback(spark, sf):
+    log = _prediction_log(spark, sf)
+    actuals = log.filter(F.col("event_id") % 3 != 0).select("prediction_id", "actual_eta_minutes")
+    out = LK.join_prediction_feedback(log.drop("actual_eta_minutes"), actuals)
+    return rounded(out.select("prediction_id", "predicted_eta_minutes", "actual_eta_minutes", "error"))
+
+
+def _requests(spark, sf):
+    r = _raw(spark, sf)
+    eid = F.col("event_id")
+    return r.select(
+        "order_id", "event_id", "pickup_lat", "pickup_lng", "dropoff_lat", "dropoff_lng",
+        F.when(eid % 31 == 0, F.lit(None).cast("double")).otherwise(F.col("dropoff_lng")).alias("dropoff_lng_req"),
+        "zone_id", F.when(eid % 7 == 0, F.lit("")).otherwise(F.col("restaurant_type")).alias("restaurant_type"),
+        F.when(eid % 13 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("order_timestamp")).alias("order_time"),
+        F.when(eid % 11 == 0, F.lit(0.0)).otherwise(F.col("traffic_multiplier")).alias("traffic_multiplier"),
+        "weather_condition", "prep_time_minutes",
+        F.when(eid % 37 == 0, F.lit(60.0)).otherwise(F.col("rider_avg_speed_kmh")).alias("rider_avg_speed_kmh"),
+    ).drop("dropoff_lng").withColumnRenamed("dropoff_lng_req", "dropoff_lng")
+
+
+@query("request_validity")
+def q_validity(spark, sf):
+    v = LK.request_validity(_requests(spark, sf))
+    return v.select("order_id", "event_id", "is_valid", F.array_join("errors", "; ").alias("errors"))
+
+
+@query("request_defaults")
+def q_defaults(spark, sf):
+    v = LK.request_defaults(_requests(spark, sf), now=F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+    return rounded(v.select("order_id", "event_id", "zone_id", "restaurant_type", "traffic_multiplier",
+                            "weather_condition", "prep_time_minutes", "rider_avg_speed_kmh", "rider_reliability",
+                            "order_time"))
+
+
+# ---- 2.1 sources and sinks --------------------------------------------------------------
+
+@query("scan_restaurants")
+def q_scan_restaurants(spark, sf):
+    path = scratch_path(spark, "restaurants")
+    SK.write_parquet(FX.restaurants(spark, sf), path)
+    return rounded(RD.load_dimension(spark, path))
+
+
+@query("scan_riders")
+def q_scan_riders(spark, sf):
+    path = scratch_path(spark, "riders")
+    SK.write_csv(FX.riders(spark, sf), path)
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("rider_id", T.StringType()), T.StructField("avg_speed_kmh", T.DoubleType()),
+                           T.StructField("reliability_score", T.DoubleType()),
+                           T.StructField("completed_deliveries", T.LongType())])
+    return rounded(RD.load_dimension(spark, path, "csv", schema))
+
+
+def _orders_file(spark, sf):
+    path = scratch_path(spark, "orders")
+    SK.write_parquet(_d(spark, sf), path)
+    return path
+
+
+@query("scan_orders")
+def q_scan_orders(spark, sf):
+    return rounded(RD.load_orders(spark, _orders_file(spark, sf), "parquet", "2024-01-05", "2024-01-20"))
+
+
+@query("scan_orders_limit")
+def q_scan_orders_limit(spark, sf):
+    return rounded(RD.load_orders(spark, _orders_file(spark, sf), "parquet", None, "2024-01-20", limit=500))
+
+
+@query("scan_orders_csv")
+def q_scan_csv(spark, sf):
+    path = scratch_path(spark, "orders-csv")
+    SK.write_csv(_d(spark, sf), path)
+    return rounded(RD.load_csv_orders(spark, path))
+
+
+@query("load_training_data")
+def q_load_training(spark, sf):
+    db = {"url": "jdbc:dropcast-unavailable://nowhere/db", "dbtable": "delivery_orders"}
+    return rounded(RD.load_training_data(spark, db, _orders_file(spark, sf), "parquet", "2024-01-05", "2024-01-20"))
+
+
+@query("load_validated")
+def q_load_validated(spark, sf):
+    return rounded(RD.load_validated(_d(spark, sf)))
+
+
+@query("sink_clean_csv")
+def q_sink_clean(spark, sf):
+    res = C.clean_orders(_raw(spark, sf))
+    path = scratch_path(spark, "clean")
+    SK.write_csv(res.df, path)
+    from ..sources.readers import ORDER_SCHEMA
+    return rounded(RD.load_csv_orders(spark, path, ORDER_SCHEMA))
+
+
+@query("sink_segment_csv")
+def q_sink_segment(spark, sf):
+    p = _pred(spark, sf).withColumn("hour_of_day", F.hour("order_timestamp"))
+    seg = M.segment_metrics(p, "hour_of_day").withColumn("segment", F.col("segment").cast("long"))
+    path = scratch_path(spark, "segments")
+    SK.write_csv(seg, path)
+    return rounded(RD.load_dimension(spark, path, "csv", seg.schema))
+
+
+@query("sink_report_json")
+def q_sink_report(spark, sf):
+    rep = M.regression_metrics(_pred(spark, sf), with_percentiles=False)
+    path = scratch_path(spark, "report")
+    SK.write_json(rep, path)
+    return rounded(spark.read.schema(rep.schema).json(path))
+
+
+@query("register_model_version")
+def q_register(spark, sf):
+    p = _pred(spark, sf)
+    def entry(df, version, stage):
+        m = M.regression_metrics(df, with_percentiles=False)
+        return m.select(F.lit("eta_model").alias("model_name"), F.lit(version).alias("version"),
+                        F.lit(stage).alias("stage"), "mae", "rmse", "r2",
+                        F.lit(f"models/eta_model/{version}").alias("artifact_path"))
+    registry = entry(_train(p), "v1", "production")
+    incoming = entry(_test(p), "v1", "staging").unionByName(entry(_test(p), "v2", "staging"))
+    return rounded(SK.register_model_version(registry, incoming))
+
+
+@query("prediction_log_sink")
+def q_pred_log(spark, sf):
+    p = _pred(spark, sf).withColumn("prediction_id", X.prediction_id(F.col("order_id"), F.lit("v1")))
+    log = SK.prediction_log(p, ["prep_time_minutes", "traffic_multiplier", "weather_condition"], model_version="v1")
+    path = scratch_path(spark, "predlog")
+    SK.write_parquet(log, path)
+    back = spark.read.parquet(path)
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("prep_time_minutes", T.DoubleType()),
+                           T.StructField("traffic_multiplier", T.DoubleType()),
+                           T.StructField("weather_condition", T.StringType())])
+    return rounded(back.select("prediction_id", "request_timestamp", "zone_id", "predicted_eta_minutes", "model_version",
+                               F.from_json("features_json", schema).alias("f")).select(
+        "prediction_id", "request_timestamp", "zone_id", "predicted_eta_minutes", "model_version", "f.*"))

@@ -318,3 +318,331 @@ def _fq_sql() -> str:
 
 
 SQL["feature_quality_counters"] = _fq_sql()
+
+
+# ---- cleaning ------------------------------------------------------------------------
+DD = ("dd AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_timestamp, event_id)"
+      " AS rn FROM raw) WHERE rn = 1)")
+
+
+def rounded_cols(src_alias: str = "") -> str:
+    return ROUNDED_D
+
+
+def impute_ctes(src: str, out: str) -> str:
+    return (f"{out}_wm AS (SELECT weather_condition AS m FROM {src} WHERE weather_condition IS NOT NULL"
+            f" GROUP BY 1 ORDER BY count(*) DESC, 1 ASC LIMIT 1),\n"
+            f"{out}_pm AS (SELECT quantile_cont(prep_time_minutes, 0.5) AS m FROM {src}),\n"
+            f"{out} AS (SELECT s.* REPLACE (coalesce(s.weather_condition, (SELECT m FROM {out}_wm)) AS weather_condition,"
+            f" coalesce(s.prep_time_minutes, (SELECT m FROM {out}_pm)) AS prep_time_minutes) FROM {src} s)")
+
+
+def range_cte(src: str, out: str) -> str:
+    bad = " OR ".join(f"coalesce({c} < {lo}e0 OR {c} > {hi}e0, false)" for c, lo, hi in
+                      [("pickup_lat", -90, 90), ("pickup_lng", -180, 180), ("dropoff_lat", -90, 90), ("dropoff_lng", -180, 180)])
+    return (f"{out} AS (SELECT * REPLACE ("
+            f"CASE WHEN traffic_multiplier < 0.5e0 THEN 0.5e0 WHEN traffic_multiplier > 3.0e0 THEN 3.0e0 ELSE traffic_multiplier END AS traffic_multiplier,"
+            f" CASE WHEN actual_eta_minutes < 1e0 THEN 1e0 WHEN actual_eta_minutes > 180e0 THEN 180e0 ELSE actual_eta_minutes END AS actual_eta_minutes)"
+            f" FROM {src} WHERE NOT ({bad}))")
+
+
+def iqr_ctes(src: str, out: str, col: str = "actual_eta_minutes") -> str:
+    return (f"{out}_q AS (SELECT quantile_cont({col}, 0.25) - 1.5e0 * (quantile_cont({col}, 0.75) - quantile_cont({col}, 0.25)) AS lo,"
+            f" quantile_cont({col}, 0.75) + 1.5e0 * (quantile_cont({col}, 0.75) - quantile_cont({col}, 0.25)) AS hi FROM {src}),\n"
+            f"{out} AS (SELECT s.* REPLACE (CASE WHEN s.{col} < q.lo THEN q.lo WHEN s.{col} > q.hi THEN q.hi ELSE s.{col} END AS {col})"
+            f" FROM {src} s, {out}_q q)")
+
+
+CLEAN_CTES = ",\n".join([DD, impute_ctes("dd", "im"), range_cte("im", "rg"), iqr_ctes("rg", "cl")])
+
+SQL["dedupe_first"] = with_d(f"SELECT {ROUNDED_D} FROM dd", raw=True, extra=DD)
+SQL["coerce_types"] = with_d("""
+SELECT order_id, event_id, order_timestamp, CAST(CASE WHEN event_id % 29 = 0 THEN NULL ELSE zone_id END AS INT) AS zone_id,
+  round(CASE WHEN event_id % 23 = 0 THEN NULL ELSE prep_time_minutes END, 6) AS prep_time_minutes,
+  round(traffic_multiplier, 6) AS traffic_multiplier, round(pickup_lat, 6) AS pickup_lat FROM raw""", raw=True)
+SQL["impute_missing"] = with_d(
+    "SELECT order_id, event_id, order_timestamp, weather_condition, round(prep_time_minutes, 6) AS prep_time_minutes FROM im",
+    raw=True, extra=impute_ctes("raw", "im"))
+SQL["range_filter_or_clip"] = with_d(f"SELECT {ROUNDED_D} FROM rg", raw=True, extra=range_cte("raw", "rg"))
+SQL["iqr_bounds_clip"] = with_d("SELECT order_id, round(actual_eta_minutes, 6) AS actual_eta_minutes FROM cl",
+                                extra=iqr_ctes("d", "cl"))
+SQL["zscore_bounds_clip"] = with_d("""
+SELECT order_id, round(CASE WHEN actual_eta_minutes < lo THEN lo WHEN actual_eta_minutes > hi THEN hi ELSE actual_eta_minutes END, 6)
+  AS actual_eta_minutes
+FROM d, (SELECT avg(actual_eta_minutes) - 1.5e0 * stddev_samp(actual_eta_minutes) AS lo,
+                avg(actual_eta_minutes) + 1.5e0 * stddev_samp(actual_eta_minutes) AS hi FROM d)""")
+SQL["fixed_bounds_clip"] = with_d("""
+SELECT order_id, round(CASE WHEN actual_eta_minutes < 1e0 THEN 1e0 WHEN actual_eta_minutes > 180e0 THEN 180e0
+  ELSE actual_eta_minutes END, 6) AS actual_eta_minutes FROM d""")
+SQL["clean_orders"] = with_d(f"SELECT {ROUNDED_D} FROM cl", raw=True, extra=CLEAN_CTES)
+SQL["sink_clean_csv"] = SQL["clean_orders"]
+SQL["cleaning_report"] = with_d("""
+SELECT (SELECT count(*) FROM raw) AS original_rows, CAST(17 AS BIGINT) AS original_columns,
+  (SELECT count(*) FROM raw) - (SELECT count(*) FROM dd) AS duplicates_removed,
+  (SELECT count(*) FILTER (WHERE weather_condition IS NULL) + count(*) FILTER (WHERE prep_time_minutes IS NULL) FROM dd) AS missing_values_filled,
+  (SELECT count(*) FROM dd) - (SELECT count(*) FROM rg) AS invalid_range_rows_removed,
+  (SELECT count(*) FROM rg, cl_q WHERE actual_eta_minutes < lo OR actual_eta_minutes > hi) AS outliers_clipped,
+  (SELECT count(*) FROM rg) AS final_rows,
+  (SELECT count(*) FROM raw) - (SELECT count(*) FROM rg) AS rows_removed,
+  round(((SELECT count(*) FROM raw) - (SELECT count(*) FROM rg)) / (SELECT count(*) FROM raw) * 100e0, 6) AS removal_pct""",
+    raw=True, extra=CLEAN_CTES)
+
+# ---- features ------------------------------------------------------------------------------
+TRAIN = "tr AS (SELECT * FROM d WHERE order_timestamp < TIMESTAMP '2024-01-16')"
+TEST = "te AS (SELECT * FROM d WHERE order_timestamp >= TIMESTAMP '2024-01-16')"
+
+SQL["zone_centroids"] = with_d(
+    "SELECT zone_id, round(avg(pickup_lat), 6) AS centroid_lat, round(avg(pickup_lng), 6) AS centroid_lng FROM d GROUP BY zone_id")
+SQL["join_zone_centroid"] = with_d(
+    "SELECT order_id, round(CASE WHEN centroid_lat IS NULL THEN 0e0 ELSE dc END, 6) AS dist_to_zone_centroid FROM c3",
+    extra=("ce AS (SELECT zone_id, avg(pickup_lat) AS centroid_lat, avg(pickup_lng) AS centroid_lng FROM d WHERE zone_id <= 6 GROUP BY zone_id),\n"
+           "dj AS (SELECT d.order_id, d.pickup_lat, d.pickup_lng, ce.centroid_lat, ce.centroid_lng FROM d LEFT JOIN ce USING (zone_id)),"
+           + geo_ctes("dj", "c", "pickup_lat", "pickup_lng", "centroid_lat", "centroid_lng", "dc")))
+
+
+def te_ctes(src: str, col: str, out: str, gm_name: str) -> str:
+    return (f"{out} AS (SELECT {col}, (n * mu + 10e0 * (SELECT g FROM {gm_name})) / (n + 10e0) AS {col}_encoded FROM"
+            f" (SELECT {col}, avg(actual_eta_minutes) AS mu, count(actual_eta_minutes) AS n FROM {src}"
+            f" WHERE {col} IS NOT NULL GROUP BY {col}) WHERE n >= 5)")
+
+
+SQL["target_encoding_fit"] = with_d(
+    "SELECT restaurant_id, round(restaurant_id_encoded, 6) AS restaurant_id_encoded FROM ter",
+    extra=TRAIN + ",\ngm AS (SELECT avg(actual_eta_minutes) AS g FROM tr),\n" + te_ctes("tr", "restaurant_id", "ter", "gm"))
+SQL["join_target_encoding"] = with_d("""
+SELECT d.order_id, round(coalesce(tz.zone_id_encoded, (SELECT g FROM gm)), 6) AS zone_id_encoded,
+  round(coalesce(tt.restaurant_type_encoded, (SELECT g FROM gm)), 6) AS restaurant_type_encoded
+FROM d LEFT JOIN tz USING (zone_id) LEFT JOIN tt USING (restaurant_type)""",
+    extra=("f6 AS (SELECT * FROM d WHERE order_timestamp < TIMESTAMP '2024-01-16' AND zone_id <= 6),\n"
+           "gm AS (SELECT avg(actual_eta_minutes) AS g FROM f6),\n" + te_ctes("f6", "zone_id", "tz", "gm") + ",\n"
+           + te_ctes("f6", "restaurant_type", "tt", "gm")))
+
+
+def stats_cte(src: str, key: str, out: str) -> str:
+    return (f"{out} AS (SELECT {key}, avg(actual_eta_minutes) AS {key}_eta_mean,"
+            f" quantile_cont(actual_eta_minutes, 0.5) AS {key}_eta_median,"
+            f" stddev_samp(actual_eta_minutes) AS {key}_eta_std, count(actual_eta_minutes) AS {key}_order_count"
+            f" FROM {src} WHERE {key} IS NOT NULL GROUP BY {key}),\n"
+            f"{out}_fill AS (SELECT avg({key}_eta_mean) AS fm, avg({key}_eta_median) AS fmd,"
+            f" quantile_cont({key}_eta_std, 0.5) AS fs FROM {out})")
+
+
+def stats_cols(key: str, out: str, cast_count: str = "BIGINT") -> str:
+    return (f"coalesce({out}.{key}_eta_mean, (SELECT fm FROM {out}_fill)) AS {key}_eta_mean,"
+            f" coalesce({out}.{key}_eta_median, (SELECT fmd FROM {out}_fill)) AS {key}_eta_median,"
+            f" coalesce({out}.{key}_eta_std, (SELECT fs FROM {out}_fill)) AS {key}_eta_std,"
+            f" CAST(coalesce({out}.{key}_order_count, 0) AS {cast_count}) AS {key}_order_count")
+
+
+SQL["group_eta_stats"] = with_d("""
+SELECT restaurant_id, round(restaurant_id_eta_mean, 6) AS restaurant_id_eta_mean, round(restaurant_id_eta_median, 6) AS restaurant_id_eta_median,
+  round(restaurant_id_eta_std, 6) AS restaurant_id_eta_std, restaurant_id_order_count FROM gs""",
+    extra=TRAIN + ",\n" + stats_cte("tr", "restaurant_id", "gs"))
+ZS6 = "f6 AS (SELECT * FROM d WHERE order_timestamp < TIMESTAMP '2024-01-16' AND zone_id <= 6),\n" + stats_cte("f6", "zone_id", "zs")
+SQL["join_group_stats"] = with_d(
+    "SELECT order_id, round(zone_id_eta_mean, 6) AS zone_id_eta_mean, round(zone_id_eta_median, 6) AS zone_id_eta_median,"
+    " round(zone_id_eta_std, 6) AS zone_id_eta_std, zone_id_order_count"
+    f" FROM (SELECT d.order_id, {stats_cols('zone_id', 'zs')} FROM d LEFT JOIN zs USING (zone_id))", extra=ZS6)
+SQL["fill_group_stats"] = with_d(
+    "SELECT DISTINCT zone_id, round(zone_id_eta_mean, 6) AS zone_id_eta_mean, round(zone_id_eta_median, 6) AS zone_id_eta_median,"
+    " round(zone_id_eta_std, 6) AS zone_id_eta_std, zone_id_order_count"
+    f" FROM (SELECT d.zone_id, {stats_cols('zone_id', 'zs')} FROM d LEFT JOIN zs USING (zone_id) WHERE d.zone_id > 6)", extra=ZS6)
+SQL["lookup_zone_stats_with_defaults"] = with_d("""
+SELECT d.order_id, round(coalesce(zs.zone_id_eta_mean, 25e0), 6) AS zone_id_eta_mean,
+  round(coalesce(zs.zone_id_eta_median, 23e0), 6) AS zone_id_eta_median, round(coalesce(zs.zone_id_eta_std, 8e0), 6) AS zone_id_eta_std,
+  CAST(coalesce(zs.zone_id_order_count, 1000) AS BIGINT) AS zone_id_order_count, zs.zone_id IS NOT NULL AS zone_stats_hit,
+  0e0 AS zone_id_encoded, 0e0 AS restaurant_type_encoded
+FROM d LEFT JOIN zs USING (zone_id)""", extra=ZS6)
+SQL["lookup_hit_rate"] = with_d("""
+SELECT 'zone_stats' AS lookup_type, count(*) FILTER (WHERE zs.zone_id IS NOT NULL) AS hits,
+  count(*) FILTER (WHERE zs.zone_id IS NULL) AS misses FROM d LEFT JOIN zs USING (zone_id)""", extra=ZS6)
+ZC = "SELECT zone_id, count(*) AS order_count, round(max(actual_eta_minutes), 6) AS max_eta FROM {src} GROUP BY zone_id"
+SQL["upsert_zone_statistics"] = with_d(
+    f"SELECT * FROM ex UNION ALL SELECT * FROM ({ZC.format(src='d')}) WHERE zone_id NOT IN (SELECT zone_id FROM ex)",
+    extra=f"ex AS ({ZC.format(src='d WHERE order_timestamp < TIMESTAMP ' + chr(39) + '2024-01-16' + chr(39) + ' AND zone_id <= 6')})")
+SQL["touch_updated_at"] = with_d("""
+SELECT coalesce(o.zone_id, n.zone_id) AS zone_id,
+  CASE WHEN n.zone_id IS NOT NULL THEN n.order_count ELSE o.order_count END AS order_count,
+  CASE WHEN n.zone_id IS NOT NULL THEN n.max_eta ELSE o.max_eta END AS max_eta,
+  CASE WHEN n.zone_id IS NOT NULL AND (o.order_count IS DISTINCT FROM n.order_count OR o.max_eta IS DISTINCT FROM n.max_eta
+        OR o.updated_at IS NULL) THEN TIMESTAMP '2024-02-01 00:00:00' ELSE o.updated_at END AS updated_at
+FROM o FULL OUTER JOIN n USING (zone_id)""",
+    extra=(TRAIN + f",\no AS (SELECT *, TIMESTAMP '2024-01-16 00:00:00' AS updated_at FROM ({ZC.format(src='tr')})),\n"
+           f"n AS ({ZC.format(src='d WHERE zone_id <= 4')} UNION ALL {ZC.format(src='tr WHERE zone_id IN (5, 6)')})"))
+SQL["impute_features_train_median"] = with_d("""
+SELECT order_id, event_id, order_timestamp, round(coalesce(prep_time_minutes,
+  (SELECT quantile_cont(prep_time_minutes, 0.5) FROM raw WHERE order_timestamp < TIMESTAMP '2024-01-16')), 6) AS prep_time_minutes
+FROM raw""", raw=True)
+
+
+def pipeline_ctes(src: str, fit: str, with_restaurant_stats: bool = False, agg_keys=("zone_id",)) -> str:
+    """Feature pipeline fitted on ``fit`` and applied to ``src`` -> CTE ``fp``."""
+    parts = [
+        f"ce AS (SELECT zone_id, avg(pickup_lat) AS centroid_lat, avg(pickup_lng) AS centroid_lng FROM {fit} WHERE zone_id IS NOT NULL GROUP BY zone_id)",
+        f"gm AS (SELECT avg(actual_eta_minutes) AS g FROM {fit})",
+        te_ctes(fit, "zone_id", "tz", "gm"),
+        te_ctes(fit, "restaurant_type", "tt", "gm"),
+    ]
+    for k in agg_keys:
+        parts.append(stats_cte(fit, k, f"s_{k}"))
+    stat_sel = ", ".join(stats_cols(k, f"s_{k}") for k in agg_keys)
+    stat_join = " ".join(f"LEFT JOIN s_{k} USING ({k})" for k in agg_keys)
+    parts.append(
+        f"j0 AS (SELECT x.*, ce.centroid_lat, ce.centroid_lng,"
+        f" coalesce(tz.zone_id_encoded, (SELECT g FROM gm)) AS zone_id_encoded,"
+        f" coalesce(tt.restaurant_type_encoded, (SELECT g FROM gm)) AS restaurant_type_encoded, {stat_sel}"
+        f" FROM {src} x LEFT JOIN ce USING (zone_id) LEFT JOIN tz USING (zone_id) LEFT JOIN tt USING (restaurant_type) {stat_join})")
+    parts.append(geo_ctes("j0", "g", "pickup_lat", "pickup_lng", "dropoff_lat", "dropoff_lng", "haversine_distance_km").strip())
+    parts.append(geo_ctes("g3", "c", "pickup_lat", "pickup_lng", "centroid_lat", "centroid_lng", "dc").strip())
+    b = bearing_sql()
+    parts.append(f"""fp AS (SELECT *, CASE WHEN centroid_lat IS NULL THEN 0e0 ELSE dc END AS dist_to_zone_centroid,
+  {b} AS bearing, sin(radians({b})) AS bearing_sin, cos(radians({b})) AS bearing_cos,
+  abs(dropoff_lat - pickup_lat) AS lat_diff, abs(dropoff_lng - pickup_lng) AS lng_diff,
+  abs(dropoff_lat - pickup_lat) + abs(dropoff_lng - pickup_lng) AS manhattan_proxy,
+  CAST(hour(order_timestamp) AS BIGINT) AS hour_of_day, CAST(isodow(order_timestamp) - 1 AS BIGINT) AS day_of_week,
+  CAST(month(order_timestamp) AS BIGINT) AS month, CAST(day(order_timestamp) AS BIGINT) AS day_of_month,
+  CAST(weekofyear(order_timestamp) AS BIGINT) AS week_of_year,
+  sin(2e0 * pi() * hour(order_timestamp) / 24e0) AS hour_sin, cos(2e0 * pi() * hour(order_timestamp) / 24e0) AS hour_cos,
+  sin(2e0 * pi() * (isodow(order_timestamp) - 1) / 7e0) AS dow_sin, cos(2e0 * pi() * (isodow(order_timestamp) - 1) / 7e0) AS dow_cos,
+  sin(2e0 * pi() * month(order_timestamp) / 12e0) AS month_sin, cos(2e0 * pi() * month(order_timestamp) / 12e0) AS month_cos,
+  CAST(hour(order_timestamp) BETWEEN 7 AND 9 AS BIGINT) AS is_morning_rush, CAST(hour(order_timestamp) BETWEEN 11 AND 14 AS BIGINT) AS is_lunch_rush,
+  CAST(hour(order_timestamp) BETWEEN 17 AND 21 AS BIGINT) AS is_dinner_rush,
+  CAST(hour(order_timestamp) >= 22 OR hour(order_timestamp) <= 5 AS BIGINT) AS is_late_night,
+  CAST(isodow(order_timestamp) - 1 >= 5 AS BIGINT) AS is_weekend,
+  CAST({WEATHER_ORD} AS BIGINT) AS weather_encoded,
+  CAST(coalesce(weather_condition = 'cloudy', false) AS BIGINT) AS weather_cloudy,
+  CAST(coalesce(weather_condition = 'fog', false) AS BIGINT) AS weather_fog,
+  CAST(coalesce(weather_condition = 'heavy_rain', false) AS BIGINT) AS weather_heavy_rain,
+  CAST(coalesce(weather_condition = 'rain', false) AS BIGINT) AS weather_rain
+  FROM c3)""")
+    return ",\n".join(parts)
+
+
+FEATURE_OUT = ["order_id", "haversine_distance_km", "bearing", "bearing_sin", "bearing_cos", "lat_diff", "lng_diff",
+               "manhattan_proxy", "dist_to_zone_centroid", "hour_of_day", "day_of_week", "month", "day_of_month",
+               "week_of_year", "hour_sin", "hour_cos", "dow_sin", "dow_cos", "month_sin", "month_cos",
+               "is_morning_rush", "is_lunch_rush", "is_dinner_rush", "is_late_night", "is_weekend",
+               "zone_id_encoded", "restaurant_type_encoded", "zone_id_eta_mean", "zone_id_eta_median", "zone_id_eta_std",
+               "zone_id_order_count", "weather_encoded", "weather_cloudy", "weather_fog", "weather_heavy_rain", "weather_rain"]
+DOUBLE_FEATURES = {"haversine_distance_km", "bearing", "bearing_sin", "bearing_cos", "lat_diff", "lng_diff",
+                   "manhattan_proxy", "dist_to_zone_centroid", "hour_sin", "hour_cos", "dow_sin", "dow_cos", "month_sin",
+                   "month_cos", "zone_id_encoded", "restaurant_type_encoded", "zone_id_eta_mean", "zone_id_eta_median",
+                   "zone_id_eta_std", "weather_multiplier", "traffic_multiplier", "rider_avg_speed_kmh",
+                   "rider_reliability", "prep_time_minutes"}
+
+
+def sel(cols) -> str:
+    return ", ".join(f"round({c}, 6) AS {c}" if c in DOUBLE_FEATURES else c for c in cols)
+
+
+SQL["feature_pipeline"] = with_d(f"SELECT {sel(FEATURE_OUT)} FROM fp", extra=TRAIN + ",\n" + pipeline_ctes("d", "tr"))
+SQL["prepare_inference"] = with_d(f"SELECT {sel(FEATURE_OUT)} FROM fp",
+                                  extra=TRAIN + ",\n" + TEST + ",\n" + pipeline_ctes("te", "tr"))
+MODEL_FEATURES = ["haversine_distance_km", "bearing_sin", "bearing_cos", "lat_diff", "lng_diff", "manhattan_proxy",
+                  "hour_of_day", "day_of_week", "hour_sin", "hour_cos", "dow_sin", "dow_cos", "is_morning_rush",
+                  "is_lunch_rush", "is_dinner_rush", "is_late_night", "is_weekend", "zone_id_encoded",
+                  "restaurant_type_encoded", "zone_id_eta_mean", "zone_id_eta_std", "zone_id_order_count",
+                  "weather_encoded", "weather_multiplier", "traffic_multiplier", "rider_avg_speed_kmh",
+                  "rider_reliability", "prep_time_minutes"]
+SQL["select_model_features"] = with_d(f"SELECT order_id, {sel(MODEL_FEATURES)} FROM fp",
+                                      extra=TRAIN + ",\n" + pipeline_ctes("d", "tr"))
+SQL["complete_features"] = with_d(
+    "SELECT order_id, " + ", ".join(
+        f"round(coalesce(CAST({'0e0' if c == 'rider_reliability' else c} AS DOUBLE), 0e0), 6) AS {c}" for c in MODEL_FEATURES)
+    + " FROM fp", extra=TRAIN + ",\n" + pipeline_ctes("d", "tr"))
+PT = ["zone_id_encoded", "restaurant_type_encoded", "zone_id_eta_mean", "zone_id_eta_median", "zone_id_eta_std",
+      "restaurant_id_eta_mean", "restaurant_id_eta_median", "restaurant_id_eta_std"]
+SQL["prepare_training"] = with_d(
+    "SELECT order_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in PT) + ", zone_id_order_count, restaurant_id_order_count FROM fp",
+    extra=TRAIN + ",\n" + pipeline_ctes("tr", "tr", agg_keys=("zone_id", "restaurant_id")))
+
+LAG = """SELECT order_id, {cols} FROM (SELECT order_id, {inner} FROM d) x"""
+_lag_inner = ", ".join(
+    f"coalesce(lag(actual_eta_minutes, {k}) OVER (PARTITION BY zone_id ORDER BY order_timestamp, order_id),"
+    f" (SELECT avg(actual_eta_minutes) FROM tr)) AS l{k}" for k in (1, 3, 7))
+SQL["lag_features"] = with_d(
+    LAG.format(cols=", ".join(f"round(l{k}, 6) AS zone_id_actual_eta_minutes_lag_{k}" for k in (1, 3, 7)), inner=_lag_inner),
+    extra=TRAIN)
+SQL["rolling_mean_prior5"] = with_d(
+    "SELECT order_id, round(coalesce(avg(actual_eta_minutes) OVER (PARTITION BY restaurant_id ORDER BY order_timestamp, order_id"
+    " ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), (SELECT avg(actual_eta_minutes) FROM tr)), 6)"
+    " AS restaurant_id_actual_eta_minutes_rolling_mean FROM d", extra=TRAIN)
+SQL["concat_columns"] = with_d(
+    f"SELECT order_id, order_timestamp, CAST({WEATHER_ORD} AS BIGINT) AS weather_encoded,"
+    " CAST(coalesce(weather_condition = 'cloudy', false) AS BIGINT) AS weather_cloudy,"
+    " CAST(coalesce(weather_condition = 'fog', false) AS BIGINT) AS weather_fog,"
+    " CAST(coalesce(weather_condition = 'heavy_rain', false) AS BIGINT) AS weather_heavy_rain,"
+    " CAST(coalesce(weather_condition = 'rain', false) AS BIGINT) AS weather_rain FROM raw", raw=True)
+SQL["tagged_union"] = with_d(
+    "SELECT order_id, round(actual_eta_minutes, 6) AS actual_eta_minutes, 'reference' AS w FROM d WHERE order_timestamp < TIMESTAMP '2024-01-16'"
+    " UNION ALL SELECT order_id, round(actual_eta_minutes, 6), 'current' FROM d WHERE order_timestamp >= TIMESTAMP '2024-01-16'")
+SQL["enrich_orders_with_dims"] = """
+SELECT o.o_orderkey, round(o.o_totalprice, 6) AS o_totalprice, c.c_name, c.c_mktsegment, n.n_name
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+SQL["distance_matrix"] = with_d(
+    "SELECT origin_idx, dest_idx, round(km, 6) AS distance_km, round(km / 25e0 * 60e0, 6) AS duration_minutes,"
+    " round(km / 25e0 * 60e0 * 1.2e0, 6) AS duration_in_traffic_minutes FROM m3",
+    extra=("od AS (SELECT o.origin_idx, o.lat AS o_lat, o.lng AS o_lng, t.dest_idx, t.lat AS d_lat, t.lng AS d_lng FROM"
+           " (SELECT CAST(zone_id AS BIGINT) AS origin_idx, avg(pickup_lat) AS lat, avg(pickup_lng) AS lng FROM d GROUP BY zone_id) o,"
+           " (SELECT restaurant_id AS dest_idx, avg(dropoff_lat) AS lat, avg(dropoff_lng) AS lng FROM d GROUP BY restaurant_id) t),"
+           + geo_ctes("od", "m", "o_lat", "o_lng", "d_lat", "d_lng", "km")))
+SQL["join_prediction_feedback"] = with_pred("""
+SELECT substring(md5(concat_ws('-', order_id, 'v1')), 1, 12) AS prediction_id, round(predicted_eta_minutes, 6) AS predicted_eta_minutes,
+  round(CASE WHEN event_id % 3 != 0 THEN actual_eta_minutes END, 6) AS actual_eta_minutes,
+  round(predicted_eta_minutes - CASE WHEN event_id % 3 != 0 THEN actual_eta_minutes END, 6) AS error FROM p""")
+REQ = """rq AS (SELECT order_id, event_id, pickup_lat, pickup_lng, dropoff_lat,
+  CASE WHEN event_id % 31 = 0 THEN NULL ELSE dropoff_lng END AS dropoff_lng, zone_id,
+  CASE WHEN event_id % 7 = 0 THEN '' ELSE restaurant_type END AS restaurant_type,
+  CASE WHEN event_id % 13 = 0 THEN NULL ELSE order_timestamp END AS order_time,
+  CASE WHEN event_id % 11 = 0 THEN 0e0 ELSE traffic_multiplier END AS traffic_multiplier, weather_condition, prep_time_minutes,
+  CASE WHEN event_id % 37 = 0 THEN 60e0 ELSE rider_avg_speed_kmh END AS rider_avg_speed_kmh FROM raw)"""
+_errs = [f"CASE WHEN {c} IS NULL THEN '{c}: missing' END" for c in ("pickup_lat", "pickup_lng", "dropoff_lat", "dropoff_lng")]
+_errs += [f"CASE WHEN {c} < {lo} OR {c} > {hi} THEN '{c}: out of range [{lo}, {hi}]' END" for c, lo, hi in [
+    ("pickup_lat", "-90.0", "90.0"), ("pickup_lng", "-180.0", "180.0"), ("dropoff_lat", "-90.0", "90.0"),
+    ("dropoff_lng", "-180.0", "180.0"), ("zone_id", "1", "100"), ("traffic_multiplier", "0.5", "3.0"),
+    ("prep_time_minutes", "1.0", "60.0"), ("rider_avg_speed_kmh", "5.0", "50.0")]]
+SQL["request_validity"] = with_d(
+    f"SELECT order_id, event_id, errors = '' AS is_valid, errors FROM (SELECT order_id, event_id, concat_ws('; ', {', '.join(_errs)}) AS errors FROM rq)",
+    raw=True, extra=REQ)
+SQL["request_defaults"] = with_d("""
+SELECT order_id, event_id, coalesce(nullif(zone_id, 0), 1) AS zone_id, coalesce(nullif(restaurant_type, ''), 'casual') AS restaurant_type,
+  round(coalesce(nullif(traffic_multiplier, 0e0), 1.2e0), 6) AS traffic_multiplier,
+  coalesce(nullif(weather_condition, ''), 'clear') AS weather_condition,
+  round(coalesce(nullif(prep_time_minutes, 0e0), 15e0), 6) AS prep_time_minutes,
+  round(coalesce(nullif(rider_avg_speed_kmh, 0e0), 25e0), 6) AS rider_avg_speed_kmh, 0.95e0 AS rider_reliability,
+  coalesce(order_time, TIMESTAMP '2024-02-01 00:00:00') AS order_time FROM rq""", raw=True, extra=REQ)
+
+# ---- sources and sinks ------------------------------------------------------------------------
+SQL["scan_restaurants"] = with_d("""
+SELECT restaurant_id, min(zone_id) AS zone_id, min(restaurant_type) AS restaurant_type, round(avg(pickup_lat), 6) AS lat,
+  round(avg(pickup_lng), 6) AS lng, round(avg(prep_time_minutes), 6) AS base_prep_time, count(*) AS order_volume
+FROM d GROUP BY restaurant_id""")
+SQL["scan_riders"] = """
+SELECT concat('D', lpad(CAST(user_id AS VARCHAR), 4, '0')) AS rider_id, round(avg(15e0 + event_id % 20), 6) AS avg_speed_kmh,
+  round(avg(0.85e0 + (event_id % 15) / 100e0), 6) AS reliability_score, count(*) AS completed_deliveries
+FROM events GROUP BY user_id"""
+SQL["scan_orders"] = SQL["date_range_filter"]
+SQL["load_training_data"] = SQL["date_range_filter"]
+SQL["scan_orders_limit"] = with_d(
+    f"SELECT {ROUNDED_D} FROM d WHERE order_timestamp <= TIMESTAMP '2024-01-20' ORDER BY order_timestamp, order_id LIMIT 500")
+SQL["scan_orders_csv"] = with_d(f"SELECT {ROUNDED_D} FROM d")
+SQL["load_validated"] = SQL["scan_orders_csv"]
+SQL["sink_segment_csv"] = SQL["segment_metrics"]
+SQL["sink_report_json"] = with_pred("""SELECT count(*) AS n, round(avg(abs(e)), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse,
+  round(1e0 - sum(e * e) / (var_pop(y) * count(*)), 6) AS r2,
+  round(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0, 6) AS mape,
+  round(avg(e), 6) AS mean_error, round(stddev_pop(e), 6) AS std_error, round(max(abs(e)), 6) AS max_error,
+  round(avg(CASE WHEN abs(e) <= 5 THEN 1e0 ELSE 0e0 END) * 100e0, 6) AS within_5min_pct,
+  round(avg(CASE WHEN abs(e) <= 10 THEN 1e0 ELSE 0e0 END) * 100e0, 6) AS within_10min_pct,
+  round(avg(CASE WHEN abs(e) <= 15 THEN 1e0 ELSE 0e0 END) * 100e0, 6) AS within_15min_pct
+FROM (SELECT actual_eta_minutes AS y, actual_eta_minutes - predicted_eta_minutes AS e FROM p)""")
+_REGROW = """SELECT 'eta_model' AS model_name, '{v}' AS version, '{s}' AS stage, round(avg(abs(e)), 6) AS mae,
+  round(sqrt(avg(e * e)), 6) AS rmse, round(1e0 - sum(e * e) / (var_pop(y) * count(*)), 6) AS r2,
+  'models/eta_model/{v}' AS artifact_path
+FROM (SELECT actual_eta_minutes AS y, actual_eta_minutes - predicted_eta_minutes AS e FROM p WHERE order_timestamp {op} TIMESTAMP '2024-01-16')"""
+SQL["register_model_version"] = with_pred(
+    _REGROW.format(v="v1", s="production", op="<") + "\nUNION ALL\n" + _REGROW.format(v="v2", s="staging", op=">="))
+SQL["prediction_log_sink"] = with_pred("""
+SELECT substring(md5(concat_ws('-', order_id, 'v1')), 1, 12) AS prediction_id, order_timestamp AS request_timestamp, zone_id,
+  round(predicted_eta_minutes, 6) AS predicted_eta_minutes, 'v1' AS model_version, round(prep_time_minutes, 6) AS prep_time_minutes,
+  round(traffic_multiplier, 6) AS traffic_multiplier, weather_condition FROM p""")

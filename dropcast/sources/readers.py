@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import ID_COL, TARGET, TIME_COL
+from .sinks import CSV_TS_FORMAT
 
 log = logging.getLogger(__name__)
 
@@ -64,7 +65,7 @@ def _reader(spark: SparkSession, fmt: str, schema: T.StructType | None, options:
     if schema is not None and fmt != "jdbc":
         r = r.schema(schema)
     if fmt == "csv":
-        r = r.option("header", True)
+        r = r.option("header", True).option("timestampNTZFormat", CSV_TS_FORMAT).option("timestampFormat", CSV_TS_FORMAT)
     for k, v in (options or {}).items():
         r = r.option(k, v)
     return r
@@ -101,7 +102,7 @@ def load_orders(
 
 def load_csv_orders(spark: SparkSession, path: str, schema: T.StructType = ORDER_SCHEMA, nrows: int | None = None) -> DataFrame:
     """Header CSV with a declared schema (no inference); first ``nrows`` in time order."""
-    df = spark.read.schema(schema).option("header", True).csv(path)
+    df = _reader(spark, "csv", schema, None).load(path)
     if nrows:
         df = sort_by_time(df).limit(int(nrows))
     return df

@@ -6,8 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Microsecond text timestamps so CSV round trips keep full precision.
+CSV_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).option("header", True).csv(path)
+    (df.write.mode(mode).option("header", True).option("timestampNTZFormat", CSV_TS_FORMAT)
+     .option("timestampFormat", CSV_TS_FORMAT).csv(path))
     return path
 
 
