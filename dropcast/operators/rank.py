@@ -79,6 +79,45 @@ def ranked(
     return joined.select(*[F.col(c) for c in df.columns], *extra)
 
 
+def running_sums(
+    df: DataFrame,
+    order_cols: list,
+    sum_cols: list[str],
+    group_cols: list[str] | tuple = (),
+    suffix: str = "_cum",
+    num_partitions: int | None = None,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """Inclusive running sums of ``sum_cols`` within groups in ``order_cols`` order.
+
+    Same layout as ``ranked``: range partitions (a hot group spans many),
+    per-partition running sums (a window over one partition's segment), plus
+    the totals of the group's earlier partitions from a small segment table.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    group_cols = list(group_cols)
+    keys = group_cols + list(order_cols)
+    n_parts = _num_partitions(df, num_partitions)
+    ck = df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    ck = ck.withColumns({_PID: F.spark_partition_id(), _MID: F.monotonically_increasing_id()})
+    local_w = Window.partitionBy(_PID, *group_cols).orderBy(_MID).rowsBetween(Window.unboundedPreceding, 0)
+    loc = ck.withColumns({f"_l_{c}": F.sum(c).over(local_w) for c in sum_cols})
+    seg = ck.groupBy(_PID, *group_cols).agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    gw = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
+    prev = gw.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    seg = seg.select(F.col(_PID).alias("_s_pid"), *[F.col(g).alias(f"_s_{i}") for i, g in enumerate(group_cols)],
+                     *[F.coalesce(F.sum(f"_t_{c}").over(prev), F.lit(0)).alias(f"_b_{c}") for c in sum_cols])
+    if group_cols:
+        seg_side = F.broadcast(seg) if seg.count() <= max_broadcast_rows else seg
+    else:
+        seg_side = F.broadcast(seg)
+    cond = [F.col(_PID) == F.col("_s_pid")] + [F.col(g).eqNullSafe(F.col(f"_s_{i}")) for i, g in enumerate(group_cols)]
+    joined = loc.join(seg_side, reduce(lambda a, b: a & b, cond), "inner")
+    return joined.select(*[F.col(c) for c in df.columns],
+                         *[(F.col(f"_l_{c}") + F.col(f"_b_{c}")).alias(f"{c}{suffix}") for c in sum_cols])
+
+
 def exact_percentiles(
     df: DataFrame,
     value_col: str,

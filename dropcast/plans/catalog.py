@@ -607,10 +607,11 @@ def q_feedback(spark, sf):
     return rounded(out.select("prediction_id", "predicted_eta_minutes", "actual_eta_minutes", "error"))
 
 
-def _requests(spark, sf):
+def _requests(spark, sf, keep: tuple = ()):
     r = _raw(spark, sf)
     eid = F.col("event_id")
     return r.select(
+        *[F.col(c).alias(f"keep_{c}") for c in keep],
         "order_id", "event_id", "pickup_lat", "pickup_lng", "dropoff_lat", "dropoff_lng",
         F.when(eid % 31 == 0, F.lit(None).cast("double")).otherwise(F.col("dropoff_lng")).alias("dropoff_lng_req"),
         "zone_id", F.when(eid % 7 == 0, F.lit("")).otherwise(F.col("restaurant_type")).alias("restaurant_type"),
@@ -742,3 +743,146 @@ def q_pred_log(spark, sf):
     return rounded(back.select("prediction_id", "request_timestamp", "zone_id", "predicted_eta_minutes", "model_version",
                                F.from_json("features_json", schema).alias("f")).select(
         "prediction_id", "request_timestamp", "zone_id", "predicted_eta_minutes", "model_version", "f.*"))
+
+
+# ---- 2.9 drift and quality ------------------------------------------------------------
+
+from ..operators import drift as DR  # noqa: E402
+
+DRIFT_NUMERIC = ["pickup_lat", "pickup_lng", "dropoff_lat", "dropoff_lng", "rider_avg_speed_kmh", "traffic_multiplier",
+                 "prep_time_minutes", "weather_multiplier", "zone_id"]
+DRIFT_CATEGORICAL = ["restaurant_type", "weather_condition", "restaurant_id"]
+
+
+def _ref_cur(spark, sf, shift: float = 0.0):
+    p = _pred(spark, sf)
+    cur = _test(p)
+    if shift:
+        cur = cur.withColumn("actual_eta_minutes", F.col("actual_eta_minutes") + shift)
+    return _train(p), cur
+
+
+@query("column_drift_numeric")
+def q_drift_num(spark, sf):
+    ref, cur = _ref_cur(spark, sf)
+    return rounded(DR.column_drift_numeric(ref, cur, DRIFT_NUMERIC))
+
+
+@query("column_drift_categorical")
+def q_drift_cat(spark, sf):
+    ref, cur = _ref_cur(spark, sf)
+    return rounded(DR.column_drift_categorical(ref, cur, DRIFT_CATEGORICAL))
+
+
+@query("dataset_drift")
+def q_dataset_drift(spark, sf):
+    ref, cur = _ref_cur(spark, sf)
+    return rounded(DR.dataset_drift(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL))
+
+
+@query("target_drift")
+def q_target_drift(spark, sf):
+    ref, cur = _ref_cur(spark, sf, shift=20.0)
+    return rounded(DR.target_drift(ref, cur, "actual_eta_minutes"))
+
+
+@query("prediction_drift")
+def q_prediction_drift(spark, sf):
+    ref, cur = _ref_cur(spark, sf)
+    return rounded(DR.column_drift_numeric(ref, cur, ["predicted_eta_minutes"]))
+
+
+@query("prediction_quality")
+def q_prediction_quality(spark, sf):
+    _, cur = _ref_cur(spark, sf)
+    return rounded(DR.prediction_quality(cur, "actual_eta_minutes", "predicted_eta_minutes"))
+
+
+@query("drift_test_suite")
+def q_test_suite(spark, sf):
+    ref, cur = _ref_cur(spark, sf)
+    return rounded(DR.drift_test_suite(DR.column_drift(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL)))
+
+
+@query("monitoring_report")
+def q_monitoring_report(spark, sf):
+    ref, cur = _ref_cur(spark, sf, shift=20.0)
+    return rounded(DR.monitoring_report(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL, "actual_eta_minutes",
+                                        "predicted_eta_minutes"))
+
+
+@query("should_retrain")
+def q_should_retrain(spark, sf):
+    ref, cur = _ref_cur(spark, sf, shift=20.0)
+    rep = DR.monitoring_report(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL, "actual_eta_minutes", "predicted_eta_minutes")
+    return DR.should_retrain(rep)
+
+
+@query("append_drift_report")
+def q_append_drift(spark, sf):
+    ref, cur = _ref_cur(spark, sf)
+    cd = DR.column_drift(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL)
+    row = SK.drift_report_row(cd, "2024-02-01 00:00:00")
+    path = scratch_path(spark, "drift-reports")
+    SK.write_parquet(row, path, mode="append")
+    back = spark.read.parquet(path)
+    return rounded(back.select("report_timestamp", "drift_detected", "drift_share",
+                               F.array_join("drifted_columns", ",").alias("drifted_columns")))
+
+
+# ---- 2.4 monitoring counters over a prediction log -------------------------------------
+
+def _monitor_log(spark, sf):
+    r = LK.request_validity(_requests(spark, sf, ("order_timestamp", "actual_eta_minutes", "restaurant_type")))
+    pred = X.component_eta(X.geodesic_km(*GEO_ARGS), "prep_time_minutes", "rider_avg_speed_kmh", "traffic_multiplier",
+                           X.weather_multiplier("weather_condition"))
+    ts = F.col("keep_order_timestamp")
+    return r.select(
+        X.prediction_id(F.col("order_id"), F.lit("v1")).alias("prediction_id"),
+        ts.alias("request_timestamp"), F.col("keep_restaurant_type").alias("restaurant_type"),
+        F.when(F.col("is_valid"), F.lit("success")).otherwise(F.lit("error")).alias("status"),
+        F.when(ts < F.lit(SPLIT_TS).cast("timestamp_ntz"), F.lit("v1")).otherwise(F.lit("v2")).alias("model_version"),
+        ((F.col("event_id") % 997) / F.lit(10000.0)).alias("latency_s"),
+        pred.alias("predicted_eta_minutes"), F.col("keep_actual_eta_minutes").alias("actual_eta_minutes"),
+    )
+
+
+def _access_log(spark, sf):
+    log = _monitor_log(spark, sf)
+    return log.select(
+        F.lit("POST").alias("method"),
+        F.when(F.col("restaurant_type").isin("view", "click"), F.lit("/predict/realtime")).otherwise(F.lit("/predict/batch")).alias("endpoint"),
+        F.when(F.col("status") == "success", F.lit(200)).otherwise(F.lit(422)).cast("long").alias("status_code"),
+        "latency_s",
+    )
+
+
+@query("prediction_counter")
+def q_pred_counter(spark, sf):
+    return M.prediction_counter(_monitor_log(spark, sf))
+
+
+@query("request_counter")
+def q_req_counter(spark, sf):
+    return M.request_counter(_access_log(spark, sf))
+
+
+@query("request_latency_hist")
+def q_req_latency(spark, sf):
+    from ..constants import SERVING_LATENCY_BUCKETS
+    return rounded(M.request_latency_hist(_access_log(spark, sf), SERVING_LATENCY_BUCKETS))
+
+
+@query("prediction_histograms")
+def q_pred_hist(spark, sf):
+    return rounded(M.prediction_histograms(_monitor_log(spark, sf)))
+
+
+@query("abs_error_summary")
+def q_abs_err(spark, sf):
+    return rounded(M.abs_error_summary(_monitor_log(spark, sf)))
+
+
+@query("last_value_gauges")
+def q_gauges(spark, sf):
+    return rounded(M.last_value_gauges(_monitor_log(spark, sf)))

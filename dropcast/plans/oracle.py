@@ -646,3 +646,173 @@ SQL["prediction_log_sink"] = with_pred("""
 SELECT substring(md5(concat_ws('-', order_id, 'v1')), 1, 12) AS prediction_id, order_timestamp AS request_timestamp, zone_id,
   round(predicted_eta_minutes, 6) AS predicted_eta_minutes, 'v1' AS model_version, round(prep_time_minutes, 6) AS prep_time_minutes,
   round(traffic_multiplier, 6) AS traffic_multiplier, weather_condition FROM p""")
+
+
+# ---- drift ------------------------------------------------------------------------------------
+REFCUR = "t AS (SELECT *, true AS is_ref FROM p WHERE order_timestamp < TIMESTAMP '2024-01-16'" \
+         " UNION ALL SELECT *, false FROM pc WHERE order_timestamp >= TIMESTAMP '2024-01-16')"
+DRIFT_NUMERIC = ["pickup_lat", "pickup_lng", "dropoff_lat", "dropoff_lng", "rider_avg_speed_kmh", "traffic_multiplier",
+                 "prep_time_minutes", "weather_multiplier", "zone_id"]
+DRIFT_CATEGORICAL = ["restaurant_type", "weather_condition", "restaurant_id"]
+
+
+def num_drift_ctes(cols: list[str], out: str = "nd") -> str:
+    lg = " UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS value, is_ref FROM t" for c in cols)
+    return f"""{out}_lg AS ({lg}),
+{out}_vc AS (SELECT col, value, count(*) FILTER (WHERE is_ref) AS nr, count(*) FILTER (WHERE NOT is_ref) AS nc
+  FROM {out}_lg WHERE value IS NOT NULL GROUP BY col, value),
+{out}_cu AS (SELECT *, sum(nr) OVER w AS cr, sum(nc) OVER w AS cc, sum(nr) OVER (PARTITION BY col) AS n_ref,
+  sum(nc) OVER (PARTITION BY col) AS n_cur FROM {out}_vc WINDOW w AS (PARTITION BY col ORDER BY value ROWS UNBOUNDED PRECEDING)),
+{out}_st AS (SELECT col, n_ref, n_cur, sum(value * (abs((cr - nr) / n_ref - (cc - nc) / n_cur) - abs(cr / n_ref - cc / n_cur))) AS w1,
+  max(abs(cr / n_ref - cc / n_cur)) AS ks FROM {out}_cu GROUP BY col, n_ref, n_cur),
+{out}_sd AS (SELECT col, stddev_pop(value) AS ref_std FROM {out}_lg WHERE is_ref GROUP BY col),
+{out}_pv AS (SELECT col, least(1e0, greatest(0e0, 2e0 * sum(pow(-1e0, j - 1) * exp(-2e0 * j * j * lam * lam)))) AS p
+  FROM (SELECT col, (en + 0.12e0 + 0.11e0 / en) * ks AS lam FROM (SELECT col, ks, sqrt(n_ref * n_cur / (n_ref + n_cur)) AS en FROM {out}_st)),
+  range(1, 101) r(j) GROUP BY col),
+{out} AS (SELECT s.col AS "column", 'numeric' AS kind, 'wasserstein' AS stattest, CAST(n_ref AS BIGINT) AS n_ref,
+  CAST(n_cur AS BIGINT) AS n_cur, w1 AS wasserstein, ref_std, w1 / nullif(ref_std, 0) AS drift_score, ks AS ks_statistic,
+  pv.p AS ks_pvalue, coalesce(w1 / nullif(ref_std, 0) > 0.1e0, w1 > 0) AS drift_detected
+  FROM {out}_st s LEFT JOIN {out}_sd USING (col) JOIN {out}_pv pv USING (col))"""
+
+
+def cat_drift_ctes(cols: list[str], out: str = "cd") -> str:
+    lg = " UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS value, is_ref FROM t" for c in cols)
+    return f"""{out}_lg AS ({lg}),
+{out}_vc AS (SELECT col, value, count(*) FILTER (WHERE is_ref) AS nr, count(*) FILTER (WHERE NOT is_ref) AS nc
+  FROM {out}_lg WHERE value IS NOT NULL GROUP BY col, value),
+{out}_j AS (SELECT *, nr / sum(nr) OVER (PARTITION BY col) AS p, nc / sum(nc) OVER (PARTITION BY col) AS q,
+  sum(nr) OVER (PARTITION BY col) AS n_ref, sum(nc) OVER (PARTITION BY col) AS n_cur FROM {out}_vc),
+{out} AS (SELECT col AS "column", 'categorical' AS kind, 'jensenshannon' AS stattest, CAST(n_ref AS BIGINT) AS n_ref,
+  CAST(n_cur AS BIGINT) AS n_cur,
+  sqrt(greatest(0e0, 0.5e0 * sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0e0 END)
+                   + 0.5e0 * sum(CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0e0 END))) AS drift_score,
+  sum((greatest(p, 1e-4) - greatest(q, 1e-4)) * ln(greatest(p, 1e-4) / greatest(q, 1e-4))) AS psi
+  FROM {out}_j GROUP BY col, n_ref, n_cur)"""
+
+
+def with_drift(body: str, shift: float = 0.0, numeric=DRIFT_NUMERIC, categorical=DRIFT_CATEGORICAL) -> str:
+    pc = f"pc AS (SELECT * REPLACE (actual_eta_minutes + {shift}e0 AS actual_eta_minutes) FROM p)"
+    parts = [geo_d().strip(), PRED, pc, REFCUR]
+    if numeric:
+        parts.append(num_drift_ctes(numeric))
+    if categorical:
+        parts.append(cat_drift_ctes(categorical))
+    if numeric and categorical:
+        parts.append("al AS (SELECT \"column\", drift_detected FROM nd UNION ALL"
+                     " SELECT \"column\", drift_score > 0.1e0 FROM cd)")
+    return with_d(body, extra=",\n".join(parts))
+
+
+SQL["column_drift_numeric"] = with_drift("""
+SELECT "column", kind, stattest, n_ref, n_cur, round(wasserstein, 6) AS wasserstein, round(ref_std, 6) AS ref_std,
+  round(drift_score, 6) AS drift_score, round(ks_statistic, 6) AS ks_statistic, round(ks_pvalue, 6) AS ks_pvalue, drift_detected
+FROM nd""", categorical=[])
+SQL["column_drift_categorical"] = with_drift("""
+SELECT "column", kind, stattest, n_ref, n_cur, round(drift_score, 6) AS drift_score, round(psi, 6) AS psi,
+  drift_score > 0.1e0 AS drift_detected FROM cd""", numeric=[])
+SQL["dataset_drift"] = with_drift("""
+SELECT round(avg(CAST(drift_detected AS DOUBLE)), 6) AS drift_share, count(*) FILTER (WHERE drift_detected) AS n_drifted_columns,
+  count(*) AS n_columns, coalesce(string_agg("column", ',' ORDER BY "column") FILTER (WHERE drift_detected), '') AS drifted_columns,
+  avg(CAST(drift_detected AS DOUBLE)) >= 0.5e0 AS drift_detected,
+  (SELECT count(*) FROM t WHERE is_ref) AS n_reference_samples, (SELECT count(*) FROM t WHERE NOT is_ref) AS n_current_samples
+FROM al""")
+SQL["target_drift"] = with_drift("""
+SELECT drift_detected AS target_drift_detected, round(drift_score, 6) AS drift_score, stattest,
+  (SELECT round(avg(actual_eta_minutes), 6) FROM t WHERE is_ref) AS reference_mean,
+  (SELECT round(stddev_samp(actual_eta_minutes), 6) FROM t WHERE is_ref) AS reference_std,
+  (SELECT round(avg(actual_eta_minutes), 6) FROM t WHERE NOT is_ref) AS current_mean,
+  (SELECT round(stddev_samp(actual_eta_minutes), 6) FROM t WHERE NOT is_ref) AS current_std
+FROM nd""", shift=20.0, numeric=["actual_eta_minutes"], categorical=[])
+SQL["prediction_drift"] = with_drift("""
+SELECT "column", kind, stattest, n_ref, n_cur, round(wasserstein, 6) AS wasserstein, round(ref_std, 6) AS ref_std,
+  round(drift_score, 6) AS drift_score, round(ks_statistic, 6) AS ks_statistic, round(ks_pvalue, 6) AS ks_pvalue, drift_detected
+FROM nd""", numeric=["predicted_eta_minutes"], categorical=[])
+QUALITY = """round(avg(abs(e)), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse,
+  round(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0, 6) AS mape,
+  round(1e0 - sum(e * e) / (var_pop(y) * count(*)), 6) AS r2, round(avg(e), 6) AS me"""
+SQL["prediction_quality"] = with_drift(
+    f"SELECT {QUALITY}, count(*) AS n_samples FROM (SELECT actual_eta_minutes AS y, predicted_eta_minutes - actual_eta_minutes AS e"
+    " FROM t WHERE NOT is_ref)", numeric=[], categorical=[])
+SQL["drift_test_suite"] = with_drift("""
+SELECT count(*) AS n_tests, count(*) FILTER (WHERE NOT drift_detected) AS n_passed, count(*) FILTER (WHERE drift_detected) AS n_failed,
+  round(count(*) FILTER (WHERE NOT drift_detected) / count(*), 6) AS pass_rate,
+  count(*) FILTER (WHERE drift_detected) = 0 AS all_tests_passed FROM al""")
+REPORT = """rep AS (SELECT avg(CAST(drift_detected AS DOUBLE)) AS drift_share, count(*) FILTER (WHERE drift_detected) AS n_drifted_columns,
+  count(*) AS n_tests, count(*) FILTER (WHERE NOT drift_detected) AS n_passed, avg(CAST(drift_detected AS DOUBLE)) >= 0.5e0 AS drift_detected,
+  (SELECT drift_detected FROM td) AS target_drift_detected, (SELECT drift_score FROM td) AS target_drift_score,
+  (SELECT avg(abs(e)) FROM q) AS mae, (SELECT sqrt(avg(e * e)) FROM q) AS rmse,
+  (SELECT 1e0 - sum(e * e) / (var_pop(y) * count(*)) FROM q) AS r2 FROM al)"""
+
+
+def with_report(body: str) -> str:
+    s = with_drift(body, shift=20.0)
+    td = num_drift_ctes(["actual_eta_minutes"], "td")
+    q = "q AS (SELECT actual_eta_minutes AS y, predicted_eta_minutes - actual_eta_minutes AS e FROM t WHERE NOT is_ref)"
+    head, tail = s.split("\nSELECT", 1) if "\nSELECT" in s else (s, "")
+    return s.replace(body, "") .rstrip() + ",\n" + td + ",\n" + q + ",\n" + REPORT + "\n" + body
+
+
+SQL["monitoring_report"] = with_report("""SELECT round(drift_share, 6) AS drift_share, n_drifted_columns, n_tests, n_passed, drift_detected,
+  target_drift_detected, round(target_drift_score, 6) AS target_drift_score, round(mae, 6) AS mae, round(rmse, 6) AS rmse,
+  round(r2, 6) AS r2 FROM rep""")
+SQL["should_retrain"] = with_report("""SELECT CAST(len(rs) AS BIGINT) AS n_reasons, len(rs) > 0 AS should_retrain, array_to_string(rs, '; ') AS reasons
+FROM (SELECT list_filter([CASE WHEN coalesce(drift_share, 0) > 0.15e0 THEN 'high data drift' END,
+  CASE WHEN coalesce(target_drift_detected, false) THEN 'target drift detected' END,
+  CASE WHEN coalesce(mae, 0) > 5e0 THEN 'high MAE' END], lambda x: x IS NOT NULL) AS rs FROM rep)""")
+SQL["append_drift_report"] = with_drift("""
+SELECT TIMESTAMP '2024-02-01 00:00:00' AS report_timestamp, avg(CAST(drift_detected AS DOUBLE)) >= 0.5e0 AS drift_detected,
+  round(avg(CAST(drift_detected AS DOUBLE)), 6) AS drift_share,
+  coalesce(string_agg("column", ',' ORDER BY "column") FILTER (WHERE drift_detected), '') AS drifted_columns FROM al""")
+
+# ---- monitoring counters over the prediction log ---------------------------------------------------
+MLOG = """ml0 AS (SELECT rq.*, ts AS request_timestamp, rtype, y FROM rq),
+ml AS (SELECT substring(md5(concat_ws('-', order_id, 'v1')), 1, 12) AS prediction_id, request_timestamp, rtype AS restaurant_type,
+  CASE WHEN errs = '' THEN 'success' ELSE 'error' END AS status,
+  CASE WHEN request_timestamp < TIMESTAMP '2024-01-16' THEN 'v1' ELSE 'v2' END AS model_version,
+  (event_id % 997) / 10000e0 AS latency_s,
+  CASE WHEN prep_time_minutes IS NULL THEN NULL ELSE greatest(5e0, prep_time_minutes + dist / rider_avg_speed_kmh * 60e0
+    * traffic_multiplier * (""" + WEATHER_MULT + """) + 3e0) END AS predicted_eta_minutes,
+  y AS actual_eta_minutes FROM g3)"""
+
+
+def with_log(body: str) -> str:
+    rq = REQ.replace("rq AS (SELECT order_id,", "rq AS (SELECT order_timestamp AS ts, actual_eta_minutes AS y, restaurant_type AS rtype, order_id,")
+    errs = f"rqe AS (SELECT *, concat_ws('; ', {', '.join(_errs)}) AS errs FROM rq)"
+    geo = geo_ctes("rqe", "g", "pickup_lat", "pickup_lng", "dropoff_lat", "dropoff_lng", "dist").strip()
+    mlog = MLOG.split(",\n", 1)[1]
+    return with_d(body, raw=True, extra=",\n".join([rq, errs, geo, mlog]).replace("FROM g3)", "FROM (SELECT *, ts AS request_timestamp, rtype, y FROM g3))"))
+
+
+SQL["prediction_counter"] = with_log("SELECT status, model_version, count(*) AS count FROM ml GROUP BY status, model_version")
+ACCESS = ("SELECT 'POST' AS method, CASE WHEN restaurant_type IN ('view', 'click') THEN '/predict/realtime' ELSE '/predict/batch' END AS endpoint,"
+          " CAST(CASE WHEN status = 'success' THEN 200 ELSE 422 END AS BIGINT) AS status_code, latency_s FROM ml")
+SQL["request_counter"] = with_log(f"SELECT method, endpoint, status_code, count(*) AS count FROM ({ACCESS}) GROUP BY ALL")
+
+
+def _buckets_sql(src: str, value: str, bounds, metric: str = None, group: str = "") -> str:
+    parts = []
+    gsel = f"{group}, " if group else ""
+    for b in list(bounds) + ["+Inf"]:
+        le = "+Inf" if b == "+Inf" else str(float(b))
+        cond = f"count({value})" if b == "+Inf" else f"count(*) FILTER (WHERE {value} <= {float(b)}e0)"
+        mcol = f"'{metric}' AS metric, " if metric else ""
+        parts.append(f"SELECT {mcol}{gsel}'{le}' AS le, CAST({cond} AS BIGINT) AS count, round(sum({value}), 6) AS sum"
+                     + (f", count({value}) AS total" if metric else "") + f" FROM {src}" + (f" GROUP BY {group}" if group else ""))
+    return " UNION ALL ".join(parts)
+
+
+SQL["request_latency_hist"] = with_log(
+    _buckets_sql(f"({ACCESS})", "latency_s", [0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0], group="method, endpoint"))
+SQL["prediction_histograms"] = with_log(" UNION ALL ".join([
+    _buckets_sql("ml", "latency_s", [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5], "prediction_latency_seconds"),
+    _buckets_sql("ml", "predicted_eta_minutes", [5, 10, 15, 20, 25, 30, 40, 50, 60, 90, 120, 180], "predicted_eta_minutes"),
+    _buckets_sql("(SELECT predicted_eta_minutes - actual_eta_minutes AS error FROM ml)", "error",
+                 [0, 1, 2, 3, 4, 5, 7, 10, 15, 20, 30], "prediction_error_minutes"),
+]))
+SQL["abs_error_summary"] = with_log(
+    "SELECT round(sum(abs(predicted_eta_minutes - actual_eta_minutes)), 6) AS abs_error_sum,"
+    " count(abs(predicted_eta_minutes - actual_eta_minutes)) AS abs_error_count FROM ml")
+SQL["last_value_gauges"] = with_log("""
+SELECT g.model_version, g.last_prediction_ts, round(l.predicted_eta_minutes, 6) AS last_predicted_eta, g.n_predictions
+FROM (SELECT model_version, max(request_timestamp) AS last_prediction_ts, count(*) AS n_predictions FROM ml GROUP BY model_version) g
+JOIN ml l ON l.model_version = g.model_version AND l.request_timestamp = g.last_prediction_ts""")

@@ -66,6 +66,7 @@ def drift_report_row(column_scores: DataFrame, report_ts, drift_share_threshold:
         (F.avg(F.col("drift_detected").cast("double")) >= drift_share_threshold).alias("drift_detected"),
         F.avg(F.col("drift_detected").cast("double")).alias("drift_share"),
         F.array_sort(F.collect_list(F.when(F.col("drift_detected"), F.col("column")))).alias("drifted_columns"),
+        F.count(F.lit(1)).alias("n_columns"),
     )
 
 
