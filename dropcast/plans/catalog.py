@@ -886,3 +886,152 @@ def q_abs_err(spark, sf):
 @query("last_value_gauges")
 def q_gauges(spark, sf):
     return rounded(M.last_value_gauges(_monitor_log(spark, sf)))
+
+
+# ---- 2.8 model operators (no SQL oracle: learned models) ---------------------------------
+
+from . import training as TR  # noqa: E402
+
+# Query-sized boosting settings (the published defaults stay available in GBT_DEFAULTS).
+QUERY_GBT = dict(n_estimators=30, learning_rate=0.1, max_depth=5, min_child_samples=20, subsample=0.8,
+                 colsample_bytree=0.8)
+_MEMO: dict = {}
+
+
+def _trained(spark, sf):
+    """Prepared data and fitted GBT, memoised per session and input folder."""
+    key = (id(spark), sf)
+    if key not in _MEMO:
+        prep = TR.prepare_data(_d(spark, sf))
+        model = TR.train_gbt(prep.train, prep.features, TR.gbt_params(**QUERY_GBT))
+        _MEMO[key] = (prep, model)
+    return _MEMO[key]
+
+
+@query("train_gbt")
+def q_train_gbt(spark, sf):
+    prep, model = _trained(spark, sf)
+    return rounded(TR.predict(model, prep.test).select("order_id", "actual_eta_minutes", "predicted_eta_minutes"))
+
+
+@query("train_alt_model")
+def q_train_alt(spark, sf):
+    prep, _ = _trained(spark, sf)
+    m = TR.train_alt_model(prep.train, prep.features, TR.gbt_params(**QUERY_GBT))
+    return rounded(TR.predict(m, prep.test).select("order_id", "actual_eta_minutes", "predicted_eta_minutes"))
+
+
+@query("cross_validate_time")
+def q_cv(spark, sf):
+    prep, _ = _trained(spark, sf)
+    fm, _ = TR.cross_validate_time(prep.train, prep.features, TR.gbt_params(**dict(QUERY_GBT, n_estimators=10)), 5)
+    return rounded(fm)
+
+
+@query("tune_hyperparameters")
+def q_tune(spark, sf):
+    prep, _ = _trained(spark, sf)
+    space = {"n_estimators": (5, 15, False), "learning_rate": (0.01, 0.3, True), "max_depth": (3, 6, False),
+             "min_child_samples": (5, 100, False), "subsample": (0.5, 1.0, False), "colsample_bytree": (0.5, 1.0, False)}
+    table, _ = TR.tune_hyperparameters(prep.train, prep.features, n_trials=3, timeout_s=600, n_splits=2,
+                                       parallelism=2, space=space)
+    return rounded(table)
+
+
+@query("predict_batch")
+def q_predict_batch(spark, sf):
+    prep, model = _trained(spark, sf)
+    full = TR.scoring_model(prep, model)
+    reqs = _test(_d(spark, sf))
+    out = TR.predict(full, reqs)
+    return rounded(out.select("order_id", "predicted_eta_minutes"))
+
+
+@query("predict_one")
+def q_predict_one(spark, sf):
+    prep, model = _trained(spark, sf)
+    full = TR.scoring_model(prep, model)
+    mae = TR.evaluate(model, prep.test).first()["mae"]
+    out = TR.predict(full, _test(_d(spark, sf)))
+    iv = X.prediction_interval("predicted_eta_minutes", mae)
+    return out.select(X.prediction_id(F.col("order_id"), F.lit("gbt-v1")).alias("prediction_id"), "order_id",
+                      *[c.alias(n) for n, c in iv.items()], F.lit("gbt-v1").alias("model_version"))
+
+
+@query("feature_importance")
+def q_importance(spark, sf):
+    prep, model = _trained(spark, sf)
+    return rounded(TR.feature_importance(model, prep.features, spark))
+
+
+@query("top_k_importance")
+def q_top_k(spark, sf):
+    prep, model = _trained(spark, sf)
+    return rounded(TR.top_k_importance(TR.feature_importance(model, prep.features, spark), 10))
+
+
+@query("sink_importance_csv")
+def q_sink_importance(spark, sf):
+    prep, model = _trained(spark, sf)
+    imp = TR.feature_importance(model, prep.features, spark)
+    path = scratch_path(spark, "importance")
+    SK.write_csv(imp, path)
+    return rounded(RD.load_dimension(spark, path, "csv", imp.schema))
+
+
+@query("save_model")
+def q_save_model(spark, sf):
+    prep, model = _trained(spark, sf)
+    full = TR.scoring_model(prep, model)
+    path = scratch_path(spark, "model")
+    full.write().overwrite().save(path)
+    loaded = FE.PipelineModel.load(path)
+    return rounded(TR.predict(loaded, _test(_d(spark, sf))).select("order_id", "predicted_eta_minutes"))
+
+
+@query("evaluation_report")
+def q_eval_report(spark, sf):
+    prep, model = _trained(spark, sf)
+    return rounded(TR.evaluation_report(model, prep).metrics)
+
+
+@query("target_met")
+def q_target_met(spark, sf):
+    prep, model = _trained(spark, sf)
+    return rounded(TR.target_met(TR.evaluate(model, prep.test)))
+
+
+# ---- 2.10 streaming (availableNow runs into file sinks) ------------------------------------
+
+from ..streaming import jobs as ST  # noqa: E402
+
+
+def _stream_paths(spark, name):
+    return scratch_path(spark, f"{name}-sink"), scratch_path(spark, f"{name}-ckpt")
+
+
+@query("stream_score_orders")
+def q_stream_score(spark, sf):
+    sink, ck = _stream_paths(spark, "score")
+    out = ST.run_score_orders(spark, sf, sink, ck)
+    return rounded(out.select("order_id", "is_valid", "raw_prediction", "predicted_eta_minutes"))
+
+
+@query("stream_prediction_metrics")
+def q_stream_metrics(spark, sf):
+    sink, ck = _stream_paths(spark, "metrics")
+    return rounded(ST.run_prediction_metrics(spark, sf, sink, ck, "1 hour"))
+
+
+@query("stream_feedback_join")
+def q_stream_feedback(spark, sf):
+    sink, ck = _stream_paths(spark, "feedback")
+    return rounded(ST.run_feedback_join(spark, sf, sink, ck))
+
+
+@query("stream_drift_batches")
+def q_stream_drift(spark, sf):
+    sink, ck = _stream_paths(spark, "drift")
+    ref = _train(_d(spark, sf))
+    out = ST.run_drift_batches(spark, sf, ref, DRIFT_NUMERIC, DRIFT_CATEGORICAL, sink, ck)
+    return rounded(out)
