@@ -816,3 +816,24 @@ SQL["last_value_gauges"] = with_log("""
 SELECT g.model_version, g.last_prediction_ts, round(l.predicted_eta_minutes, 6) AS last_predicted_eta, g.n_predictions
 FROM (SELECT model_version, max(request_timestamp) AS last_prediction_ts, count(*) AS n_predictions FROM ml GROUP BY model_version) g
 JOIN ml l ON l.model_version = g.model_version AND l.request_timestamp = g.last_prediction_ts""")
+
+
+# ---- streaming (availableNow runs compared with the equivalent batch SQL) ----------------------
+_d_errs = [e for e in _errs]
+SQL["stream_score_orders"] = with_pred(
+    f"SELECT order_id, concat_ws('; ', {', '.join(_d_errs)}) = '' AS is_valid, round(predicted_eta_minutes, 6) AS raw_prediction,"
+    f" {half_up_1dp('predicted_eta_minutes')} AS predicted_eta_minutes FROM p")
+SQL["stream_prediction_metrics"] = with_pred(f"""
+SELECT window_start, window_end, status, 'baseline' AS model_version, count(*) AS count, round(avg(predicted_eta_minutes), 6) AS avg_predicted
+FROM (SELECT date_trunc('hour', order_timestamp) AS window_start, date_trunc('hour', order_timestamp) + INTERVAL 1 HOUR AS window_end,
+        CASE WHEN concat_ws('; ', {', '.join(_d_errs)}) = '' THEN 'success' ELSE 'error' END AS status, predicted_eta_minutes FROM p)
+WHERE window_end <= (SELECT max(order_timestamp) FROM d) - INTERVAL 10 MINUTE
+GROUP BY window_start, window_end, status""")
+_REFALL = "t AS (SELECT *, true AS is_ref FROM p WHERE order_timestamp < TIMESTAMP '2024-01-16' UNION ALL SELECT *, false FROM p)"
+SQL["stream_drift_batches"] = with_drift("""
+SELECT round(avg(CAST(drift_detected AS DOUBLE)), 6) AS drift_share, count(*) FILTER (WHERE drift_detected) AS n_drifted_columns,
+  count(*) AS n_columns, coalesce(string_agg("column", ',' ORDER BY "column") FILTER (WHERE drift_detected), '') AS drifted_columns,
+  avg(CAST(drift_detected AS DOUBLE)) >= 0.5e0 AS drift_detected,
+  (SELECT count(*) FROM t WHERE is_ref) AS n_reference_samples, (SELECT count(*) FROM t WHERE NOT is_ref) AS n_current_samples,
+  CAST(0 AS BIGINT) AS batch_id
+FROM al""").replace(REFCUR, _REFALL)
