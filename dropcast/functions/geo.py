@@ -26,20 +26,29 @@ def geodesic_km(lat1, lng1, lat2, lng2) -> Column:
     """Ellipsoidal (WGS-84) distance in km by Lambert's closed-form formula.
 
     Missing or out-of-range latitudes give 0.0, as does a zero distance.
+    The guards act on the inputs (NULL-ing them) and the formula itself is
+    branch-free, so common-subexpression elimination can share the repeated
+    terms inside one generated function. With h = haversine of the reduced
+    latitudes: sin^2(s/2) = h, cos^2(s/2) = 1 - h, sin(s) = 2 sqrt(h(1-h)).
     """
     lat1, lng1, lat2, lng2 = map(_c, (lat1, lng1, lat2, lng2))
-    b1 = F.atan((1 - WGS84_F) * F.tan(F.radians(lat1)))
-    b2 = F.atan((1 - WGS84_F) * F.tan(F.radians(lat2)))
-    dlng = F.radians(lng2 - lng1)
-    hav = F.pow(F.sin((b2 - b1) / 2), 2) + F.cos(b1) * F.cos(b2) * F.pow(F.sin(dlng / 2), 2)
-    sigma = 2 * F.asin(F.sqrt(F.least(hav, F.lit(1.0))))
-    p = (b1 + b2) / 2
-    q = (b2 - b1) / 2
-    x = (sigma - F.sin(sigma)) * F.pow(F.sin(p), 2) * F.pow(F.cos(q), 2) / F.pow(F.cos(sigma / 2), 2)
-    y = (sigma + F.sin(sigma)) * F.pow(F.cos(p), 2) * F.pow(F.sin(q), 2) / F.pow(F.sin(sigma / 2), 2)
-    dist = WGS84_A_KM * (sigma - WGS84_F / 2 * (x + y))
-    ok = _valid_point(lat1, lng1) & _valid_point(lat2, lng2)
-    return F.when(~ok, F.lit(0.0)).when(sigma == 0, F.lit(0.0)).otherwise(dist)
+    la1 = F.when(F.abs(lat1) <= 90.0, lat1)
+    la2 = F.when(F.abs(lat2) <= 90.0, lat2)
+    lo1 = F.when(~F.isnan(lng1), lng1)
+    lo2 = F.when(~F.isnan(lng2), lng2)
+    b1 = F.atan((1 - WGS84_F) * F.tan(F.radians(la1)))
+    b2 = F.atan((1 - WGS84_F) * F.tan(F.radians(la2)))
+    sq = F.sin((b2 - b1) / 2)
+    sl = F.sin(F.radians(lo2 - lo1) / 2)
+    h = F.least(sq * sq + F.cos(b1) * F.cos(b2) * sl * sl, F.lit(1.0))
+    sigma = 2 * F.asin(F.sqrt(h))
+    sin_sigma = 2 * F.sqrt(h * (1 - h))
+    sp = F.sin((b1 + b2) / 2)
+    cp = F.cos((b1 + b2) / 2)
+    cq = F.cos((b2 - b1) / 2)
+    x = F.try_divide((sigma - sin_sigma) * sp * sp * cq * cq, 1 - h)
+    y = F.try_divide((sigma + sin_sigma) * cp * cp * sq * sq, h)
+    return F.coalesce(WGS84_A_KM * (sigma - WGS84_F / 2 * (x + y)), F.lit(0.0))
 
 
 def haversine_km(lat1, lng1, lat2, lng2) -> Column:

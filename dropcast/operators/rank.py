@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +31,20 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
 
 
+def _range_sorted_checkpoint(df: DataFrame, keys: list, n_parts: int) -> DataFrame:
+    """Range-partition and sort by ``keys``, checkpoint to the shared folder, tag partition id/position.
+
+    The input is cached for the two passes (range-bound sampling, then the
+    write) and released once the checkpoint exists.
+    """
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ck = src.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    finally:
+        src.unpersist()
+    return ck.withColumns({_PID: F.spark_partition_id(), _MID: F.monotonically_increasing_id()})
+
+
 def ranked(
     df: DataFrame,
     order_cols: list,
@@ -38,28 +53,32 @@ def ranked(
     size_col: str | None = "group_n",
     num_partitions: int | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    count_col: str | None = None,
 ) -> DataFrame:
     """Add a 1-based ``rank_col`` (row number) within ``group_cols`` ordered by ``order_cols``.
 
     Order columns should end with a unique key so ranks are deterministic.
-    ``size_col`` receives the group size. NULL group keys form one group.
+    ``size_col`` receives the group size (non-NULL ``count_col`` values when
+    given: order that column NULLS LAST so its values rank 1..size). NULL
+    group keys form one group.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     group_cols = list(group_cols)
     keys = group_cols + list(order_cols)
     n_parts = _num_partitions(df, num_partitions)
-    ck = df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    ck = ck.withColumns({_PID: F.spark_partition_id(), _MID: F.monotonically_increasing_id()})
+    ck = _range_sorted_checkpoint(df, keys, n_parts)
 
-    seg = ck.groupBy(_PID, *group_cols).agg(F.min(_MID).alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+    seg = ck.groupBy(_PID, *group_cols).agg(
+        F.min(_MID).alias("_first"), F.count(F.lit(1)).alias("_cnt"),
+        (F.count(count_col) if count_col else F.count(F.lit(1))).alias("_nn"))
     gw = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
     seg = seg.withColumns(
         {
             "_before": F.coalesce(
                 F.sum("_cnt").over(gw.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
             ),
-            "_gn": F.sum("_cnt").over(gw),
+            "_gn": F.sum("_nn").over(gw),
         }
     )
     seg = seg.select(F.col(_PID).alias("_s_pid"), *[F.col(g).alias(f"_s_{i}") for i, g in enumerate(group_cols)],
@@ -99,8 +118,7 @@ def running_sums(
     group_cols = list(group_cols)
     keys = group_cols + list(order_cols)
     n_parts = _num_partitions(df, num_partitions)
-    ck = df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    ck = ck.withColumns({_PID: F.spark_partition_id(), _MID: F.monotonically_increasing_id()})
+    ck = _range_sorted_checkpoint(df, keys, n_parts)
     local_w = Window.partitionBy(_PID, *group_cols).orderBy(_MID).rowsBetween(Window.unboundedPreceding, 0)
     loc = ck.withColumns({f"_l_{c}": F.sum(c).over(local_w) for c in sum_cols})
     seg = ck.groupBy(_PID, *group_cols).agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
@@ -134,8 +152,11 @@ def exact_percentiles(
     """
     group_cols = list(group_cols)
     names = names or [f"p{int(round(p * 100))}" for p in probs]
-    base = df.select(*group_cols, F.col(value_col).alias("_v"), *tiebreak).filter(F.col("_v").isNotNull())
-    r = ranked(base, ["_v", *tiebreak], group_cols, rank_col="_rn", size_col="_n", num_partitions=num_partitions)
+    # NULLs sort last and are not counted, so no filter on a computed value is
+    # pushed below the projection that computes it.
+    base = df.select(*group_cols, F.col(value_col).alias("_v"), *tiebreak)
+    r = ranked(base, [F.col("_v").asc_nulls_last(), *tiebreak], group_cols, rank_col="_rn", size_col="_n",
+               num_partitions=num_partitions, count_col="_v")
     pos = {}
     for i, p in enumerate(probs):
         h = (F.col("_n") - 1) * float(p) + 1
@@ -199,7 +220,8 @@ def time_series_folds(df: DataFrame, n_splits: int = 5, time_col: str = "order_t
 
 def error_cdf(df: DataFrame, value_col: str = "abs_error", id_col: str = "order_id") -> DataFrame:
     """Cumulative % of rows with value <= v, one row per distinct value (equal values share a step)."""
-    r = global_rank(df.filter(F.col(value_col).isNotNull()), [value_col, id_col], "_rn", "_n")
+    r = ranked(df, [F.col(value_col).asc_nulls_last(), id_col], (), "_rn", "_n", count_col=value_col)
+    r = r.filter(F.col(value_col).isNotNull())
     return r.groupBy(value_col).agg((F.max("_rn") / F.max("_n") * 100.0).alias("cdf_pct"))
 
 
