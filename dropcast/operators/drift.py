@@ -12,6 +12,8 @@ whole by one task.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,13 +47,21 @@ def _value_counts(ref: DataFrame, cur: DataFrame, cols: list[str], cast: str) ->
 
 
 def ks_pvalue(d: Column, n_ref: Column, n_cur: Column) -> Column:
-    """Asymptotic two-sided KS p-value Q(lambda), lambda = (en + 0.12 + 0.11/en) * D."""
+    """Asymptotic two-sided KS p-value Q(lambda), lambda = (en + 0.12 + 0.11/en) * D.
+
+    Q = 2 sum (-1)^(j-1) exp(-2 j^2 lambda^2) for lambda >= 1.18, and the
+    equivalent 1 - sqrt(2 pi)/lambda sum exp(-(2j-1)^2 pi^2 / (8 lambda^2))
+    below it (the alternating series does not converge near 0); Q(0) = 1.
+    """
     en = F.sqrt(n_ref * n_cur / (n_ref + n_cur))
     lam = (en + 0.12 + 0.11 / en) * d
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(KS_TERMS)), F.lit(0.0),
-        lambda acc, j: acc + F.pow(F.lit(-1.0), j - 1) * F.exp(-2.0 * j * j * lam * lam))
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series))
+    seq = F.sequence(F.lit(1), F.lit(KS_TERMS))
+    large = 2.0 * F.aggregate(seq, F.lit(0.0),
+                              lambda acc, j: acc + F.pow(F.lit(-1.0), j - 1) * F.exp(-2.0 * j * j * lam * lam))
+    small = 1.0 - F.try_divide(F.lit(math.sqrt(2 * math.pi)), lam) * F.aggregate(
+        seq, F.lit(0.0), lambda acc, j: acc + F.exp(-F.pow(2.0 * j - 1, 2) * (math.pi ** 2) / (8.0 * lam * lam)))
+    q = F.when(lam <= 0, F.lit(1.0)).when(lam < 1.18, small).otherwise(large)
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), q))
 
 
 def column_drift_numeric(ref: DataFrame, cur: DataFrame, cols: list[str],

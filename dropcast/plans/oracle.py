@@ -666,9 +666,11 @@ def num_drift_ctes(cols: list[str], out: str = "nd") -> str:
 {out}_st AS (SELECT col, n_ref, n_cur, sum(value * (abs((cr - nr) / n_ref - (cc - nc) / n_cur) - abs(cr / n_ref - cc / n_cur))) AS w1,
   max(abs(cr / n_ref - cc / n_cur)) AS ks FROM {out}_cu GROUP BY col, n_ref, n_cur),
 {out}_sd AS (SELECT col, stddev_pop(value) AS ref_std FROM {out}_lg WHERE is_ref GROUP BY col),
-{out}_pv AS (SELECT col, least(1e0, greatest(0e0, 2e0 * sum(pow(-1e0, j - 1) * exp(-2e0 * j * j * lam * lam)))) AS p
+{out}_pv AS (SELECT col, least(1e0, greatest(0e0, CASE WHEN lam <= 0 THEN 1e0
+    WHEN lam < 1.18e0 THEN 1e0 - sqrt(2e0 * pi()) / lam * sum(exp(-pow(2e0 * j - 1, 2) * pow(pi(), 2) / (8e0 * lam * lam)))
+    ELSE 2e0 * sum(pow(-1e0, j - 1) * exp(-2e0 * j * j * lam * lam)) END)) AS p
   FROM (SELECT col, (en + 0.12e0 + 0.11e0 / en) * ks AS lam FROM (SELECT col, ks, sqrt(n_ref * n_cur / (n_ref + n_cur)) AS en FROM {out}_st)),
-  range(1, 101) r(j) GROUP BY col),
+  range(1, 101) r(j) GROUP BY col, lam),
 {out} AS (SELECT s.col AS "column", 'numeric' AS kind, 'wasserstein' AS stattest, CAST(n_ref AS BIGINT) AS n_ref,
   CAST(n_cur AS BIGINT) AS n_cur, w1 AS wasserstein, ref_std, w1 / nullif(ref_std, 0) AS drift_score, ks AS ks_statistic,
   pv.p AS ks_pvalue, coalesce(w1 / nullif(ref_std, 0) > 0.1e0, w1 > 0) AS drift_detected
