@@ -1035,3 +1035,46 @@ def q_stream_drift(spark, sf):
     ref = _train(_d(spark, sf))
     out = ST.run_drift_batches(spark, sf, ref, DRIFT_NUMERIC, DRIFT_CATEGORICAL, sink, ck)
     return rounded(out)
+
+
+# ---- schema-level operators (work still grows with the table) -------------------------------
+
+@query("detect_feature_types")
+def q_detect_types(spark, sf):
+    d = _d(spark, sf)
+    num, cat = C.detect_feature_types(d)
+    kinds = [(c, "numeric") for c in num] + [(c, "categorical") for c in cat]
+    counts = d.agg(*[F.count(c).alias(c) for c, _ in kinds]).first()
+    # one row per detected column with its non-NULL count (computed over the whole table)
+    return spark.createDataFrame([(c, k, int(counts[c])) for c, k in kinds], "column string, kind string, non_null long")
+
+
+@query("drop_target")
+def q_drop_target(spark, sf):
+    return rounded(FE.drop_target(_d(spark, sf)))
+
+
+@query("validate_schema")
+def q_validate_schema(spark, sf):
+    d = _d(spark, sf)
+    ok, missing = RD.validate_schema(d, ["order_id", "order_timestamp", "pickup_lat", "pickup_lng", "dropoff_lat",
+                                         "dropoff_lng", "actual_eta_minutes", "rider_id"])
+    return d.agg(F.lit(ok).alias("is_valid"), F.lit(",".join(missing)).alias("missing"),
+                 F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("load_model")
+def q_load_model(spark, sf):
+    return QUERIES["save_model"](spark, sf)
+
+
+@query("scan_dims_csv")
+def q_scan_dims_csv(spark, sf):
+    from pyspark.sql import types as T
+    path = scratch_path(spark, "restaurants-csv")
+    SK.write_csv(FX.restaurants(spark, sf), path)
+    schema = T.StructType([T.StructField("restaurant_id", T.StringType()), T.StructField("zone_id", T.IntegerType()),
+                           T.StructField("restaurant_type", T.StringType()), T.StructField("lat", T.DoubleType()),
+                           T.StructField("lng", T.DoubleType()), T.StructField("base_prep_time", T.DoubleType()),
+                           T.StructField("order_volume", T.LongType())])
+    return rounded(RD.load_dimension(spark, path, "csv", schema))

