@@ -270,10 +270,11 @@ class GroupStats(Estimator, _HasTarget, DefaultParamsReadable, DefaultParamsWrit
             stats, n = _materialize(stats)
             model._tables[key] = stats
             model._scalars[f"rows_{key}"] = n
-            fill = stats.agg(F.avg(f"{key}_eta_mean").alias("m"), F.avg(f"{key}_eta_median").alias("md")).first()
-            std_med = exact_percentiles(stats, f"{key}_eta_std", [0.5], names=["s"]).first()
-            model._scalars[f"fill_{key}"] = {
-                "mean": fill["m"], "median": fill["md"], "std": std_med["s"] if std_med else None}
+            # fills come from the stats table itself (one row per key, already
+            # materialised): one small aggregation, exact median of group stds
+            fill = stats.agg(F.avg(f"{key}_eta_mean").alias("m"), F.avg(f"{key}_eta_median").alias("md"),
+                             F.median(f"{key}_eta_std").alias("s")).first()
+            model._scalars[f"fill_{key}"] = {"mean": fill["m"], "median": fill["md"], "std": fill["s"]}
         return model
 
 
