@@ -42,7 +42,10 @@ def score_orders(orders: DataFrame, zone_stats: DataFrame | None = None, model:
                  mae: float = 4.5, model_version: str = "baseline") -> DataFrame:
     """Stateless scoring: validity -> defaults -> static lookups -> prediction -> interval -> id."""
     v = LK.request_validity(orders)
-    v = LK.request_defaults(v, now=F.col("order_timestamp"))
+    now = F.col("order_timestamp") if "order_timestamp" in orders.columns else F.localtimestamp()
+    v = LK.request_defaults(v, now=now)
+    if "order_timestamp" not in v.columns:
+        v = v.withColumn("order_timestamp", F.col("order_time"))
     if zone_stats is not None:
         v = LK.lookup_zone_stats_with_defaults(v, zone_stats)
     if model is not None:
