@@ -36,14 +36,13 @@ def traffic_multiplier(hour="hour_of_day", dow="day_of_week") -> Column:
 def component_eta(distance_km, prep, speed, traffic, weather_mult, overhead=ETA_OVERHEAD_MINUTES) -> Column:
     """max(5, prep + distance/speed*60*traffic*weather + overhead); NULL input or speed 0 -> NULL.
 
-    The NULL guard tests the inputs (cheap) so the distance expression is
-    evaluated once per row, inside the single branch.
+    ``total`` sits in the (always evaluated) CASE condition, so the distance
+    expression inside it is eligible for common-subexpression elimination;
+    a heavy expression only inside a CASE branch would not be.
     """
-    d, sp, pr, tr, wm = _c(distance_km), _c(speed), _c(prep), _c(traffic), _c(weather_mult)
-    travel = F.try_divide(d, sp) * 60.0 * tr * wm
-    total = pr + travel + _lit_or_col(overhead)
-    ok = d.isNotNull() & pr.isNotNull() & sp.isNotNull() & (sp != 0) & tr.isNotNull() & wm.isNotNull()
-    return F.when(ok, F.greatest(F.lit(ETA_FLOOR_MINUTES), total))
+    travel = F.try_divide(_c(distance_km), _c(speed)) * 60.0 * _c(traffic) * _c(weather_mult)
+    total = _c(prep) + travel + _lit_or_col(overhead)
+    return F.when(total.isNull(), F.lit(None).cast("double")).otherwise(F.greatest(F.lit(ETA_FLOOR_MINUTES), total))
 
 
 def baseline_eta(distance_km, speed_kmh: float = FALLBACK_SPEED_KMH, source: str = "haversine_fallback") -> Column:

@@ -130,10 +130,9 @@ class GeoFeaturesModel(TableBackedModel):
         out = df.withColumns(cols)
         if "zone_id" in df.columns and self._scalars.get("rows_centroids"):
             out = out.join(self._side("centroids"), "zone_id", "left")
+            # unknown zone -> NULL centroid -> 0.0 (geodesic_km maps missing points to 0.0)
             out = out.withColumn(
-                "dist_to_zone_centroid",
-                F.when(F.col("centroid_lat").isNull(), F.lit(0.0)).otherwise(
-                    X.geodesic_km("pickup_lat", "pickup_lng", "centroid_lat", "centroid_lng")),
+                "dist_to_zone_centroid", X.geodesic_km("pickup_lat", "pickup_lng", "centroid_lat", "centroid_lng"),
             ).drop("centroid_lat", "centroid_lng")
         return out
 
