@@ -314,16 +314,23 @@ class GroupStatsModel(TableBackedModel):
 class WeatherFeatures(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """Ordinal code plus one-hot columns over the vocabulary seen at fit (first category dropped)."""
 
+    maxCategories = _p("maxCategories", "largest vocabulary accepted for one-hot columns", TypeConverters.toInt)
+
     @keyword_only
-    def __init__(self):
+    def __init__(self, maxCategories: int = 1000):
         super().__init__()
+        self._setDefault(maxCategories=1000)
+        self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "WeatherFeaturesModel":
         m = WeatherFeaturesModel()
         if "weather_condition" in df.columns:
-            # categorical vocabulary: one row per distinct condition
+            # categorical vocabulary, read with a proven bound (at most maxCategories + 1 rows)
+            k = int(self.getOrDefault(self.maxCategories))
             vocab = [r[0] for r in df.select("weather_condition").where(F.col("weather_condition").isNotNull())
-                     .distinct().collect()]
+                     .distinct().limit(k + 1).collect()]
+            if len(vocab) > k:
+                raise ValueError(f"weather_condition has more than {k} categories; one-hot encoding refused")
             m._scalars["vocabulary"] = sorted(vocab)
         return m
 

@@ -14,6 +14,7 @@ from .. import functions as X
 from ..constants import REQUEST_RANGES, VALID_RANGES
 from ..operators import clean as C
 from ..operators import metrics as M
+from ..operators import features as FE
 from ..operators import rank as R
 from ..sources import fixtures as FX
 from ..sources import readers as RD
@@ -113,8 +114,7 @@ def q_weather_ord(spark, sf):
 @query("weather_one_hot")
 def q_weather_1h(spark, sf):
     d = _raw(spark, sf)
-    vocab = [r[0] for r in d.select("weather_condition").filter(F.col("weather_condition").isNotNull()).distinct().collect()]
-    cols = X.weather_one_hot(vocab)
+    cols = X.weather_one_hot(FE.WeatherFeatures().fit(d)._scalars["vocabulary"])
     return d.select("order_id", "order_timestamp", *[c.cast("long").alias(n) for n, c in sorted(cols.items())])
 
 
@@ -371,7 +371,6 @@ def q_clean_report(spark, sf):
 
 # ---- 2.3 / 2.4 features, joins, lookups ------------------------------------------------
 
-from ..operators import features as FE  # noqa: E402
 from ..operators import lookups as LK  # noqa: E402
 from ..sources import sinks as SK  # noqa: E402
 from ..session import scratch_path  # noqa: E402

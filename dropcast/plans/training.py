@@ -37,11 +37,19 @@ class Prepared:
     imputer: FE.MedianImputerModel
 
 
-def prepare_data(df: DataFrame, test_size: float = 0.2, target: str = TARGET) -> Prepared:
-    """Time split -> fit features on train only -> model features -> train-median fill."""
-    split = time_split(df, test_size)
-    train = split.filter("is_train").drop("is_train")
-    test = split.filter(~F.col("is_train")).drop("is_train")
+def prepare_data(df: DataFrame, test_size: float = 0.2, target: str = TARGET,
+                 validation_fraction: float = 0.1) -> Prepared:
+    """Time split -> fit features on train only -> model features -> train-median fill.
+
+    One ranking serves both the train/test split and the early-stopping tail
+    (``is_validation``: the last ``validation_fraction`` of the training rows).
+    """
+    r = global_rank(df, ["order_timestamp", "order_id"], "_rn", "_n")
+    split_idx = F.floor(F.col("_n") * (1.0 - float(test_size)))
+    r = r.withColumns({"is_train": F.col("_rn") <= split_idx,
+                       "is_validation": F.col("_rn") > F.floor(split_idx * (1.0 - float(validation_fraction)))})
+    train = r.filter("is_train").drop("is_train", "_rn", "_n")
+    test = r.filter(~F.col("is_train")).drop("is_train", "is_validation", "_rn", "_n")
     fmodel = FE.feature_pipeline(("zone_id", "restaurant_type"), ("zone_id",), False, target).fit(train)
     xtr, xte = fmodel.transform(train), fmodel.transform(test)
     feats = [f for f in MODEL_FEATURES if f in xtr.columns]
@@ -77,7 +85,9 @@ def with_validation_tail(train: DataFrame, fraction: float = 0.1, col: str = "is
 def train_gbt(train: DataFrame, features: list[str], params: dict | None = None, target: str = TARGET,
               early_stopping: bool = True, seed: int = 42) -> PipelineModel:
     params = params or gbt_params()
-    data = with_validation_tail(train) if early_stopping else train
+    if early_stopping and "is_validation" not in train.columns:
+        train = with_validation_tail(train)
+    data = train
     data = data.persist()  # iterative learner: reuse the assembled rows across iterations
     try:
         return _gbt(features, params, target, "is_validation" if early_stopping else None, seed).fit(data)
