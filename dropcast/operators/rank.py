@@ -106,8 +106,10 @@ def running_sums(
     suffix: str = "_cum",
     num_partitions: int | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    total_suffix: str | None = None,
 ) -> DataFrame:
-    """Inclusive running sums of ``sum_cols`` within groups in ``order_cols`` order.
+    """Inclusive running sums of ``sum_cols`` within groups in ``order_cols`` order
+    (plus group totals as ``{col}{total_suffix}`` when ``total_suffix`` is given).
 
     Same layout as ``ranked``: range partitions (a hot group spans many),
     per-partition running sums (a window over one partition's segment), plus
@@ -125,15 +127,17 @@ def running_sums(
     gw = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
     prev = gw.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.select(F.col(_PID).alias("_s_pid"), *[F.col(g).alias(f"_s_{i}") for i, g in enumerate(group_cols)],
-                     *[F.coalesce(F.sum(f"_t_{c}").over(prev), F.lit(0)).alias(f"_b_{c}") for c in sum_cols])
+                     *[F.coalesce(F.sum(f"_t_{c}").over(prev), F.lit(0)).alias(f"_b_{c}") for c in sum_cols],
+                     *[F.sum(f"_t_{c}").over(gw).alias(f"_g_{c}") for c in sum_cols])
     if group_cols:
         seg_side = F.broadcast(seg) if seg.count() <= max_broadcast_rows else seg
     else:
         seg_side = F.broadcast(seg)
     cond = [F.col(_PID) == F.col("_s_pid")] + [F.col(g).eqNullSafe(F.col(f"_s_{i}")) for i, g in enumerate(group_cols)]
     joined = loc.join(seg_side, reduce(lambda a, b: a & b, cond), "inner")
+    totals = [F.col(f"_g_{c}").alias(f"{c}{total_suffix}") for c in sum_cols] if total_suffix else []
     return joined.select(*[F.col(c) for c in df.columns],
-                         *[(F.col(f"_l_{c}") + F.col(f"_b_{c}")).alias(f"{c}{suffix}") for c in sum_cols])
+                         *[(F.col(f"_l_{c}") + F.col(f"_b_{c}")).alias(f"{c}{suffix}") for c in sum_cols], *totals)
 
 
 def exact_percentiles(
@@ -180,15 +184,47 @@ def exact_percentiles(
     )
 
 
+def weighted_percentiles(counts: DataFrame, value_col: str, weight_col: str, probs: list[float],
+                         group_cols: list[str] | tuple = (), names: list[str] | None = None) -> DataFrame:
+    """Exact linear-interpolated percentiles from a (group, value, count) table.
+
+    Running counts give each distinct value the 1-based positions
+    (cum - count, cum]; the values holding positions floor(h) and ceil(h)
+    are picked per group. Same result as ranking the expanded rows.
+    """
+    group_cols = list(group_cols)
+    names = names or [f"p{int(round(p * 100))}" for p in probs]
+    c = running_sums(counts.filter(F.col(value_col).isNotNull()), [value_col], [weight_col], group_cols,
+                     suffix="_cum", total_suffix="_tot")
+    cum, w, n = F.col(f"{weight_col}_cum"), F.col(weight_col), F.col(f"{weight_col}_tot")
+    aggs = []
+    for i, p in enumerate(probs):
+        h = (n - 1) * float(p) + 1
+        lo, hi = F.floor(h), F.ceil(h)
+        aggs += [F.max(F.when((cum - w < lo) & (lo <= cum), F.col(value_col))).alias(f"_lo{i}"),
+                 F.max(F.when((cum - w < hi) & (hi <= cum), F.col(value_col))).alias(f"_hi{i}"),
+                 F.max(h - F.floor(h)).alias(f"_fr{i}")]
+    g = c.groupBy(*group_cols).agg(*aggs)
+    return g.select(*group_cols, *[(F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(names[i])
+                                   for i in range(len(probs))])
+
+
 def column_percentiles(df: DataFrame, cols: list[str], probs: list[float], names: list[str] | None = None,
                        group_cols: list[str] | tuple = ()) -> DataFrame:
-    """Percentiles of several numeric columns in one ranking pass (long form: column, p...)."""
+    """Percentiles of several numeric columns in one pass (long form: column, p...).
+
+    Values are first counted per (column, value) - a map-side-combined
+    aggregation, so discrete features (flags, hours, encodings) shrink to a
+    handful of rows - and percentiles come from the weighted running counts.
+    """
     group_cols = list(group_cols)
     stacked = df.select(
         *group_cols,
         F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])).alias("_kv"),
     ).select(*group_cols, "_kv.column", "_kv.value")
-    return exact_percentiles(stacked, "value", probs, group_cols + ["column"], names)
+    counts = stacked.filter(F.col("value").isNotNull()).groupBy(*group_cols, "column", "value").agg(
+        F.count(F.lit(1)).alias("_cnt"))
+    return weighted_percentiles(counts, "value", "_cnt", probs, group_cols + ["column"], names)
 
 
 def global_rank(df: DataFrame, order_cols: list, rank_col: str = "rn", size_col: str = "n_total") -> DataFrame:

@@ -86,3 +86,13 @@ def test_error_cdf_is_step_function(spark):
     df = spark.createDataFrame([(str(i), None if v is None else float(v)) for i, v in enumerate([1, 2, 2, 3, None])], "order_id string, abs_error double")
     out = {r.abs_error: r.cdf_pct for r in R.error_cdf(df).collect()}
     assert out == {1.0: 25.0, 2.0: 75.0, 3.0: 100.0}
+
+
+def test_weighted_and_column_percentiles_match_numpy(spark, skewed):
+    df, pdf = skewed
+    d = df.withColumn("r", F.round("v")).withColumn("k", F.col("id") % 7)
+    got = {r.column: (r.p50, r.p90) for r in R.column_percentiles(d, ["v", "r", "k"], [0.5, 0.9]).collect()}
+    p = pdf.assign(r=pdf["v"].round(), k=pdf["id"] % 7)
+    for c in ["v", "r", "k"]:
+        vals = p[c].dropna().astype(float).to_numpy()
+        assert got[c] == pytest.approx(tuple(np.percentile(vals, [50, 90])), rel=1e-12)
