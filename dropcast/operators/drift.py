@@ -37,13 +37,29 @@ def tagged_union(ref: DataFrame, cur: DataFrame, cols: list[str], tag: str = "is
             .unionByName(cur.select(*cols).withColumn(tag, F.lit(False))))
 
 
-def _value_counts(ref: DataFrame, cur: DataFrame, cols: list[str], cast: str) -> DataFrame:
-    t = tagged_union(ref, cur, cols)
-    long = t.select("is_ref", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast(cast).alias("value")) for c in cols])).alias("kv")
-    ).select("kv.column", "kv.value", "is_ref").filter(F.col("value").isNotNull())
-    return long.groupBy("column", "value").agg(
+def value_counts(ref: DataFrame, cur: DataFrame, numeric: list[str], categorical: list[str] = ()) -> DataFrame:
+    """Reference/current counts per distinct value of every column, in one pass over each side.
+
+    Rows: (column, kind, dvalue, svalue, nr, nc) with kind 'numeric' (value in
+    ``dvalue``), 'categorical' (``svalue``) and one 'rows' entry holding the
+    side sizes. The aggregation combines map-side, so hot values shrink before
+    the shuffle. The result is checkpointed: every statistic below reads it,
+    never the sources again.
+    """
+    numeric, categorical = list(numeric), list(categorical)
+    t = tagged_union(ref, cur, numeric + categorical)
+    entries = [F.struct(F.lit(c).alias("column"), F.lit("numeric").alias("kind"), F.col(c).cast("double").alias("dvalue"),
+                        F.lit(None).cast("string").alias("svalue")) for c in numeric]
+    entries += [F.struct(F.lit(c).alias("column"), F.lit("categorical").alias("kind"),
+                         F.lit(None).cast("double").alias("dvalue"), F.col(c).cast("string").alias("svalue"))
+                for c in categorical]
+    entries.append(F.struct(F.lit("__rows__").alias("column"), F.lit("rows").alias("kind"),
+                            F.lit(0.0).alias("dvalue"), F.lit(None).cast("string").alias("svalue")))
+    long = t.select("is_ref", F.explode(F.array(*entries)).alias("kv")).select("kv.*", "is_ref")
+    long = long.filter(F.col("dvalue").isNotNull() | F.col("svalue").isNotNull())
+    vc = long.groupBy("column", "kind", "dvalue", "svalue").agg(
         F.count_if(F.col("is_ref")).alias("nr"), F.count_if(~F.col("is_ref")).alias("nc"))
+    return vc.checkpoint(eager=True)
 
 
 def ks_pvalue(d: Column, n_ref: Column, n_cur: Column) -> Column:
@@ -64,27 +80,28 @@ def ks_pvalue(d: Column, n_ref: Column, n_cur: Column) -> Column:
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), q))
 
 
-def column_drift_numeric(ref: DataFrame, cur: DataFrame, cols: list[str],
-                         threshold: float = DRIFT_NUMERIC_THRESHOLD) -> DataFrame:
-    """Per column: W1, reference std, normalised W1 (the drift score), KS D and p-value, flag."""
-    vc = _value_counts(ref, cur, cols, "double")
-    cum = running_sums(vc, ["value"], ["nr", "nc"], ["column"])
-    tot = vc.groupBy("column").agg(F.sum("nr").alias("n_ref"), F.sum("nc").alias("n_cur"))
-    j = cum.join(F.broadcast(tot), "column")  # one row per column
-    fr = F.col("nr_cum") / F.col("n_ref")
-    gc = F.col("nc_cum") / F.col("n_cur")
-    fr_prev = (F.col("nr_cum") - F.col("nr")) / F.col("n_ref")
-    gc_prev = (F.col("nc_cum") - F.col("nc")) / F.col("n_cur")
-    d = F.abs(fr - gc)
-    d_prev = F.abs(fr_prev - gc_prev)
-    stats = j.groupBy("column", "n_ref", "n_cur").agg(
+def numeric_drift_from_counts(vc: DataFrame, threshold: float = DRIFT_NUMERIC_THRESHOLD) -> DataFrame:
+    """W1 (normalised by the reference population std), KS D and p-value from value counts.
+
+    With F, G the cumulative fractions at each distinct value x_i (ascending) and
+    D_i = |F_i - G_i|: W1 = sum_i x_i (D_(i-1) - D_i), KS = max_i D_i.
+    """
+    num = vc.filter(F.col("kind") == "numeric").select("column", F.col("dvalue").alias("value"), "nr", "nc")
+    cum = running_sums(num, ["value"], ["nr", "nc"], ["column"], total_suffix="_tot")
+    n_ref, n_cur = F.col("nr_tot"), F.col("nc_tot")
+    d = F.abs(F.col("nr_cum") / n_ref - F.col("nc_cum") / n_cur)
+    d_prev = F.abs((F.col("nr_cum") - F.col("nr")) / n_ref - (F.col("nc_cum") - F.col("nc")) / n_cur)
+    stats = cum.groupBy("column").agg(
+        F.max("nr_tot").alias("n_ref"), F.max("nc_tot").alias("n_cur"),
         F.sum(F.col("value") * (d_prev - d)).alias("wasserstein"),
         F.max(d).alias("ks_statistic"),
+        F.try_divide(F.sum(F.col("nr") * F.col("value")), F.sum("nr")).alias("_mean"),
     )
-    std = tagged_union(ref, cur, cols).filter("is_ref").select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("kv")
-    ).select("kv.*").groupBy("column").agg(F.stddev_pop("v").alias("ref_std"))
-    out = stats.join(std, "column", "left")
+    # reference population std, two-pass over the (small) value-count table
+    means = stats.select("column", "_mean")
+    dev = num.join(F.broadcast(means), "column").groupBy("column").agg(  # one row per column
+        F.sqrt(F.try_divide(F.sum(F.col("nr") * F.pow(F.col("value") - F.col("_mean"), 2)), F.sum("nr"))).alias("ref_std"))
+    out = stats.join(dev, "column", "left")
     score = F.try_divide(F.col("wasserstein"), F.col("ref_std"))
     return out.select(
         "column", F.lit("numeric").alias("kind"), F.lit("wasserstein").alias("stattest"),
@@ -95,12 +112,11 @@ def column_drift_numeric(ref: DataFrame, cur: DataFrame, cols: list[str],
     )
 
 
-def column_drift_categorical(ref: DataFrame, cur: DataFrame, cols: list[str],
-                             threshold: float = DRIFT_CATEGORICAL_THRESHOLD) -> DataFrame:
-    """Per column: Jensen-Shannon distance (the drift score), PSI, flag."""
-    vc = _value_counts(ref, cur, cols, "string")
-    tot = vc.groupBy("column").agg(F.sum("nr").alias("n_ref"), F.sum("nc").alias("n_cur"))
-    j = vc.join(F.broadcast(tot), "column")
+def categorical_drift_from_counts(vc: DataFrame, threshold: float = DRIFT_CATEGORICAL_THRESHOLD) -> DataFrame:
+    """Jensen-Shannon distance (the drift score) and PSI from value counts."""
+    cat = vc.filter(F.col("kind") == "categorical").select("column", F.col("svalue").alias("value"), "nr", "nc")
+    tot = cat.groupBy("column").agg(F.sum("nr").alias("n_ref"), F.sum("nc").alias("n_cur"))
+    j = cat.join(F.broadcast(tot), "column")  # one row per column
     p = F.col("nr") / F.col("n_ref")
     q = F.col("nc") / F.col("n_cur")
     m = (p + q) / 2
@@ -118,32 +134,56 @@ def column_drift_categorical(ref: DataFrame, cur: DataFrame, cols: list[str],
     )
 
 
-def column_drift(ref: DataFrame, cur: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
-    """Both kinds in one long table: column, kind, stattest, drift_score, drift_detected."""
-    parts = []
+def column_drift_numeric(ref: DataFrame, cur: DataFrame, cols: list[str],
+                         threshold: float = DRIFT_NUMERIC_THRESHOLD) -> DataFrame:
+    """Per column: W1, reference std, normalised W1 (the drift score), KS D and p-value, flag."""
+    return numeric_drift_from_counts(value_counts(ref, cur, cols), threshold)
+
+
+def column_drift_categorical(ref: DataFrame, cur: DataFrame, cols: list[str],
+                             threshold: float = DRIFT_CATEGORICAL_THRESHOLD) -> DataFrame:
+    """Per column: Jensen-Shannon distance (the drift score), PSI, flag."""
+    return categorical_drift_from_counts(value_counts(ref, cur, [], cols), threshold)
+
+
+def _drift_table(vc: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
     cols = ["column", "kind", "stattest", "drift_score", "drift_detected"]
+    parts = []
     if numeric:
-        parts.append(column_drift_numeric(ref, cur, numeric).select(*cols))
+        parts.append(numeric_drift_from_counts(vc).select(*cols))
     if categorical:
-        parts.append(column_drift_categorical(ref, cur, categorical).select(*cols))
+        parts.append(categorical_drift_from_counts(vc).select(*cols))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def column_drift(ref: DataFrame, cur: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """Both kinds in one long table: column, kind, stattest, drift_score, drift_detected.
+
+    One value-count pass over each side serves every column.
+    """
+    return _drift_table(value_counts(ref, cur, numeric, categorical), numeric, categorical)
+
+
+def _side_sizes(vc: DataFrame) -> DataFrame:
+    return vc.filter(F.col("kind") == "rows").select(
+        F.col("nr").alias("n_reference_samples"), F.col("nc").alias("n_current_samples"))
+
+
 def dataset_drift(ref: DataFrame, cur: DataFrame, numeric: list[str], categorical: list[str],
                   share: float = DATASET_DRIFT_SHARE) -> DataFrame:
     """One row: drift flag (share of drifted columns >= share), share, count, drifted list, sizes."""
-    cd = column_drift(ref, cur, numeric, categorical)
+    vc = value_counts(ref, cur, numeric, categorical)
+    cd = _drift_table(vc, numeric, categorical)
     row = cd.agg(
         F.avg(F.col("drift_detected").cast("double")).alias("drift_share"),
         F.count_if("drift_detected").alias("n_drifted_columns"),
         F.count(F.lit(1)).alias("n_columns"),
         F.array_join(F.array_sort(F.collect_list(F.when(F.col("drift_detected"), F.col("column")))), ",").alias("drifted_columns"),
     ).withColumn("drift_detected", F.col("drift_share") >= share)
-    row = attach_row(row, ref.agg(F.count(F.lit(1)).alias("n_reference_samples")))
-    return attach_row(row, cur.agg(F.count(F.lit(1)).alias("n_current_samples")))
+    return attach_row(row, _side_sizes(vc))
 
 
 def target_drift(ref: DataFrame, cur: DataFrame, target: str) -> DataFrame:
@@ -185,21 +225,36 @@ def drift_test_suite(column_results: DataFrame) -> DataFrame:
 
 def monitoring_report(ref: DataFrame, cur: DataFrame, numeric: list[str], categorical: list[str],
                       target: str | None = None, predicted: str | None = None) -> DataFrame:
-    """One flat row: data drift, target drift (if present), prediction quality (if present), suite."""
-    cd = column_drift(ref, cur, numeric, categorical)
+    """One flat row: data drift, target drift (if present), prediction quality (if present), suite.
+
+    Data drift and target drift share one value-count pass over each side.
+    """
+    has_target = bool(target) and target in ref.columns and target in cur.columns
+    counted = list(numeric) + ([target] if has_target and target not in numeric else [])
+    vc = value_counts(ref, cur, counted, categorical)
+    cols = ["column", "kind", "stattest", "drift_score", "drift_detected"]
+    num = numeric_drift_from_counts(vc) if counted else None
+    parts = []
+    if numeric:
+        parts.append(num.filter(F.col("column").isin(list(numeric))).select(*cols))
+    if categorical:
+        parts.append(categorical_drift_from_counts(vc).select(*cols))
+    cd = parts[0]
+    for p in parts[1:]:
+        cd = cd.unionByName(p)
     row = cd.agg(
         F.avg(F.col("drift_detected").cast("double")).alias("drift_share"),
         F.count_if("drift_detected").alias("n_drifted_columns"),
         F.count(F.lit(1)).alias("n_tests"),
         F.count_if(~F.col("drift_detected")).alias("n_passed"),
     ).withColumn("drift_detected", F.col("drift_share") >= DATASET_DRIFT_SHARE)
-    if target and target in ref.columns and target in cur.columns:
-        t = column_drift_numeric(ref, cur, [target]).select(
+    if has_target:
+        t = num.filter(F.col("column") == target).select(
             F.col("drift_detected").alias("target_drift_detected"), F.col("drift_score").alias("target_drift_score"))
         row = attach_row(row, t)
     else:
         row = row.withColumn("target_drift_detected", F.lit(False))
-    if target and predicted and predicted in cur.columns and target in cur.columns:
+    if has_target and predicted and predicted in cur.columns:
         row = attach_row(row, prediction_quality(cur, target, predicted).select("mae", "rmse", "r2"))
     else:
         row = row.withColumns({"mae": F.lit(None).cast("double"), "rmse": F.lit(None).cast("double"),
