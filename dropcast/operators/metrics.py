@@ -132,10 +132,24 @@ def cumulative_buckets(df: DataFrame, value: str, bounds: list[float], metric: s
 
 def prediction_histograms(log: DataFrame, latency: str = "latency_s", predicted: str = "predicted_eta_minutes",
                           actual: str = "actual_eta_minutes") -> DataFrame:
-    err = log.select((F.col(predicted) - F.col(actual)).alias("error"))
-    return (cumulative_buckets(log, latency, LATENCY_BUCKETS, "prediction_latency_seconds")
-            .unionByName(cumulative_buckets(log, predicted, PREDICTED_ETA_BUCKETS, "predicted_eta_minutes"))
-            .unionByName(cumulative_buckets(err, "error", PREDICTION_ERROR_BUCKETS, "prediction_error_minutes")))
+    """Cumulative buckets for latency, predicted minutes and signed error (predicted - actual),
+    all from one aggregation pass over the log."""
+    specs = [("prediction_latency_seconds", F.col(latency), LATENCY_BUCKETS),
+             ("predicted_eta_minutes", F.col(predicted), PREDICTED_ETA_BUCKETS),
+             ("prediction_error_minutes", F.col(predicted) - F.col(actual), PREDICTION_ERROR_BUCKETS)]
+    aggs = []
+    for m, (_, v, bounds) in enumerate(specs):
+        aggs += [F.count_if(v <= F.lit(float(b))).alias(f"m{m}_b{i}") for i, b in enumerate(bounds)]
+        aggs += [F.count(v).alias(f"m{m}_inf"), F.sum(v).alias(f"m{m}_sum")]
+    row = log.agg(*aggs)
+    entries = []
+    for m, (name, _, bounds) in enumerate(specs):
+        for i, b in enumerate(list(bounds) + ["+Inf"]):
+            cnt = F.col(f"m{m}_inf") if b == "+Inf" else F.col(f"m{m}_b{i}")
+            entries.append(F.struct(F.lit(name).alias("metric"), F.lit("+Inf" if b == "+Inf" else str(float(b))).alias("le"),
+                                    cnt.cast("long").alias("count"), F.col(f"m{m}_sum").alias("sum"),
+                                    F.col(f"m{m}_inf").alias("total")))
+    return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
 def abs_error_summary(log: DataFrame, predicted: str = "predicted_eta_minutes", actual: str = "actual_eta_minutes") -> DataFrame:
