@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -209,17 +209,20 @@ def clean_orders(df: DataFrame, outlier_method: str = "iqr", outlier_threshold:
 
     The deduped/coerced frame and the range-checked frame are checkpointed to
     the shared folder: each feeds several statistics passes, and fixing them
-    keeps the passes consistent and the lineage short.
+    keeps the passes consistent and the lineage short. Row counts for the
+    report are observed (``DataFrame.observe``) during those checkpoint jobs,
+    so counting costs no extra pass.
     """
-    original_rows = df.count()
-    report = {"original_rows": original_rows, "original_columns": len(df.columns)}
-    deduped = coerce_types(dedupe_first(df)).checkpoint(eager=True)
-    deduped_rows = deduped.count()
-    report["duplicates_removed"] = original_rows - deduped_rows
+    obs_in, obs_dd, obs_rg = Observation("rows_in"), Observation("rows_dedup"), Observation("rows_ranged")
+    src = df.observe(obs_in, F.count(F.lit(1)).alias("n"))
+    deduped = coerce_types(dedupe_first(src)).observe(obs_dd, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    original_rows, deduped_rows = int(obs_in.get["n"]), int(obs_dd.get["n"])
+    report = {"original_rows": original_rows, "original_columns": len(df.columns),
+              "duplicates_removed": original_rows - deduped_rows}
     imp = impute_missing(deduped, fill_strategy)
     report["missing_values_filled"] = imp.cells_filled
-    ranged = range_filter_or_clip(imp.df).checkpoint(eager=True)
-    ranged_rows = ranged.count()
+    ranged = range_filter_or_clip(imp.df).observe(obs_rg, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    ranged_rows = int(obs_rg.get["n"])
     report["invalid_range_rows_removed"] = deduped_rows - ranged_rows
     out = ranged
     if target in ranged.columns:
