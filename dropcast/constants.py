@@ -152,6 +152,18 @@ MODEL_FEATURES = [
     "prep_time_minutes",
 ]
 
+# Engineered feature names (the wider set reported by the feature pipeline, 35 names).
+FEATURE_NAMES = [
+    "haversine_distance_km", "bearing", "bearing_sin", "bearing_cos", "lat_diff", "lng_diff", "manhattan_proxy",
+    "dist_to_zone_centroid",
+    "hour_of_day", "day_of_week", "month", "hour_sin", "hour_cos", "dow_sin", "dow_cos", "month_sin", "month_cos",
+    "is_morning_rush", "is_lunch_rush", "is_dinner_rush", "is_late_night", "is_weekend",
+    "zone_id_encoded", "restaurant_type_encoded",
+    "zone_id_eta_mean", "zone_id_eta_median", "zone_id_eta_std", "zone_id_order_count",
+    "weather_encoded", "weather_multiplier",
+    "traffic_multiplier", "rider_avg_speed_kmh", "rider_reliability", "rider_completed_deliveries", "prep_time_minutes",
+]
+
 # Boosted-tree defaults (n_estimators, learning_rate, max_depth, min_child_samples,
 # subsample, colsample_bytree, early-stopping rounds).
 GBT_DEFAULTS = {

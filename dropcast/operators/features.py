@@ -484,6 +484,13 @@ def feature_pipeline(target_encode_cols=("zone_id", "restaurant_type"), agg_cols
     return Pipeline(stages=stages)
 
 
+def feature_names() -> list[str]:
+    """Names of the engineered features (the wider set; the model uses ``MODEL_FEATURES``)."""
+    from ..constants import FEATURE_NAMES
+
+    return list(FEATURE_NAMES)
+
+
 def select_model_features(df: DataFrame, features: list[str] = MODEL_FEATURES, keep: list[str] | tuple = ()) -> DataFrame:
     """Model features that exist, in list order (plus ``keep`` columns first)."""
     return df.select(*keep, *[f for f in features if f in df.columns])
