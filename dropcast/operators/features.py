@@ -15,7 +15,7 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer  # noqa: F401
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from .. import functions as X
@@ -79,9 +79,13 @@ class TableBackedModel(Model, MLReadable, MLWritable):
 
 
 def _materialize(df: DataFrame) -> tuple[DataFrame, int]:
-    """Checkpoint a fitted table to the shared folder and count it (size bound for broadcasts)."""
-    ck = df.checkpoint(eager=True)
-    return ck, ck.count()
+    """Checkpoint a fitted table to the shared folder and count it (size bound for broadcasts).
+
+    The count is observed while the checkpoint job runs (no second pass).
+    """
+    obs = Observation("fitted_rows")
+    ck = df.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    return ck, int(obs.get["n"])
 
 
 def _p(name, doc, conv):
