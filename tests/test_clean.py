@@ -65,13 +65,22 @@ def test_outlier_methods(spark):
     assert b == (1.0, 180.0)
 
 
-def test_fixed_bounds_cleaning_is_idempotent(spark):
+@pytest.mark.parametrize("method", ["bounds", "iqr"])
+def test_cleaning_is_idempotent(spark, method):
     raw = FX.deliveries_raw(spark, SF01)
-    once = C.clean_orders(raw, outlier_method="bounds").df
-    twice = C.clean_orders(once, outlier_method="bounds").df
+    once = C.clean_orders(raw, outlier_method=method).df
+    twice = C.clean_orders(once, outlier_method=method).df
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
 
 
+def test_cleaning_ignores_input_row_order(spark):
+    raw = FX.deliveries_raw(spark, SF01)
+    shuffled = raw.repartition(13, F.rand(seed=3)).sortWithinPartitions(F.rand(seed=4))
+    a = C.clean_orders(raw).df
+    b = C.clean_orders(shuffled).df
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_clean_report_counts(spark):
     res = C.clean_orders(FX.deliveries_raw(spark, SF01))
     r = res.report
