@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,10 +16,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _valid_point(lat: Column, lng: Column) -> Column:
-    return lat.isNotNull() & lng.isNotNull() & (F.abs(lat) <= 90.0) & ~F.isnan(lat) & ~F.isnan(lng)
-
-
 def geodesic_km(lat1, lng1, lat2, lng2) -> Column:
     """Ellipsoidal (WGS-84) distance in km by Lambert's closed-form formula.
 
@@ -109,5 +103,5 @@ def clip(c, lo, hi) -> Column:
 
 __all__ = [
     "geodesic_km", "haversine_km", "bearing_deg", "bearing_sin", "bearing_cos",
-    "coordinate_diffs", "offset_point", "clip", "math",
+    "coordinate_diffs", "offset_point", "clip",
 ]

@@ -12,11 +12,10 @@ the rows at the interpolation positions. No step holds a whole group.
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -267,5 +266,5 @@ def percentile_names(ps: list[int]) -> list[str]:
 
 __all__ = [
     "ranked", "exact_percentiles", "column_percentiles", "global_rank", "time_split",
-    "time_series_folds", "error_cdf", "percentile_names", "math",
+    "time_series_folds", "error_cdf", "percentile_names", "running_sums", "weighted_percentiles",
 ]

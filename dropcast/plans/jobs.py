@@ -19,7 +19,6 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import functions as X
 from ..constants import TARGET
 from ..operators import clean as C
 from ..operators import drift as DR
@@ -166,7 +165,7 @@ def main(argv=None) -> None:
         print(json.dumps(monitor_job(spark, args.reference, args.current, args.output, fmt=args.format), default=str))
 
 
-__all__ = ["clean_job", "train_job", "score_job", "monitor_job", "main", "X"]
+__all__ = ["clean_job", "train_job", "score_job", "monitor_job", "main"]
 
 if __name__ == "__main__":
     main()
