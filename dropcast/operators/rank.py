@@ -24,21 +24,24 @@ from .joins import DEFAULT_BROADCAST_MAX_ROWS
 _PID, _MID = "_dc_pid", "_dc_mid"
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+def _num_partitions(df: DataFrame, num_partitions: int | None) -> int | None:
+    """Explicit range-partition count, or None: then the session's shuffle partition
+    count applies and AQE may coalesce small outputs (size it for the data, as for any
+    shuffle: partitions of a few hundred MB at the target scale)."""
+    return int(num_partitions) if num_partitions else None
 
 
-def _range_sorted_checkpoint(df: DataFrame, keys: list, n_parts: int) -> DataFrame:
+def _range_sorted_checkpoint(df: DataFrame, keys: list, n_parts: int | None) -> DataFrame:
     """Range-partition and sort by ``keys``, checkpoint to the shared folder, tag partition id/position.
 
     The input is cached for the two passes (range-bound sampling, then the
-    write) and released once the checkpoint exists.
+    write) and released once the checkpoint exists. Partition ids are read
+    from the checkpoint, so they are the final (post-coalescing) ones.
     """
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ck = src.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+        parted = src.repartitionByRange(n_parts, *keys) if n_parts else src.repartitionByRange(*keys)
+        ck = parted.sortWithinPartitions(*keys).checkpoint(eager=True)
     finally:
         src.unpersist()
     return ck.withColumns({_PID: F.spark_partition_id(), _MID: F.monotonically_increasing_id()})
