@@ -851,3 +851,14 @@ SQL["detect_feature_types"] = with_d(" UNION ALL ".join(
 SQL["drop_target"] = with_d("SELECT " + ", ".join(c for c in ROUNDED_D.split(", ") if "actual_eta_minutes" not in c) + " FROM d")
 SQL["validate_schema"] = with_d("SELECT false AS is_valid, 'rider_id' AS missing, count(*) AS n_rows FROM d")
 SQL["scan_dims_csv"] = SQL["scan_restaurants"]
+
+# Stream-stream LEFT join after an availableNow run: every matched pair, plus the
+# unmatched predictions whose 3-hour window closed before the final watermark
+# (max prediction time - 10 minutes).
+SQL["stream_feedback_join"] = with_pred("""
+SELECT substring(md5(concat_ws('-', order_id, 'baseline')), 1, 12) AS prediction_id, order_timestamp AS pred_ts,
+  round(predicted_eta_minutes, 6) AS predicted_eta_minutes, round(a, 6) AS actual_eta_minutes,
+  round(predicted_eta_minutes - a, 6) AS error
+FROM (SELECT *, CASE WHEN event_id % 3 != 0 AND floor(actual_eta_minutes) BETWEEN 0 AND 180 THEN actual_eta_minutes END AS a FROM p)
+WHERE a IS NOT NULL
+   OR order_timestamp + INTERVAL 3 HOUR < (SELECT max(order_timestamp) FROM d) - INTERVAL 10 MINUTE""")
