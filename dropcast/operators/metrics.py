@@ -19,6 +19,21 @@ from .rank import exact_percentiles
 MACHINE_EPS = 2.220446049250313e-16
 
 
+def exact_sum(c: Column) -> Column:
+    """Sum of doubles through DECIMAL(38,10): exact and independent of row order, so a
+    total over billions of rows does not depend on partitioning (returned as double)."""
+    return F.sum(c.cast("decimal(38,10)")).cast("double")
+
+
+def round_significant(c: Column, digits: int = 12) -> Column:
+    """Round to ``digits`` significant digits (for metrics whose magnitude can be huge,
+    e.g. MAPE when some actuals are 0: decimals beyond double precision carry no value)."""
+    k = F.floor(F.log10(F.abs(c))) + 1 - digits
+    up = F.round(c / F.pow(F.lit(10.0), k)) * F.pow(F.lit(10.0), k)
+    down = F.round(c * F.pow(F.lit(10.0), -k)) / F.pow(F.lit(10.0), -k)
+    return F.when(c.isNull() | (c == 0), c).when(k >= 0, up).otherwise(down)
+
+
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row frame to every row (one-row side is broadcast)."""
     return df.join(F.broadcast(one_row), how="cross")
@@ -120,7 +135,7 @@ def cumulative_buckets(df: DataFrame, value: str, bounds: list[float], metric: s
     """Cumulative 'le' buckets plus +Inf, sum and count in one pass: (metric, le, count) rows."""
     v = F.col(value)
     aggs = [F.count_if(v <= F.lit(float(b))).alias(f"b{i}") for i, b in enumerate(bounds)]
-    aggs += [F.count(v).alias("inf"), F.sum(v).alias("sum")]
+    aggs += [F.count(v).alias("inf"), exact_sum(v).alias("sum")]
     row = df.agg(*aggs)
     entries = [F.struct(F.lit(str(float(b))).alias("le"), F.col(f"b{i}").cast("long").alias("count"))
                for i, b in enumerate(bounds)]
@@ -140,7 +155,7 @@ def prediction_histograms(log: DataFrame, latency: str = "latency_s", predicted:
     aggs = []
     for m, (_, v, bounds) in enumerate(specs):
         aggs += [F.count_if(v <= F.lit(float(b))).alias(f"m{m}_b{i}") for i, b in enumerate(bounds)]
-        aggs += [F.count(v).alias(f"m{m}_inf"), F.sum(v).alias(f"m{m}_sum")]
+        aggs += [F.count(v).alias(f"m{m}_inf"), exact_sum(v).alias(f"m{m}_sum")]
     row = log.agg(*aggs)
     entries = []
     for m, (name, _, bounds) in enumerate(specs):
@@ -154,7 +169,7 @@ def prediction_histograms(log: DataFrame, latency: str = "latency_s", predicted:
 
 def abs_error_summary(log: DataFrame, predicted: str = "predicted_eta_minutes", actual: str = "actual_eta_minutes") -> DataFrame:
     ae = F.abs(F.col(predicted) - F.col(actual))
-    return log.agg(F.sum(ae).alias("abs_error_sum"), F.count(ae).alias("abs_error_count"))
+    return log.agg(exact_sum(ae).alias("abs_error_sum"), F.count(ae).alias("abs_error_count"))
 
 
 def cv_summary(fold_metrics: DataFrame, metrics: tuple = ("mae", "rmse", "r2")) -> DataFrame:
@@ -184,7 +199,7 @@ def request_latency_hist(access_log: DataFrame, bounds: list[float]) -> DataFram
     """Cumulative latency buckets per (method, endpoint)."""
     v = F.col("latency_s")
     aggs = [F.count_if(v <= F.lit(float(b))).alias(f"b{i}") for i, b in enumerate(bounds)]
-    g = access_log.groupBy("method", "endpoint").agg(*aggs, F.count(v).alias("inf"), F.sum(v).alias("sum"))
+    g = access_log.groupBy("method", "endpoint").agg(*aggs, F.count(v).alias("inf"), exact_sum(v).alias("sum"))
     entries = [F.struct(F.lit(str(float(b))).alias("le"), F.col(f"b{i}").cast("long").alias("count"))
                for i, b in enumerate(bounds)]
     entries.append(F.struct(F.lit("+Inf").alias("le"), F.col("inf").cast("long").alias("count")))

@@ -185,7 +185,7 @@ SQL["residuals"] = with_pred(
 
 REG = """SELECT count(*) AS n, round(avg(abs(e)), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse,
   round(1e0 - sum(e * e) / (var_pop(y) * count(*)), 6) AS r2,
-  round(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0, 6) AS mape,
+  CASE WHEN (avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) IS NULL OR (avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) = 0 THEN (avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) WHEN (floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12) >= 0 THEN round((avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) / pow(10e0, (floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12))) * pow(10e0, (floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12)) ELSE round((avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) * pow(10e0, -(floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12))) / pow(10e0, -(floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12)) END AS mape,
   round(avg(e), 6) AS mean_error, round(stddev_pop(e), 6) AS std_error, round(max(abs(e)), 6) AS max_error,
   round(avg(CASE WHEN abs(e) <= 5 THEN 1e0 ELSE 0e0 END) * 100e0, 6) AS within_5min_pct,
   round(avg(CASE WHEN abs(e) <= 10 THEN 1e0 ELSE 0e0 END) * 100e0, 6) AS within_10min_pct,
@@ -630,7 +630,7 @@ SQL["load_validated"] = SQL["scan_orders_csv"]
 SQL["sink_segment_csv"] = SQL["segment_metrics"]
 SQL["sink_report_json"] = with_pred("""SELECT count(*) AS n, round(avg(abs(e)), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse,
   round(1e0 - sum(e * e) / (var_pop(y) * count(*)), 6) AS r2,
-  round(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0, 6) AS mape,
+  CASE WHEN (avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) IS NULL OR (avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) = 0 THEN (avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) WHEN (floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12) >= 0 THEN round((avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) / pow(10e0, (floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12))) * pow(10e0, (floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12)) ELSE round((avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) * pow(10e0, -(floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12))) / pow(10e0, -(floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12)) END AS mape,
   round(avg(e), 6) AS mean_error, round(stddev_pop(e), 6) AS std_error, round(max(abs(e)), 6) AS max_error,
   round(avg(CASE WHEN abs(e) <= 5 THEN 1e0 ELSE 0e0 END) * 100e0, 6) AS within_5min_pct,
   round(avg(CASE WHEN abs(e) <= 10 THEN 1e0 ELSE 0e0 END) * 100e0, 6) AS within_10min_pct,
@@ -730,7 +730,7 @@ SELECT "column", kind, stattest, n_ref, n_cur, round(wasserstein, 6) AS wasserst
   round(drift_score, 6) AS drift_score, round(ks_statistic, 6) AS ks_statistic, round(ks_pvalue, 6) AS ks_pvalue, drift_detected
 FROM nd""", numeric=["predicted_eta_minutes"], categorical=[])
 QUALITY = """round(avg(abs(e)), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse,
-  round(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0, 6) AS mape,
+  CASE WHEN (avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) IS NULL OR (avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) = 0 THEN (avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) WHEN (floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12) >= 0 THEN round((avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) / pow(10e0, (floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12))) * pow(10e0, (floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12)) ELSE round((avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) * pow(10e0, -(floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12))) / pow(10e0, -(floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12)) END AS mape,
   round(1e0 - sum(e * e) / (var_pop(y) * count(*)), 6) AS r2, round(avg(e), 6) AS me"""
 SQL["prediction_quality"] = with_drift(
     f"SELECT {QUALITY}, count(*) AS n_samples FROM (SELECT actual_eta_minutes AS y, predicted_eta_minutes - actual_eta_minutes AS e"
@@ -798,7 +798,7 @@ def _buckets_sql(src: str, value: str, bounds, metric: str = None, group: str =
         le = "+Inf" if b == "+Inf" else str(float(b))
         cond = f"count({value})" if b == "+Inf" else f"count(*) FILTER (WHERE {value} <= {float(b)}e0)"
         mcol = f"'{metric}' AS metric, " if metric else ""
-        parts.append(f"SELECT {mcol}{gsel}'{le}' AS le, CAST({cond} AS BIGINT) AS count, round(sum({value}), 6) AS sum"
+        parts.append(f"SELECT {mcol}{gsel}'{le}' AS le, CAST({cond} AS BIGINT) AS count, round(CAST(sum(CAST({value} AS DECIMAL(38,10))) AS DOUBLE), 6) AS sum"
                      + (f", count({value}) AS total" if metric else "") + f" FROM {src}" + (f" GROUP BY {group}" if group else ""))
     return " UNION ALL ".join(parts)
 
@@ -812,7 +812,7 @@ SQL["prediction_histograms"] = with_log(" UNION ALL ".join([
                  [0, 1, 2, 3, 4, 5, 7, 10, 15, 20, 30], "prediction_error_minutes"),
 ]))
 SQL["abs_error_summary"] = with_log(
-    "SELECT round(sum(abs(predicted_eta_minutes - actual_eta_minutes)), 6) AS abs_error_sum,"
+    "SELECT round(CAST(sum(CAST(abs(predicted_eta_minutes - actual_eta_minutes) AS DECIMAL(38,10))) AS DOUBLE), 6) AS abs_error_sum,"
     " count(abs(predicted_eta_minutes - actual_eta_minutes)) AS abs_error_count FROM ml")
 SQL["last_value_gauges"] = with_log("""
 SELECT g.model_version, g.last_prediction_ts, round(l.predicted_eta_minutes, 6) AS last_predicted_eta, g.n_predictions
