@@ -101,7 +101,7 @@ def numeric_drift_from_counts(vc: DataFrame, threshold: float = DRIFT_NUMERIC_TH
     means = stats.select("column", "_mean")
     dev = num.join(F.broadcast(means), "column").groupBy("column").agg(  # one row per column
         F.sqrt(F.try_divide(F.sum(F.col("nr") * F.pow(F.col("value") - F.col("_mean"), 2)), F.sum("nr"))).alias("ref_std"))
-    out = stats.join(dev, "column", "left")
+    out = stats.join(F.broadcast(dev), "column", "left")  # one row per column
     score = F.try_divide(F.col("wasserstein"), F.col("ref_std"))
     return out.select(
         "column", F.lit("numeric").alias("kind"), F.lit("wasserstein").alias("stattest"),
