@@ -31,3 +31,20 @@ def test_stream_windowed_metrics(spark):
     out = ST.run_prediction_metrics(spark, SF001, sink, ck)
     assert out.count() > 0
     assert out.filter(F.col("window_end") <= F.col("window_start")).count() == 0
+
+
+def test_stream_scoring_with_fitted_pipeline(spark):
+    """The fitted features + imputer + GBT PipelineModel runs inside a streaming query."""
+    from dropcast.plans import training as TR
+
+    prep = TR.prepare_data(CAT._d(spark, SF001))
+    small = dict(n_estimators=3, learning_rate=0.3, max_depth=3, min_child_samples=5, subsample=1.0, colsample_bytree=1.0)
+    model = TR.scoring_model(prep, TR.train_gbt(prep.train, prep.features, TR.gbt_params(**small)))
+    sink, ck = scratch_path(spark, "t-gbt"), scratch_path(spark, "t-gbtck")
+    out = ST.run_score_orders(spark, SF001, sink, ck, model=model)
+    batch = ST.score_orders(CAT._d(spark, SF001), model=model)
+    assert out.count() == batch.count() > 0
+    assert out.filter(F.col("raw_prediction").isNull()).count() == 0
+    a = out.select("order_id", F.round("raw_prediction", 9).alias("p"))
+    b = batch.select("order_id", F.round("raw_prediction", 9).alias("p"))
+    assert a.exceptAll(b).count() == 0
