@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as X
 from ..constants import LAG_FALLBACK, MODEL_FEATURES, TARGET, TE_MIN_SAMPLES, TE_SMOOTHING, TIME_COL, ID_COL
-from .joins import DEFAULT_BROADCAST_MAX_ROWS
+from .joins import broadcast_ok
 from .rank import column_percentiles, exact_percentiles, ranked
 
 
@@ -73,7 +73,7 @@ class TableBackedModel(Model, MLReadable, MLWritable):
         """The table for a join: broadcast if its fitted row count is within the bound."""
         df = self._tables[name]
         n = self._scalars.get(f"rows_{name}")
-        if n is not None and n <= DEFAULT_BROADCAST_MAX_ROWS:
+        if n is not None and broadcast_ok(n, df.schema):
             return F.broadcast(df)
         return df
 

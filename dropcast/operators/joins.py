@@ -6,21 +6,38 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side is broadcast only if it has at most this many rows (checked, not assumed).
+# A side is broadcast only if its measured row count is at most this many rows
+# and rows x estimated row width stays within the byte budget (checked, not assumed).
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+
+_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4,
+          T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16}
+
+
+def estimated_row_bytes(schema: T.StructType) -> int:
+    """Conservative per-row width from the schema (strings and nested types counted at 64 bytes)."""
+    return 16 + sum(_WIDTH.get(type(f.dataType), 64) for f in schema.fields)
+
+
+def broadcast_ok(n_rows: int, schema: T.StructType, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                 max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
+    return n_rows <= max_rows and n_rows * estimated_row_bytes(schema) <= max_bytes
 
 
 def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    """``broadcast(small)`` if its row count is proven <= ``max_rows``; else ``small`` unchanged.
+                      known_rows: int | None = None, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(small)`` if its size is proven within the bounds; else ``small`` unchanged.
 
     ``known_rows`` lets a caller pass a count measured earlier (e.g. at fit time)
     and avoid another job. Beyond the bound Spark plans a shuffle join (AQE may
-    still turn it into a broadcast at runtime from real sizes).
+    still turn it into a broadcast at runtime from measured sizes, and splits
+    skewed partitions of the large side).
     """
     n = known_rows if known_rows is not None else small.count()
-    return F.broadcast(small) if n <= max_rows else small
+    return F.broadcast(small) if broadcast_ok(n, small.schema, max_rows, max_bytes) else small
 
 
 def null_safe_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .joins import DEFAULT_BROADCAST_MAX_ROWS
+from .joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_ok
 
 _PID, _MID = "_dc_pid", "_dc_mid"
 
@@ -89,7 +89,7 @@ def ranked(
     # the partition count; otherwise it is counted before broadcasting.
     if group_cols:
         n_seg = seg.count()
-        seg_side = F.broadcast(seg) if n_seg <= max_broadcast_rows else seg
+        seg_side = F.broadcast(seg) if broadcast_ok(n_seg, seg.schema, max_broadcast_rows) else seg
     else:
         seg_side = F.broadcast(seg)
     cond = [F.col(_PID) == F.col("_s_pid")] + [F.col(g).eqNullSafe(F.col(f"_s_{i}")) for i, g in enumerate(group_cols)]
@@ -132,7 +132,7 @@ def running_sums(
                      *[F.coalesce(F.sum(f"_t_{c}").over(prev), F.lit(0)).alias(f"_b_{c}") for c in sum_cols],
                      *[F.sum(f"_t_{c}").over(gw).alias(f"_g_{c}") for c in sum_cols])
     if group_cols:
-        seg_side = F.broadcast(seg) if seg.count() <= max_broadcast_rows else seg
+        seg_side = F.broadcast(seg) if broadcast_ok(seg.count(), seg.schema, max_broadcast_rows) else seg
     else:
         seg_side = F.broadcast(seg)
     cond = [F.col(_PID) == F.col("_s_pid")] + [F.col(g).eqNullSafe(F.col(f"_s_{i}")) for i, g in enumerate(group_cols)]

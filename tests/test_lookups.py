@@ -75,3 +75,16 @@ def test_feedback_join_left(spark):
     a = spark.createDataFrame([("a", 25.0)], "prediction_id string, actual_eta_minutes double")
     out = {r.prediction_id: r for r in LK.join_prediction_feedback(p, a).collect()}
     assert out["a"].error == -5.0 and out["b"].actual_eta_minutes is None
+
+
+def test_broadcast_bounds(spark):
+    from dropcast.operators.joins import broadcast_ok, checked_broadcast, estimated_row_bytes
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.DoubleType())])
+    assert estimated_row_bytes(schema) == 28
+    assert broadcast_ok(1000, schema) and not broadcast_ok(3_000_000, schema)
+    wide = T.StructType([T.StructField(f"s{i}", T.StringType()) for i in range(100)])
+    assert not broadcast_ok(100_000, wide)  # few rows but wide: over the byte budget
+    small = spark.createDataFrame([(1, 2.0)], schema)
+    plan = spark.range(5).join(checked_broadcast(small.withColumnRenamed("k", "id")), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan
