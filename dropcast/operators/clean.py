@@ -304,11 +304,10 @@ def data_quality_profile(df: DataFrame) -> DataFrame:
 def describe_summary(df: DataFrame, cols: list[str]) -> DataFrame:
     """count, mean, std, min, exact quartiles, max per column (long form)."""
     base = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])).alias("kv")).select("kv.*")
-    mom = base.groupBy("column").agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
-                                     F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-                                     F.max("value").alias("max"))
-    q = exact_percentiles(base, "value", [0.25, 0.5, 0.75], ["column"], names=["p25", "p50", "p75"])
-    return mom.join(q, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    extra = {"count": F.count("value"), "mean": F.avg("value"), "std": F.stddev_samp("value"),
+             "min": F.min("value"), "max": F.max("value")}
+    q = exact_percentiles(base, "value", [0.25, 0.5, 0.75], ["column"], names=["p25", "p50", "p75"], extra_aggs=extra)
+    return q.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def detect_feature_types(df: DataFrame, exclude: tuple = (TARGET, "predicted_eta_minutes")) -> tuple[list[str], list[str]]:

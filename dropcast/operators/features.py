@@ -265,11 +265,10 @@ class GroupStats(Estimator, _HasTarget, DefaultParamsReadable, DefaultParamsWrit
             if key not in df.columns:
                 continue
             base = df.filter(F.col(key).isNotNull())
-            mom = base.groupBy(key).agg(F.avg(y).alias(f"{key}_eta_mean"), F.stddev_samp(y).alias(f"{key}_eta_std"),
-                                        F.count(y).alias(f"{key}_order_count"))
-            med = exact_percentiles(base, y, [0.5], [key], names=[f"{key}_eta_median"])
-            stats = mom.join(med, key, "left").select(key, f"{key}_eta_mean", f"{key}_eta_median",
-                                                       f"{key}_eta_std", f"{key}_order_count")
+            # moments and exact median in one aggregation over the rows ranked per key
+            extra = {f"{key}_eta_mean": F.avg(y), f"{key}_eta_std": F.stddev_samp(y), f"{key}_order_count": F.count(y)}
+            stats = exact_percentiles(base, y, [0.5], [key], names=[f"{key}_eta_median"], extra_aggs=extra).select(
+                key, f"{key}_eta_mean", f"{key}_eta_median", f"{key}_eta_std", f"{key}_order_count")
             stats, n = _materialize(stats)
             model._tables[key] = stats
             model._scalars[f"rows_{key}"] = n

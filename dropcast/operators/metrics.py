@@ -45,38 +45,43 @@ def residuals(df: DataFrame, actual: str, predicted: str, keys: list[str] | tupl
                      e.alias("residual"), F.abs(e).alias("abs_error"))
 
 
-def _metric_aggs(y: Column, p: Column) -> list[Column]:
+_METRIC_NAMES = ["n", "mae", "rmse", "r2", "mape", "mean_error", "std_error", "max_error"] + [
+    f"within_{k}min_pct" for k in WITHIN_K_MINUTES]
+
+
+def _metric_aggs(y: Column, p: Column, aliased: bool = True) -> list[Column]:
     e = y - p
     ae = F.abs(e)
     aggs = [
-        F.count(F.lit(1)).alias("n"),
-        F.avg(ae).alias("mae"),
-        F.sqrt(F.avg(e * e)).alias("rmse"),
-        (F.lit(1.0) - F.try_divide(F.sum(e * e), F.var_pop(y) * F.count(F.lit(1)))).alias("r2"),
-        (F.avg(ae / F.greatest(F.abs(y), F.lit(MACHINE_EPS))) * 100.0).alias("mape"),
-        F.avg(e).alias("mean_error"),
-        F.stddev_pop(e).alias("std_error"),
-        F.max(ae).alias("max_error"),
-    ]
-    for k in WITHIN_K_MINUTES:
-        aggs.append((F.avg((ae <= k).cast("double")) * 100.0).alias(f"within_{k}min_pct"))
-    return aggs
+        F.count(F.lit(1)),
+        F.avg(ae),
+        F.sqrt(F.avg(e * e)),
+        F.lit(1.0) - F.try_divide(F.sum(e * e), F.var_pop(y) * F.count(F.lit(1))),
+        F.avg(ae / F.greatest(F.abs(y), F.lit(MACHINE_EPS))) * 100.0,
+        F.avg(e),
+        F.stddev_pop(e),
+        F.max(ae),
+    ] + [F.avg((ae <= k).cast("double")) * 100.0 for k in WITHIN_K_MINUTES]
+    return [a.alias(n) for a, n in zip(aggs, _METRIC_NAMES)] if aliased else aggs
 
 
 def regression_metrics(df: DataFrame, actual: str = "actual_eta_minutes", predicted: str = "predicted_eta_minutes",
                        with_percentiles: bool = True) -> DataFrame:
     """One row: n, MAE, RMSE, R2, MAPE, mean/std/max error, within-k %, median AE and AE percentiles.
 
-    Error = actual - predicted. R2 = 1 - SSE / (n * var_pop(actual)).
+    Error = actual - predicted. R2 = 1 - SSE / (n * var_pop(actual)). With
+    percentiles, the moments and the exact percentiles come from one
+    aggregation over the ranked rows (one read of the input).
     """
     base = df.select(F.col(actual).cast("double").alias("_y"), F.col(predicted).cast("double").alias("_p"))
-    row = base.agg(*_metric_aggs(F.col("_y"), F.col("_p")))
+    aggs = _metric_aggs(F.col("_y"), F.col("_p"))
     if not with_percentiles:
-        return row
+        return base.agg(*aggs)
     probs = [0.5] + [p / 100.0 for p in ERROR_PERCENTILES]
     names = ["median_ae"] + [f"p{p}_error" for p in ERROR_PERCENTILES]
-    pct = exact_percentiles(base.select(F.abs(F.col("_y") - F.col("_p")).alias("ae")), "ae", probs, names=names)
-    return attach_row(row, pct)
+    with_ae = base.withColumn("_ae", F.abs(F.col("_y") - F.col("_p")))
+    extra = dict(zip(_METRIC_NAMES, _metric_aggs(F.col("_y"), F.col("_p"), aliased=False)))
+    return exact_percentiles(with_ae, "_ae", probs, names=names, carry=["_y", "_p"], extra_aggs=extra)
 
 
 def within_k_pct(df: DataFrame, abs_error: str = "abs_error", ks: list[int] = WITHIN_K_MINUTES) -> DataFrame:
@@ -89,23 +94,26 @@ def error_percentiles(df: DataFrame, abs_error: str = "abs_error", ps: list[int]
 
 def segment_metrics(df: DataFrame, segment: str, actual: str = "actual_eta_minutes",
                     predicted: str = "predicted_eta_minutes", min_count: int | None = None) -> DataFrame:
-    """Per segment: mae, median_ae, std_ae, count, avg/std actual, within-5 %; ordered by mae."""
+    """Per segment: mae, median_ae, std_ae, count, avg/std actual, within-5 %; ordered by mae.
+
+    Moments and the exact median come from one aggregation over the rows ranked
+    within each segment (skew-safe: a hot segment spans many range partitions).
+    """
     base = df.select(F.col(segment).alias("segment"), F.col(actual).alias("_y"),
                      F.abs(F.col(actual) - F.col(predicted)).alias("_ae"))
-    agg = base.groupBy("segment").agg(
-        F.avg("_ae").alias("mae"),
-        F.stddev_samp("_ae").alias("std_ae"),
-        F.count(F.lit(1)).alias("count"),
-        F.avg("_y").alias("avg_actual_eta"),
-        F.stddev_samp("_y").alias("std_actual_eta"),
-        (F.avg((F.col("_ae") <= 5).cast("double")) * 100.0).alias("within_5min_pct"),
-    )
+    extra = {
+        "mae": F.avg("_ae"),
+        "std_ae": F.stddev_samp("_ae"),
+        "count": F.count(F.lit(1)),
+        "avg_actual_eta": F.avg("_y"),
+        "std_actual_eta": F.stddev_samp("_y"),
+        "within_5min_pct": F.avg((F.col("_ae") <= 5).cast("double")) * 100.0,
+    }
+    out = exact_percentiles(base, "_ae", [0.5], ["segment"], names=["median_ae"], carry=["_y"], extra_aggs=extra)
     if min_count is not None:
-        agg = agg.filter(F.col("count") >= min_count)
-    med = exact_percentiles(base, "_ae", [0.5], ["segment"], names=["median_ae"])
-    out = agg.join(med, agg["segment"].eqNullSafe(med["segment"]), "left").select(
-        agg["segment"], "mae", "median_ae", "std_ae", "count", "avg_actual_eta", "std_actual_eta", "within_5min_pct"
-    )
+        out = out.filter(F.col("count") >= min_count)
+    out = out.select("segment", "mae", "median_ae", "std_ae", "count", "avg_actual_eta", "std_actual_eta",
+                     "within_5min_pct")
     return out.orderBy("mae", "segment")
 
 

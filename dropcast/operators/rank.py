@@ -150,35 +150,39 @@ def exact_percentiles(
     names: list[str] | None = None,
     tiebreak: list[str] | tuple = (),
     num_partitions: int | None = None,
+    carry: list[str] | tuple = (),
+    extra_aggs: dict | None = None,
 ) -> DataFrame:
     """Linear-interpolated percentiles per group (NULL values ignored).
 
     Position h = (n-1)*p + 1, result = v[floor h] + (h - floor h)(v[ceil h] - v[floor h]).
-    Returns one row per group with one column per probability.
+    Returns one row per group with one column per probability, plus any
+    ``extra_aggs`` (name -> aggregate over ``value_col`` and the ``carry``
+    columns) computed in the same aggregation over the ranked rows, so an
+    operator needing moments and medians reads its input once.
     """
     group_cols = list(group_cols)
     names = names or [f"p{int(round(p * 100))}" for p in probs]
+    v = F.col(value_col)
     # NULLs sort last and are not counted, so no filter on a computed value is
     # pushed below the projection that computes it.
-    base = df.select(*group_cols, F.col(value_col).alias("_v"), *tiebreak)
-    r = ranked(base, [F.col("_v").asc_nulls_last(), *tiebreak], group_cols, rank_col="_rn", size_col="_n",
-               num_partitions=num_partitions, count_col="_v")
-    pos = {}
+    keep = [c for c in [*tiebreak, *carry] if c != value_col and c not in group_cols]
+    base = df.select(*group_cols, value_col, *dict.fromkeys(keep))
+    r = ranked(base, [v.asc_nulls_last(), *tiebreak], group_cols, rank_col="_rn", size_col="_n",
+               num_partitions=num_partitions, count_col=value_col)
+    aggs = []
     for i, p in enumerate(probs):
         h = (F.col("_n") - 1) * float(p) + 1
-        pos[i] = (F.floor(h), F.ceil(h), h)
-    needed = reduce(lambda a, b: a | b, [(F.col("_rn") == lo) | (F.col("_rn") == hi) for lo, hi, _ in pos.values()])
-    picked = r.filter(needed)
-    aggs = []
-    for i, (lo, hi, h) in pos.items():
         aggs += [
-            F.max(F.when(F.col("_rn") == lo, F.col("_v"))).alias(f"_lo{i}"),
-            F.max(F.when(F.col("_rn") == hi, F.col("_v"))).alias(f"_hi{i}"),
+            F.max(F.when(F.col("_rn") == F.floor(h), v)).alias(f"_lo{i}"),
+            F.max(F.when(F.col("_rn") == F.ceil(h), v)).alias(f"_hi{i}"),
             F.max(h - F.floor(h)).alias(f"_fr{i}"),
         ]
-    g = picked.groupBy(*group_cols).agg(*aggs)
+    extra = dict(extra_aggs or {})
+    aggs += [e.alias(n) for n, e in extra.items()]
+    g = r.groupBy(*group_cols).agg(*aggs)
     return g.select(
-        *group_cols,
+        *group_cols, *extra.keys(),
         *[
             (F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(names[i])
             for i in range(len(probs))
