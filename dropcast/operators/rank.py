@@ -15,13 +15,15 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_ok
 
 _PID, _MID = "_dc_pid", "_dc_mid"
+# A (group, value, count) table up to this many rows is ordered with a plain window.
+SMALL_COUNT_TABLE_ROWS = 1_000_000
 
 
 def _num_partitions(df: DataFrame, num_partitions: int | None) -> int | None:
@@ -200,8 +202,17 @@ def weighted_percentiles(counts: DataFrame, value_col: str, weight_col: str, pro
     """
     group_cols = list(group_cols)
     names = names or [f"p{int(round(p * 100))}" for p in probs]
-    c = running_sums(counts.filter(F.col(value_col).isNotNull()), [value_col], [weight_col], group_cols,
-                     suffix="_cum", total_suffix="_tot")
+    obs = Observation("value_count_rows")
+    vc = counts.filter(F.col(value_col).isNotNull()).observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    if int(obs.get["n"]) <= SMALL_COUNT_TABLE_ROWS:
+        # proven small (few distinct values, e.g. hours, flags, encodings): a plain
+        # window over the count table holds at most SMALL_COUNT_TABLE_ROWS rows per task
+        gw = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
+        c = vc.withColumns({f"{weight_col}_cum": F.sum(weight_col).over(
+                                gw.orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)),
+                            f"{weight_col}_tot": F.sum(weight_col).over(gw)})
+    else:
+        c = running_sums(vc, [value_col], [weight_col], group_cols, suffix="_cum", total_suffix="_tot")
     cum, w, n = F.col(f"{weight_col}_cum"), F.col(weight_col), F.col(f"{weight_col}_tot")
     aggs = []
     for i, p in enumerate(probs):

@@ -96,3 +96,11 @@ def test_weighted_and_column_percentiles_match_numpy(spark, skewed):
     for c in ["v", "r", "k"]:
         vals = p[c].dropna().astype(float).to_numpy()
         assert got[c] == pytest.approx(tuple(np.percentile(vals, [50, 90])), rel=1e-12)
+
+
+def test_weighted_percentiles_large_table_path(spark, skewed, monkeypatch):
+    """Force the range-partitioned running-count path (used for big value-count tables)."""
+    monkeypatch.setattr(R, "SMALL_COUNT_TABLE_ROWS", 0)
+    df, pdf = skewed
+    got = {r.column: r.p50 for r in R.column_percentiles(df, ["v"], [0.5]).collect()}
+    assert got["v"] == pytest.approx(np.percentile(pdf["v"].dropna(), 50), rel=1e-12)
