@@ -487,6 +487,24 @@ def feature_pipeline(target_encode_cols=("zone_id", "restaurant_type"), agg_cols
     return Pipeline(stages=stages)
 
 
+def fit_feature_pipeline(df: DataFrame, target_encode_cols=("zone_id", "restaurant_type"), agg_cols=("zone_id",),
+                         add_lag_features: bool = False, target: str = TARGET, parallelism: int = 4) -> PipelineModel:
+    """Fit the feature pipeline with its independent estimators fitted concurrently.
+
+    Each estimator reads only raw columns and the target (none consumes another
+    stage's output), so fitting them on the same training frame gives the same
+    models as the sequential ``Pipeline.fit``. Their Spark jobs are submitted
+    from a small thread pool and share the cluster; the result is an ordinary
+    ``PipelineModel`` in the usual stage order.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    stages = feature_pipeline(target_encode_cols, agg_cols, add_lag_features, target).getStages()
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        fitted = list(pool.map(lambda st: st.fit(df) if isinstance(st, Estimator) else st, stages))
+    return PipelineModel(stages=fitted)
+
+
 def feature_names() -> list[str]:
     """Names of the engineered features (the wider set; the model uses ``MODEL_FEATURES``)."""
     from ..constants import FEATURE_NAMES
@@ -512,7 +530,7 @@ def drop_target(df: DataFrame, target: str = TARGET) -> DataFrame:
 
 def prepare_training(df: DataFrame, target: str = TARGET) -> tuple[DataFrame, PipelineModel]:
     """Fit the pipeline (encodings on zone/type, aggregates on zone and restaurant) and transform."""
-    model = feature_pipeline(("zone_id", "restaurant_type"), ("zone_id", "restaurant_id"), False, target).fit(df)
+    model = fit_feature_pipeline(df, ("zone_id", "restaurant_type"), ("zone_id", "restaurant_id"), False, target)
     return model.transform(df), model
 
 

@@ -501,7 +501,7 @@ def _longs(df, cols):
 @query("feature_pipeline")
 def q_feature_pipeline(spark, sf):
     d = _d(spark, sf)
-    model = FE.feature_pipeline().fit(_train(d))
+    model = FE.fit_feature_pipeline(_train(d))
     return rounded(_longs(model.transform(d), FEATURE_OUT))
 
 
@@ -518,7 +518,7 @@ def q_prepare_training(spark, sf):
 @query("prepare_inference")
 def q_prepare_inference(spark, sf):
     d = _d(spark, sf)
-    model = FE.feature_pipeline().fit(_train(d))
+    model = FE.fit_feature_pipeline(_train(d))
     out = FE.prepare_inference(_test(d), model)
     return rounded(_longs(out, FEATURE_OUT))
 
@@ -526,7 +526,7 @@ def q_prepare_inference(spark, sf):
 @query("select_model_features")
 def q_select_features(spark, sf):
     d = _d(spark, sf)
-    out = FE.feature_pipeline().fit(_train(d)).transform(d)
+    out = FE.fit_feature_pipeline(_train(d)).transform(d)
     sel = FE.select_model_features(FE.drop_target(out), keep=["order_id"])
     return rounded(_longs(sel, sel.columns))
 
@@ -534,7 +534,7 @@ def q_select_features(spark, sf):
 @query("complete_features")
 def q_complete_features(spark, sf):
     d = _d(spark, sf)
-    out = FE.feature_pipeline().fit(_train(d)).transform(d.drop("rider_reliability"))
+    out = FE.fit_feature_pipeline(_train(d)).transform(d.drop("rider_reliability"))
     return rounded(FE.complete_features(out, keep=["order_id"]))
 
 

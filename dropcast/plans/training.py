@@ -50,7 +50,7 @@ def prepare_data(df: DataFrame, test_size: float = 0.2, target: str = TARGET,
                        "is_validation": F.col("_rn") > F.floor(split_idx * (1.0 - float(validation_fraction)))})
     train = r.filter("is_train").drop("is_train", "_rn", "_n")
     test = r.filter(~F.col("is_train")).drop("is_train", "is_validation", "_rn", "_n")
-    fmodel = FE.feature_pipeline(("zone_id", "restaurant_type"), ("zone_id",), False, target).fit(train)
+    fmodel = FE.fit_feature_pipeline(train, ("zone_id", "restaurant_type"), ("zone_id",), False, target)
     xtr, xte = fmodel.transform(train), fmodel.transform(test)
     feats = [f for f in MODEL_FEATURES if f in xtr.columns]
     imp = FE.MedianImputer(inputCols=feats).fit(xtr)

@@ -157,3 +157,12 @@ def test_complete_features_and_drop_target(orders):
     out = FE.complete_features(FE.drop_target(orders), keep=["order_id"])
     assert out.columns == ["order_id"] + MODEL_FEATURES
     assert out.filter(F.col("hour_sin").isNotNull() & (F.col("hour_sin") == 0.0)).count() == out.count()
+
+
+def test_concurrent_fit_equals_sequential_pipeline(orders):
+    seq = FE.feature_pipeline().fit(orders)
+    par = FE.fit_feature_pipeline(orders)
+    cols = ["order_id", "zone_id_encoded", "restaurant_type_encoded", "zone_id_eta_mean", "zone_id_eta_median",
+            "zone_id_eta_std", "dist_to_zone_centroid", "weather_encoded"]
+    a, b = seq.transform(orders).select(*cols), par.transform(orders).select(*cols)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
