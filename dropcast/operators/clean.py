@@ -41,19 +41,24 @@ def string_columns(df: DataFrame, exclude: tuple = ()) -> list[str]:
 
 # ---- dedupe ----------------------------------------------------------------
 
-def dedupe_first(df: DataFrame, key: str = "order_id", order_cols: list[str] | None = None) -> DataFrame:
+def dedupe_first(df: DataFrame, key: str = "order_id", order_cols: list[str] | None = None,
+                 copies_col: str | None = None) -> DataFrame:
     """Keep the first row per key in (order_cols) order; NULL keys count as one key.
 
     Expressed as ``min_by(row, order)`` per key: partial aggregation collapses a
     hot key map-side, so no task ever holds all copies of one key.
+    ``copies_col`` (optional) receives the number of input rows per key.
     """
     if key not in df.columns:
         return df
     order_cols = order_cols or [c for c in (TIME_COL, "event_id") if c in df.columns]
     payload = F.struct(*[F.col(c) for c in df.columns])
     order = F.struct(*[F.col(c) for c in order_cols]) if order_cols else F.lit(0)
-    first = df.groupBy(F.col(key).alias("_k")).agg(F.min_by(payload, order).alias("_row"))
-    return first.select("_row.*")
+    aggs = [F.min_by(payload, order).alias("_row")]
+    if copies_col:
+        aggs.append(F.count(F.lit(1)).alias(copies_col))
+    first = df.groupBy(F.col(key).alias("_k")).agg(*aggs)
+    return first.select("_row.*", *([copies_col] if copies_col else []))
 
 
 # ---- coerce ----------------------------------------------------------------
@@ -213,10 +218,14 @@ def clean_orders(df: DataFrame, outlier_method: str = "iqr", outlier_threshold:
     report are observed (``DataFrame.observe``) during those checkpoint jobs,
     so counting costs no extra pass.
     """
-    obs_in, obs_dd, obs_rg = Observation("rows_in"), Observation("rows_dedup"), Observation("rows_ranged")
-    src = df.observe(obs_in, F.count(F.lit(1)).alias("n"))
-    deduped = coerce_types(dedupe_first(src)).observe(obs_dd, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    original_rows, deduped_rows = int(obs_in.get["n"]), int(obs_dd.get["n"])
+    # Counts are observed in the final stage of each checkpoint job (the input row
+    # count is the sum of per-key copies), so a re-executed map stage cannot
+    # count twice.
+    obs_dd, obs_rg = Observation("rows_dedup"), Observation("rows_ranged")
+    copies = "_dc_copies"
+    deduped = coerce_types(dedupe_first(df, copies_col=copies)).observe(
+        obs_dd, F.count(F.lit(1)).alias("n"), F.sum(copies).alias("rows_in")).checkpoint(eager=True).drop(copies)
+    original_rows, deduped_rows = int(obs_dd.get["rows_in"] or 0), int(obs_dd.get["n"])
     report = {"original_rows": original_rows, "original_columns": len(df.columns),
               "duplicates_removed": original_rows - deduped_rows}
     imp = impute_missing(deduped, fill_strategy)
