@@ -25,6 +25,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         .config("spark.driver.memory", os.environ.get("DROPCAST_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.checkpoint.compress", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
