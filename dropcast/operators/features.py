@@ -201,15 +201,22 @@ class TargetEncoder(Estimator, _HasTarget, DefaultParamsReadable, DefaultParamsW
         y = self.getTargetCol()
         m = float(self.getOrDefault(self.smoothing))
         k = int(self.getOrDefault(self.minSamples))
-        gm = df.agg(F.avg(y)).first()[0]
+        cols = [c for c in self.getOrDefault(self.columns) if c in df.columns]
         model = TargetEncoderModel(columns=self.getOrDefault(self.columns))
+        if not cols:
+            model._scalars["global_mean"] = df.agg(F.avg(y)).first()[0]
+            return model
+        # One pass over the training rows: per-category (mean, n) for every column
+        # plus the grand total, as grouping sets; materialised once, then split.
+        stats, _ = _materialize(df.groupingSets([[c] for c in cols] + [[]], *cols).agg(
+            F.avg(y).alias("_mean"), F.count(y).alias("_n"), F.grouping_id().alias("_gid")))
+        width = len(cols)
+        full = (1 << width) - 1
+        gm = stats.filter(F.col("_gid") == full).select("_mean").first()[0]
         model._scalars["global_mean"] = gm
-        for c in self.getOrDefault(self.columns):
-            if c not in df.columns:
-                continue
-            enc = (df.filter(F.col(c).isNotNull()).groupBy(c)
-                   .agg(F.avg(y).alias("_mean"), F.count(y).alias("_n"))
-                   .filter(F.col("_n") >= k)
+        for i, c in enumerate(cols):
+            gid = full - (1 << (width - 1 - i))  # only column i grouped
+            enc = (stats.filter((F.col("_gid") == gid) & F.col(c).isNotNull() & (F.col("_n") >= k))
                    .select(c, ((F.col("_n") * F.col("_mean") + m * F.lit(gm)) / (F.col("_n") + m)).alias(f"{c}_encoded")))
             enc, n = _materialize(enc)
             model._tables[c] = enc
