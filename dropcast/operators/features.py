@@ -268,18 +268,27 @@ class GroupStats(Estimator, _HasTarget, DefaultParamsReadable, DefaultParamsWrit
     def _fit(self, df: DataFrame) -> "GroupStatsModel":
         y = self.getTargetCol()
         model = GroupStatsModel(keys=self.getOrDefault(self.keys))
-        for key in self.getOrDefault(self.keys):
-            if key not in df.columns:
-                continue
-            base = df.filter(F.col(key).isNotNull())
-            # moments and exact median in one aggregation over the rows ranked per key
-            extra = {f"{key}_eta_mean": F.avg(y), f"{key}_eta_std": F.stddev_samp(y), f"{key}_order_count": F.count(y)}
-            stats = exact_percentiles(base, y, [0.5], [key], names=[f"{key}_eta_median"], extra_aggs=extra).select(
-                key, f"{key}_eta_mean", f"{key}_eta_median", f"{key}_eta_std", f"{key}_order_count")
+        keys = [k for k in self.getOrDefault(self.keys) if k in df.columns]
+        if not keys:
+            return model
+        # All keys in one skew-safe ranking: rows are stacked as (key name, key value,
+        # target); moments and the exact median per (key, value) come from one
+        # aggregation over the ranked rows, then the table is split per key.
+        stacked = df.select(F.explode(F.array(*[
+            F.struct(F.lit(k).alias("_key"), F.col(k).cast("string").alias("_kv")) for k in keys])).alias("_e"),
+            F.col(y).alias("_y")).select("_e._key", "_e._kv", "_y").filter(F.col("_kv").isNotNull())
+        extra = {"_mean": F.avg("_y"), "_std": F.stddev_samp("_y"), "_count": F.count("_y")}
+        both, _ = _materialize(exact_percentiles(stacked, "_y", [0.5], ["_key", "_kv"], names=["_median"],
+                                                 extra_aggs=extra))
+        for key in keys:
+            stats = both.filter(F.col("_key") == key).select(
+                F.col("_kv").cast(df.schema[key].dataType).alias(key),
+                F.col("_mean").alias(f"{key}_eta_mean"), F.col("_median").alias(f"{key}_eta_median"),
+                F.col("_std").alias(f"{key}_eta_std"), F.col("_count").alias(f"{key}_order_count"))
             stats, n = _materialize(stats)
             model._tables[key] = stats
             model._scalars[f"rows_{key}"] = n
-            # fills come from the stats table itself (one row per key, already
+            # fills come from the stats table itself (one row per key value, already
             # materialised): one small aggregation, exact median of group stds
             fill = stats.agg(F.avg(f"{key}_eta_mean").alias("m"), F.avg(f"{key}_eta_median").alias("md"),
                              F.median(f"{key}_eta_std").alias("s")).first()
