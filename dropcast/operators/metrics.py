@@ -12,6 +12,8 @@ from ..constants import (
     PREDICTED_ETA_BUCKETS,
     PREDICTION_ERROR_BUCKETS,
     SEGMENT_MIN_COUNT,
+    SERVING_LATENCY_BUCKETS,
+    SERVING_PREDICTED_BUCKETS,
     WITHIN_K_MINUTES,
 )
 from .rank import exact_percentiles
@@ -154,12 +156,17 @@ def cumulative_buckets(df: DataFrame, value: str, bounds: list[float], metric: s
 
 
 def prediction_histograms(log: DataFrame, latency: str = "latency_s", predicted: str = "predicted_eta_minutes",
-                          actual: str = "actual_eta_minutes") -> DataFrame:
+                          actual: str = "actual_eta_minutes", bucket_set: str = "monitoring") -> DataFrame:
     """Cumulative buckets for latency, predicted minutes and signed error (predicted - actual),
-    all from one aggregation pass over the log."""
-    specs = [("prediction_latency_seconds", F.col(latency), LATENCY_BUCKETS),
-             ("predicted_eta_minutes", F.col(predicted), PREDICTED_ETA_BUCKETS),
-             ("prediction_error_minutes", F.col(predicted) - F.col(actual), PREDICTION_ERROR_BUCKETS)]
+    all from one aggregation pass over the log. ``bucket_set='serving'`` uses the
+    serving-side latency and predicted-minute bounds (no error histogram there)."""
+    if bucket_set == "serving":
+        specs = [("prediction_latency_seconds", F.col(latency), SERVING_LATENCY_BUCKETS),
+                 ("predicted_eta_minutes", F.col(predicted), SERVING_PREDICTED_BUCKETS)]
+    else:
+        specs = [("prediction_latency_seconds", F.col(latency), LATENCY_BUCKETS),
+                 ("predicted_eta_minutes", F.col(predicted), PREDICTED_ETA_BUCKETS),
+                 ("prediction_error_minutes", F.col(predicted) - F.col(actual), PREDICTION_ERROR_BUCKETS)]
     aggs = []
     for m, (_, v, bounds) in enumerate(specs):
         aggs += [F.count_if(v <= F.lit(float(b))).alias(f"m{m}_b{i}") for i, b in enumerate(bounds)]

@@ -877,6 +877,11 @@ def q_pred_hist(spark, sf):
     return rounded(M.prediction_histograms(_monitor_log(spark, sf)))
 
 
+@query("prediction_histograms_serving")
+def q_pred_hist_serving(spark, sf):
+    return rounded(M.prediction_histograms(_monitor_log(spark, sf), bucket_set="serving"))
+
+
 @query("abs_error_summary")
 def q_abs_err(spark, sf):
     return rounded(M.abs_error_summary(_monitor_log(spark, sf)))

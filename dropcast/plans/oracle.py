@@ -811,6 +811,10 @@ SQL["prediction_histograms"] = with_log(" UNION ALL ".join([
     _buckets_sql("(SELECT predicted_eta_minutes - actual_eta_minutes AS error FROM ml)", "error",
                  [0, 1, 2, 3, 4, 5, 7, 10, 15, 20, 30], "prediction_error_minutes"),
 ]))
+SQL["prediction_histograms_serving"] = with_log(" UNION ALL ".join([
+    _buckets_sql("ml", "latency_s", [0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0], "prediction_latency_seconds"),
+    _buckets_sql("ml", "predicted_eta_minutes", [5, 10, 15, 20, 25, 30, 40, 50, 60, 90, 120], "predicted_eta_minutes"),
+]))
 SQL["abs_error_summary"] = with_log(
     "SELECT round(CAST(sum(CAST(abs(predicted_eta_minutes - actual_eta_minutes) AS DECIMAL(38,10))) AS DOUBLE), 6) AS abs_error_sum,"
     " count(abs(predicted_eta_minutes - actual_eta_minutes)) AS abs_error_count FROM ml")
