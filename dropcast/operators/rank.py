@@ -12,6 +12,7 @@ the rows at the interpolation positions. No step holds a whole group.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -248,12 +249,57 @@ def global_rank(df: DataFrame, order_cols: list, rank_col: str = "rn", size_col:
     return ranked(df, order_cols, (), rank_col, size_col)
 
 
+class RankCutoffs:
+    """Row count and the (time, id) keys found at chosen 1-based ranks of a total order.
+
+    Only the two key columns are ranked (and checkpointed); the split itself is a
+    comparison against these few keys, applied to the original frame - no join
+    back and no full-width checkpoint, however wide or large the table.
+    """
+
+    def __init__(self, df: DataFrame, order_cols: list[str]):
+        self.order_cols = list(order_cols)
+        narrow = df.select(*self.order_cols)
+        self._r = global_rank(narrow, [F.col(c).asc_nulls_last() for c in self.order_cols], "_rn", "_n")
+        row = self._r.agg(F.max("_n").alias("n")).first()
+        self.n = int(row["n"] or 0)
+        self._keys: dict[int, tuple] = {}
+
+    def fetch(self, ranks) -> None:
+        """Read the keys at ``ranks`` (one small job; at most len(ranks) rows reach the driver)."""
+        want = sorted({int(k) for k in ranks if 1 <= int(k) <= self.n} - set(self._keys))
+        if want:
+            for row in self._r.filter(F.col("_rn").isin(want)).collect():
+                self._keys[int(row["_rn"])] = tuple(row[c] for c in self.order_cols)
+
+    def at_or_before(self, rank: int):
+        """Column: the row's rank in the order is <= ``rank`` (all rows above n, none below 1)."""
+        if rank <= 0:
+            return F.lit(False)
+        if rank >= self.n:
+            return F.lit(True)
+        self.fetch([rank])
+        return _tuple_le(self.order_cols, self._keys[rank])
+
+
+def _tuple_le(cols: list[str], key: tuple):
+    """(c1, c2, ...) <= key in ascending NULLS LAST order, as a column expression."""
+    c, v = F.col(cols[0]), key[0]
+    if v is None:  # key sorts last on this column: everything non-NULL is smaller
+        head_lt, head_eq = c.isNotNull(), c.isNull()
+    else:
+        head_lt, head_eq = c < F.lit(v), c == F.lit(v)
+    if len(cols) == 1:
+        return F.coalesce(head_lt | head_eq, F.lit(False))
+    return F.coalesce(head_lt | (head_eq & _tuple_le(cols[1:], key[1:])), F.lit(False))
+
+
 def time_split(df: DataFrame, test_size: float = 0.2, time_col: str = "order_timestamp",
                id_col: str = "order_id") -> DataFrame:
     """Adds ``is_train``: the first floor(n*(1-test_size)) rows in (time, id) order."""
-    r = global_rank(df, [time_col, id_col], "_rn", "_n")
-    split_idx = F.floor(F.col("_n") * (1.0 - float(test_size)))
-    return r.withColumn("is_train", F.col("_rn") <= split_idx).drop("_rn", "_n")
+    cut = RankCutoffs(df, [time_col, id_col])
+    split_idx = math.floor(cut.n * (1.0 - float(test_size)))
+    return df.withColumn("is_train", cut.at_or_before(split_idx))
 
 
 def time_series_folds(df: DataFrame, n_splits: int = 5, time_col: str = "order_timestamp",
@@ -263,12 +309,20 @@ def time_series_folds(df: DataFrame, n_splits: int = 5, time_col: str = "order_t
     s = n // (k+1); fold i trains on ranks <= n - (k-i)s and validates the next s.
     """
     k = int(n_splits)
-    r = global_rank(df, [time_col, id_col], "_rn", "_n")
-    s = F.floor(F.col("_n") / (k + 1))
-    r = r.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-    start = F.col("_n") - (k - F.col("fold")) * s
-    r = r.filter(F.col("_rn") <= start + s).withColumn("is_val", F.col("_rn") > start)
-    return r.drop("_rn", "_n")
+    cut = RankCutoffs(df, [time_col, id_col])
+    s = cut.n // (k + 1)
+    starts = [cut.n - (k - i) * s for i in range(k)]
+    cut.fetch(starts + [st + s for st in starts])
+    # one scan: every row is paired with each fold, kept where it is inside that fold
+    fold = F.col("fold")
+    in_fold = is_val = None
+    for i, st in enumerate(starts):
+        in_fold = (F.when(fold == i, cut.at_or_before(st + s)) if in_fold is None
+                   else in_fold.when(fold == i, cut.at_or_before(st + s)))
+        is_val = (F.when(fold == i, ~cut.at_or_before(st)) if is_val is None
+                  else is_val.when(fold == i, ~cut.at_or_before(st)))
+    out = df.withColumn("fold", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long"))))
+    return out.filter(in_fold).withColumn("is_val", is_val)
 
 
 def error_cdf(df: DataFrame, value_col: str = "abs_error", id_col: str = "order_id") -> DataFrame:

@@ -8,6 +8,7 @@ time-ordered folds (a plain ``CrossValidator`` would train on future rows).
 
 from __future__ import annotations
 
+import math
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 from ..constants import GBT_DEFAULTS, MAE_TARGET_MINUTES, MODEL_FEATURES, SEARCH_SPACE, TARGET
 from ..operators import features as FE
 from ..operators import metrics as M
-from ..operators.rank import global_rank, time_split
+from ..operators.rank import RankCutoffs, time_split
 
 PRED_COL = "predicted_eta_minutes"
 
@@ -41,15 +42,17 @@ def prepare_data(df: DataFrame, test_size: float = 0.2, target: str = TARGET,
                  validation_fraction: float = 0.1) -> Prepared:
     """Time split -> fit features on train only -> model features -> train-median fill.
 
-    One ranking serves both the train/test split and the early-stopping tail
-    (``is_validation``: the last ``validation_fraction`` of the training rows).
+    One ranking of the (time, id) keys serves both the train/test split and the
+    early-stopping tail (``is_validation``: the last ``validation_fraction`` of
+    the training rows); the rows themselves are filtered, never re-shuffled.
     """
-    r = global_rank(df, ["order_timestamp", "order_id"], "_rn", "_n")
-    split_idx = F.floor(F.col("_n") * (1.0 - float(test_size)))
-    r = r.withColumns({"is_train": F.col("_rn") <= split_idx,
-                       "is_validation": F.col("_rn") > F.floor(split_idx * (1.0 - float(validation_fraction)))})
-    train = r.filter("is_train").drop("is_train", "_rn", "_n")
-    test = r.filter(~F.col("is_train")).drop("is_train", "is_validation", "_rn", "_n")
+    cut = RankCutoffs(df, ["order_timestamp", "order_id"])
+    split_idx = math.floor(cut.n * (1.0 - float(test_size)))
+    val_idx = math.floor(split_idx * (1.0 - float(validation_fraction)))
+    cut.fetch([split_idx, val_idx])
+    in_train = cut.at_or_before(split_idx)
+    train = df.filter(in_train).withColumn("is_validation", ~cut.at_or_before(val_idx))
+    test = df.filter(~in_train)
     fmodel = FE.fit_feature_pipeline(train, ("zone_id", "restaurant_type"), ("zone_id",), False, target)
     xtr, xte = fmodel.transform(train), fmodel.transform(test)
     feats = [f for f in MODEL_FEATURES if f in xtr.columns]
@@ -120,17 +123,18 @@ def fold_metrics(df: DataFrame, features: list[str], params: dict, n_splits: int
                  seed: int = 42) -> DataFrame:
     """MAE/RMSE/R2 per expanding time fold (one distributed fit per fold).
 
-    Rows are ranked once (checkpointed); each fold is a rank-range filter of
-    that table, so the data is never copied per fold.
+    Only the (time, id) keys are ranked; each fold is a comparison against the
+    cutoff keys at its boundary ranks, so the data is never copied per fold.
     """
-    r_all = global_rank(df, ["order_timestamp", "order_id"], "_rn", "_n")
-    n = r_all.agg(F.max("_n")).first()[0] or 0
+    cut = RankCutoffs(df, ["order_timestamp", "order_id"])
+    n = cut.n
     s = n // (n_splits + 1)
+    starts = [n - (n_splits - i) * s for i in range(n_splits)]
+    cut.fetch(starts + [st + s for st in starts])
     rows = []
-    for i in range(n_splits):
-        start = n - (n_splits - i) * s
-        train = r_all.filter(F.col("_rn") <= start).drop("_rn", "_n")
-        val = r_all.filter((F.col("_rn") > start) & (F.col("_rn") <= start + s)).drop("_rn", "_n")
+    for i, start in enumerate(starts):
+        train = df.filter(cut.at_or_before(start))
+        val = df.filter(~cut.at_or_before(start) & cut.at_or_before(start + s))
         m = _gbt(features, params, target, None, seed).fit(train)
         r = M.regression_metrics(predict(m, val), target, PRED_COL, with_percentiles=False).first()
         rows.append((i, float(r["mae"]), float(r["rmse"]), float(r["r2"]) if r["r2"] is not None else None))
