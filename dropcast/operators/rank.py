@@ -145,6 +145,117 @@ def running_sums(
                          *[(F.col(f"_l_{c}") + F.col(f"_b_{c}")).alias(f"{c}{suffix}") for c in sum_cols], *totals)
 
 
+# Exact selection for ungrouped percentiles (no full sort): bucket counts per round
+# and the size of a slice small enough to order directly.
+REFINE_BUCKETS = 4096
+REFINE_FINAL_ROWS = 10_000
+REFINE_MAX_ROUNDS = 12
+
+
+def _kth_values(base: DataFrame, value_col: str, ranks: list[int], lo: float, hi: float) -> dict[int, float]:
+    """Exact k-th smallest non-NULL values (1-based ranks) by histogram refinement.
+
+    Each round is one aggregation of (interval, bucket) counts with min/max per
+    bucket, over the distinct value intervals that still contain a target rank;
+    buckets are contiguous value ranges, so a target's interval shrinks to one
+    bucket's [min, max] and the values below it are counted exactly. A bucket
+    holding a single repeated value resolves at once (hot values); intervals
+    with at most REFINE_FINAL_ROWS values are read together in one job and
+    ordered directly.
+    """
+    v = F.col(value_col)
+    state = {k: (lo, hi, 0) for k in ranks}  # interval [lo, hi] and #values below lo
+    done: dict[int, float] = {}
+
+    def tagged(intervals):
+        """(value, interval index) for every row inside one of the intervals."""
+        entries = [F.when((v >= F.lit(a)) & (v <= F.lit(b)), F.lit(i)) for i, (a, b) in enumerate(intervals)]
+        return base.select(value_col, F.explode(F.array_compact(F.array(*entries))).alias("t"))
+
+    for _ in range(REFINE_MAX_ROUNDS):
+        for k, (a, b, _) in state.items():
+            if k not in done and a == b:
+                done[k] = a
+        open_ = [k for k in state if k not in done]
+        if not open_:
+            break
+        intervals = sorted({state[k][:2] for k in open_})
+        index = {iv: i for i, iv in enumerate(intervals)}
+        width = F.element_at(F.array(*[F.lit(float(b) - float(a)) for a, b in intervals]), F.col("t") + 1)
+        start = F.element_at(F.array(*[F.lit(float(a)) for a, _ in intervals]), F.col("t") + 1)
+        bucket = F.least(F.floor((v - start) / width * REFINE_BUCKETS), F.lit(REFINE_BUCKETS - 1)).cast("long")
+        # at most len(intervals) * REFINE_BUCKETS rows come back
+        hist = tagged(intervals).withColumn("b", bucket).groupBy("t", "b").agg(
+            F.count(F.lit(1)).alias("c"), F.min(value_col).alias("mn"), F.max(value_col).alias("mx")).collect()
+        by_t: dict[int, list] = {}
+        for r in hist:
+            by_t.setdefault(int(r["t"]), []).append((int(r["b"]), int(r["c"]), r["mn"], r["mx"]))
+        for t in by_t:
+            by_t[t].sort()
+        finals = set()
+        for k in open_:
+            a, b, below = state[k]
+            need, acc = k - below, 0
+            for _, c, mn, mx in by_t.get(index[(a, b)], []):
+                if acc + c >= need:
+                    state[k] = (mn, mx, below + acc)
+                    if mn == mx:
+                        done[k] = mn
+                    elif c <= REFINE_FINAL_ROWS:
+                        finals.add(k)
+                    break
+                acc += c
+        if finals:
+            fin_iv = sorted({state[k][:2] for k in finals})
+            rows = tagged(fin_iv).collect()  # at most len(fin_iv) * REFINE_FINAL_ROWS rows
+            vals: dict[int, list] = {}
+            for r in rows:
+                vals.setdefault(int(r["t"]), []).append(r[value_col])
+            for k in finals:
+                a, b, below = state[k]
+                done[k] = sorted(vals[fin_iv.index((a, b))])[k - below - 1]
+    missing = [k for k in ranks if k not in done]
+    if missing:
+        raise RuntimeError(f"percentile refinement did not converge for ranks {missing}")
+    return done
+
+
+def _global_percentiles(df: DataFrame, value_col: str, probs: list[float], names: list[str],
+                        carry: list[str], extra_aggs: dict) -> DataFrame:
+    """Ungrouped exact percentiles plus extra aggregates, without sorting the data."""
+    spark = df.sparkSession
+    keep = [c for c in carry if c != value_col]
+    base = df.select(value_col, *dict.fromkeys(keep)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        v = F.col(value_col)
+        first = base.agg(F.count(v).alias("_n"), F.min(v).alias("_lo"), F.max(v).alias("_hi"),
+                         *[e.alias(n) for n, e in extra_aggs.items()])
+        row = first.first()
+        n = int(row["_n"])
+        values: dict[int, float] = {}
+        if n > 0:
+            ranks = set()
+            for p in probs:
+                h = (n - 1) * float(p) + 1
+                ranks.update({math.floor(h), math.ceil(h)})
+            values = _kth_values(base, value_col, sorted(ranks), row["_lo"], row["_hi"])
+    finally:
+        base.unpersist()
+    pct = []
+    for p in probs:
+        if n == 0:
+            pct.append(None)
+            continue
+        h = (n - 1) * float(p) + 1
+        a, b = values[math.floor(h)], values[math.ceil(h)]
+        pct.append(float(a + (h - math.floor(h)) * (b - a)))
+    from pyspark.sql import types as T
+
+    extra_fields = [f for f in first.schema.fields if f.name in extra_aggs]
+    schema = T.StructType(extra_fields + [T.StructField(nm, T.DoubleType()) for nm in names])
+    return spark.createDataFrame([tuple(row[f.name] for f in extra_fields) + tuple(pct)], schema)
+
+
 def exact_percentiles(
     df: DataFrame,
     value_col: str,
@@ -166,6 +277,9 @@ def exact_percentiles(
     """
     group_cols = list(group_cols)
     names = names or [f"p{int(round(p * 100))}" for p in probs]
+    if not group_cols and not tiebreak:
+        # one global answer: exact selection by refinement, no sort of the data
+        return _global_percentiles(df, value_col, probs, names, list(carry), dict(extra_aggs or {}))
     v = F.col(value_col)
     # NULLs sort last and are not counted, so no filter on a computed value is
     # pushed below the projection that computes it.

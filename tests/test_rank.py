@@ -104,3 +104,22 @@ def test_weighted_percentiles_large_table_path(spark, skewed, monkeypatch):
     df, pdf = skewed
     got = {r.column: r.p50 for r in R.column_percentiles(df, ["v"], [0.5]).collect()}
     assert got["v"] == pytest.approx(np.percentile(pdf["v"].dropna(), 50), rel=1e-12)
+
+
+@pytest.mark.parametrize("kind", ["continuous", "hot_value", "tiny"])
+def test_global_percentiles_by_refinement(spark, kind, monkeypatch):
+    monkeypatch.setattr(R, "REFINE_BUCKETS", 8)       # force several refinement rounds
+    monkeypatch.setattr(R, "REFINE_FINAL_ROWS", 5)
+    rng = np.random.default_rng(11)
+    if kind == "continuous":
+        vals = rng.normal(0, 1, 3000)
+    elif kind == "hot_value":
+        vals = np.concatenate([np.full(1500, 7.25), rng.uniform(0, 100, 1500)])
+    else:
+        vals = np.array([3.0, 1.0, 2.0])
+    df = spark.createDataFrame([(float(x),) for x in vals] + [(None,)], "v double")
+    probs = [0.0, 0.25, 0.5, 0.9, 0.99, 1.0]
+    r = R.exact_percentiles(df, "v", probs, names=[f"q{i}" for i in range(len(probs))],
+                            extra_aggs={"n": F.count("v"), "m": F.avg("v")}).first()
+    assert r.n == len(vals) and r.m == pytest.approx(vals.mean())
+    assert [r[f"q{i}"] for i in range(len(probs))] == pytest.approx(list(np.percentile(vals, [p * 100 for p in probs])), rel=1e-12)
