@@ -439,11 +439,28 @@ def time_series_folds(df: DataFrame, n_splits: int = 5, time_col: str = "order_t
     return out.filter(in_fold).withColumn("is_val", is_val)
 
 
-def error_cdf(df: DataFrame, value_col: str = "abs_error", id_col: str = "order_id") -> DataFrame:
-    """Cumulative % of rows with value <= v, one row per distinct value (equal values share a step)."""
-    r = ranked(df, [F.col(value_col).asc_nulls_last(), id_col], (), "_rn", "_n", count_col=value_col)
-    r = r.filter(F.col(value_col).isNotNull())
-    return r.groupBy(value_col).agg((F.max("_rn") / F.max("_n") * 100.0).alias("cdf_pct"))
+def error_cdf(df: DataFrame, value_col: str = "abs_error", id_col: str | None = None) -> DataFrame:
+    """Cumulative % of rows with value <= v, one row per distinct value (equal values share a step).
+
+    Counts per distinct value first (map-side combined; checkpointed before the
+    NULL filter so no predicate on a computed value is pushed into the scan),
+    then running counts: a plain window when the count table is proven small,
+    the range-partitioned running sums otherwise. ``id_col`` is accepted for
+    compatibility and not needed.
+    """
+    obs = Observation("cdf_counts")
+    counts = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_c"))
+    ck = counts.observe(obs, F.count(F.lit(1)).alias("rows"),
+                        F.sum(F.when(F.col(value_col).isNotNull(), F.col("_c"))).alias("n")).checkpoint(eager=True)
+    rows, n = int(obs.get["rows"]), int(obs.get["n"] or 0)
+    vc = ck.filter(F.col(value_col).isNotNull())
+    if rows <= SMALL_COUNT_TABLE_ROWS:
+        cum = F.sum("_c").over(Window.partitionBy(F.lit(0)).orderBy(value_col)
+                               .rowsBetween(Window.unboundedPreceding, 0))
+        c = vc.withColumn("_c_cum", cum)
+    else:
+        c = running_sums(vc, [value_col], ["_c"], suffix="_cum")
+    return c.select(value_col, (F.col("_c_cum") / F.lit(float(n)) * 100.0).alias("cdf_pct"))
 
 
 def percentile_names(ps: list[int]) -> list[str]:

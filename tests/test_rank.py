@@ -123,3 +123,11 @@ def test_global_percentiles_by_refinement(spark, kind, monkeypatch):
                             extra_aggs={"n": F.count("v"), "m": F.avg("v")}).first()
     assert r.n == len(vals) and r.m == pytest.approx(vals.mean())
     assert [r[f"q{i}"] for i in range(len(probs))] == pytest.approx(list(np.percentile(vals, [p * 100 for p in probs])), rel=1e-12)
+
+
+def test_error_cdf_large_table_path(spark, monkeypatch):
+    monkeypatch.setattr(R, "SMALL_COUNT_TABLE_ROWS", 0)
+    df = spark.createDataFrame([(str(i), None if v is None else float(v)) for i, v in enumerate([1, 2, 2, 3, None])],
+                               "order_id string, abs_error double")
+    out = {r.abs_error: r.cdf_pct for r in R.error_cdf(df).collect()}
+    assert out == {1.0: 25.0, 2.0: 75.0, 3.0: 100.0}
