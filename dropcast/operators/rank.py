@@ -1,13 +1,20 @@
-"""Skew-safe ordering operators: ranks, exact percentiles, time split, folds, CDF.
-
-An unpartitioned ``Window.orderBy`` plans ``Exchange SinglePartition`` and a
-``Window.partitionBy(group)`` puts a hot group into one task. Instead rows are
-range-partitioned on (group, order keys) - a hot group is spread over many
-partitions - sorted inside each partition and checkpointed to the shared
-checkpoint folder (so partition ids and row positions are fixed). A small
-per-(partition, group) table gives each segment's offset; the rank is the
-offset plus the position inside the partition. Exact percentiles then pick
-the rows at the interpolation positions. No step holds a whole group.
+"""Skew-safe ordering operators: ranks, exact percentiles, running sums, splits, folds, CDF.
+
+Three exact paths, none of which sends a data row to a single task:
+
+* Grouped ranks and percentiles: rows are range-partitioned on (group, order
+  keys) - a hot group spans many partitions - sorted inside each partition and
+  checkpointed to the shared checkpoint folder (fixing partition ids and
+  positions). A small per-(partition, group) table gives each segment's offset;
+  the rank is that offset plus the position inside the partition.
+* Global (ungrouped) percentiles: exact selection by histogram refinement -
+  a few map-side-combined aggregations of bucket counts, no sort at all.
+* Value-count tables (multi-column medians, CDF): counts per distinct value
+  first; a table proven small is ordered with a plain window, a large one
+  through the range-partitioned running sums.
+
+Splits and folds rank only the (time, id) keys and filter the original rows
+against the keys found at the boundary ranks.
 """
 
 from __future__ import annotations
