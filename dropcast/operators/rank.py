@@ -240,6 +240,9 @@ def _global_percentiles(df: DataFrame, value_col: str, probs: list[float], names
         row = first.first()
         n = int(row["_n"])
         values: dict[int, float] = {}
+        finite = n == 0 or all(isinstance(x, (int, float)) and math.isfinite(float(x)) for x in (row["_lo"], row["_hi"]))
+        if not finite:  # infinities or NaN: bucket widths are undefined, rank instead
+            return None
         if n > 0:
             ranks = set()
             for p in probs:
@@ -286,7 +289,9 @@ def exact_percentiles(
     names = names or [f"p{int(round(p * 100))}" for p in probs]
     if not group_cols and not tiebreak:
         # one global answer: exact selection by refinement, no sort of the data
-        return _global_percentiles(df, value_col, probs, names, list(carry), dict(extra_aggs or {}))
+        out = _global_percentiles(df, value_col, probs, names, list(carry), dict(extra_aggs or {}))
+        if out is not None:
+            return out
     v = F.col(value_col)
     # NULLs sort last and are not counted, so no filter on a computed value is
     # pushed below the projection that computes it.

@@ -131,3 +131,9 @@ def test_error_cdf_large_table_path(spark, monkeypatch):
                                "order_id string, abs_error double")
     out = {r.abs_error: r.cdf_pct for r in R.error_cdf(df).collect()}
     assert out == {1.0: 25.0, 2.0: 75.0, 3.0: 100.0}
+
+
+def test_global_percentiles_with_infinity_fall_back(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),)], "v double")
+    r = R.exact_percentiles(df, "v", [0.0, 0.5], names=["a", "b"]).first()
+    assert (r.a, r.b) == (1.0, 2.0)
