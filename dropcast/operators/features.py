@@ -426,7 +426,9 @@ def lag_window_features(df: DataFrame, key: str, col: str, lags: list[int], wind
                         bucket_rows: int = 1 << 20, order_cols: tuple = (TIME_COL, ID_COL)) -> DataFrame:
     """Lags and prior-window mean per ``key``, bounded per task even for a hot key.
 
-    Rows get their rank inside the key (skew-safe ranking), are cut into
+    When the largest key holds at most ``bucket_rows`` rows (checked with one
+    map-side-combined count), a plain window per key is used. Otherwise rows get
+    their rank inside the key (skew-safe ranking), are cut into
     buckets of ``bucket_rows`` consecutive rows, and each bucket also receives
     the last ``max(lags, window)`` rows of the previous bucket as context. The
     window then runs per (key, bucket), so no task holds more than
@@ -434,6 +436,19 @@ def lag_window_features(df: DataFrame, key: str, col: str, lags: list[int], wind
     """
     order = [c for c in order_cols if c in df.columns]
     reach = max(max(lags), window)
+    valid = F.col(key).isNotNull()
+
+    def lag_cols(w):
+        cols = {f"{key}_{col}_lag_{k}": F.coalesce(F.when(valid, F.lag(col, k).over(w)), F.lit(fill)) for k in lags}
+        cols[f"{key}_{col}_rolling_mean"] = F.coalesce(
+            F.when(valid, F.avg(col).over(w.rowsBetween(-window, -1))), F.lit(fill))
+        return cols
+
+    # Proven bound first: if no key holds more than bucket_rows rows, a plain
+    # window per key is bounded and needs no ranking or full-width checkpoint.
+    largest = df.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c")).first()[0] or 0
+    if largest <= bucket_rows:
+        return df.withColumns(lag_cols(Window.partitionBy(key).orderBy(*order)))
     r = ranked(df, order, [key], rank_col="_lr", size_col=None)
     b = F.floor((F.col("_lr") - 1) / bucket_rows)
     r = r.withColumns({"_b": b, "_ctx": F.lit(False)})
@@ -441,11 +456,7 @@ def lag_window_features(df: DataFrame, key: str, col: str, lags: list[int], wind
         {"_b": F.col("_b") + 1, "_ctx": F.lit(True)})
     u = r.unionByName(ctx)
     w = Window.partitionBy(key, "_b").orderBy("_lr")
-    valid = F.col(key).isNotNull()
-    cols = {f"{key}_{col}_lag_{k}": F.coalesce(F.when(valid, F.lag(col, k).over(w)), F.lit(fill)) for k in lags}
-    cols[f"{key}_{col}_rolling_mean"] = F.coalesce(
-        F.when(valid, F.avg(col).over(w.rowsBetween(-window, -1))), F.lit(fill))
-    return u.withColumns(cols).filter(~F.col("_ctx")).drop("_lr", "_b", "_ctx")
+    return u.withColumns(lag_cols(w)).filter(~F.col("_ctx")).drop("_lr", "_b", "_ctx")
 
 
 # ---- median imputer --------------------------------------------------------------------------
