@@ -15,7 +15,8 @@ from oracle_check import compare, duck  # noqa: E402
 
 FAST = ["geodesic_km", "bearing_deg", "temporal_parts", "component_eta", "regression_metrics", "segment_metrics",
         "time_series_folds", "clean_orders", "feature_pipeline", "lag_features", "dataset_drift", "request_validity",
-        "stream_score_orders", "prediction_histograms", "join_group_stats"]
+        "stream_score_orders", "prediction_histograms", "join_group_stats", "error_cdf", "time_split",
+        "error_percentiles", "stream_feedback_join"]
 NAMES = sorted(E.oracle_sql()) if os.environ.get("DROPCAST_FULL_ORACLE") else FAST
 
 
