@@ -565,11 +565,9 @@ def q_concat(spark, sf):
 
 @query("tagged_union")
 def q_tagged(spark, sf):
-    d = _d(spark, sf).select("order_id", "actual_eta_minutes")
-    dd = _d(spark, sf)
-    ref = _train(dd).select("order_id", "actual_eta_minutes").withColumn("w", F.lit("reference"))
-    cur = _test(dd).select("order_id", "actual_eta_minutes").withColumn("w", F.lit("current"))
-    del d
+    d = _d(spark, sf)
+    ref = _train(d).select("order_id", "actual_eta_minutes").withColumn("w", F.lit("reference"))
+    cur = _test(d).select("order_id", "actual_eta_minutes").withColumn("w", F.lit("current"))
     return rounded(ref.unionByName(cur))
 
 
