@@ -98,7 +98,10 @@ def ranked(
     # seg has at most (#groups + #partitions) rows: with no groups the bound is
     # the partition count; otherwise it is counted before broadcasting.
     if group_cols:
-        n_seg = seg.count()
+        # materialise the segment table once (its size observed while writing)
+        obs = Observation("segment_rows")
+        seg = seg.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+        n_seg = int(obs.get["n"])
         seg_side = F.broadcast(seg) if broadcast_ok(n_seg, seg.schema, max_broadcast_rows) else seg
     else:
         seg_side = F.broadcast(seg)
