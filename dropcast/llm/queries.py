@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, licenses, mixing, sharding, token_counts
+from . import byte_bpe, embedding_dedup, licenses, minhash_dedup, mixing, sharding, token_counts
 from .common import ship_package, table
 
 
@@ -30,6 +30,14 @@ def lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -45,6 +53,8 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op5_pfair_mix": source_mix,
     "op7_piece_token_counts": piece_token_counts,
     "op8_lpt_shards": lpt_shards,
+    "op9_embedding_near_dedup": embedding_near_dedup,
+    "op10_minhash_near_dedup": minhash_near_dedup,
 }.items()}
 
 SQL: dict[str, str] = {}
