@@ -9,11 +9,12 @@ a shingle stop once they come later than the document's latest register.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Words, connected_components, cut, mix64, text_slices
@@ -21,6 +22,8 @@ from .common import Words, connected_components, cut, mix64, text_slices
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
+#: Four bits of every register, in longs: pairs are compared in the JVM before their texts are fetched.
+SKETCH = [f"s{k}" for k in range(BANDS * ROWS * 4 // 64 + 1)]
 
 
 def _salt(n: int) -> np.uint64:
@@ -93,8 +96,10 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 
 
 def profile(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, key1, key2, bands): a 128-bit hash of the text's sequence of words and its band keys; null for wordless texts."""
-    schema = f"id {docs.schema[id_col].dataType.simpleString()}, key1 long, key2 long, bands array<long>"
+    """(id, key1, key2, bands, sketch columns): a 128-bit hash of the text's sequence of words, its band keys and four
+    bits of each register; keys and bands are null or empty for wordless texts."""
+    longs = ", ".join(f"{c} long" for c in SKETCH)
+    schema = f"id {docs.schema[id_col].dataType.simpleString()}, key1 long, key2 long, bands array<long>, {longs}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,7 +112,11 @@ def profile(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 for k in range(2):
                     if len(some):
                         keys[k, some] = np.add.reduceat(mix64(words.hashes + mix64((nth + 1).astype(np.uint64) * _salt(1) + np.uint64(k))), words.first[:-1][some])
-                sig = signatures(*bags(owner, h), n, BANDS * ROWS).reshape(n, BANDS, ROWS)
+                sig = signatures(*bags(owner, h), n, BANDS * ROWS)
+                nibbles = np.zeros((n, len(SKETCH) * 16), np.uint8)
+                nibbles[:, :BANDS * ROWS] = mix64(sig) & np.uint64(15)
+                sketch = (nibbles[:, ::2] | nibbles[:, 1::2] << 4).view(np.int64)
+                sig = sig.reshape(n, BANDS, ROWS)
                 bands = np.zeros((n, BANDS), np.uint64)
                 for j in range(ROWS):
                     bands = mix64(bands + sig[:, :, j] + _salt(j + 1))
@@ -116,11 +125,24 @@ def profile(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 offsets = np.concatenate([[0], np.cumsum(np.where(none, 0, BANDS))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands[~none].reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, n), *(pa.array(k.view(np.int64), mask=none) for k in keys), lists], names=["id", "key1", "key2", "bands"])
+                    [batch.column(0).slice(lo, n), *(pa.array(k.view(np.int64), mask=none) for k in keys), lists,
+                     *(pa.array(np.ascontiguousarray(sketch[:, k])) for k in range(len(SKETCH)))],
+                    names=["id", "key1", "key2", "bands", *SKETCH])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col)).mapInArrow(run, schema)
 
 
+def alike(threshold: float) -> Column:
+    """Whether the sketches a_* and b_* may belong to a pair at ``threshold``: a register that differs changes two of its
+    four bits on average, and the bound is five standard deviations above the mean at the threshold (a pair at the
+    threshold fails it with a probability below 1e-6)."""
+    n = BANDS * ROWS
+    differ = n * (1 - threshold)
+    most = 2 * differ + 5 * (4 * differ * threshold + differ) ** 0.5
+    bits = [F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in SKETCH]
+    return reduce(lambda x, y: x + y, bits) <= most
+
+
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The (a, b) of ``pairs`` whose texts have a probability Jaccard similarity of ``threshold`` or more."""
     both = (pairs.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
@@ -147,7 +169,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, class_id, kept) of every row: class_id is the smallest id reachable over links, kept marks one row a class.
 
     A link joins texts with the same sequence of words, and pairs that share a band and have an exact probability
-    Jaccard similarity of at least ``threshold``. (A pair at 0.8 shares no band with probability 5e-5.) Texts without
+    Jaccard similarity of at least ``threshold``. (A pair at 0.8 shares no band with probability 5e-5;
+    candidates whose signatures differ too much for the threshold are not fetched, see ``alike``.) Texts without
     any word (null, empty, punctuation only) and rows without id are their own class and kept. Rows that repeat an id
     come back as often and share the verdict of the id (of an id's different texts the smallest is verified). Other columns are ignored.
 
@@ -158,11 +181,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = cut(profile(docs, id_col, text_col), "near-profile")
     words = rows.where("key1 is not null and id is not null")
-    classes = cut(words.groupBy("key1", "key2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "near-classes")
+    classes = cut(words.groupBy("key1", "key2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), *(F.first(c).alias(c) for c in SKETCH)), "near-classes")
     posted = classes.select("rep", F.posexplode("bands").alias("band", "bucket"))
     buckets = cut(posted.groupBy("band", "bucket").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n"), "near-buckets")
     members = cut(posted.join(buckets, ["band", "bucket"]), "near-members")
-    pairs = cut(members.where("rep != lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "near-pairs")
+    sketch_a, sketch_b = (classes.select(F.col("rep").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in SKETCH)) for x in "ab")
+    pairs = members.where("rep != lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
+    pairs = cut(pairs.join(sketch_b, "b").join(sketch_a, "a").where(alike(threshold)).select("a", "b"), "near-pairs")
 
     in_pairs = members.select("rep").distinct()
     texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).where("rep is not null and text is not null")
@@ -175,9 +200,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = cut(placed, "near-placed")
     split = placed.groupBy("band", "bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p != q").select("band", "bucket")
     open_ = cut(placed.join(cut(split, "near-split"), ["band", "bucket"]), "near-open")
-    left = open_.select("band", "bucket", F.col("rep").alias("a"), F.col("part").alias("pa"), "lead")
-    right = open_.select("band", "bucket", F.col("rep").alias("b"), F.col("part").alias("pb"))
-    more = left.join(right, ["band", "bucket"]).where("a < b and pa != pb and a != lead").select("a", "b").distinct()
+    left = cut(open_.withColumnRenamed("rep", "a").join(sketch_a, "a").withColumnRenamed("part", "pa"), "near-left")
+    right = cut(open_.withColumnRenamed("rep", "b").join(sketch_b, "b").withColumnRenamed("part", "pb").drop("lead"), "near-right")
+    more = left.join(right, (left["band"] == right["band"]) & (left["bucket"] == right["bucket"]) & (F.col("a") < F.col("b"))
+                     & (F.col("pa") != F.col("pb")) & (F.col("a") != F.col("lead")) & alike(threshold)).select("a", "b").distinct()
     more = cut(verified(cut(more.join(pairs, ["a", "b"], "left_anti"), "near-more"), texts, threshold), "near-links")
     parts = connected_components(links.union(more)).select(F.col("vertex").alias("rep"), "root")
 
