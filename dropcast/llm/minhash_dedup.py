@@ -22,6 +22,9 @@ from .common import Words, connected_components, cut, mix64, text_slices
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
+BLOCK = 64
+#: Further leaders are tried as long as this share of the compared pairs are links.
+LEAST_GAIN = 0.1
 #: Four bits of every register, in longs: pairs are compared in the JVM before their texts are fetched.
 SKETCH = [f"s{k}" for k in range(BANDS * ROWS * 4 // 64 + 1)]
 
@@ -132,15 +135,17 @@ def profile(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.col(text_col)).mapInArrow(run, schema)
 
 
+def most_bits(threshold: float) -> float:
+    differ = BANDS * ROWS * (1 - threshold)
+    return 2 * differ + 5 * (4 * differ * threshold + differ) ** 0.5
+
+
 def alike(threshold: float) -> Column:
     """Whether the sketches a_* and b_* may belong to a pair at ``threshold``: a register that differs changes two of its
     four bits on average, and the bound is five standard deviations above the mean at the threshold (a pair at the
     threshold fails it with a probability below 1e-6)."""
-    n = BANDS * ROWS
-    differ = n * (1 - threshold)
-    most = 2 * differ + 5 * (4 * differ * threshold + differ) ** 0.5
     bits = [F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in SKETCH]
-    return reduce(lambda x, y: x + y, bits) <= most
+    return reduce(lambda x, y: x + y, bits) <= most_bits(threshold)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -165,6 +170,54 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInPandas(check, "a long, b long")
 
 
+def compared_in_blocks(members: DataFrame, classes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between different components of members (band, bucket, rep, part) that share buckets, enough of
+    them to join all components that any link joins.
+
+    Members that are connected over buckets form a group, dealt into blocks of ``BLOCK``; every pair of blocks is a
+    task that compares its two blocks. Tasks return the links that join components, never pairs.
+    """
+    stars = members.join(cut(members.groupBy("band", "bucket").agg(F.min("rep").alias("a")), "near-stars"), ["band", "bucket"])
+    groups = connected_components(stars.select("a", F.col("rep").alias("b")).where("a != b").distinct()).select(F.col("vertex").alias("rep"), F.col("root").alias("grp"))
+    sizes = groups.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
+    small = max(1, groups.count() // (4 * BLOCK))  # tasks for the groups of one block
+    one = F.col("n_blocks") == 1
+    dealt = (groups.join(cut(sizes, "near-sizes"), "grp").withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int"))
+             .join(members.select("rep", "part").distinct(), "rep").join(classes.select("rep", *SKETCH).dropDuplicates(["rep"]), "rep").join(texts, "rep")
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+             .withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other"))
+             .withColumn("task", F.when(one, F.pmod(F.xxhash64("grp"), F.lit(small))).otherwise(F.xxhash64("grp", "lo", "hi"))))
+
+    def compare(key: tuple, some: pd.DataFrame) -> pd.DataFrame:
+        _, lo, hi = key
+        some = some.sort_values("rep", ignore_index=True)
+        owner, h, w = bags(*shingles(Words(list(some["text"]))))
+        at = np.searchsorted(owner, np.arange(len(some) + 1))
+        sketch, parts = some[SKETCH].to_numpy().view(np.uint64), some["part"].to_numpy()
+        found = []
+        for _, rows in some.groupby("grp").indices.items():
+            left = rows[some["mine"].to_numpy()[rows] == lo]
+            right = rows[some["mine"].to_numpy()[rows] == hi]
+            bits = np.bitwise_count(sketch[left][:, None, :] ^ sketch[right][None, :, :]).sum(axis=2)
+            a, b = np.nonzero((bits <= most_bits(threshold)) & (parts[left][:, None] != parts[right][None, :]))
+            order = np.argsort(bits[a, b], kind="stable")
+            up: dict[int, int] = {}
+
+            def top(x: int) -> int:
+                while x in up:
+                    x = up[x]
+                return x
+
+            for i, j in zip(left[a[order]].tolist(), right[b[order]].tolist()):
+                p, q = top(int(parts[i])), top(int(parts[j]))
+                if p != q and probability_jaccard((h[at[i]:at[i + 1]], w[at[i]:at[i + 1]]), (h[at[j]:at[j + 1]], w[at[j]:at[j + 1]])) >= threshold - 1e-12:
+                    up[max(p, q)] = min(p, q)
+                    found.append((some["rep"][i], some["rep"][j]))
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return dealt.groupBy("task", "lo", "hi").applyInPandas(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(id, class_id, kept) of every row: class_id is the smallest id reachable over links, kept marks one row a class.
 
@@ -175,37 +228,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     come back as often and share the verdict of the id (of an id's different texts the smallest is verified). Other columns are ignored.
 
     Equal texts are one representative from the first grouping on. In a band's bucket, every representative is
-    compared with the smallest one; only members that this leaves in different components are compared with each
-    other. So a group of copies costs about its size, not its square, and no candidate pair is left out: each was
+    compared with a leader, and in further turns with other leaders as long as this finds many links; members that
+    are then left in different components are compared with each other in blocks (``compared_in_blocks``). So a group of copies costs about its size, not its square, and no candidate pair is left out: each was
     either verified or already inside one component.
     """
     rows = cut(profile(docs, id_col, text_col), "near-profile")
     words = rows.where("key1 is not null and id is not null")
     classes = cut(words.groupBy("key1", "key2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), *(F.first(c).alias(c) for c in SKETCH)), "near-classes")
     posted = classes.select("rep", F.posexplode("bands").alias("band", "bucket"))
-    buckets = cut(posted.groupBy("band", "bucket").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n"), "near-buckets")
-    members = cut(posted.join(buckets, ["band", "bucket"]), "near-members")
+    buckets = cut(posted.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "near-buckets")
+    members = cut(posted.join(buckets, ["band", "bucket"]).withColumn("part", F.col("rep")), "near-members")
     sketch_a, sketch_b = (classes.select(F.col("rep").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in SKETCH)) for x in "ab")
-    pairs = members.where("rep != lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
-    pairs = cut(pairs.join(sketch_b, "b").join(sketch_a, "a").where(alike(threshold)).select("a", "b"), "near-pairs")
-
-    in_pairs = members.select("rep").distinct()
     texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).where("rep is not null and text is not null")
-    texts = cut(texts.join(in_pairs, "rep", "left_semi").groupBy("rep").agg(F.min("text").alias("text")), "near-texts")
-    links = cut(verified(pairs, texts, threshold), "near-links")
-
-    # members of a bucket that the leaders leave in different components
-    parts = connected_components(links).select(F.col("vertex").alias("rep"), "root")
-    placed = members.join(parts, "rep", "left").select("band", "bucket", "lead", "rep", F.coalesce("root", "rep").alias("part"))
-    placed = cut(placed, "near-placed")
-    split = placed.groupBy("band", "bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p != q").select("band", "bucket")
-    open_ = cut(placed.join(cut(split, "near-split"), ["band", "bucket"]), "near-open")
-    left = cut(open_.withColumnRenamed("rep", "a").join(sketch_a, "a").withColumnRenamed("part", "pa"), "near-left")
-    right = cut(open_.withColumnRenamed("rep", "b").join(sketch_b, "b").withColumnRenamed("part", "pb").drop("lead"), "near-right")
-    more = left.join(right, (left["band"] == right["band"]) & (left["bucket"] == right["bucket"]) & (F.col("a") < F.col("b"))
-                     & (F.col("pa") != F.col("pb")) & (F.col("a") != F.col("lead")) & alike(threshold)).select("a", "b").distinct()
-    more = cut(verified(cut(more.join(pairs, ["a", "b"], "left_anti"), "near-more"), texts, threshold), "near-links")
-    parts = connected_components(links.union(more)).select(F.col("vertex").alias("rep"), "root")
+    texts = cut(texts.join(members.select("rep").distinct(), "rep", "left_semi").groupBy("rep").agg(F.min("text").alias("text")), "near-texts")
+
+    def still_open(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Components of the links, and the members of the buckets that they leave in several components."""
+        parts = connected_components(links).select(F.col("vertex").alias("rep"), "root")
+        placed = cut(members.drop("part").join(parts, "rep", "left").select("band", "bucket", "rep", F.coalesce("root", "rep").alias("part")), "near-placed")
+        split = placed.groupBy("band", "bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p != q").select("band", "bucket")
+        return parts, cut(placed.join(cut(split, "near-split"), ["band", "bucket"]), "near-open")
+
+    links, turn = None, 0
+    while True:
+        # every bucket has one leader, another one in each turn, that its other components are compared with
+        leads = members.groupBy("band", "bucket").agg(F.min_by(F.struct("rep", "part"), F.xxhash64("rep", F.lit(turn))).alias("lead"))
+        leads = cut(leads.select("band", "bucket", F.col("lead.rep").alias("lead"), F.col("lead.part").alias("lead_part")), "near-leads")
+        pairs = members.join(leads, ["band", "bucket"]).where("part != lead_part").select(
+            F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")).distinct()
+        pairs = cut(pairs.join(sketch_b, "b").join(sketch_a, "a").where(alike(threshold)).select("a", "b"), "near-pairs")
+        new = cut(verified(pairs, texts, threshold), "near-links")
+        links = new if links is None else links.union(new)
+        parts, members = still_open(members, links)
+        turn += 1
+        if new.count() < LEAST_GAIN * pairs.count() or members.isEmpty():
+            break
+    rest = cut(compared_in_blocks(members, classes, texts, threshold), "near-rest")
+    if not rest.isEmpty():
+        parts = connected_components(links.union(rest)).select(F.col("vertex").alias("rep"), "root")
 
     own = classes.join(parts, "rep", "left").select("key1", "key2", F.coalesce("root", "rep").alias("class_id"))
     of_rows = words.select("id", "key1", "key2").join(cut(own, "near-own"), ["key1", "key2"])
