@@ -111,15 +111,23 @@ _IS_WORD = np.zeros(256, bool)
 _IS_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
+def _lower(text: str) -> bytes:
+    """Lower case with the same number of UTF-8 bytes (characters that would change theirs stay)."""
+    out = text.lower().encode()
+    if len(out) != len(text.encode()):
+        out = "".join(c.lower() if len(c.lower().encode()) == len(c.encode()) else c for c in text).encode()
+    return out
+
+
 class Words:
     """Words of a batch of texts, lower-cased: maximal runs of ASCII letters, digits and non-ASCII characters.
 
     ``hashes``: 64-bit hash of each word; ``first``: index of each text's first word (one more entry at
-    the end); ``start``/``end``: byte range of each word in ``data``, the lower-cased texts one after the other.
+    the end); ``start``/``end``: byte range of each word in ``data``, the lower-cased texts one after the other, text k from ``begin[k]``.
     """
 
     def __init__(self, texts: list[str | None]):
-        parts = [(t or "").lower().encode() for t in texts]
+        parts = [_lower(t or "") for t in texts]
         lengths = np.array([len(p) + 1 for p in parts], np.int64)
         self.begin = np.concatenate([[0], np.cumsum(lengths)])
         self.data = b"\n".join(parts) + b"\n" if parts else b""
@@ -141,6 +149,16 @@ class Words:
             self.hashes = np.zeros(0, np.uint64)
 
 
+    def prefixes(self, size: int = 5, least: int = 7) -> np.ndarray:
+        """64-bit hash of the first ``size`` bytes of each word of at least ``least`` bytes, 0 for shorter ones."""
+        buf = np.frombuffer(self.data, np.uint8)
+        out = np.zeros(len(self.start), np.uint64)
+        some = np.flatnonzero(self.end - self.start >= least)
+        for j in range(size):
+            out[some] = mix64(out[some] + BYTE_CODES[buf[self.start[some] + j]])
+        return out
+
+
 def text_slices(column, max_bytes: int = 4 << 20):
     """Consecutive index ranges of an Arrow string column with about ``max_bytes`` of text each
     (a single longer text is a range of its own)."""

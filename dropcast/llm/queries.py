@@ -4,11 +4,27 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, embedding_dedup, licenses, minhash_dedup, mixing, sharding, token_counts
+from . import ann, byte_bpe, embedding_dedup, licenses, minhash_dedup, mixing, sharding, suffix_dedup, token_counts, toxicity
 from .common import ship_package, table
 
 
+def permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def suffix_dedup_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return kept.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def byte_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"),
                                public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -48,9 +64,12 @@ def _shipped(query):
 
 
 QUERIES = {name: _shipped(query) for name, query in {
+    "op1_permutation_search": permutation_search,
+    "op2_suffix_dedup": suffix_dedup_spans,
     "op3_byte_bpe_codec": byte_bpe_codec,
     "op4_license_scan": license_scan,
     "op5_pfair_mix": source_mix,
+    "op6_crf_toxicity": crf_toxicity,
     "op7_piece_token_counts": piece_token_counts,
     "op8_lpt_shards": lpt_shards,
     "op9_embedding_near_dedup": embedding_near_dedup,
