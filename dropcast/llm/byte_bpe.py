@@ -150,3 +150,14 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
     kinds = (("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType()))
     return _per_text(docs, id_col, text_col, [T.StructField(n, k, False) for n, k in kinds], rows)
+
+
+def coded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, ids array<int>, n_tokens, exact): encoding, and whether decoding the ids gives the text's bytes again."""
+    def rows(texts):
+        bpe, texts = tokenizer(path, pattern), [t or "" for t in texts]
+        return [(ids, len(ids), bpe.decode(ids) == t.encode()) for t, ids in zip(texts, bpe.encode(texts))]
+
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType(), False), False), T.StructField("n_tokens", T.LongType(), False),
+              T.StructField("exact", T.BooleanType(), False)]
+    return _per_text(docs, id_col, text_col, fields, rows)

@@ -196,11 +196,13 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_i
     return train([r["text"] for r in rows], [r["hi"] == 1 for r in rows])
 
 
-def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score, spans array<struct<start, end, p>>) of every row: the largest marginal of its tokens, and the
+def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, carried columns, score, spans array<struct<start, end, p>>) of every row: the largest marginal of its tokens, and the
     offending spans as byte offsets in the UTF-8 text with their largest marginal. Texts without words (null, empty)
     score 0. Repeated rows come back as often; other columns are ignored. No shuffle; whole texts of any length."""
-    schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, score double, spans array<struct<start: long, end: long, p: double>>"
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"c{k}") for k, c in enumerate(carry)))
+    head = ["id", *(f"c{k}" for k in range(len(carry)))]
+    schema = ", ".join([*(f"{c} {rows.schema[c].dataType.simpleString()}" for c in head), "score double, spans array<struct<start: long, end: long, p: double>>"])
     shared = docs.sparkSession.sparkContext.broadcast(chain)  # a fixed number of weights
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
 
@@ -224,9 +226,10 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
                         k, run_ = text[i], hot[i:j]
                         begin = words.begin[k]
                         spans[k].append({"start": int(words.start[run_[0]] - begin), "end": int(words.end[run_[-1]] - begin), "p": float(p[run_].max())})
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), pa.array(best), pa.array(spans, span)], names=[id_col, "score", "spans"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, n) for c in head), pa.array(best), pa.array(spans, span)], names=[*head, "score", "spans"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    out = rows.mapInArrow(run, schema)
+    return out.select(F.col("id").alias(id_col), *(F.col(f"c{k}").alias(c) for k, c in enumerate(carry)), "score", "spans")
 
 
 def held_out(id_column: Column) -> Column:
