@@ -30,6 +30,7 @@ from .common import BYTE_CODES, cut, mix64
 LENGTH, SEED = 200, 32
 PIECE = 900_000
 MANY_CONTEXTS = 64
+STEP = 16
 TASK_CONTEXTS = 1024
 _BITS = np.uint64(20)
 _BASE = 0x9E3779B97F4A7C15
@@ -121,7 +122,7 @@ def seeds(docs: DataFrame, length: int, seed: int) -> DataFrame:
                 yield flush()
 
     to_arrow_type(kind)  # fails early for ids that Arrow can't carry
-    return docs.select("id", "th", "text").mapInArrow(run, f"seed long, context long, id {kind.simpleString()}, th long, lo long, n short")
+    return docs.select("id", "th", "text").mapInArrow(run, f"seed long, context long, id {kind.simpleString()}, th int, lo long, n short")
 
 
 def _contexts(docs: DataFrame, picked: DataFrame, length: int) -> DataFrame:
@@ -132,15 +133,23 @@ def _contexts(docs: DataFrame, picked: DataFrame, length: int) -> DataFrame:
     joined = docs.select("id", "th", "text").join(lists, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
     kind = docs.schema["id"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, th, text, found in zip(batch["id"], batch["th"], batch["text"], batch["runs"]):
-                data = text.encode()
-                yield pd.DataFrame([(r["seed"], r["many"], r["alone"], i, th, r["lo"], r["n"], data[r["lo"]:r["lo"] + r["n"] - 1 + length]) for r in found],
-                                   columns=["seed", "many", "alone", "id", "th", "lo", "n", "data"])
-
-    return joined.select("id", "th", "text", "runs").mapInPandas(
-        run, f"seed long, many boolean, alone boolean, id {kind}, th long, lo long, n int, data binary")
+            found = batch.column(3)
+            sizes = np.diff(np.asarray(found.offsets))
+            row = pa.array(np.repeat(np.arange(len(found)), sizes))
+            flat = found.flatten().flatten()  # seed, many, alone, lo, n
+            lo, end = np.asarray(flat[3]), np.asarray(flat[3]) + np.asarray(flat[4]) - 1 + length
+            data, k = [], 0
+            for text, size in zip(batch.column(2), sizes.tolist()):
+                whole = text.as_py().encode()
+                data += [whole[i:j] for i, j in zip(lo[k:k + size].tolist(), end[k:k + size].tolist())]
+                k += size
+            yield pa.RecordBatch.from_arrays([*flat[:3], batch.column(0).take(row), batch.column(1).take(row), flat[3], flat[4], pa.array(data, pa.binary())],
+                                             names=["seed", "many", "alone", "id", "th", "lo", "n", "data"])
+
+    return joined.select("id", "th", "text", "runs").mapInArrow(
+        run, f"seed long, many boolean, alone boolean, id {kind}, th int, lo long, n int, data binary")
 
 
 def _positions(some: pd.DataFrame, length: int) -> tuple[np.ndarray, np.ndarray, Names]:
@@ -215,29 +224,65 @@ def repeated(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFra
 
     few = data.where("not many")
     tasks = max(1, few.count() // TASK_CONTEXTS)
-    result = f"id {kind}, th long, lo long, n long"
+    result = f"id {kind}, th int, lo long, n long"
     from_few = few.groupBy(F.pmod(F.xxhash64("seed"), F.lit(tasks)).alias("task")).applyInPandas(doubled, result)
 
-    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        steps = _steps(length)
+    from_many = _across_tasks(data.where("many"), length, kind)
+
+    twice = contexts.where("copies > 1").select("seed", "context")
+    whole = found.join(twice, ["seed", "context"]).select("id", "th", "lo", F.col("n").cast("long").alias("n"))
+    return whole.unionByName(from_few).unionByName(from_many)
+
+
+def _across_tasks(data: DataFrame, length: int, kind: str) -> DataFrame:
+    """(id, th, lo, n): the repeated positions of the contexts that are alone, ranked as rows by all tasks together.
+
+    First in steps of ``STEP`` positions, at the same places for all contexts of a seed: all positions of a step are
+    repeated if the bytes of the step are. Of the other steps, and of one of each that are equal, every position is a row.
+    """
+    parts = f"seed long, name long, alone boolean, id {kind}, th int, lo long, n int, data binary"
+
+    def steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for k in range(0, len(batch), 1024):
                 part = batch.iloc[k:k + 1024].reset_index(drop=True)
                 row, start, names = _positions(part, length)
-                begin = np.concatenate([[0], np.cumsum(part["n"].to_numpy() - 1 + length)])[:-1]
+                seeds_ = part["seed"].to_numpy().view(np.uint64)
+                found = names.of(np.arange(len(names.sums) - SEED), SEED)
+                begin = np.concatenate([[0], np.cumsum(part["n"].to_numpy() - 1 + length)])
+                place = np.array([b + int(np.argmax(found[b:e] == s)) for b, e, s in zip(begin[:-1], begin[1:], seeds_)])
+                step = (place[row] - start) // STEP  # the seed is at the same place in equal strings
+                new = np.ones(len(row), bool)
+                new[1:] = (row[1:] != row[:-1]) | (step[1:] != step[:-1])
+                at = np.flatnonzero(new)
+                row, first, count, step = row[at], start[at], np.diff(np.append(at, len(new))), step[at]
+                whole, name = b"".join(part["data"]), mix64(names.of(first, count - 1 + length) + mix64((count << 20 | (place[row] - first)).astype(np.uint64)))
+                yield pd.DataFrame({"seed": part["seed"].to_numpy()[row], "name": name.view(np.int64), "alone": part["alone"].to_numpy()[row],
+                                    "id": part["id"].to_numpy()[row], "th": part["th"].to_numpy()[row], "lo": part["lo"].to_numpy()[row] + first - begin[row], "n": count,
+                                    "data": [whole[i:j] for i, j in zip(first.tolist(), (first + count - 1 + length).tolist())]})
+
+    def positions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        grow = _steps(length)
+        for batch in batches:
+            for k in range(0, len(batch), 2048):
+                part = batch.iloc[k:k + 2048].reset_index(drop=True)
+                row, start, names = _positions(part, length)
+                begin = np.concatenate([[0], np.cumsum(part["n"].to_numpy() - 1 + length)])
                 rank = mix64(part["seed"].to_numpy().view(np.uint64))[row]
-                for offset, size_ in steps[:-1]:
-                    rank = mix64(rank + names.of(start + offset, size_))
-                yield pd.DataFrame({"rank": rank.view(np.int64), "name": names.of(start + steps[-1][0], steps[-1][1]).view(np.int64), "alone": part["alone"].to_numpy()[row],
+                for offset, bytes_ in grow[:-1]:
+                    rank = mix64(rank + names.of(start + offset, bytes_))
+                yield pd.DataFrame({"rank": rank.view(np.int64), "name": names.of(start + grow[-1][0], grow[-1][1]).view(np.int64), "open": part["open"].to_numpy()[row],
                                     "id": part["id"].to_numpy()[row], "th": part["th"].to_numpy()[row], "lo": part["lo"].to_numpy()[row] + start - begin[row]})
 
-    rows = cut(data.where("many").mapInPandas(listed, f"rank long, name long, alone boolean, id {kind}, th long, lo long"), "suffix-positions")
+    cut_steps = cut(data.mapInPandas(steps, parts), "suffix-steps")
+    equal = cut_steps.groupBy("seed", "name").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("alone", "id", "th", "lo", "n", "data")))
+    equal = cut(equal.withColumn("open", F.col("alone") & (F.col("copies") == 1)), "suffix-equal")
+    whole = (cut_steps.where("alone").select("seed", "name", "id", "th", "lo", "n")
+             .join(equal.where("copies > 1").select("seed", "name"), ["seed", "name"]).select("id", "th", "lo", F.col("n").cast("long").alias("n")))
+    rows = cut(equal.mapInPandas(positions, f"rank long, name long, open boolean, id {kind}, th int, lo long"), "suffix-positions")
     shared = cut(rows.groupBy("rank", "name").agg(F.count("*").alias("c")).where("c > 1").drop("c"), "suffix-shared")
-    from_many = rows.where("alone").join(shared, ["rank", "name"]).select("id", "th", "lo", F.lit(1).cast("long").alias("n"))
-
-    twice = contexts.where("copies > 1").select("seed", "context")
-    whole = found.join(twice, ["seed", "context"]).select("id", "th", "lo", F.col("n").cast("long").alias("n"))
-    return whole.unionByName(from_few).unionByName(from_many)
+    single = rows.where("open").join(shared, ["rank", "name"]).select("id", "th", "lo", F.lit(1).cast("long").alias("n"))
+    return whole.unionByName(single)
 
 
 def _repeats(docs: DataFrame) -> bool:
@@ -255,7 +300,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     lose everything, all copies of them; repeated rows are copies too and come back as often. Null ids are ids. With
     ``as_text``, kept is a string, and what is left of a character that a span cuts goes as well.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"),
+    rows = docs.select(F.col(id_col).alias("id"), F.hash(F.coalesce(F.col(text_col), F.lit(""))).alias("th"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"), *(F.col(c).alias(f"c{k}") for k, c in enumerate(carry)))
     at = repeated(rows, length).groupBy(F.col("id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
     joined = rows.join(at, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").select(
