@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import Words, mix64, text_slices
 from .minhash_dedup import shingles
 
-TOXIC_ROWS, CLEAN_ROWS, TRAIN_CHARS = 1500, 3000, 100_000
+TOXIC_ROWS, CLEAN_ROWS, TRAIN_CHARS = 1000, 1500, 50_000
 BUCKETS = 1 << 20
 VALUES = (1.0, 0.7, 0.2, 0.2)  # of the features: word, its beginning, word before, word after
 LONGEST = 64
@@ -74,7 +74,7 @@ class Chain:
 
     def owned(self, keys: np.ndarray) -> np.ndarray:
         bucket, mark = split(keys)
-        return np.where(self.owners[bucket] == mark, bucket, BUCKETS)
+        return np.where(self.owners[bucket] == mark, bucket, BUCKETS).astype(np.int32)
 
     def emissions(self, feats: np.ndarray) -> np.ndarray:
         return sum(v * self.weights[f] for v, f in zip(VALUES, feats)) + self.bias
@@ -160,7 +160,8 @@ def train(texts: list[str], toxic: list[bool], epochs: int = EPOCHS) -> Chain:
         bucket, mark = split(some)
         for b, m in zip(bucket, mark):
             chain.owners[b] = m
-    feats = chain.owned(keys)
+    feats = np.stack([chain.owned(k) for k in keys])
+    del keys, some
     follows = np.ones(len(y), bool)
     follows[starts] = False
     seen = np.array([[((y[:-1] == i) & (y[1:] == j) & follows[1:]).sum() for j in (0, 1)] for i in (0, 1)], float)
