@@ -23,8 +23,8 @@ SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
 BLOCK = 64
-#: Further leaders are tried as long as this share of the compared pairs are links.
-LEAST_GAIN = 0.1
+#: Most cells of a table of texts by shingles in a task; beyond, pairs are compared one by one.
+TABLE_CELLS = 20_000_000
 #: Four bits of every register, in longs: pairs are compared in the JVM before their texts are fetched.
 SKETCH = [f"s{k}" for k in range(BANDS * ROWS * 4 // 64 + 1)]
 
@@ -200,6 +200,19 @@ def compared_in_blocks(members: DataFrame, classes: DataFrame, texts: DataFrame,
             right = rows[some["mine"].to_numpy()[rows] == hi]
             bits = np.bitwise_count(sketch[left][:, None, :] ^ sketch[right][None, :, :]).sum(axis=2)
             a, b = np.nonzero((bits <= most_bits(threshold)) & (parts[left][:, None] != parts[right][None, :]))
+            sure = np.full((len(left), len(right)), np.nan)  # similarity where no shingle repeats: common / all
+            own = np.isin(owner, rows)
+            shingle = np.unique(h[own], return_inverse=True)[1]
+            if len(rows) * (shingle.max(initial=0) + 1) <= TABLE_CELLS and len(a) > len(rows):
+                has = np.zeros((len(rows), shingle.max(initial=0) + 1), np.float32)
+                has[np.searchsorted(rows, owner[own]), shingle] = 1
+                plain = np.bincount(np.searchsorted(rows, owner[own]), w[own] > 1, len(rows)) == 0
+                x, y = np.searchsorted(rows, left), np.searchsorted(rows, right)
+                common, n = has[x] @ has[y].T, has.sum(axis=1)
+                every = n[x][:, None] + n[y][None, :] - common
+                sure = np.where(plain[x][:, None] & plain[y][None, :], common / every, np.nan)
+            keep = ~(sure[a, b] < threshold - 1e-6)  # nan: not known yet
+            a, b = a[keep], b[keep]
             order = np.argsort(bits[a, b], kind="stable")
             up: dict[int, int] = {}
 
@@ -228,8 +241,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     come back as often and share the verdict of the id (of an id's different texts the smallest is verified). Other columns are ignored.
 
     Equal texts are one representative from the first grouping on. In a band's bucket, every representative is
-    compared with a leader, and in further turns with other leaders as long as this finds many links; members that
-    are then left in different components are compared with each other in blocks (``compared_in_blocks``). So a group of copies costs about its size, not its square, and no candidate pair is left out: each was
+    compared with the smallest one; members that are then left in different components are compared with each other
+    in blocks (``compared_in_blocks``). So a group of copies costs about its size, not its square, and no candidate pair is left out: each was
     either verified or already inside one component.
     """
     rows = cut(profile(docs, id_col, text_col), "near-profile")
@@ -249,20 +262,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         split = placed.groupBy("band", "bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p != q").select("band", "bucket")
         return parts, cut(placed.join(cut(split, "near-split"), ["band", "bucket"]), "near-open")
 
-    links, turn = None, 0
-    while True:
-        # every bucket has one leader, another one in each turn, that its other components are compared with
-        leads = members.groupBy("band", "bucket").agg(F.min_by(F.struct("rep", "part"), F.xxhash64("rep", F.lit(turn))).alias("lead"))
-        leads = cut(leads.select("band", "bucket", F.col("lead.rep").alias("lead"), F.col("lead.part").alias("lead_part")), "near-leads")
-        pairs = members.join(leads, ["band", "bucket"]).where("part != lead_part").select(
-            F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")).distinct()
-        pairs = cut(pairs.join(sketch_b, "b").join(sketch_a, "a").where(alike(threshold)).select("a", "b"), "near-pairs")
-        new = cut(verified(pairs, texts, threshold), "near-links")
-        links = new if links is None else links.union(new)
-        parts, members = still_open(members, links)
-        turn += 1
-        if new.count() < LEAST_GAIN * pairs.count() or members.isEmpty():
-            break
+    leads = cut(members.groupBy("band", "bucket").agg(F.min("rep").alias("lead")), "near-leads")
+    pairs = members.join(leads, ["band", "bucket"]).where("rep != lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
+    pairs = cut(pairs.join(sketch_b, "b").join(sketch_a, "a").where(alike(threshold)).select("a", "b"), "near-pairs")
+    links = cut(verified(pairs, texts, threshold), "near-links")
+    parts, members = still_open(members, links)
     rest = cut(compared_in_blocks(members, classes, texts, threshold), "near-rest")
     if not rest.isEmpty():
         parts = connected_components(links.union(rest)).select(F.col("vertex").alias("rep"), "root")
