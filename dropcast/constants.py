@@ -108,6 +108,7 @@ INTERVAL_DEFAULT_MAE = 4.5
 LATENCY_BUCKETS = [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5]
 PREDICTED_ETA_BUCKETS = [5, 10, 15, 20, 25, 30, 40, 50, 60, 90, 120, 180]
 PREDICTION_ERROR_BUCKETS = [0, 1, 2, 3, 4, 5, 7, 10, 15, 20, 30]
+REQUEST_LATENCY_BUCKETS = [0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0]
 SERVING_LATENCY_BUCKETS = [0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0]
 SERVING_PREDICTED_BUCKETS = [5, 10, 15, 20, 25, 30, 40, 50, 60, 90, 120]
 

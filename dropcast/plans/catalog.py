@@ -866,8 +866,8 @@ def q_req_counter(spark, sf):
 
 @query("request_latency_hist")
 def q_req_latency(spark, sf):
-    from ..constants import SERVING_LATENCY_BUCKETS
-    return rounded(M.request_latency_hist(_access_log(spark, sf), SERVING_LATENCY_BUCKETS))
+    from ..constants import REQUEST_LATENCY_BUCKETS
+    return rounded(M.request_latency_hist(_access_log(spark, sf), REQUEST_LATENCY_BUCKETS))
 
 
 @query("prediction_histograms")

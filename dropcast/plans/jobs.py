@@ -16,6 +16,7 @@ import json
 import os
 
 from pyspark.ml import PipelineModel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,7 +88,9 @@ def train_job(spark: SparkSession, input_path: str, output_path: str, fmt: str =
     reg_path = os.path.join(output_path, "model_registry")
     try:
         existing = spark.read.parquet(reg_path).checkpoint(eager=True)
-    except Exception:  # first registration
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         existing = registry_row.limit(0)
     SK.write_parquet(SK.register_model_version(existing, registry_row), reg_path)
     _write_json_row(spark, out, os.path.join(output_path, "training_report"))

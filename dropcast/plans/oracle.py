@@ -804,7 +804,7 @@ def _buckets_sql(src: str, value: str, bounds, metric: str = None, group: str =
 
 
 SQL["request_latency_hist"] = with_log(
-    _buckets_sql(f"({ACCESS})", "latency_s", [0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0], group="method, endpoint"))
+    _buckets_sql(f"({ACCESS})", "latency_s", [0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0], group="method, endpoint"))
 SQL["prediction_histograms"] = with_log(" UNION ALL ".join([
     _buckets_sql("ml", "latency_s", [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5], "prediction_latency_seconds"),
     _buckets_sql("ml", "predicted_eta_minutes", [5, 10, 15, 20, 25, 30, 40, 50, 60, 90, 120, 180], "predicted_eta_minutes"),

@@ -66,12 +66,18 @@ def gbt_params(**overrides) -> dict:
     return p
 
 
+def _depth(params: dict) -> int:
+    if int(params["max_depth"]) > 30:
+        raise ValueError("MLlib trees have at most 30 levels")
+    return int(params["max_depth"])
+
+
 def _gbt(features: list[str], params: dict, target: str, validation_col: str | None, seed: int) -> Pipeline:
     extra = {"validationIndicatorCol": validation_col, "validationTol": 0.001} if validation_col else {}
     gbt = GBTRegressor(
         featuresCol="features", labelCol=target, predictionCol=PRED_COL,
         maxIter=int(params["n_estimators"]), stepSize=float(params["learning_rate"]),
-        maxDepth=int(min(params["max_depth"], 30)), minInstancesPerNode=int(params["min_child_samples"]),
+        maxDepth=_depth(params), minInstancesPerNode=int(params["min_child_samples"]),
         subsamplingRate=float(params["subsample"]), featureSubsetStrategy=str(float(params["colsample_bytree"])),
         lossType="squared", seed=seed, checkpointInterval=10, cacheNodeIds=True, **extra,
     )
@@ -104,7 +110,7 @@ def train_alt_model(train: DataFrame, features: list[str], params: dict | None =
     params = params or gbt_params()
     rf = RandomForestRegressor(
         featuresCol="features", labelCol=target, predictionCol=PRED_COL,
-        numTrees=int(min(params["n_estimators"], 200)), maxDepth=int(min(params["max_depth"], 30)),
+        numTrees=int(params["n_estimators"]), maxDepth=_depth(params),
         minInstancesPerNode=int(params["min_child_samples"]), subsamplingRate=float(params["subsample"]),
         featureSubsetStrategy=str(float(params["colsample_bytree"])), seed=seed)
     va = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")

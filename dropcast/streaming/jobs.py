@@ -31,11 +31,14 @@ EVENTS_SCHEMA = T.StructType([
 GEO = ("pickup_lat", "pickup_lng", "dropoff_lat", "dropoff_lng")
 
 
-def events_stream(spark: SparkSession, folder: str, file_glob: str = "events.parquet",
-                  max_files_per_trigger: int = 1) -> DataFrame:
-    """File stream of event parquet files in ``folder`` (declared schema, no inference)."""
-    return (spark.readStream.format("parquet").schema(EVENTS_SCHEMA)
-            .option("pathGlobFilter", file_glob).option("maxFilesPerTrigger", max_files_per_trigger).load(folder))
+def events_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """File stream of the event table in ``folder``: one file ``events.parquet`` or a folder of part files
+    (declared schema, no inference). Without a limit, all files that are there are one batch, so that no file's
+    event times make the rows of another one late."""
+    reader = spark.readStream.format("parquet").schema(EVENTS_SCHEMA)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(f"{folder.rstrip('/')}/events.parquet*")
 
 
 def score_orders(orders: DataFrame, zone_stats: DataFrame | None = None, model: PipelineModel | None = None,
@@ -96,10 +99,10 @@ def feedback_join(predictions: DataFrame, actuals: DataFrame, max_delay: str = "
                     "actual_eta_minutes", (F.col("predicted_eta_minutes") - F.col("actual_eta_minutes")).alias("error"))
 
 
-def _run(df: DataFrame, sink: str, checkpoint: str, mode: str = "append", timeout_s: int = 600) -> None:
+def _run(df: DataFrame, sink: str, checkpoint: str, mode: str = "append", timeout_s: int | None = None) -> None:
     q = (df.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
          .outputMode(mode).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
         raise TimeoutError("streaming query did not finish within the time budget")
@@ -147,7 +150,7 @@ def run_drift_batches(spark: SparkSession, folder: str, reference: DataFrame, nu
 
     q = (orders.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    q.awaitTermination(600)
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.parquet(sink).withColumn("batch_id", F.col("batch_id").cast("long"))
