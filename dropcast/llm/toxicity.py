@@ -22,9 +22,9 @@ from .minhash_dedup import shingles
 
 TOXIC_ROWS, CLEAN_ROWS, TRAIN_CHARS = 1000, 1500, 50_000
 BUCKETS = 1 << 20
-VALUES = (1.0, 0.7, 0.2, 0.2)  # of the features: word, its beginning, word before, word after
+VALUES = (1.0, 0.7, 0.05, 0.05)  # of the features: word, its beginning, word before, word after
 LONGEST = 64
-EPOCHS, RATE, DECAY = 40, 0.5, 1e-4
+EPOCHS, RATE, DECAY = 60, 0.5, 1e-4
 COPIED = 0.3  # a training text with a larger share of shingles from earlier ones is a copy
 PURE = 0.5  # least share of toxic texts among the training texts with a marking word
 EVIDENCE = 14.0  # log-likelihood ratio: chance below one in a million
