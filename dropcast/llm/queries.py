@@ -1,4 +1,4 @@
-"""Registered queries of the corpus operators: (spark, sf_dir) -> DataFrame, and DuckDB SQL where it can express them."""
+"""Registered queries of the corpus operators: (spark, sf_dir) -> DataFrame; SQL is their DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from . import ann, byte_bpe, embedding_dedup, licenses, minhash_dedup, mixing, sharding, suffix_dedup, token_counts, toxicity
 from .common import ship_package, table
+from .sql import SQL
+
+__all__ = ["QUERIES", "SQL"]
 
 
 def permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,5 +78,3 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op9_embedding_near_dedup": embedding_near_dedup,
     "op10_minhash_near_dedup": minhash_near_dedup,
 }.items()}
-
-SQL: dict[str, str] = {}
