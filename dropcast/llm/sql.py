@@ -52,9 +52,10 @@ def suffix_dedup(length: int = LENGTH, block: int = 1024) -> str:
 
 def embedding_near_dedup(threshold: float = THRESHOLD) -> str:
     return f"""
-        WITH RECURSIVE v AS (
-            SELECT vec_id, x, sqrt(list_dot_product(x, x)) AS norm FROM (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings)
+        WITH RECURSIVE given AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+        usable AS MATERIALIZED (SELECT vec_id, x FROM given
             WHERE len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        v AS MATERIALIZED (SELECT vec_id, x, sqrt(list_dot_product(x, x)) AS norm FROM usable),
         links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b
                   ON a.vec_id <> b.vec_id AND a.norm > 0 AND b.norm > 0 AND len(a.x) = len(b.x)
                   AND list_dot_product(a.x, b.x) / (a.norm * b.norm) >= {threshold}),
