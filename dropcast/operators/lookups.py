@@ -44,22 +44,17 @@ def enrich_orders_with_dims(facts: DataFrame, dims: list[tuple[DataFrame, str |
     return out
 
 
-def distance_matrix(origins: DataFrame, destinations: DataFrame, speed_kmh: float = FALLBACK_SPEED_KMH,
-                    max_destinations: int = 10_000) -> DataFrame:
-    """All origin x destination pairs with geodesic distance and duration at a fixed speed.
-
-    This operator *is* a Cartesian product (the matrix of all pairs), so the
-    destination list must have a proven size: it is counted and must not exceed
-    ``max_destinations``; it is then broadcast and every origin partition pairs
-    locally. Pairs with missing coordinates are left out (status not OK).
-    Inputs: origins(origin_idx, lat, lng), destinations(dest_idx, lat, lng).
+def distance_matrix(origins: DataFrame, destinations: DataFrame, pairs: DataFrame,
+                    speed_kmh: float = FALLBACK_SPEED_KMH) -> DataFrame:
+    """Requested origin-destination pairs with geodesic distance and duration at a fixed speed.
+
+    ``pairs`` names the entries of the matrix that are wanted; both sides are joined to it by their index, so
+    nothing larger than the request is made. Pairs with missing coordinates are left out (status not OK).
+    Inputs: origins(origin_idx, lat, lng), destinations(dest_idx, lat, lng), pairs(origin_idx, dest_idx).
     """
-    n = destinations.count()
-    if n > max_destinations:
-        raise ValueError(f"{n} destinations exceed the bound of {max_destinations}; split the request")
     o = origins.select(F.col("origin_idx"), F.col("lat").alias("o_lat"), F.col("lng").alias("o_lng"))
     d = destinations.select(F.col("dest_idx"), F.col("lat").alias("d_lat"), F.col("lng").alias("d_lng"))
-    pairs = o.join(F.broadcast(d), how="cross")
+    pairs = pairs.select("origin_idx", "dest_idx").join(o, "origin_idx").join(d, "dest_idx")
     ok = F.col("o_lat").isNotNull() & F.col("o_lng").isNotNull() & F.col("d_lat").isNotNull() & F.col("d_lng").isNotNull()
     km = X.geodesic_km("o_lat", "o_lng", "d_lat", "d_lng")
     minutes = km / speed_kmh * 60.0

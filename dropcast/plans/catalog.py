@@ -432,7 +432,7 @@ def q_join_group_stats(spark, sf):
 @query("fill_group_stats")
 def q_fill_group_stats(spark, sf):
     d = _d(spark, sf)
-    out = _zone_stats_model(d).transform(d.filter("zone_id > 6"))
+    out = _zone_stats_model(d).transform(d)
     return rounded(out.select("zone_id", "zone_id_eta_mean", "zone_id_eta_median", "zone_id_eta_std",
                               "zone_id_order_count").distinct())
 
@@ -587,7 +587,8 @@ def q_distance_matrix(spark, sf):
         F.col("zone_id").cast("long").alias("origin_idx"), "lat", "lng")
     dests = d.groupBy("restaurant_id").agg(F.avg("dropoff_lat").alias("lat"), F.avg("dropoff_lng").alias("lng")).select(
         F.col("restaurant_id").alias("dest_idx"), "lat", "lng")
-    return rounded(LK.distance_matrix(origins, dests))
+    pairs = d.select(F.col("zone_id").cast("long").alias("origin_idx"), F.col("restaurant_id").alias("dest_idx")).distinct()
+    return rounded(LK.distance_matrix(origins, dests, pairs))
 
 
 def _prediction_log(spark, sf):
@@ -944,8 +945,7 @@ def q_tune(spark, sf):
 def q_predict_batch(spark, sf):
     prep, model = _trained(spark, sf)
     full = TR.scoring_model(prep, model)
-    reqs = _test(_d(spark, sf))
-    out = TR.predict(full, reqs)
+    out = TR.predict(full, _d(spark, sf))
     return rounded(out.select("order_id", "predicted_eta_minutes"))
 
 
@@ -954,7 +954,7 @@ def q_predict_one(spark, sf):
     prep, model = _trained(spark, sf)
     full = TR.scoring_model(prep, model)
     mae = TR.evaluate(model, prep.test).first()["mae"]
-    out = TR.predict(full, _test(_d(spark, sf)))
+    out = TR.predict(full, _d(spark, sf))
     iv = X.prediction_interval("predicted_eta_minutes", mae)
     return out.select(X.prediction_id(F.col("order_id"), F.lit("gbt-v1")).alias("prediction_id"), "order_id",
                       *[c.alias(n) for n, c in iv.items()], F.lit("gbt-v1").alias("model_version"))
@@ -988,7 +988,7 @@ def q_save_model(spark, sf):
     path = scratch_path(spark, "model")
     full.write().overwrite().save(path)
     loaded = FE.PipelineModel.load(path)
-    return rounded(TR.predict(loaded, _test(_d(spark, sf))).select("order_id", "predicted_eta_minutes"))
+    return rounded(TR.predict(loaded, _d(spark, sf)).select("order_id", "predicted_eta_minutes"))
 
 
 @query("evaluation_report")

@@ -446,7 +446,7 @@ SQL["join_group_stats"] = with_d(
 SQL["fill_group_stats"] = with_d(
     "SELECT DISTINCT zone_id, round(zone_id_eta_mean, 6) AS zone_id_eta_mean, round(zone_id_eta_median, 6) AS zone_id_eta_median,"
     " round(zone_id_eta_std, 6) AS zone_id_eta_std, zone_id_order_count"
-    f" FROM (SELECT d.zone_id, {stats_cols('zone_id', 'zs')} FROM d LEFT JOIN zs USING (zone_id) WHERE d.zone_id > 6)", extra=ZS6)
+    f" FROM (SELECT d.zone_id, {stats_cols('zone_id', 'zs')} FROM d LEFT JOIN zs USING (zone_id))", extra=ZS6)
 SQL["lookup_zone_stats_with_defaults"] = with_d("""
 SELECT d.order_id, round(coalesce(zs.zone_id_eta_mean, 25e0), 6) AS zone_id_eta_mean,
   round(coalesce(zs.zone_id_eta_median, 23e0), 6) AS zone_id_eta_median, round(coalesce(zs.zone_id_eta_std, 8e0), 6) AS zone_id_eta_std,
@@ -584,7 +584,8 @@ SQL["distance_matrix"] = with_d(
     " round(km / 25e0 * 60e0 * 1.2e0, 6) AS duration_in_traffic_minutes FROM m3",
     extra=("od AS (SELECT o.origin_idx, o.lat AS o_lat, o.lng AS o_lng, t.dest_idx, t.lat AS d_lat, t.lng AS d_lng FROM"
            " (SELECT CAST(zone_id AS BIGINT) AS origin_idx, avg(pickup_lat) AS lat, avg(pickup_lng) AS lng FROM d GROUP BY zone_id) o,"
-           " (SELECT restaurant_id AS dest_idx, avg(dropoff_lat) AS lat, avg(dropoff_lng) AS lng FROM d GROUP BY restaurant_id) t),"
+           " (SELECT restaurant_id AS dest_idx, avg(dropoff_lat) AS lat, avg(dropoff_lng) AS lng FROM d GROUP BY restaurant_id) t,"
+           " (SELECT DISTINCT zone_id, restaurant_id FROM d) q WHERE q.zone_id = o.origin_idx AND q.restaurant_id = t.dest_idx),"
            + geo_ctes("od", "m", "o_lat", "o_lng", "d_lat", "d_lng", "km")))
 SQL["join_prediction_feedback"] = with_pred("""
 SELECT substring(md5(concat_ws('-', order_id, 'v1')), 1, 12) AS prediction_id, round(predicted_eta_minutes, 6) AS predicted_eta_minutes,
@@ -833,7 +834,6 @@ SQL["stream_prediction_metrics"] = with_pred(f"""
 SELECT window_start, window_end, status, 'baseline' AS model_version, count(*) AS count, round(avg(predicted_eta_minutes), 6) AS avg_predicted
 FROM (SELECT date_trunc('hour', order_timestamp) AS window_start, date_trunc('hour', order_timestamp) + INTERVAL 1 HOUR AS window_end,
         CASE WHEN concat_ws('; ', {', '.join(_d_errs)}) = '' THEN 'success' ELSE 'error' END AS status, predicted_eta_minutes FROM p)
-WHERE window_end <= (SELECT max(order_timestamp) FROM d) - INTERVAL 10 MINUTE
 GROUP BY window_start, window_end, status""")
 _REFALL = "t AS (SELECT *, true AS is_ref FROM p WHERE order_timestamp < TIMESTAMP '2024-01-16' UNION ALL SELECT *, false FROM p)"
 SQL["stream_drift_batches"] = with_drift("""
@@ -856,13 +856,9 @@ SQL["drop_target"] = with_d("SELECT " + ", ".join(c for c in ROUNDED_D.split(",
 SQL["validate_schema"] = with_d("SELECT false AS is_valid, 'rider_id' AS missing, count(*) AS n_rows FROM d")
 SQL["scan_dims_csv"] = SQL["scan_restaurants"]
 
-# Stream-stream LEFT join after an availableNow run: every matched pair, plus the
-# unmatched predictions whose 3-hour window closed before the final watermark
-# (max prediction time - 10 minutes).
+# LEFT join of all predictions to the actuals within 3 hours.
 SQL["stream_feedback_join"] = with_pred("""
 SELECT substring(md5(concat_ws('-', order_id, 'baseline')), 1, 12) AS prediction_id, order_timestamp AS pred_ts,
   round(predicted_eta_minutes, 6) AS predicted_eta_minutes, round(a, 6) AS actual_eta_minutes,
   round(predicted_eta_minutes - a, 6) AS error
-FROM (SELECT *, CASE WHEN event_id % 3 != 0 AND floor(actual_eta_minutes) BETWEEN 0 AND 180 THEN actual_eta_minutes END AS a FROM p)
-WHERE a IS NOT NULL
-   OR order_timestamp + INTERVAL 3 HOUR < (SELECT max(order_timestamp) FROM d) - INTERVAL 10 MINUTE""")
+FROM (SELECT *, CASE WHEN event_id % 3 != 0 AND floor(actual_eta_minutes) BETWEEN 0 AND 180 THEN actual_eta_minutes END AS a FROM p)""")

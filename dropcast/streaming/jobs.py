@@ -3,8 +3,8 @@ join and per-batch drift. Each job takes a streaming source DataFrame and
 writes to a fault-tolerant file sink with a checkpoint location; ``run_*``
 helpers drive them with ``trigger(availableNow=True)`` for batch-like runs.
 
-Event time must be ``TIMESTAMP`` (watermarks reject ``TIMESTAMP_NTZ``), so it
-is cast at the source and cast back to NTZ on output.
+No job has a watermark: what a batch writes (rows, partial sums, drift rows) is
+merged on read, so no row is too late in whatever order the files arrive.
 """
 
 from __future__ import annotations
@@ -68,35 +68,34 @@ def score_orders(orders: DataFrame, zone_stats: DataFrame | None = None, model:
     )
 
 
-def prediction_metrics(scored: DataFrame, window: str = "1 hour", watermark: str = "10 minutes") -> DataFrame:
-    """Tumbling-window counts and mean prediction by status and model version; late rows dropped."""
-    s = scored.withColumn("event_time", F.col("order_timestamp").cast("timestamp")).withColumn(
-        "status", F.when(F.col("is_valid"), F.lit("success")).otherwise(F.lit("error")))
-    agg = (s.withWatermark("event_time", watermark)
-           .groupBy(F.window("event_time", window), "status", "model_version")
-           .agg(F.count(F.lit(1)).alias("count"), F.avg("raw_prediction").alias("avg_predicted")))
+def metric_partials(scored: DataFrame, window: str = "1 hour") -> DataFrame:
+    """Counts and prediction sums per tumbling window, status and model version; they add up over batches."""
+    s = scored.withColumn("status", F.when(F.col("is_valid"), F.lit("success")).otherwise(F.lit("error")))
+    agg = (s.groupBy(F.window(F.col("order_timestamp").cast("timestamp"), window), "status", "model_version")
+           .agg(F.count(F.lit(1)).alias("rows"), F.count("raw_prediction").alias("predictions"),
+                F.sum("raw_prediction").alias("total")))
     return agg.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window.end").cast("timestamp_ntz").alias("window_end"),
-                      "status", "model_version", "count", "avg_predicted")
+                      "status", "model_version", "rows", "predictions", "total")
 
 
-def feedback_join(predictions: DataFrame, actuals: DataFrame, max_delay: str = "3 hours",
-                  watermark: str = "10 minutes") -> DataFrame:
-    """Stream-stream LEFT OUTER join of actuals to predictions within [pred_ts, pred_ts + max_delay].
+def prediction_metrics(partials: DataFrame) -> DataFrame:
+    """Count and mean prediction per window, status and model version, over the partials of all batches."""
+    return partials.groupBy("window_start", "window_end", "status", "model_version").agg(
+        F.sum("rows").alias("count"), F.try_divide(F.sum("total"), F.sum("predictions")).alias("avg_predicted"))
 
-    State is bounded by the watermarks plus the time-range condition; predictions
-    without an actual in the range are emitted with NULL actual once the watermark passes.
-    """
-    p = predictions.select("prediction_id", F.col("pred_ts").cast("timestamp").alias("pred_time"), "predicted_eta_minutes") \
-        .withWatermark("pred_time", watermark)
-    a = actuals.select(F.col("prediction_id").alias("a_prediction_id"), F.col("actual_ts").cast("timestamp").alias("actual_time"),
-                       "actual_eta_minutes").withWatermark("actual_time", watermark)
+
+def feedback_join(predictions: DataFrame, actuals: DataFrame, max_delay: str = "3 hours") -> DataFrame:
+    """Every stored prediction with its actual in [pred_ts, pred_ts + max_delay], however late that arrived;
+    NULL where there is none (so far)."""
+    p = predictions.select("prediction_id", "pred_ts", "predicted_eta_minutes")
+    a = actuals.select(F.col("prediction_id").alias("a_prediction_id"), "actual_ts", "actual_eta_minutes")
     cond = ((F.col("prediction_id") == F.col("a_prediction_id"))
-            & (F.col("actual_time") >= F.col("pred_time"))
-            & (F.col("actual_time") <= F.col("pred_time") + F.expr(f"INTERVAL {max_delay}")))
-    j = p.join(a, cond, "leftOuter")
-    return j.select("prediction_id", F.col("pred_time").cast("timestamp_ntz").alias("pred_ts"), "predicted_eta_minutes",
-                    "actual_eta_minutes", (F.col("predicted_eta_minutes") - F.col("actual_eta_minutes")).alias("error"))
+            & (F.col("actual_ts") >= F.col("pred_ts"))
+            & (F.col("actual_ts") <= F.col("pred_ts") + F.expr(f"INTERVAL {max_delay}")))
+    return p.join(a, cond, "leftOuter").select(
+        "prediction_id", "pred_ts", "predicted_eta_minutes", "actual_eta_minutes",
+        (F.col("predicted_eta_minutes") - F.col("actual_eta_minutes")).alias("error"))
 
 
 def _run(df: DataFrame, sink: str, checkpoint: str, mode: str = "append", timeout_s: int | None = None) -> None:
@@ -110,47 +109,55 @@ def _run(df: DataFrame, sink: str, checkpoint: str, mode: str = "append", timeou
         raise RuntimeError(str(q.exception()))
 
 
+def _run_batches(df: DataFrame, per_batch, sink: str, checkpoint: str) -> None:
+    """Write ``per_batch`` of each micro-batch to a folder of that batch: a batch that runs again after a
+    failure replaces its rows instead of adding them twice."""
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        per_batch(batch).write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={int(epoch_id)}")
+
+    q = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
 def run_score_orders(spark: SparkSession, folder: str, sink: str, checkpoint: str, zone_stats: DataFrame | None = None,
-                     model: PipelineModel | None = None) -> DataFrame:
-    orders = deliveries_from_events(events_stream(spark, folder))
+                     model: PipelineModel | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+    orders = deliveries_from_events(events_stream(spark, folder, max_files_per_trigger))
     _run(score_orders(orders, zone_stats, model), sink, checkpoint)
     return spark.read.parquet(sink)
 
 
-def run_prediction_metrics(spark: SparkSession, folder: str, sink: str, checkpoint: str, window: str = "1 hour") -> DataFrame:
-    orders = deliveries_from_events(events_stream(spark, folder))
-    _run(prediction_metrics(score_orders(orders), window), sink, checkpoint)
-    return spark.read.parquet(sink)
+def run_prediction_metrics(spark: SparkSession, folder: str, sink: str, checkpoint: str, window: str = "1 hour",
+                           max_files_per_trigger: int | None = None) -> DataFrame:
+    """Partials per micro-batch, merged on read: no row is late, and all windows come out, the last ones too."""
+    orders = deliveries_from_events(events_stream(spark, folder, max_files_per_trigger))
+    _run_batches(score_orders(orders), lambda batch: metric_partials(batch, window), sink, checkpoint)
+    return prediction_metrics(spark.read.parquet(sink))
 
 
-def run_feedback_join(spark: SparkSession, folder: str, sink: str, checkpoint: str) -> DataFrame:
-    ev = events_stream(spark, folder)
+def run_feedback_join(spark: SparkSession, folder: str, sink: str, checkpoint: str,
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """Predictions and actuals are appended to one table each by streams of their own and joined on read."""
+    ev = events_stream(spark, folder, max_files_per_trigger)
     orders = deliveries_from_events(ev)
     preds = score_orders(orders).select("prediction_id", F.col("order_timestamp").alias("pred_ts"),
                                         F.col("raw_prediction").alias("predicted_eta_minutes"))
-    ev2 = events_stream(spark, folder).filter(F.col("event_id") % 3 != 0)
+    ev2 = events_stream(spark, folder, max_files_per_trigger).filter(F.col("event_id") % 3 != 0)
     acts = deliveries_from_events(ev2).select(
         X.prediction_id(F.col("order_id"), F.lit("baseline")).alias("prediction_id"),
         (F.col("order_timestamp") + F.make_dt_interval(mins=F.floor("actual_eta_minutes").cast("int"))).alias("actual_ts"),
         "actual_eta_minutes")
-    _run(feedback_join(preds, acts), sink, checkpoint)
-    return spark.read.parquet(sink)
+    tables = [f"{sink.rstrip('/')}/{name}" for name in ("predictions", "actuals")]
+    for df, path, name in zip((preds, acts), tables, ("predictions", "actuals")):
+        _run(df, path, f"{checkpoint.rstrip('/')}/{name}")
+    return feedback_join(*[spark.read.parquet(path) for path in tables])
 
 
 def run_drift_batches(spark: SparkSession, folder: str, reference: DataFrame, numeric: list[str], categorical: list[str],
                       sink: str, checkpoint: str) -> DataFrame:
-    """foreachBatch: dataset drift of each micro-batch against the stored reference, appended per batch."""
+    """foreachBatch: dataset drift of each micro-batch against the reference, appended per batch."""
     orders = deliveries_from_events(events_stream(spark, folder))
-
-    def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        # one partition folder per batch, overwritten on replay: a batch re-run
-        # after a failure replaces its row instead of appending a duplicate
-        row = DR.dataset_drift(reference, batch, numeric, categorical)
-        row.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={int(epoch_id)}")
-
-    q = (orders.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _run_batches(orders, lambda batch: DR.dataset_drift(reference, batch, numeric, categorical), sink, checkpoint)
     return spark.read.parquet(sink).withColumn("batch_id", F.col("batch_id").cast("long"))

@@ -61,13 +61,14 @@ def test_zone_lookup_defaults_on_miss(spark):
     assert out[None].zone_id_eta_median == 23.0
 
 
-def test_distance_matrix_bound_and_pairs(spark):
+def test_distance_matrix_of_requested_pairs(spark):
     o = spark.createDataFrame([(1, 37.77, -122.42), (2, None, -122.4)], "origin_idx long, lat double, lng double")
     d = spark.createDataFrame([("a", 37.78, -122.41), ("b", 37.80, -122.27)], "dest_idx string, lat double, lng double")
-    out = LK.distance_matrix(o, d).collect()
-    assert len(out) == 2  # origin with missing coordinate left out
-    with pytest.raises(ValueError):
-        LK.distance_matrix(o, d, max_destinations=1)
+    pairs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (3, "a")], "origin_idx long, dest_idx string")
+    out = LK.distance_matrix(o, d, pairs).collect()
+    # an origin with a missing coordinate and an unknown one are left out
+    assert sorted((r.origin_idx, r.dest_idx) for r in out) == [(1, "a"), (1, "b")]
+    assert all(r.distance_km > 0 for r in out)
 
 
 def test_feedback_join_left(spark):
