@@ -290,8 +290,9 @@ class GroupStats(Estimator, _HasTarget, DefaultParamsReadable, DefaultParamsWrit
             model._scalars[f"rows_{key}"] = n
             # fills come from the stats table itself (one row per key value, already
             # materialised): one small aggregation, exact median of group stds
-            fill = stats.agg(F.avg(f"{key}_eta_mean").alias("m"), F.avg(f"{key}_eta_median").alias("md"),
-                             F.median(f"{key}_eta_std").alias("s")).first()
+            fill = exact_percentiles(stats, f"{key}_eta_std", [0.5], names=["s"],
+                                     carry=[f"{key}_eta_mean", f"{key}_eta_median"],
+                                     extra_aggs={"m": F.avg(f"{key}_eta_mean"), "md": F.avg(f"{key}_eta_median")}).first()
             model._scalars[f"fill_{key}"] = {"mean": fill["m"], "median": fill["md"], "std": fill["s"]}
         return model
 
@@ -436,6 +437,7 @@ def lag_window_features(df: DataFrame, key: str, col: str, lags: list[int], wind
     """
     order = [c for c in order_cols if c in df.columns]
     reach = max(max(lags), window)
+    bucket_rows = max(bucket_rows, reach)  # the context comes from one earlier bucket
     valid = F.col(key).isNotNull()
 
     def lag_cols(w):

@@ -2,16 +2,15 @@
 
 Three exact paths, none of which sends a data row to a single task:
 
-* Grouped ranks and percentiles: rows are range-partitioned on (group, order
+* Grouped ranks: rows are range-partitioned on (group, order
   keys) - a hot group spans many partitions - sorted inside each partition and
   checkpointed to the shared checkpoint folder (fixing partition ids and
   positions). A small per-(partition, group) table gives each segment's offset;
   the rank is that offset plus the position inside the partition.
 * Global (ungrouped) percentiles: exact selection by histogram refinement -
   a few map-side-combined aggregations of bucket counts, no sort at all.
-* Value-count tables (multi-column medians, CDF): counts per distinct value
-  first; a table proven small is ordered with a plain window, a large one
-  through the range-partitioned running sums.
+* Value-count tables (grouped percentiles, multi-column medians, CDF): counts
+  per (group, distinct value) first, then range-partitioned running sums.
 
 Splits and folds rank only the (time, id) keys and filter the original rows
 against the keys found at the boundary ranks.
@@ -30,8 +29,6 @@ from ..session import ensure_checkpoint_dir
 from .joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_ok
 
 _PID, _MID = "_dc_pid", "_dc_mid"
-# A (group, value, count) table up to this many rows is ordered with a plain window.
-SMALL_COUNT_TABLE_ROWS = 1_000_000
 
 
 def _num_partitions(df: DataFrame, num_partitions: int | None) -> int | None:
@@ -44,16 +41,12 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int | None:
 def _range_sorted_checkpoint(df: DataFrame, keys: list, n_parts: int | None) -> DataFrame:
     """Range-partition and sort by ``keys``, checkpoint to the shared folder, tag partition id/position.
 
-    The input is cached for the two passes (range-bound sampling, then the
-    write) and released once the checkpoint exists. Partition ids are read
-    from the checkpoint, so they are the final (post-coalescing) ones.
+    The narrow input is computed twice (range-bound sampling, then the write)
+    rather than kept on local disks. Partition ids are read from the
+    checkpoint, so they are the final (post-coalescing) ones.
     """
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        parted = src.repartitionByRange(n_parts, *keys) if n_parts else src.repartitionByRange(*keys)
-        ck = parted.sortWithinPartitions(*keys).checkpoint(eager=True)
-    finally:
-        src.unpersist()
+    parted = df.repartitionByRange(n_parts, *keys) if n_parts else df.repartitionByRange(*keys)
+    ck = parted.sortWithinPartitions(*keys).checkpoint(eager=True)
     return ck.withColumns({_PID: F.spark_partition_id(), _MID: F.monotonically_increasing_id()})
 
 
@@ -162,8 +155,8 @@ REFINE_FINAL_ROWS = 10_000
 REFINE_MAX_ROUNDS = 12
 
 
-def _kth_values(base: DataFrame, value_col: str, ranks: list[int], lo: float, hi: float) -> dict[int, float]:
-    """Exact k-th smallest non-NULL values (1-based ranks) by histogram refinement.
+def _kth_values(base: DataFrame, value_col: str, ranks: list[int], lo: float, hi: float) -> dict[int, float] | None:
+    """Exact k-th smallest non-NULL values (1-based ranks) by histogram refinement; None if the rounds don't suffice.
 
     Each round is one aggregation of (interval, bucket) counts with min/max per
     bucket, over the distinct value intervals that still contain a target rank;
@@ -225,9 +218,7 @@ def _kth_values(base: DataFrame, value_col: str, ranks: list[int], lo: float, hi
                 a, b, below = state[k]
                 done[k] = sorted(vals[fin_iv.index((a, b))])[k - below - 1]
     missing = [k for k in ranks if k not in done]
-    if missing:
-        raise RuntimeError(f"percentile refinement did not converge for ranks {missing}")
-    return done
+    return None if missing else done
 
 
 def _global_percentiles(df: DataFrame, value_col: str, probs: list[float], names: list[str],
@@ -252,6 +243,8 @@ def _global_percentiles(df: DataFrame, value_col: str, probs: list[float], names
                 h = (n - 1) * float(p) + 1
                 ranks.update({math.floor(h), math.ceil(h)})
             values = _kth_values(base, value_col, sorted(ranks), row["_lo"], row["_hi"])
+            if values is None:  # values of very many magnitudes: buckets of equal width don't part them
+                return None
     finally:
         base.unpersist()
     pct = []
@@ -275,7 +268,6 @@ def exact_percentiles(
     probs: list[float],
     group_cols: list[str] | tuple = (),
     names: list[str] | None = None,
-    tiebreak: list[str] | tuple = (),
     num_partitions: int | None = None,
     carry: list[str] | tuple = (),
     extra_aggs: dict | None = None,
@@ -285,45 +277,30 @@ def exact_percentiles(
     Position h = (n-1)*p + 1, result = v[floor h] + (h - floor h)(v[ceil h] - v[floor h]).
     Returns one row per group with one column per probability, plus any
     ``extra_aggs`` (name -> aggregate over ``value_col`` and the ``carry``
-    columns) computed in the same aggregation over the ranked rows, so an
-    operator needing moments and medians reads its input once.
+    columns). Values are counted per (group, value) first, with map-side
+    combine, so a value that very many rows share is one row of what is ranked.
     """
     group_cols = list(group_cols)
     names = names or [f"p{int(round(p * 100))}" for p in probs]
-    if not group_cols and not tiebreak:
+    if not group_cols:
         # one global answer: exact selection by refinement, no sort of the data
         out = _global_percentiles(df, value_col, probs, names, list(carry), dict(extra_aggs or {}))
         if out is not None:
             return out
-    v = F.col(value_col)
-    # NULLs sort last and are not counted, so no filter on a computed value is
-    # pushed below the projection that computes it.
-    keep = [c for c in [*tiebreak, *carry] if c != value_col and c not in group_cols]
-    base = df.select(*group_cols, value_col, *dict.fromkeys(keep))
-    r = ranked(base, [v.asc_nulls_last(), *tiebreak], group_cols, rank_col="_rn", size_col="_n",
-               num_partitions=num_partitions, count_col=value_col)
-    aggs = []
-    for i, p in enumerate(probs):
-        h = (F.col("_n") - 1) * float(p) + 1
-        aggs += [
-            F.max(F.when(F.col("_rn") == F.floor(h), v)).alias(f"_lo{i}"),
-            F.max(F.when(F.col("_rn") == F.ceil(h), v)).alias(f"_hi{i}"),
-            F.max(h - F.floor(h)).alias(f"_fr{i}"),
-        ]
     extra = dict(extra_aggs or {})
-    aggs += [e.alias(n) for n, e in extra.items()]
-    g = r.groupBy(*group_cols).agg(*aggs)
-    return g.select(
-        *group_cols, *extra.keys(),
-        *[
-            (F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(names[i])
-            for i in range(len(probs))
-        ],
-    )
+    keys = group_cols or ["_all"]
+    base = df if group_cols else df.withColumn("_all", F.lit(0))
+    counts = base.groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("_cnt"))
+    pct = weighted_percentiles(counts, value_col, "_cnt", probs, keys, names, num_partitions)
+    pct = pct.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *names)
+    moments = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *[e.alias(n) for n, e in extra.items()])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return moments.join(pct, same, "left").select(*group_cols, *extra.keys(), *names)
 
 
 def weighted_percentiles(counts: DataFrame, value_col: str, weight_col: str, probs: list[float],
-                         group_cols: list[str] | tuple = (), names: list[str] | None = None) -> DataFrame:
+                         group_cols: list[str] | tuple = (), names: list[str] | None = None,
+                         num_partitions: int | None = None) -> DataFrame:
     """Exact linear-interpolated percentiles from a (group, value, count) table.
 
     Running counts give each distinct value the 1-based positions
@@ -332,17 +309,11 @@ def weighted_percentiles(counts: DataFrame, value_col: str, weight_col: str, pro
     """
     group_cols = list(group_cols)
     names = names or [f"p{int(round(p * 100))}" for p in probs]
-    obs = Observation("value_count_rows")
-    vc = counts.filter(F.col(value_col).isNotNull()).observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    if int(obs.get["n"]) <= SMALL_COUNT_TABLE_ROWS:
-        # proven small (few distinct values, e.g. hours, flags, encodings): a plain
-        # window over the count table holds at most SMALL_COUNT_TABLE_ROWS rows per task
-        gw = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
-        c = vc.withColumns({f"{weight_col}_cum": F.sum(weight_col).over(
-                                gw.orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)),
-                            f"{weight_col}_tot": F.sum(weight_col).over(gw)})
-    else:
-        c = running_sums(vc, [value_col], [weight_col], group_cols, suffix="_cum", total_suffix="_tot")
+    # cut first: a filter on a computed value would be pushed below the projection that computes it
+    ensure_checkpoint_dir(counts.sparkSession)
+    vc = counts.checkpoint(eager=True).filter(F.col(value_col).isNotNull())
+    c = running_sums(vc, [value_col], [weight_col], group_cols, suffix="_cum", num_partitions=num_partitions,
+                     total_suffix="_tot")
     cum, w, n = F.col(f"{weight_col}_cum"), F.col(weight_col), F.col(f"{weight_col}_tot")
     aggs = []
     for i, p in enumerate(probs):
@@ -459,22 +430,15 @@ def error_cdf(df: DataFrame, value_col: str = "abs_error", id_col: str | None =
 
     Counts per distinct value first (map-side combined; checkpointed before the
     NULL filter so no predicate on a computed value is pushed into the scan),
-    then running counts: a plain window when the count table is proven small,
-    the range-partitioned running sums otherwise. ``id_col`` is accepted for
+    then range-partitioned running sums of the counts. ``id_col`` is accepted for
     compatibility and not needed.
     """
     obs = Observation("cdf_counts")
     counts = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_c"))
-    ck = counts.observe(obs, F.count(F.lit(1)).alias("rows"),
-                        F.sum(F.when(F.col(value_col).isNotNull(), F.col("_c"))).alias("n")).checkpoint(eager=True)
-    rows, n = int(obs.get["rows"]), int(obs.get["n"] or 0)
+    ck = counts.observe(obs, F.sum(F.when(F.col(value_col).isNotNull(), F.col("_c"))).alias("n")).checkpoint(eager=True)
+    n = int(obs.get["n"] or 0)
     vc = ck.filter(F.col(value_col).isNotNull())
-    if rows <= SMALL_COUNT_TABLE_ROWS:
-        cum = F.sum("_c").over(Window.partitionBy(F.lit(0)).orderBy(value_col)
-                               .rowsBetween(Window.unboundedPreceding, 0))
-        c = vc.withColumn("_c_cum", cum)
-    else:
-        c = running_sums(vc, [value_col], ["_c"], suffix="_cum")
+    c = running_sums(vc, [value_col], ["_c"], suffix="_cum")
     return c.select(value_col, (F.col("_c_cum") / F.lit(float(n)) * 100.0).alias("cdf_pct"))
 
 

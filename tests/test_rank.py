@@ -98,12 +98,26 @@ def test_weighted_and_column_percentiles_match_numpy(spark, skewed):
         assert got[c] == pytest.approx(tuple(np.percentile(vals, [50, 90])), rel=1e-12)
 
 
-def test_weighted_percentiles_large_table_path(spark, skewed, monkeypatch):
-    """Force the range-partitioned running-count path (used for big value-count tables)."""
-    monkeypatch.setattr(R, "SMALL_COUNT_TABLE_ROWS", 0)
-    df, pdf = skewed
-    got = {r.column: r.p50 for r in R.column_percentiles(df, ["v"], [0.5]).collect()}
-    assert got["v"] == pytest.approx(np.percentile(pdf["v"].dropna(), 50), rel=1e-12)
+def test_grouped_percentiles_rank_values_not_rows(spark, monkeypatch):
+    """Nine tenths of the rows share one value: what is ranked holds that value once."""
+    seen = []
+    plain = R._range_sorted_checkpoint
+    monkeypatch.setattr(R, "_range_sorted_checkpoint", lambda df, *a: (seen.append(df.count()), plain(df, *a))[1])
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 > 0, 180.0).otherwise(F.col("id") / 10).alias("v"),
+                                    (F.col("id") % 2).alias("g"))
+    got = {r.g: (r.p, r.n) for r in R.exact_percentiles(df, "v", [0.05], ["g"], names=["p"],
+                                                        extra_aggs={"n": F.count("v")}).collect()}
+    pdf = df.toPandas()
+    for g, part in pdf.groupby("g"):
+        assert got[g] == (pytest.approx(np.percentile(part["v"], 5), rel=1e-12), len(part))
+    assert seen and max(seen) <= df.distinct().count()
+
+
+def test_percentiles_over_many_magnitudes(spark):
+    vals = [10.0 ** -(i % 200) for i in range(40_000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(4)
+    r = R.exact_percentiles(df, "v", [0.25, 0.5], names=["a", "b"], extra_aggs={"n": F.count("v")}).first()
+    assert (r.a, r.b) == pytest.approx(tuple(np.percentile(vals, [25, 50])), rel=1e-12) and r.n == 40_000
 
 
 @pytest.mark.parametrize("kind", ["continuous", "hot_value", "tiny"])
@@ -125,14 +139,6 @@ def test_global_percentiles_by_refinement(spark, kind, monkeypatch):
     assert [r[f"q{i}"] for i in range(len(probs))] == pytest.approx(list(np.percentile(vals, [p * 100 for p in probs])), rel=1e-12)
 
 
-def test_error_cdf_large_table_path(spark, monkeypatch):
-    monkeypatch.setattr(R, "SMALL_COUNT_TABLE_ROWS", 0)
-    df = spark.createDataFrame([(str(i), None if v is None else float(v)) for i, v in enumerate([1, 2, 2, 3, None])],
-                               "order_id string, abs_error double")
-    out = {r.abs_error: r.cdf_pct for r in R.error_cdf(df).collect()}
-    assert out == {1.0: 25.0, 2.0: 75.0, 3.0: 100.0}
-
-
 def test_global_percentiles_with_infinity_fall_back(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),)], "v double")
     r = R.exact_percentiles(df, "v", [0.0, 0.5], names=["a", "b"]).first()
