@@ -125,7 +125,7 @@ def segment_metrics_min_count(df: DataFrame, segment: str, min_count: int = SEGM
 
 def error_histogram(df: DataFrame, actual: str = "actual_eta_minutes", predicted: str = "predicted_eta_minutes",
                     bins: int = 50) -> DataFrame:
-    """Equal-width histogram of signed and absolute error: (kind, bin, lower, upper, count)."""
+    """Equal-width histogram of signed and absolute error: (kind, bin, lower, upper, count), empty bins included."""
     e = F.col(actual) - F.col(predicted)
     long = df.select(F.explode(F.array(
         F.struct(F.lit("error").alias("kind"), e.alias("v")),
@@ -135,10 +135,11 @@ def error_histogram(df: DataFrame, actual: str = "actual_eta_minutes", predicted
     j = long.join(F.broadcast(rng), "kind")  # two rows
     width = (F.col("hi") - F.col("lo")) / bins
     b = F.least(F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("lo"), width)), F.lit(0)), F.lit(bins - 1)).cast("int")
-    h = j.withColumn("bin", b).groupBy("kind", "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("count"))
-    w = (F.col("hi") - F.col("lo")) / bins
-    return h.select("kind", "bin", (F.col("lo") + F.col("bin") * w).alias("lower"),
-                    (F.col("lo") + (F.col("bin") + 1) * w).alias("upper"), "count")
+    h = j.withColumn("bin", b).groupBy("kind", "bin").agg(F.count(F.lit(1)).alias("n"))
+    grid = rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    return grid.join(h, ["kind", "bin"], "left").select(
+        "kind", "bin", (F.col("lo") + F.col("bin") * width).alias("lower"),
+        (F.col("lo") + (F.col("bin") + 1) * width).alias("upper"), F.coalesce("n", F.lit(0)).alias("count"))
 
 
 def cumulative_buckets(df: DataFrame, value: str, bounds: list[float], metric: str) -> DataFrame:

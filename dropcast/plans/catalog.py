@@ -293,7 +293,7 @@ def q_validate_target(spark, sf):
 
 @query("data_quality_profile")
 def q_profile(spark, sf):
-    return rounded(C.data_quality_profile(_raw(spark, sf).drop("order_timestamp")).withColumn(
+    return rounded(C.data_quality_profile(_raw(spark, sf)).withColumn(
         "total_columns", F.col("total_columns").cast("long")))
 
 
@@ -936,7 +936,7 @@ def q_tune(spark, sf):
     prep, _ = _trained(spark, sf)
     space = {"n_estimators": (5, 15, False), "learning_rate": (0.01, 0.3, True), "max_depth": (3, 6, False),
              "min_child_samples": (5, 100, False), "subsample": (0.5, 1.0, False), "colsample_bytree": (0.5, 1.0, False)}
-    table, _ = TR.tune_hyperparameters(prep.train, prep.features, n_trials=3, timeout_s=600, n_splits=2,
+    table, _ = TR.tune_hyperparameters(prep.train, prep.features, n_trials=3, n_splits=2,
                                        parallelism=2, space=space)
     return rounded(table)
 

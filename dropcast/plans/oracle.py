@@ -215,13 +215,13 @@ SQL["segment_metrics_min_count"] = with_pred(SEG.format(seg="day(order_timestamp
                                                         having="HAVING count(*) >= 100"))
 SQL["sort_segments"] = with_pred(SEG.format(seg="restaurant_id", segcast="s", having=""))
 SQL["error_histogram"] = with_pred("""
-SELECT kind, CAST(bin AS BIGINT) AS bin, round(lo + bin * (hi - lo) / 50e0, 6) AS lower,
-  round(lo + (bin + 1) * (hi - lo) / 50e0, 6) AS upper, count(*) AS count
-FROM (SELECT kind, lo, hi, least(coalesce(floor((v - lo) / ((hi - lo) / 50e0)), 0), 49) AS bin
-      FROM (SELECT kind, v, min(v) OVER (PARTITION BY kind) AS lo, max(v) OVER (PARTITION BY kind) AS hi
+SELECT kind, CAST(b AS BIGINT) AS bin, round(lo + b * (hi - lo) / 50e0, 6) AS lower,
+  round(lo + (b + 1) * (hi - lo) / 50e0, 6) AS upper, count(*) FILTER (WHERE bin = b) AS count
+FROM (SELECT kind, lo, hi, b, least(coalesce(floor((v - lo) / ((hi - lo) / 50e0)), 0), 49) AS bin
+      FROM range(0, 50) t(b), (SELECT kind, v, min(v) OVER (PARTITION BY kind) AS lo, max(v) OVER (PARTITION BY kind) AS hi
             FROM (SELECT 'error' AS kind, actual_eta_minutes - predicted_eta_minutes AS v FROM p
                   UNION ALL SELECT 'abs_error', abs(actual_eta_minutes - predicted_eta_minutes) FROM p)))
-GROUP BY kind, bin, lo, hi""")
+GROUP BY kind, b, lo, hi""")
 SQL["error_cdf"] = with_pred("""
 SELECT abs_error, round(max(rn) / max(n) * 100e0, 6) AS cdf_pct
 FROM (SELECT abs_error, row_number() OVER (ORDER BY abs_error, order_id) AS rn, count(*) OVER () AS n
@@ -275,10 +275,11 @@ def _profile_sql_named() -> str:
             ("restaurant_type", "string"), ("pickup_lat", "double"), ("pickup_lng", "double"),
             ("dropoff_lat", "double"), ("dropoff_lng", "double"), ("rider_avg_speed_kmh", "double"),
             ("rider_reliability", "double"), ("traffic_multiplier", "double"), ("weather_condition", "string"),
-            ("weather_multiplier", "double"), ("prep_time_minutes", "double"), ("actual_eta_minutes", "double")]
+            ("weather_multiplier", "double"), ("prep_time_minutes", "double"), ("actual_eta_minutes", "double"), ("order_timestamp", "timestamp_ntz")]
+    plain = ("string", "timestamp_ntz")
     parts = []
     for c, t in cols:
-        if t == "string":
+        if t in plain:
             stats = ("CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min,"
                      " CAST(NULL AS DOUBLE) AS max, CAST(NULL AS DOUBLE) AS skew")
         else:
@@ -289,11 +290,11 @@ def _profile_sql_named() -> str:
                      f" (avg(pow({x} - mu.{c}, 3)) / pow(avg(pow({x} - mu.{c}, 2)), 1.5e0))"
                      f" * sqrt(count({x}) * (count({x}) - 1e0)) / (count({x}) - 2e0) END, 6) AS skew")
         parts.append(
-            f"SELECT count(*) AS total_rows, CAST(16 AS BIGINT) AS total_columns, '{c}' AS column, '{t}' AS dtype,"
+            f"SELECT count(*) AS total_rows, CAST({len(cols)} AS BIGINT) AS total_columns, '{c}' AS column, '{t}' AS dtype,"
             f" count(*) FILTER (WHERE raw.{c} IS NULL) AS null_count,"
             f" round(count(*) FILTER (WHERE raw.{c} IS NULL) / count(*) * 100e0, 6) AS null_pct, {stats}"
             f" FROM raw, mu")
-    mu = "mu AS (SELECT " + ", ".join(f"avg(CAST({c} AS DOUBLE)) AS {c}" for c, t in cols if t != "string") + " FROM raw)"
+    mu = "mu AS (SELECT " + ", ".join(f"avg(CAST({c} AS DOUBLE)) AS {c}" for c, t in cols if t not in plain) + " FROM raw)"
     return with_d("\nUNION ALL\n".join(parts), raw=True, extra=mu)
 
 
