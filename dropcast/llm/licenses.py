@@ -85,8 +85,23 @@ KNOWN = [
     ("MIT", "SPDX-License-Identifier: MIT"), ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"), ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
 ]
+#: Digests of the normal forms of whole licence texts (as printed in Debian's common-licenses) that are too long for KNOWN.
+#: ``scan_both`` knows them; ``scan``, whose SQL is made from KNOWN, does not.
+FULL_TEXTS = [
+    ("Apache-2.0", "6074c3536c43b739207170b87d1681477d0f07374ed3d862ba461334cce848e3"),
+    ("GPL-2.0", "331b500eb3c5ee796906547305df82fff4a35b3aa03c1d3ea84d32078292b2e6"),
+    ("GPL-3.0", "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "a1b36de49a400e3d3385d5987188db954a084f9876243aa7207cd91de3f24a7b"),
+    ("MPL-2.0", "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+]
 #: A line that only says whose copyright it is: optional comment signs, then the mark, to the line's end.
 COPYRIGHT_LINE = r"(?m)^[ \t#*/;:<>!-]*(copyright|\(c\)|©|all rights reserved)([ \t]*(\(c\)|©|[0-9])[^\n]*|[ \t.]*)$"
+#: Every text in KNOWN has one of these in its normal form, and no normal form has one that its lower-cased text lacks.
+MARKS = ("licen", "software")
 NOT_WORD = r"[\x00-\x2f\x3a-\x60\x7b-\x7f‐-‟ ]+"
 
 
@@ -127,3 +142,34 @@ def scan_lines(docs: DataFrame, known: DataFrame | None = None, id_col: str = "d
     lines = lines.where(F.octet_length("line") > 0)
     found = scan(lines.select(F.struct(F.col(id_col).alias("id"), "line_no").alias("at"), "line"), known, "at", "line")
     return found.where("license_id is not null").select(F.col("at.id").alias(id_col), "at.line_no", "license_id")
+
+
+def scan_both(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, digest, license_id, line_licenses) of every row: the results of ``scan``, which here knows FULL_TEXTS too,
+    and, as an array of (line_no, license_id) in the order of the lines, those of ``scan_lines``. Rows without such a
+    line have an empty array; null and repeated ids stay apart. One pass, no shuffle: the known digests are one broadcast map. Unless
+    ``known`` is given, lines without any of ``MARKS`` are not digested, as they cannot be known.
+    """
+    marks = MARKS if known is None else ()
+    if known is None:
+        full = docs.sparkSession.createDataFrame(FULL_TEXTS, "license_id string, digest string")
+        known = known_digests(docs.sparkSession).unionByName(full)
+    table = known.agg(F.map_from_entries(F.collect_list(F.struct("digest", "license_id"))).alias("_known"))
+
+    def marked(text: Column) -> Column:
+        low = F.lower(text)
+        found = F.lit(not marks)
+        for m in marks:
+            found = found | F.contains(low, F.lit(m))
+        return found
+
+    text = F.col(text_col)
+    lines = F.transform(F.split(text, "\n"), lambda line, k: F.struct(k.alias("line_no"), line.alias("line")))
+    lines = F.filter(lines, lambda x: (F.octet_length(x["line"]) > 0) & marked(x["line"]))
+    none = F.array().cast("array<struct<line_no:int,license_id:string>>")
+    named = F.transform(lines, lambda x: F.struct(
+        x["line_no"].alias("line_no"), F.try_element_at("_known", F.sha2(canonical(x["line"]), 256)).alias("license_id")))
+    found = F.when(marked(text), F.filter(named, lambda x: x["license_id"].isNotNull()))
+    scanned = docs.crossJoin(F.broadcast(table)).select(
+        F.col(id_col), F.sha2(canonical(text), 256).alias("digest"), F.coalesce(found, none).alias("line_licenses"), "_known")
+    return scanned.select(id_col, "digest", F.try_element_at("_known", F.col("digest")).alias("license_id"), "line_licenses")

@@ -37,6 +37,10 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def license_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_both(table(spark, sf_dir, "documents"))
+
+
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op2_suffix_dedup": suffix_dedup_spans,
     "op3_byte_bpe_codec": byte_bpe_codec,
     "op4_license_scan": license_scan,
+    "op4_license_lines": license_lines,
     "op5_pfair_mix": source_mix,
     "op6_crf_toxicity": crf_toxicity,
     "op7_piece_token_counts": piece_token_counts,
