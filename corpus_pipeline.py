@@ -7,7 +7,7 @@ Parquet and read again as the next stage's documents. All but the last return th
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dropcast.llm import byte_bpe, minhash_dedup, mixing, suffix_dedup, toxicity
@@ -45,10 +45,25 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(order, same).orderBy("_position").select(*docs.columns)
 
 
+def file_positions(docs: DataFrame) -> DataFrame:
+    """The rows of Parquet files with their ``position`` from 0: files by part number and name, rows as they lie in a
+    file. Spark reads files by descending size, so the order of a DataFrame's rows does not tell. ``docs`` is read from files."""
+    lies = docs.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    part = F.regexp_extract("_file", r"^part-(\d+)", 1)
+    before = Window.partitionBy(F.lit(0)).orderBy(F.when(part != "", part.cast("long")), "_file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = lies.groupBy("_file").agg(F.count("*").alias("_n"))  # one row per file
+    starts = sizes.select(F.col("_file").alias("_f"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (lies.join(F.broadcast(starts), F.col("_file") == F.col("_f"))
+            .select(*docs.columns, (F.col("_before") + F.col("_row")).cast("long").alias("position")))
+
+
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids, n_tokens, exact) of every row, in the order of its input files."""
+    """(doc_id, ids, n_tokens, exact, position) of every row; ``position`` numbers the rows from 0 in the order of the
+    mixture, which is that of the input files. The order of the rows themselves says nothing."""
     ship_package(spark)
-    return byte_bpe.coded(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    placed = file_positions(docs).select(F.struct("doc_id", "position").alias("at"), "text")
+    out = byte_bpe.coded(placed, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, id_col="at")
+    return out.select("at.doc_id", "ids", "n_tokens", "exact", "at.position")
 
 
 STAGES = [
