@@ -1,107 +1,102 @@
 """Mixing sources to target weights by Pfair scheduling, in DataFrame and SQL functions only.
 
-Every source's rows are cut into blocks. Target weights are whole slots per frame: source s has the quota q(s),
-and the quotas add up to ``frame_slots``. In the ideal mixture all sources run side by side; at the point v of a
-frame (0 to 1) source s has run q(s) v blocks, or all it has left, and T(v) is the sum over the sources. The k-th
-block of a source in a frame has the release time floor(T(k / q)) and the deadline ceil(T((k + 1) / q)). One slot
-after the other takes, among the released blocks, the one with the earliest deadline (ties: smaller source). The
-ideal shares of any moment add up to one, so every block runs inside its window: after any slot a source has run
-less than one block more or less than in the ideal mixture, in which a source that runs out leaves its share to
-the others in proportion to their quotas.
-
-At the end of a frame all sources are exactly where they should be, so frames are independent, and frames with the
-same counts of blocks share a schedule. There are at most two kinds of frame more for each source; one frame of
-each kind is scheduled, in one SQL expression over at most ``frame_slots`` slots. Blocks get their slot by a join.
+Every source's rows are cut into blocks. In the ideal mixture all sources run side by side: at the point v source s,
+of the share w(s) of all weights, has run w(s) v blocks, or all it has; T(v) is the sum over the sources. The k-th
+block of a source has the release time floor(T(k / w)) and the deadline ceil(T((k + 1) / w)), over the whole run and
+for the exact weights, nothing is rounded. One slot after the other takes, among the released blocks, the one with
+the earliest deadline (ties: smaller source). The ideal shares of any moment add up to one, so every block runs inside
+its window: after any slot a source has run less than one block more or less than in the ideal mixture, in which a
+source that runs out leaves its share to the others in proportion to their weights.
+
+Slots are dealt in chunks of ``CHUNK_SLOTS``, each by one SQL expression over one row; the sources' current blocks are
+handed from chunk to chunk. A slot costs one look at each source. Blocks get their slot by a join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, grouped_rank
 
 FRAME_SLOTS = 1000
 BLOCK_ROWS = 16
+CHUNK_SLOTS = 1 << 16  # slots of one job, which hands the sources' states to the next one
+GROUP_SLOTS = 256  # slots appended to one array; the arrays of a chunk are joined at its end
+TINY = 1e-6  # ideal times are sums of doubles: so near to a whole slot they count as whole
+SLOT = "struct<s:int,k:bigint,release:bigint,deadline:bigint>"
 
 
-def target_quotas(counts: DataFrame, weights: dict[str | None, float] | None, temperature: float, frame_slots: int) -> DataFrame:
-    """(source, n_rows, quota): whole slots per frame by largest remainders, at least one for every source.
+def target_quotas(counts: DataFrame, weights: dict[str | None, float] | None, temperature: float, block_rows: int) -> DataFrame:
+    """One row with ``sources``, an array of (source, share, n_blocks) in the order of the sources; the shares add up to 1.
 
     Weights: as given (a source that is not named gets the smallest given weight), else rows ** temperature.
     """
     if weights is None:
-        weighted = counts.withColumn("w", F.pow(F.col("n_rows").cast("double"), F.lit(temperature)))
+        w = F.pow(F.col("n_rows").cast("double"), F.lit(temperature))
     else:
         pairs = [F.when(F.col("source").eqNullSafe(F.lit(s)), F.lit(float(w))) for s, w in weights.items()]
-        weighted = counts.withColumn("w", F.coalesce(*pairs, F.lit(float(min(weights.values())))))
-    every = Window.partitionBy(F.lit(0))  # one row per source
-    shared = (weighted.withColumn("free", F.lit(frame_slots) - F.count("*").over(every))
-              .withColumn("exact", F.col("w") / F.sum("w").over(every) * F.col("free"))
-              .withColumn("floor", F.floor("exact")))
-    left = F.col("free") - F.sum("floor").over(every)
-    place = F.row_number().over(every.orderBy((F.col("exact") - F.col("floor")).desc(), F.col("source").asc_nulls_first()))
-    return shared.select("source", "n_rows", (1 + F.col("floor") + (place <= left).cast("long")).cast("long").alias("quota"))
+        w = F.coalesce(*pairs, F.lit(float(min(weights.values()))))
+    entry = F.struct(F.coalesce("source", F.lit("")).alias("order"), F.col("source").isNotNull().alias("named"), "source",
+                     w.alias("w"), F.ceil(F.col("n_rows") / block_rows).alias("n_blocks"))
+    every = counts.agg(F.array_sort(F.collect_list(entry)).alias("given")).withColumn(
+        "all", F.aggregate("given", F.lit(0.0), lambda a, x: a + x["w"]))
+    return every.select(F.transform("given", lambda x: F.struct(
+        x["source"].alias("source"), (x["w"] / F.col("all")).alias("share"), x["n_blocks"].alias("n_blocks"))).alias("sources"))
 
 
-def _windows(shares: Column) -> Column:
-    """For each source the ideal times T at its blocks' bounds; ``shares``: array<struct(quota, count)> of a frame."""
-    def ideal(quota: Column, k: Column) -> Column:
-        zero = F.lit(0.0)
-        return F.aggregate(shares, zero, lambda a, x: a + F.least(x["quota"] * k / quota, x["count"].cast("double")))
+def _current(s: Column, k: Column, begin: Column) -> Column:
+    """(k, release, deadline, end) of block k of the source ``s``; ``begin`` and ``end`` are the ideal times of its
+    bounds. The deadline is null after the last block."""
+    end = F.aggregate("sources", F.lit(0.0), lambda a, x: a + F.least(x["share"] * (k + 1) / s["share"], x["n_blocks"].cast("double")))
+    return F.transform(F.array(F.when(k < s["n_blocks"], end)), lambda e: F.struct(
+        k.alias("k"), F.floor(begin + TINY).alias("release"), F.ceil(e - TINY).alias("deadline"), e.alias("end")))[0]
 
-    none = F.array().cast("array<double>")
-    return F.transform(shares, lambda s: F.when(s["count"] > 0, F.transform(
-        F.sequence(F.lit(0).cast("long"), s["count"]), lambda k: ideal(s["quota"], k))).otherwise(none))
 
+def _begin() -> Column:
+    return F.transform("sources", lambda s: _current(s, F.lit(0).cast("long"), F.lit(0.0)))
 
-def _schedule(windows: Column, n: Column) -> Column:
-    """Slots of one frame: array of struct(s, k, release, deadline); s is the index of a source in ``windows``."""
-    tiny = 1e-9  # ideal times are sums of fractions with denominators of at most frame_slots
-    none = F.lit(None)
 
+def _schedule(first: int, n: int) -> Column:
+    """(current, slots) after the slots first to first + n - 1, from the column ``current``; slots: array of SLOT."""
     def slot(state: Column, t: Column) -> Column:
-        def earliest(best: Column, s: Column) -> Column:
-            own, k = F.get(windows, s), F.get(state["done"], s)
-            release = F.floor(F.get(own, k.cast("int")) + tiny)
-            deadline = F.ceil(F.get(own, (k + 1).cast("int")) - tiny)
-            better = deadline.isNotNull() & (release <= t) & (best["s"].isNull() | (deadline < best["deadline"]))
-            new = F.struct(s.alias("s"), k.alias("k"), release.alias("release"), deadline.alias("deadline"))
-            return F.when(better, new).otherwise(best)
-
-        start = F.struct(none.cast("int").alias("s"), none.cast("long").alias("k"),
-                         none.cast("long").alias("release"), none.cast("long").alias("deadline"))
-        best = F.aggregate(F.sequence(F.lit(0), F.size(windows) - 1), start, earliest)
-        return F.transform(F.array(best), lambda b: F.struct(
-            F.transform(state["done"], lambda d, i: d + (i == b["s"]).cast("long")).alias("done"),
-            F.concat(state["slots"], F.array(b)).alias("slots")))[0]
-
-    empty = F.array().cast("array<struct<s:int,k:bigint,release:bigint,deadline:bigint>>")
-    begin = F.struct(F.transform(windows, lambda w: F.lit(0).cast("long")).alias("done"), empty.alias("slots"))
-    return F.aggregate(F.sequence(F.lit(0).cast("long"), n - 1), begin, slot, lambda s: s["slots"])
-
-
-def frames(quotas: DataFrame, block_rows: int) -> DataFrame:
-    """(source, quota, first_frame, n_frames, first_slot, frame_len, k, slot, release, deadline): for each kind of
-    frame and each block of a source in it, the slot in the frame. A bounded table: at most 2 x sources + 1 kinds
-    of at most ``frame_slots`` slots."""
-    every = Window.partitionBy(F.lit(0)).orderBy("first_frame")
-    blocks = quotas.withColumn("n_blocks", F.ceil(F.col("n_rows") / block_rows)).withColumn("full", F.floor(F.col("n_blocks") / F.col("quota")))
-    one = blocks.agg(F.array_sort(F.collect_list(F.struct(F.coalesce("source", F.lit("")).alias("order"), F.col("source").isNotNull().alias("named"),
-                                                          "source", "quota", "n_blocks"))).alias("sources"),
-                     F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array(F.lit(0).cast("long"), F.col("full"), F.col("full") + 1))))).alias("starts"))
-    kinds = one.select("sources", F.explode("starts").alias("first_frame"))
-    here = lambda s: F.greatest(F.lit(0).cast("long"), F.least(s["quota"], s["n_blocks"] - s["quota"] * F.col("first_frame")))
-    share = F.transform("sources", lambda s: F.struct(s["quota"].alias("quota"), here(s).alias("count")))
-    kinds = (kinds.withColumn("shares", share).withColumn("n_frames", F.lead("first_frame").over(every) - F.col("first_frame"))
-             .withColumn("frame_len", F.aggregate("shares", F.lit(0).cast("long"), lambda a, x: a + x["count"])).where("frame_len > 0"))
-    before = F.sum(F.col("frame_len") * F.col("n_frames")).over(every.rowsBetween(Window.unboundedPreceding, -1))
-    kinds = kinds.withColumn("first_slot", F.coalesce(before, F.lit(0).cast("long")))
-    kinds = kinds.repartition("first_frame").withColumn("windows", _windows(F.col("shares")))
-    slots = kinds.select("*", F.posexplode(_schedule(F.col("windows"), F.col("frame_len"))).alias("slot", "b"))
-    return slots.select(F.get("sources", F.col("b.s")).alias("s"), "first_frame", "n_frames", "first_slot", "frame_len",
-                        "b.k", F.col("slot").cast("long").alias("slot"), "b.release", "b.deadline").select(
-        "s.source", "s.quota", "first_frame", "n_frames", "first_slot", "frame_len", "k", "slot", "release", "deadline")
+        # no released block only where rounded times leave a gap: then the earliest deadline of all
+        best = F.array_min(F.transform(state["current"], lambda c, i: F.when(
+            c["deadline"].isNotNull(), F.struct((c["release"] > t).alias("early"), c["deadline"].alias("deadline"), i.alias("i")))))
+
+        def taken(i: Column) -> Column:
+            own = F.get(state["current"], i)
+            after = F.transform(state["current"], lambda c, j: F.when(
+                j == i, _current(F.get("sources", i), c["k"] + 1, c["end"])).otherwise(c))
+            one = F.struct(i.alias("s"), own["k"].alias("k"), own["release"].alias("release"), own["deadline"].alias("deadline"))
+            return F.struct(after.alias("current"), F.concat(state["slots"], F.array(one)).alias("slots"))
+
+        return F.transform(F.array(best["i"]), taken)[0]
+
+    def group(state: Column, t: Column) -> Column:
+        start = F.struct(state["current"].alias("current"), F.array().cast(f"array<{SLOT}>").alias("slots"))
+        last = F.least(t + GROUP_SLOTS - 1, F.lit(first + n - 1).cast("long"))
+        done = F.aggregate(F.sequence(t, last), start, slot)
+        return F.transform(F.array(done), lambda d: F.struct(
+            d["current"].alias("current"), F.concat(state["slots"], F.array(d["slots"])).alias("slots")))[0]
+
+    begin = F.struct(F.col("current").alias("current"), F.array().cast(f"array<array<{SLOT}>>").alias("slots"))
+    starts = F.sequence(F.lit(first).cast("long"), F.lit(first + n - 1).cast("long"), F.lit(GROUP_SLOTS).cast("long"))
+    return F.aggregate(starts, begin, group, lambda x: F.struct(x["current"].alias("current"), F.flatten(x["slots"]).alias("slots")))
+
+
+def schedule(quotas: DataFrame, chunk_slots: int | None = None) -> DataFrame | None:
+    """(source, share, block, slot, release, deadline) of every block, None if there is none. ``quotas``: see ``target_quotas``."""
+    total = quotas.select(F.aggregate("sources", F.lit(0).cast("long"), lambda a, x: a + x["n_blocks"])).first()[0]
+    state, plan, chunk_slots = quotas.withColumn("current", _begin()), None, chunk_slots or CHUNK_SLOTS
+    for first in range(0, total, chunk_slots):
+        step = state.select("sources", _schedule(first, min(chunk_slots, total - first)).alias("x"))
+        state = cut(step.select("sources", "x.current", "x.slots"), "mix-slots")
+        slots = state.select("sources", F.posexplode("slots").alias("at", "b")).select(
+            F.get("sources", F.col("b.s")).alias("s"), (F.col("at") + F.lit(first).cast("long")).alias("slot"), "b")
+        slots = slots.select("s.source", "s.share", F.col("b.k").alias("block"), "slot", "b.release", "b.deadline")
+        plan = slots if plan is None else plan.union(slots)
+    return plan
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, temperature: float = 0.5,
@@ -109,35 +104,22 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, tempera
     """(id, source, quota, block, release, deadline, slot, row_in_block, position) of every row.
 
     ``position`` orders the mixture: slot x block_rows + row in block (gaps only after a source's last, partial
-    block). ``release`` and ``deadline`` are the block's window in slots of the whole mixture. A null source is a
+    block). ``release`` and ``deadline`` are the block's window in slots of the whole mixture. ``quota`` is the
+    source's exact target in ``frame_slots`` slots. A null source is a
     source; null and repeated ids are kept; other columns are ignored; an empty table gives an empty result. Rows
-    of a source are taken in hash order; rows with equal ids are interchangeable. No more sources than
-    ``frame_slots`` are possible (an error says so). No rows are dropped or repeated: a source that runs out
-    leaves its share to the others.
+    of a source are taken in hash order; rows with equal ids are interchangeable. Any number of sources is
+    possible. No rows are dropped or repeated: a source that runs out leaves its share to the others.
     """
     if weights is not None and (not weights or min(weights.values()) <= 0):
         raise ValueError("weights must be positive")
     rows = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.xxhash64(F.col(id_col)).alias("h")), "mix-rows")
     counts = rows.groupBy("source").agg(F.count("*").alias("n_rows")).withColumn("source", F.col("source").cast("string"))
-    n_sources = counts.count()
-    if n_sources > frame_slots:
-        raise ValueError(f"{n_sources} sources, but a frame has only {frame_slots} slots: raise frame_slots")
-    quotas = target_quotas(counts, weights, temperature, frame_slots)
-    plan = cut(frames(quotas, block_rows), "mix-frames").where("slot is not null")
-    # kinds of frame a source takes part in: few short arrays, one row per source
-    kinds = plan.groupBy("source", "quota").agg(F.array_sort(F.collect_set("first_frame")).alias("starts"))
+    plan = schedule(cut(target_quotas(counts, weights, temperature, block_rows), "mix-shares"))
+    if plan is None:
+        plan = docs.sparkSession.createDataFrame([], "source string, share double, block long, slot long, release long, deadline long")
     ranked = grouped_rank(rows.withColumn("source", F.col("source").cast("string")), "source", ["h", "id"], "rank")
-    block = F.floor(F.col("rank") / block_rows)
-    of_source = kinds.select(F.col("source").alias("_s"), "quota", "starts")
-    blocks = (ranked.withColumn("block", block).withColumn("row_in_block", F.col("rank") % block_rows)
-              .join(F.broadcast(of_source), ranked["source"].eqNullSafe(of_source["_s"]))
-              .withColumn("frame", F.floor(F.col("block") / F.col("quota"))).withColumn("k", F.col("block") % F.col("quota"))
-              .withColumn("first_frame", F.array_max(F.filter("starts", lambda x: x <= F.col("frame")))))
-    p = plan.select(F.col("source").alias("_p"), F.col("first_frame").alias("_f"), F.col("k").alias("_k"), "first_slot", "frame_len", "slot", "release", "deadline")
-    # at most (2 x sources + 1) x frame_slots rows of a few dozen bytes
-    placed = blocks.join(p, blocks["source"].eqNullSafe(p["_p"]) & (blocks["first_frame"] == p["_f"]) & (blocks["k"] == p["_k"]))
-    base = F.col("first_slot") + (F.col("frame") - F.col("first_frame")) * F.col("frame_len")
-    return placed.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "quota", "block",
-                         (base + F.col("release")).alias("release"), (base + F.col("deadline")).alias("deadline"),
-                         (base + F.col("slot")).alias("slot"), "row_in_block",
-                         ((base + F.col("slot")) * block_rows + F.col("row_in_block")).alias("position"))
+    blocks = ranked.withColumn("_block", F.floor(F.col("rank") / block_rows)).withColumn("row_in_block", F.col("rank") % block_rows)
+    placed = blocks.join(plan.withColumnRenamed("source", "_p"), blocks["source"].eqNullSafe(F.col("_p")) & (F.col("_block") == F.col("block")))
+    return placed.select(F.col("id").alias(id_col), F.col("source").alias(source_col), (F.col("share") * frame_slots).alias("quota"),
+                         "block", "release", "deadline", "slot", "row_in_block",
+                         (F.col("slot") * block_rows + F.col("row_in_block")).alias("position"))
