@@ -895,18 +895,17 @@ def q_gauges(spark, sf):
 
 from . import training as TR  # noqa: E402
 
-# Query-sized boosting settings (the published defaults stay available in GBT_DEFAULTS).
-QUERY_GBT = dict(n_estimators=30, learning_rate=0.1, max_depth=5, min_child_samples=20, subsample=0.8,
-                 colsample_bytree=0.8)
+TUNE_TRIALS = 50
+CV_FOLDS = 5
 _MEMO: dict = {}
 
 
 def _trained(spark, sf):
-    """Prepared data and fitted GBT, memoised per session and input folder."""
+    """Prepared data and GBT fitted with the published settings, memoised per session and input folder."""
     key = (id(spark), sf)
     if key not in _MEMO:
         prep = TR.prepare_data(_d(spark, sf))
-        model = TR.train_gbt(prep.train, prep.features, TR.gbt_params(**QUERY_GBT))
+        model = TR.train_gbt(prep.train, prep.features, TR.gbt_params())
         _MEMO[key] = (prep, model)
     return _MEMO[key]
 
@@ -919,25 +918,22 @@ def q_train_gbt(spark, sf):
 
 @query("train_alt_model")
 def q_train_alt(spark, sf):
-    prep, _ = _trained(spark, sf)
-    m = TR.train_alt_model(prep.train, prep.features, TR.gbt_params(**QUERY_GBT))
+    prep = TR.prepare_data(_d(spark, sf))
+    m = TR.train_alt_model(prep.train, prep.features, TR.gbt_params())
     return rounded(TR.predict(m, prep.test).select("order_id", "actual_eta_minutes", "predicted_eta_minutes"))
 
 
 @query("cross_validate_time")
 def q_cv(spark, sf):
-    prep, _ = _trained(spark, sf)
-    fm, _ = TR.cross_validate_time(prep.train, prep.features, TR.gbt_params(**dict(QUERY_GBT, n_estimators=10)), 5)
+    prep = TR.prepare_data(_d(spark, sf))
+    fm, _ = TR.cross_validate_time(prep.train, prep.features, TR.gbt_params(), CV_FOLDS)
     return rounded(fm)
 
 
 @query("tune_hyperparameters")
 def q_tune(spark, sf):
-    prep, _ = _trained(spark, sf)
-    space = {"n_estimators": (5, 15, False), "learning_rate": (0.01, 0.3, True), "max_depth": (3, 6, False),
-             "min_child_samples": (5, 100, False), "subsample": (0.5, 1.0, False), "colsample_bytree": (0.5, 1.0, False)}
-    table, _ = TR.tune_hyperparameters(prep.train, prep.features, n_trials=3, n_splits=2,
-                                       parallelism=2, space=space)
+    prep = TR.prepare_data(_d(spark, sf))
+    table, _ = TR.tune_hyperparameters(prep.train, prep.features, n_trials=TUNE_TRIALS, n_splits=CV_FOLDS)
     return rounded(table)
 
 
