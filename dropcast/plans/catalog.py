@@ -990,7 +990,13 @@ def q_save_model(spark, sf):
 @query("evaluation_report")
 def q_eval_report(spark, sf):
     prep, model = _trained(spark, sf)
-    return rounded(TR.evaluation_report(model, prep).metrics)
+    rep = TR.evaluation_report(model, prep)
+    # one table: a row per split, then a row per hour and per weekday of the test rows
+    out = rep.metrics.withColumn("part", F.col("split"))
+    for name, seg in (("hour_of_day", rep.hour_segments), ("day_of_week", rep.dow_segments)):
+        out = out.unionByName(seg.withColumn("part", F.lit(name)), allowMissingColumns=True)
+    sizes = {"n_train": F.lit(prep.train.count()), "n_test": F.lit(prep.test.count())}
+    return rounded(out.withColumns(sizes))
 
 
 @query("target_met")
