@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, byte_bpe, embedding_dedup, licenses, minhash_dedup, mixing, sharding, suffix_dedup, token_counts, toxicity
+from . import ann, byte_bpe, embedding_dedup, licenses, merkle, minhash_dedup, mixing, sharding, suffix_dedup, token_counts, toxicity
 from .common import ship_package, table
 from .sql import SQL
 
@@ -61,6 +61,11 @@ def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, subroot, root, proof digest, and the check of a copy that lost line feeds."""
+    return merkle.verify_copy(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -82,4 +87,5 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op8_lpt_shards": lpt_shards,
     "op9_embedding_near_dedup": embedding_near_dedup,
     "op10_minhash_near_dedup": minhash_near_dedup,
+    "op11_merkle_manifest": merkle_manifest,
 }.items()}

@@ -66,7 +66,54 @@ def embedding_near_dedup(threshold: float = THRESHOLD) -> str:
         FROM smallest LEFT JOIN counts USING (vec_id)"""
 
 
+def _crc32(text: str) -> str:
+    """crc32 of an ASCII text: the bits of each byte one after the other (-1 stands for a shift)."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [unicode(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    shift = "xor(acc >> 1, CASE WHEN acc & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    bits = f"xor(list_reduce(list_prepend(4294967295, {steps}), lambda acc, v: CASE WHEN v < 0 THEN {shift} ELSE xor(acc, v) END), 4294967295)"
+    return f"CASE WHEN {text} IS NOT NULL THEN {bits} END"
+
+
+def merkle_manifest() -> str:
+    """Both trees level by level, and every leaf walked up on its own."""
+    def digest(text: str) -> str:
+        return "sha256(" + " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def tree(name: str, leaves: str) -> str:
+        return f"""
+        {name} AS (SELECT tree, 0 AS lvl, pos, n, digest FROM {leaves}
+            UNION ALL SELECT tree, lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+            FROM {name} WHERE n > 1 GROUP BY tree, lvl, pos // 3, n),
+        {name}_siblings AS (SELECT a.tree, a.lvl, a.pos,
+                coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+                coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+            FROM {name} AS a JOIN {name} AS b ON a.tree = b.tree AND a.lvl = b.lvl AND a.pos // 3 = b.pos // 3 WHERE a.n > 1 GROUP BY ALL)"""
+
+    def walk(name: str, start: str, over: str) -> str:
+        return f"""
+        {name}_steps AS ({start}
+            UNION ALL SELECT w.row, w.tree, w.lvl + 1, w.pos // 3, sha256(s.l || w.copy || s.r), w.proof || s.l || s.r
+            FROM {name}_steps AS w JOIN {over}_siblings AS s ON w.tree = s.tree AND w.lvl = s.lvl AND w.pos = s.pos),
+        {name} AS (SELECT row, arg_max(copy, lvl) AS copy, arg_max(proof, lvl) AS proof FROM {name}_steps GROUP BY row)"""
+
+    return f"""
+        WITH RECURSIVE given AS (SELECT row_number() OVER () AS row, *, coalesce('=' || source, '-') AS tree, {digest("text")} AS digest,
+            {digest("CASE WHEN lost THEN replace(text, chr(10), '') ELSE text END")} AS copy
+            FROM (SELECT *, coalesce(({_crc32("doc_id::VARCHAR")}) % 2 = 0, false) AS lost FROM documents)),
+        leaves AS (SELECT row, doc_id, tree, digest, copy, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest, row) - 1 AS pos,
+            count(*) OVER (PARTITION BY tree) AS n FROM given),
+        {tree("lower_", "leaves")},
+        tops AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n, digest, tree AS source FROM lower_ WHERE n = 1),
+        {tree("upper_", "tops")},
+        {walk("inside", "SELECT row, tree, 0 AS lvl, pos, copy, '' AS proof FROM leaves", "lower_")},
+        {walk("above", "SELECT i.row, '' AS tree, 0 AS lvl, t.pos, i.copy, i.proof FROM inside AS i JOIN leaves AS l USING (row) JOIN tops AS t ON t.source = l.tree", "upper_")}
+        SELECT l.doc_id, l.digest AS leaf, t.digest AS subroot, root.digest AS root, sha256(a.proof) AS proof_sha256, a.copy AS folded_root,
+               a.copy = root.digest AS verified
+        FROM leaves AS l JOIN above AS a USING (row) JOIN tops AS t ON t.source = l.tree CROSS JOIN (SELECT digest FROM upper_ WHERE n = 1) AS root"""
+
+
 SQL = {
+    "op11_merkle_manifest": merkle_manifest(),
     "op2_suffix_dedup": suffix_dedup(),
     "op4_license_scan": license_scan(),
     "op9_embedding_near_dedup": embedding_near_dedup(),
