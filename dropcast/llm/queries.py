@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, byte_bpe, embedding_dedup, licenses, merkle, minhash_dedup, mixing, sharding, suffix_dedup, token_counts, toxicity
+from . import ann, byte_bpe, embedding_dedup, licenses, merkle, minhash_dedup, mixing, sharding, suffix_dedup, token_counts, toxicity, vector_codes
 from .common import ship_package, table
 from .sql import SQL
 
@@ -66,6 +66,11 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_copy(table(spark, sf_dir, "documents"))
 
 
+def part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's codes, its error, that of its label, and the digest of the codebooks."""
+    return vector_codes.label_codes(table(spark, sf_dir, "embeddings"))
+
+
 def _shipped(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -88,4 +93,5 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op9_embedding_near_dedup": embedding_near_dedup,
     "op10_minhash_near_dedup": minhash_near_dedup,
     "op11_merkle_manifest": merkle_manifest,
+    "op12_vector_codes": part_codes,
 }.items()}

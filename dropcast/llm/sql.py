@@ -9,6 +9,7 @@ from __future__ import annotations
 from .embedding_dedup import THRESHOLD
 from .licenses import COPYRIGHT_LINE, EQUIVALENT, KNOWN, NOT_WORD
 from .suffix_dedup import LENGTH
+from .vector_codes import ENTRIES, PARTS, ROUNDS, SCALE
 
 
 def _quoted(text: str) -> str:
@@ -112,8 +113,40 @@ def merkle_manifest() -> str:
         FROM leaves AS l JOIN above AS a USING (row) JOIN tops AS t ON t.source = l.tree CROSS JOIN (SELECT digest FROM upper_ WHERE n = 1) AS root"""
 
 
+def vector_codes(parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS, scale: int = SCALE) -> str:
+    """Every round as an assignment of all parts to all entries; components are whole numbers, exact as doubles."""
+    def assigned(books: str) -> str:
+        far = "list_inner_product(x.part_x, x.part_x) - 2 * list_inner_product(x.part_x, b.entry_x) + list_inner_product(b.entry_x, b.entry_x)"
+        return f"""SELECT x.row, x.part, min({{'far': {far}, 'entry': b.entry}}) AS best
+            FROM cut AS x JOIN {books} AS b ON x.part = b.part GROUP BY x.row, x.part"""
+
+    steps = "".join(f"""
+        near{k} AS MATERIALIZED ({assigned(f"books{k}")}),
+        mean{k} AS (SELECT part, entry, list(mean ORDER BY place) AS entry_x
+            FROM (SELECT part, entry, place, floor(sum(value) / count(*)) AS mean
+                  FROM (SELECT x.part, n.best.entry AS entry, unnest(x.part_x) AS value, unnest(range(len(x.part_x))) AS place
+                        FROM cut AS x JOIN near{k} AS n ON x.row = n.row AND x.part = n.part) GROUP BY ALL) GROUP BY ALL),
+        books{k + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.entry_x, b.entry_x) AS entry_x
+            FROM books{k} AS b LEFT JOIN mean{k} AS m ON b.part = m.part AND b.entry = m.entry),""" for k in range(rounds))
+    return f"""
+        WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, x) - 1 AS row, vec_id, label, x
+            FROM (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings)
+            WHERE x IS NOT NULL AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        size AS (SELECT (max(len(x)) + {parts - 1}) // {parts} AS width FROM kept),
+        filled AS (SELECT row, width, list_transform(list_resize(x, width * {parts}, 0::DOUBLE), lambda c: floor({scale} * c)) AS x FROM kept, size),
+        cut AS MATERIALIZED (SELECT row, part, x[part * width + 1:(part + 1) * width] AS part_x
+            FROM (SELECT *, unnest(range({parts})) AS part FROM filled)),
+        books0 AS MATERIALIZED (SELECT part, row AS entry, part_x AS entry_x FROM cut WHERE row < {entries}),{steps}
+        last AS MATERIALIZED ({assigned(f"books{rounds}")}),
+        coded AS (SELECT row, string_agg(format('{{:02x}}', best.entry), '' ORDER BY part) AS code, sum(best.far)::BIGINT AS error FROM last GROUP BY row),
+        digest AS (SELECT sha256(string_agg(array_to_string(list_transform(entry_x, lambda c: c::BIGINT), ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM books{rounds})
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+        FROM coded JOIN kept USING (row), digest"""
+
+
 SQL = {
     "op11_merkle_manifest": merkle_manifest(),
+    "op12_vector_codes": vector_codes(),
     "op2_suffix_dedup": suffix_dedup(),
     "op4_license_scan": license_scan(),
     "op9_embedding_near_dedup": embedding_near_dedup(),
