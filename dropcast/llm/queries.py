@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, byte_bpe, embedding_dedup, licenses, merkle, minhash_dedup, mixing, sharding, suffix_dedup, token_counts, toxicity, vector_codes
+from . import ann, byte_bpe, embedding_dedup, licenses, lm, merkle, minhash_dedup, mixing, sharding, suffix_dedup, token_counts, toxicity, vector_codes
 from .common import ship_package, table
 from .sql import SQL
 
@@ -71,6 +71,11 @@ def part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.label_codes(table(spark, sf_dir, "embeddings"))
 
 
+def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability by the model of the documents that are not held out."""
+    return lm.score_documents(spark, table(spark, sf_dir, "documents"))
+
+
 def _shipped(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -94,4 +99,5 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op10_minhash_near_dedup": minhash_near_dedup,
     "op11_merkle_manifest": merkle_manifest,
     "op12_vector_codes": part_codes,
+    "op13_kneser_ney": kneser_ney,
 }.items()}

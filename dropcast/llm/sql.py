@@ -144,9 +144,47 @@ def vector_codes(parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUND
         FROM coded JOIN kept USING (row), digest"""
 
 
+def kneser_ney() -> str:
+    """The model as tables of pairs, contexts and words. A text's end is the empty word, its beginning a blank."""
+    def discounts(name: str, counts: str, column: str) -> str:
+        n = ", ".join(f"count(*) FILTER ({column} = {k})::DOUBLE AS n{k}" for k in (1, 2, 3, 4))
+        raw = ", ".join(f"{k} - {k + 1} * n1 / (n1 + 2 * n2) * n{k + 1} / n{k} AS d{k}" for k in (1, 2, 3))
+        fits = "least(n1, n2, n3, n4) > 0 AND " + " AND ".join(f"d{k} BETWEEN 0 AND {k}" for k in (1, 2, 3))
+        chosen = ", ".join(f"CASE WHEN {fits} THEN d{k} ELSE {0.5 * k} END AS {name}{k}" for k in (1, 2, 3))
+        return f"{name} AS (SELECT {chosen} FROM (SELECT *, {raw} FROM (SELECT {n} FROM {counts})))"
+
+    def less(count: str, name: str) -> str:
+        return f"(CASE WHEN coalesce({count}, 0) = 0 THEN 0 WHEN {count} = 1 THEN 1 - {name}1 WHEN {count} = 2 THEN 2 - {name}2 ELSE {count} - {name}3 END)"
+
+    def counts(column: str) -> str:
+        return ", ".join(f"count(*) FILTER ({column} {test}) AS n{k}" for k, test in ((1, "= 1"), (2, "= 2"), (3, ">= 3")))
+
+    letters = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    return f"""
+        WITH split AS (SELECT row_number() OVER () AS row, doc_id, coalesce(({_crc32("doc_id::VARCHAR")}) % 5 = 1, false) AS held_out,
+            regexp_extract_all(translate(coalesce(text, ''), {letters}), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        tokens AS (SELECT row, held_out, unnest(list_prepend(' ', words)) AS v, unnest(list_append(words, '')) AS w FROM split),
+        pairs AS MATERIALIZED (SELECT v, w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY v, w),
+        contexts AS MATERIALIZED (SELECT v, sum(c)::BIGINT AS total, {counts("c")} FROM pairs GROUP BY v),
+        words AS MATERIALIZED (SELECT w, sum(c)::BIGINT AS c, count(*) AS before FROM pairs GROUP BY w),
+        {discounts("d", "pairs", "c")},
+        {discounts("e", "words", "before")},
+        totals AS (SELECT coalesce(sum(c), 0)::BIGINT AS tokens, count(*) AS words, coalesce(sum(before), 0) AS pairs, {counts("before")} FROM words),
+        known AS (SELECT t.row, coalesce(w.c, 0) AS c, tokens, log10((coalesce(w.c, 0) + 0.5) / (tokens + 0.5 * (words + 1))) AS base,
+                CASE WHEN pairs > 0 THEN ({less("w.before", "e")} + (e1 * a.n1 + e2 * a.n2 + e3 * a.n3) / (words + 1)) / pairs ELSE 1 END AS lower,
+                x.total, {less("p.c", "d")} AS seen, d1 * x.n1 + d2 * x.n2 + d3 * x.n3 AS mass
+            FROM tokens AS t LEFT JOIN words AS w ON t.w = w.w LEFT JOIN pairs AS p ON t.v = p.v AND t.w = p.w
+                LEFT JOIN contexts AS x ON t.v = x.v, totals AS a, d, e),
+        scored AS (SELECT row, count(*) AS n_tokens, count(*) FILTER (c > 0) AS n_known, any_value(tokens) AS train_tokens, sum(base) AS base_score,
+            sum(log10(CASE WHEN total IS NULL THEN lower ELSE seen / total + mass / total * lower END)) AS score FROM known GROUP BY row)
+        SELECT doc_id, held_out, n_tokens, n_known, train_tokens, round(base_score, 6) AS base_score, round(score, 6) AS score
+        FROM scored JOIN split USING (row)"""
+
+
 SQL = {
     "op11_merkle_manifest": merkle_manifest(),
     "op12_vector_codes": vector_codes(),
+    "op13_kneser_ney": kneser_ney(),
     "op2_suffix_dedup": suffix_dedup(),
     "op4_license_scan": license_scan(),
     "op9_embedding_near_dedup": embedding_near_dedup(),
