@@ -5,12 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from functools import reduce
+from operator import and_
 from pathlib import Path
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import checked_broadcast
 from ..session import scratch_path
 
 
@@ -36,7 +39,25 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     the files outlive any executor)."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Empty the files of a table that ``cut`` wrote, when what was read from it has been written in its turn."""
+    df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(df.cut_path)
+
+
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of ``docs`` and, as the struct ``row``, all its columns (f0, f1, ... whatever they are called), so
+    that no name of a caller's column can clash with one that an operator adds."""
+    return docs.select(*columns, F.struct(*(F.col(f"`{c}`").alias(f"f{k}") for k, c in enumerate(docs.columns))).alias("row"))
+
+
+def unpacked(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns packed in ``row``, under their names; ``changed`` ones are replaced."""
+    return rows.select(*(changed.get(c, F.col(f"row.f{k}")).alias(c) for k, c in enumerate(columns)))
 
 
 def grouped_rank(df: DataFrame, group: str, order: list[str], out: str, rows_per_bucket: int = 1024) -> DataFrame:
@@ -45,10 +66,18 @@ def grouped_rank(df: DataFrame, group: str, order: list[str], out: str, rows_per
     Rows are dealt into (group, hash bucket) cells of about ``rows_per_bucket`` rows at most;
     a row's rank is its place in the cell (by ``order``) plus the sizes of the group's earlier
     cells. A group with most of the rows spans most of the cells. Rows equal in every ``order``
-    column are interchangeable.
+    column are interchangeable; where they are more than a cell's worth they are dealt singly.
     """
     buckets = max(1, -(-df.count() // rows_per_bucket))
-    celled = df.withColumn("_cell", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    equal = df.groupBy(*order).agg(F.count("*").alias("_n")).where(F.col("_n") > rows_per_bucket)
+    equal = cut(equal.select(*(F.col(c).alias(f"_e{k}") for k, c in enumerate(order)), F.lit(True).alias("_many")), "rank-equal")
+    salt = F.lit(0).cast("long")
+    if not equal.isEmpty():
+        same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_e{k}")) for k, c in enumerate(order)))
+        marked = df.join(checked_broadcast(equal), same, "left")
+        df = cut(marked.select(*df.columns, F.when(F.col("_many"), F.monotonically_increasing_id()).alias("_salt")), "rank-salted")
+        salt = F.col("_salt")
+    celled = df.withColumn("_cell", F.pmod(F.xxhash64(*order, salt), F.lit(buckets)))
     before = (celled.groupBy(group, "_cell").agg(F.count("*").alias("_n"))
               .withColumn("_before", F.sum("_n").over(
                   Window.partitionBy(group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)))
@@ -57,7 +86,7 @@ def grouped_rank(df: DataFrame, group: str, order: list[str], out: str, rows_per
     ranked = celled.withColumn("_place", place)
     same = ranked[group].eqNullSafe(before["_g"]) & (ranked["_cell"] == before["_c"])
     return (ranked.join(before, same).withColumn(out, (F.col("_place") + F.col("_before")).cast("long"))
-            .drop("_cell", "_place", "_g", "_c", "_before"))
+            .drop("_cell", "_place", "_g", "_c", "_before", "_salt"))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -170,6 +170,6 @@ def scan_both(docs: DataFrame, known: DataFrame | None = None, id_col: str = "do
     named = F.transform(lines, lambda x: F.struct(
         x["line_no"].alias("line_no"), F.try_element_at("_known", F.sha2(canonical(x["line"]), 256)).alias("license_id")))
     found = F.when(marked(text), F.filter(named, lambda x: x["license_id"].isNotNull()))
-    scanned = docs.crossJoin(F.broadcast(table)).select(
+    scanned = docs.select(id_col, text_col).crossJoin(F.broadcast(table)).select(
         F.col(id_col), F.sha2(canonical(text), 256).alias("digest"), F.coalesce(found, none).alias("line_licenses"), "_known")
     return scanned.select(id_col, "digest", F.try_element_at("_known", F.col("digest")).alias("license_id"), "line_licenses")

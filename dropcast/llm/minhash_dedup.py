@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, connected_components, cut, mix64, text_slices
+from .common import Words, connected_components, cut, mix64, packed, text_slices, unpacked
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -283,4 +283,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns unchanged. Rows that repeat an id and are kept all stay."""
     gone = near_duplicates(docs, id_col, text_col, threshold).where("not kept").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    rows = packed(docs, id_col)
+    return unpacked(rows.join(gone, F.col(id_col) == F.col("_gone"), "left_anti"), docs.columns)

@@ -100,8 +100,9 @@ def schedule(quotas: DataFrame, chunk_slots: int | None = None) -> DataFrame | N
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, temperature: float = 0.5,
-        frame_slots: int = FRAME_SLOTS, block_rows: int = BLOCK_ROWS, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-    """(id, source, quota, block, release, deadline, slot, row_in_block, position) of every row.
+        frame_slots: int = FRAME_SLOTS, block_rows: int = BLOCK_ROWS, id_col: str = "doc_id", source_col: str = "source",
+        carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, source, carried columns, quota, block, release, deadline, slot, row_in_block, position) of every row.
 
     ``position`` orders the mixture: slot x block_rows + row in block (gaps only after a source's last, partial
     block). ``release`` and ``deadline`` are the block's window in slots of the whole mixture. ``quota`` is the
@@ -112,7 +113,9 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, tempera
     """
     if weights is not None and (not weights or min(weights.values()) <= 0):
         raise ValueError("weights must be positive")
-    rows = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.xxhash64(F.col(id_col)).alias("h")), "mix-rows")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.xxhash64(F.col(id_col)).alias("h"),
+                       *(F.col(c).alias(f"c{k}") for k, c in enumerate(carry)))
+    rows = rows if carry else cut(rows, "mix-rows")
     counts = rows.groupBy("source").agg(F.count("*").alias("n_rows")).withColumn("source", F.col("source").cast("string"))
     plan = schedule(cut(target_quotas(counts, weights, temperature, block_rows), "mix-shares"))
     if plan is None:
@@ -120,6 +123,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, tempera
     ranked = grouped_rank(rows.withColumn("source", F.col("source").cast("string")), "source", ["h", "id"], "rank")
     blocks = ranked.withColumn("_block", F.floor(F.col("rank") / block_rows)).withColumn("row_in_block", F.col("rank") % block_rows)
     placed = blocks.join(plan.withColumnRenamed("source", "_p"), blocks["source"].eqNullSafe(F.col("_p")) & (F.col("_block") == F.col("block")))
-    return placed.select(F.col("id").alias(id_col), F.col("source").alias(source_col), (F.col("share") * frame_slots).alias("quota"),
+    return placed.select(F.col("id").alias(id_col), F.col("source").alias(source_col),
+                         *(F.col(f"c{k}").alias(c) for k, c in enumerate(carry)), (F.col("share") * frame_slots).alias("quota"),
                          "block", "release", "deadline", "slot", "row_in_block",
                          (F.col("slot") * block_rows + F.col("row_in_block")).alias("position"))

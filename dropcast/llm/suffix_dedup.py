@@ -2,16 +2,22 @@
 
 Two positions are equal if the ``LENGTH`` bytes from there are equal. Ranks start from short strings and double
 their length; positions whose rank is unique can't be equal to any other and go. One row for every byte of the corpus
-in every round would cost many times the input, so positions first travel as runs:
+in every round would cost many times the input, so positions travel together as long as they can:
 
 1. Seeds. Every window of ``LENGTH`` bytes has a seed: of its strings of ``SEED`` bytes the one with the smallest
    hash (ties: the first). Equal windows have equal seeds at the same place. Consecutive windows with one seed position
    are a run; its bytes are its context. Runs get ranks by (seed, context): Spark sorts and counts them. All windows of
    a run whose rank is shared are repeated; a seed with one context only is unique, and all its windows go.
-2. Doubling. What is left are seeds with several contexts. Of each context one run stands for all; its positions get
-   ranks by (seed, first 50 bytes), then by (rank, next 50) and (rank, next 100); unique positions go after each. Seeds
-   are dealt to tasks by hash; positions of a seed with many contexts are ranked as rows by all tasks together.
-3. Repeated positions are gathered for each text, and the bytes that they cover are cut out.
+2. Steps. What is left are seeds with several contexts. Of each context one run stands for all. It is parted into steps
+   of ``STEP`` positions, at the same distances from the seed in all contexts, so that equal positions lie in steps of the same
+   number. All positions of a step are repeated if the bytes of the whole step are; of equal steps one stands for all.
+3. Doubling. The windows of a step share its core, the bytes that all of them hold. Spark ranks the steps by (seed, step, first
+   25 bytes of the core), then by (rank, next 25), (rank, next 50) and (rank, the rest): after each round only the steps
+   that share their rank with another stay.
+4. The positions of the steps that are left become rows and are ranked by all their ``LENGTH`` bytes.
+5. Repeated positions are gathered for each text, and the bytes that they cover are cut out.
+
+Texts are known by two 64-bit hashes. Equal texts have equal spans, so neither ids nor row numbers are needed.
 """
 
 from __future__ import annotations
@@ -22,16 +28,14 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODES, cut, mix64
+from .common import BYTE_CODES, cut, discard, mix64
 
 LENGTH, SEED = 200, 32
 PIECE = 900_000
-MANY_CONTEXTS = 64
 STEP = 16
-TASK_CONTEXTS = 1024
 _BITS = np.uint64(20)
 _BASE = 0x9E3779B97F4A7C15
 
@@ -87,14 +91,20 @@ def runs(buf: np.ndarray, begin: np.ndarray, end: np.ndarray, length: int, seed:
     return np.searchsorted(begin, first, side="right") - 1, first, count, x[place], context
 
 
+KEY = ("h1", "h2")
+
+
+def text_key(text: Column) -> list[Column]:
+    """Two 64-bit hashes that stand for a text."""
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
+
+
 def seeds(docs: DataFrame, length: int, seed: int) -> DataFrame:
-    """(seed, context, id, th, lo, n) of every run of windows of docs(id, th, text); lo counts bytes of the text."""
-    kind = docs.schema["id"].dataType
-    from pyspark.sql.pandas.types import to_arrow_type
+    """(seed, context, h1, h2, lo, n) of every run of windows of docs(h1, h2, text); lo counts bytes of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hashes, texts = batch.column(0), batch.column(1), batch.column(2)
+            texts = batch.column(2)
             pieces: list[tuple[int, int, bytes]] = []  # row, offset, bytes
             total = 0
 
@@ -102,11 +112,11 @@ def seeds(docs: DataFrame, length: int, seed: int) -> DataFrame:
                 parts = [x[2] for x in pieces]
                 end = np.cumsum([len(x) for x in parts])
                 text, first, count, s, c = runs(np.frombuffer(b"".join(parts), np.uint8), end - [len(x) for x in parts], end, length, seed)
-                row = np.array([x[0] for x in pieces], np.int64)[text]
+                row = pa.array(np.array([x[0] for x in pieces], np.int64)[text])
                 lo = first - (end - [len(x) for x in parts])[text] + np.array([x[1] for x in pieces], np.int64)[text]
                 return pa.RecordBatch.from_arrays(
-                    [pa.array(s.view(np.int64)), pa.array(c.view(np.int64)), ids.take(pa.array(row)), hashes.take(pa.array(row)),
-                     pa.array(lo, pa.int64()), pa.array(count, pa.int16())], names=["seed", "context", "id", "th", "lo", "n"])
+                    [pa.array(s.view(np.int64)), pa.array(c.view(np.int64)), batch.column(0).take(row), batch.column(1).take(row),
+                     pa.array(lo, pa.int64()), pa.array(count, pa.int32())], names=["seed", "context", *KEY, "lo", "n"])
 
             for row in range(len(texts)):
                 data = texts[row].as_py()
@@ -121,176 +131,147 @@ def seeds(docs: DataFrame, length: int, seed: int) -> DataFrame:
             if pieces:
                 yield flush()
 
-    to_arrow_type(kind)  # fails early for ids that Arrow can't carry
-    return docs.select("id", "th", "text").mapInArrow(run, f"seed long, context long, id {kind.simpleString()}, th int, lo long, n short")
+    return docs.select(*KEY, "text").mapInArrow(run, "seed long, context long, h1 long, h2 long, lo long, n int")
 
 
 def _contexts(docs: DataFrame, picked: DataFrame, length: int) -> DataFrame:
-    """The bytes of each picked run: (seed, many, alone, id, th, lo, n, data)."""
-    lists = picked.groupBy("id", "th").agg(F.collect_list(F.struct("seed", "many", "alone", "lo", "n")).alias("runs"))
-    lists = lists.select(F.col("id").alias("_id"), F.col("th").alias("_th"), "runs")
-    # an id and text that come several times: one of them will do
-    joined = docs.select("id", "th", "text").join(lists, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
-    kind = docs.schema["id"].dataType.simpleString()
+    """The bytes of each picked run: (seed, context, alone, n, data). A text that comes several times gives them several times."""
+    lists = picked.groupBy(*KEY).agg(F.collect_list(F.struct("seed", "context", "alone", "lo", "n")).alias("runs"))
+    joined = docs.select(*KEY, "text").join(lists, list(KEY))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = batch.column(3)
-            sizes = np.diff(np.asarray(found.offsets))
-            row = pa.array(np.repeat(np.arange(len(found)), sizes))
-            flat = found.flatten().flatten()  # seed, many, alone, lo, n
+            flat = batch.column(1).flatten().flatten()  # seed, context, alone, lo, n
+            sizes = np.diff(np.asarray(batch.column(1).offsets))
             lo, end = np.asarray(flat[3]), np.asarray(flat[3]) + np.asarray(flat[4]) - 1 + length
             data, k = [], 0
-            for text, size in zip(batch.column(2), sizes.tolist()):
+            for text, size in zip(batch.column(0), sizes.tolist()):
                 whole = text.as_py().encode()
                 data += [whole[i:j] for i, j in zip(lo[k:k + size].tolist(), end[k:k + size].tolist())]
                 k += size
-            yield pa.RecordBatch.from_arrays([*flat[:3], batch.column(0).take(row), batch.column(1).take(row), flat[3], flat[4], pa.array(data, pa.binary())],
-                                             names=["seed", "many", "alone", "id", "th", "lo", "n", "data"])
+            yield pa.RecordBatch.from_arrays([*flat[:3], flat[4], pa.array(data, pa.binary())], names=["seed", "context", "alone", "n", "data"])
 
-    return joined.select("id", "th", "text", "runs").mapInArrow(
-        run, f"seed long, many boolean, alone boolean, id {kind}, th int, lo long, n int, data binary")
+    return joined.select("text", "runs").mapInArrow(run, "seed long, context long, alone boolean, n int, data binary")
 
 
-def _positions(some: pd.DataFrame, length: int) -> tuple[np.ndarray, np.ndarray, Names]:
-    """All window positions of contexts: (row, start in the joined bytes), and the names of the joined bytes."""
+def _positions(some: pd.DataFrame, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Names]:
+    """All window positions of contexts: (row, start in the joined bytes), each row's begin, and the names of the joined bytes."""
     n = some["n"].to_numpy().astype(np.int64)
-    begin = np.concatenate([[0], np.cumsum(n - 1 + length)])[:-1]
+    begin = np.concatenate([[0], np.cumsum(n - 1 + length)])
     row = np.repeat(np.arange(len(n)), n)
     start = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + begin[row]
-    return row, start, Names(np.frombuffer(b"".join(some["data"]), np.uint8))
+    return row, start, begin, Names(np.frombuffer(b"".join(some["data"]), np.uint8))
 
 
-def _rerank(rank: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sort (rank, name) pairs: new ranks, and whether a position shares its rank."""
-    order = np.lexsort((name, rank))
-    r, m = rank[order], name[order]
-    new = np.ones(len(r), bool)
-    new[1:] = (r[1:] != r[:-1]) | (m[1:] != m[:-1])
-    group = np.cumsum(new) - 1
-    out = np.empty(len(r), np.int64)
-    out[order] = group
-    return out, np.bincount(group)[out] > 1 if len(r) else np.zeros(0, bool)
+def _slices(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
+    """Rows with contexts of at most 2 * length bytes, as many together as one buffer takes."""
+    most = max(1, (1 << 19) // length)
+    for batch in batches:
+        for k in range(0, len(batch), most):
+            yield batch.iloc[k:k + most].reset_index(drop=True)
 
 
-def _steps(length: int) -> list[tuple[int, int]]:
-    """(offset, bytes) of the strings that ranks grow by: an eighth, then as many again, up to ``length``."""
+def _rounds(length: int) -> list[tuple[int, int]]:
+    """(offset, bytes) of the strings that ranks of cores grow by: an eighth of the length, then as many again, up to the core's end."""
+    core = length - STEP + 1
     out, h = [(0, max(1, length // 8))], max(1, length // 8)
-    while h < length:
-        out.append((h, min(h, length - h)))
-        h += min(h, length - h)
+    while h < core:
+        out.append((h, min(h, core - h)))
+        h += min(h, core - h)
     return out
 
 
-def _as_runs(row: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Consecutive positions of a row as (row, first, count)."""
-    order = np.lexsort((lo, row))
-    row, lo = row[order], lo[order]
-    new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (lo[1:] != lo[:-1] + 1)
-    at = np.flatnonzero(new)
-    return row[at], lo[at], np.diff(np.append(at, len(row)))
+def _parted(data: DataFrame, length: int, seed: int) -> DataFrame:
+    """(seed, context, alone, first, n, whole, r0, r1, ...) of the steps of data(seed, context, alone, n, data): first position
+    in the context, positions, rank of the step's bytes, ranks of the growing strings of its core."""
+    rounds = _rounds(length)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in _slices(batches, length):
+            row, start, begin, names = _positions(part, length)
+            seeds_ = part["seed"].to_numpy().view(np.uint64)
+            found = names.of(np.arange(len(names.sums) - seed), seed)
+            place = np.array([b + int(np.argmax(found[b:e] == s)) for b, e, s in zip(begin[:-1], begin[1:], seeds_)])
+            step = (place[row] - start) // STEP
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (step[1:] != step[:-1])
+            at = np.flatnonzero(new)
+            row, first, count, step = row[at], start[at], np.diff(np.append(at, len(new))), step[at]
+            rank = mix64(seeds_[row] + mix64(step.astype(np.uint64)))
+            whole = mix64(rank + names.of(first, count - 1 + length) + mix64((count << 20 | (place[row] - first)).astype(np.uint64)))
+            out = {c: part[c].to_numpy()[row] for c in ("seed", "context", "alone")}
+            out |= {"first": first - begin[row], "n": count, "whole": whole.view(np.int64)}
+            core = place[row] - STEP * step
+            for k, (offset, size) in enumerate(rounds):
+                rank = mix64(rank + names.of(core + offset, size))
+                out[f"r{k}"] = rank.view(np.int64)
+            yield pd.DataFrame(out)
+
+    return data.mapInPandas(run, "seed long, context long, alone boolean, first int, n int, whole long, "
+                            + ", ".join(f"r{k} long" for k in range(len(rounds))))
+
+
+def _ranked(steps: DataFrame, data: DataFrame, length: int) -> DataFrame:
+    """(rank, open, seed, context, first): all positions of steps(seed, context, first, n, open), ranked by ``length`` bytes."""
+    lists = steps.groupBy("seed", "context").agg(F.collect_list(F.struct("first", "n", "open")).alias("steps"))
+    joined = data.select("seed", "context", "n", "data").join(lists, ["seed", "context"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in _slices(batches, length):
+            names, begin = _positions(part, length)[3:1:-1]
+            row = np.repeat(np.arange(len(part)), [len(x) for x in part["steps"]])
+            first, n, open_ = (np.array([s[c] for x in part["steps"] for s in x]) for c in ("first", "n", "open"))
+            step = np.repeat(np.arange(len(row)), n)
+            at = np.arange(len(step)) - np.repeat(np.cumsum(n) - n, n) + first[step]
+            row = row[step]
+            rank = mix64(names.of(begin[row] + at, length) + part["seed"].to_numpy().view(np.uint64)[row])
+            yield pd.DataFrame({"rank": rank.view(np.int64), "open": open_[step], **{c: part[c].to_numpy()[row] for c in ("seed", "context")}, "first": at})
+
+    return joined.mapInPandas(run, "rank long, open boolean, seed long, context long, first int")
+
+
+def _shared(rows: DataFrame, rank: str) -> DataFrame:
+    """Ranks that several rows have."""
+    return rows.groupBy(rank).agg(F.count("*").alias("c")).where("c > 1").select(rank)
 
 
 def repeated(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """(id, th, lo, n): runs of n positions from lo on whose ``length`` bytes start elsewhere too, of docs(id, th, text)."""
+    """(h1, h2, lo, n): runs of n positions from lo on whose ``length`` bytes start elsewhere too, of docs(h1, h2, text).
+    The same run comes once for each copy of its text."""
     found = seeds(docs, length, seed)
-    kind = docs.schema["id"].dataType.simpleString()
-    contexts = cut(found.groupBy("seed", "context").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("id", "th", "lo", "n"))), "suffix-contexts")
-    per_seed = contexts.groupBy("seed").agg(F.count("*").alias("contexts")).where("contexts > 1")
-    picked = contexts.join(cut(per_seed, "suffix-seeds"), "seed").select(
-        "seed", (F.col("contexts") > MANY_CONTEXTS).alias("many"), (F.col("copies") == 1).alias("alone"), "id", "th", "lo", F.col("n").cast("int").alias("n"))
-    data = cut(_contexts(docs, cut(picked, "suffix-picked"), length).dropDuplicates(["seed", "id", "th", "lo"])
-               if _repeats(docs) else _contexts(docs, cut(picked, "suffix-picked"), length), "suffix-data")
-
-    def doubled(some: pd.DataFrame) -> pd.DataFrame:
-        some = some.sort_values("seed", kind="stable", ignore_index=True)
-        seeds_, first = np.unique(some["seed"].to_numpy(), return_index=True)
-        size = np.concatenate([[0], np.cumsum(some["n"].to_numpy() - 1 + length)])
-        group = np.repeat(size[first] // (PIECE // 2), np.diff(np.append(first, len(some))))  # whole seeds, bounded bytes
-        out = []
-        for g in np.unique(group):
-            part = some[group == g]
-            row, start, names = _positions(part, length)
-            begin = np.concatenate([[0], np.cumsum(part["n"].to_numpy() - 1 + length)])[:-1]
-            rank = np.unique(part["seed"].to_numpy(), return_inverse=True)[1][row]
-            for offset, bytes_ in _steps(length):
-                rank, shared = _rerank(rank, names.of(start + offset, bytes_))
-                row, start, rank = row[shared], start[shared], rank[shared]
-            single = part["alone"].to_numpy()[row]
-            row, lo, count = _as_runs(row[single], (start - begin[row])[single])
-            out.append(pd.DataFrame({"id": part["id"].to_numpy()[row], "th": part["th"].to_numpy()[row], "lo": part["lo"].to_numpy()[row] + lo, "n": count}))
-        return pd.concat(out)
-
-    few = data.where("not many")
-    tasks = max(1, few.count() // TASK_CONTEXTS)
-    result = f"id {kind}, th int, lo long, n long"
-    from_few = few.groupBy(F.pmod(F.xxhash64("seed"), F.lit(tasks)).alias("task")).applyInPandas(doubled, result)
-
-    from_many = _across_tasks(data.where("many"), length, kind)
-
+    contexts = cut(found.groupBy("seed", "context").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in (*KEY, "lo", "n"))), "suffix-contexts")
+    several = contexts.groupBy("seed").agg(F.count("*").alias("c")).where("c > 1").select("seed")
+    picked = cut(contexts.join(several, "seed", "left_semi").select("seed", "context", (F.col("copies") == 1).alias("alone"), *KEY, "lo", "n"), "suffix-picked")
+    given = _contexts(docs, picked, length)
+    texts = picked.select(*KEY).distinct()  # a text that several rows have gives its contexts as often
+    several_rows = not docs.join(texts, list(KEY), "left_semi").groupBy(*KEY).count().where("count > 1").isEmpty()
+    data = cut(given.dropDuplicates(["seed", "context"]) if several_rows else given, "suffix-data")
+    discard(picked)
+
+    steps = cut(_parted(data, length, seed), "suffix-steps")
+    ranks = [f"r{k}" for k in range(len(_rounds(length)))]
+    equal = cut(steps.groupBy("whole").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("seed", "context", "alone", "first", "n", *ranks)))
+                .withColumn("open", F.col("alone") & (F.col("copies") == 1)), "suffix-equal")
+    whole = cut(steps.where("alone").join(equal.where("copies > 1").select("whole"), "whole", "left_semi").select("seed", "context", "first", "n"), "suffix-whole")
+    discard(steps)
+    left = equal.select("seed", "context", "first", "n", "open", *ranks)
+    before = equal
+    for rank in ranks:
+        left = cut(left.join(_shared(left, rank), rank, "left_semi").drop(rank), "suffix-round")
+        discard(before)
+        before = left
+    rows = cut(_ranked(left, data, length), "suffix-positions")
+    discard(left)
+    discard(data)
+    single = rows.where("open").join(_shared(rows, "rank"), "rank", "left_semi").select("seed", "context", "first", F.lit(1).alias("n"))
+
+    alone = contexts.where("copies = 1").select("seed", "context", *KEY, "lo")
+    parts = whole.unionByName(single).join(alone, ["seed", "context"]).select(*KEY, (F.col("lo") + F.col("first")).alias("lo"), F.col("n").cast("long").alias("n"))
     twice = contexts.where("copies > 1").select("seed", "context")
-    whole = found.join(twice, ["seed", "context"]).select("id", "th", "lo", F.col("n").cast("long").alias("n"))
-    return whole.unionByName(from_few).unionByName(from_many)
+    return found.join(twice, ["seed", "context"], "left_semi").select(*KEY, "lo", F.col("n").cast("long").alias("n")).unionByName(parts)
 
 
-def _across_tasks(data: DataFrame, length: int, kind: str) -> DataFrame:
-    """(id, th, lo, n): the repeated positions of the contexts that are alone, ranked as rows by all tasks together.
-
-    First in steps of ``STEP`` positions, at the same places for all contexts of a seed: all positions of a step are
-    repeated if the bytes of the step are. Of the other steps, and of one of each that are equal, every position is a row.
-    """
-    parts = f"seed long, name long, alone boolean, id {kind}, th int, lo long, n int, data binary"
-
-    def steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for k in range(0, len(batch), 1024):
-                part = batch.iloc[k:k + 1024].reset_index(drop=True)
-                row, start, names = _positions(part, length)
-                seeds_ = part["seed"].to_numpy().view(np.uint64)
-                found = names.of(np.arange(len(names.sums) - SEED), SEED)
-                begin = np.concatenate([[0], np.cumsum(part["n"].to_numpy() - 1 + length)])
-                place = np.array([b + int(np.argmax(found[b:e] == s)) for b, e, s in zip(begin[:-1], begin[1:], seeds_)])
-                step = (place[row] - start) // STEP  # the seed is at the same place in equal strings
-                new = np.ones(len(row), bool)
-                new[1:] = (row[1:] != row[:-1]) | (step[1:] != step[:-1])
-                at = np.flatnonzero(new)
-                row, first, count, step = row[at], start[at], np.diff(np.append(at, len(new))), step[at]
-                whole, name = b"".join(part["data"]), mix64(names.of(first, count - 1 + length) + mix64((count << 20 | (place[row] - first)).astype(np.uint64)))
-                yield pd.DataFrame({"seed": part["seed"].to_numpy()[row], "name": name.view(np.int64), "alone": part["alone"].to_numpy()[row],
-                                    "id": part["id"].to_numpy()[row], "th": part["th"].to_numpy()[row], "lo": part["lo"].to_numpy()[row] + first - begin[row], "n": count,
-                                    "data": [whole[i:j] for i, j in zip(first.tolist(), (first + count - 1 + length).tolist())]})
-
-    def positions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grow = _steps(length)
-        for batch in batches:
-            for k in range(0, len(batch), 2048):
-                part = batch.iloc[k:k + 2048].reset_index(drop=True)
-                row, start, names = _positions(part, length)
-                begin = np.concatenate([[0], np.cumsum(part["n"].to_numpy() - 1 + length)])
-                rank = mix64(part["seed"].to_numpy().view(np.uint64))[row]
-                for offset, bytes_ in grow[:-1]:
-                    rank = mix64(rank + names.of(start + offset, bytes_))
-                yield pd.DataFrame({"rank": rank.view(np.int64), "name": names.of(start + grow[-1][0], grow[-1][1]).view(np.int64), "open": part["open"].to_numpy()[row],
-                                    "id": part["id"].to_numpy()[row], "th": part["th"].to_numpy()[row], "lo": part["lo"].to_numpy()[row] + start - begin[row]})
-
-    cut_steps = cut(data.mapInPandas(steps, parts), "suffix-steps")
-    equal = cut_steps.groupBy("seed", "name").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("alone", "id", "th", "lo", "n", "data")))
-    equal = cut(equal.withColumn("open", F.col("alone") & (F.col("copies") == 1)), "suffix-equal")
-    whole = (cut_steps.where("alone").select("seed", "name", "id", "th", "lo", "n")
-             .join(equal.where("copies > 1").select("seed", "name"), ["seed", "name"]).select("id", "th", "lo", F.col("n").cast("long").alias("n")))
-    rows = cut(equal.mapInPandas(positions, f"rank long, name long, open boolean, id {kind}, th int, lo long"), "suffix-positions")
-    shared = cut(rows.groupBy("rank", "name").agg(F.count("*").alias("c")).where("c > 1").drop("c"), "suffix-shared")
-    single = rows.where("open").join(shared, ["rank", "name"]).select("id", "th", "lo", F.lit(1).cast("long").alias("n"))
-    return whole.unionByName(single)
-
-
-def _repeats(docs: DataFrame) -> bool:
-    """Whether an id comes several times with the same text."""
-    return not docs.groupBy("id", "th").count().where("count > 1").isEmpty()
-
-
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (),
+def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (),
                    as_text: bool = False) -> DataFrame:
     """(id, carried columns, n_bytes, spans array<struct<start, end>>, kept) of every row: ``kept`` are the UTF-8 bytes of
     the text outside of ``spans``, the maximal runs of bytes that strings of ``length`` bytes cover which also start
@@ -300,11 +281,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     lose everything, all copies of them; repeated rows are copies too and come back as often. Null ids are ids. With
     ``as_text``, kept is a string, and what is left of a character that a span cuts goes as well.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.hash(F.coalesce(F.col(text_col), F.lit(""))).alias("th"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"), *(F.col(c).alias(f"c{k}") for k, c in enumerate(carry)))
-    at = repeated(rows, length).groupBy(F.col("id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
-    joined = rows.join(at, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").select(
-        "id", *(f"c{k}" for k in range(len(carry))), "text", "runs")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), *text_key(text), text.alias("text"), *(F.col(c).alias(f"c{k}") for k, c in enumerate(carry)))
+    at = repeated(rows, length, seed).groupBy(*KEY).agg(F.collect_set(F.struct("lo", "n")).alias("runs"))
+    joined = rows.join(at, list(KEY), "left").select("id", *(f"c{k}" for k in range(len(carry))), "text", "runs")
     names = ["id", *(f"c{k}" for k in range(len(carry)))]
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 

@@ -86,7 +86,7 @@ def test_shards(docs):
     assert sharding.longest_first([("a", 5), ("b", 4), ("c", 3), ("d", 3)], 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
 
 
-def test_suffix_dedup_equals_brute_force(docs, monkeypatch):
+def test_suffix_dedup_equals_brute_force(docs):
     texts = [(t or "").encode() for _, t, _ in TEXTS]
     seen = {}
     for b in texts:
@@ -99,9 +99,8 @@ def test_suffix_dedup_equals_brute_force(docs, monkeypatch):
             if seen[b[k:k + 200]] > 1:
                 covered[k:k + 200] = True
         want.append((i or 0, hashlib.sha256(np.frombuffer(b, np.uint8)[~covered].tobytes()).hexdigest()))
-    for many in (64, 0):
-        monkeypatch.setattr(suffix_dedup, "MANY_CONTEXTS", many)
-        got = suffix_dedup.remove_repeats(docs)
+    for seed in (suffix_dedup.SEED, 20):
+        got = suffix_dedup.remove_repeats(docs, seed=seed)
         assert sorted((r.doc_id or 0, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in got.collect()) == sorted(want)
 
 
