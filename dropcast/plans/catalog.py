@@ -902,7 +902,7 @@ _MEMO: dict = {}
 
 def _trained(spark, sf):
     """Prepared data and GBT fitted with the published settings, memoised per session and input folder."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _MEMO:
         prep = TR.prepare_data(_d(spark, sf))
         model = TR.train_gbt(prep.train, prep.features, TR.gbt_params())

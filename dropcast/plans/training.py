@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
@@ -73,16 +74,20 @@ def _depth(params: dict) -> int:
     return int(params["max_depth"])
 
 
-def _gbt(features: list[str], params: dict, target: str, seed: int) -> Pipeline:
-    gbt = GBTRegressor(
+def assembled(df: DataFrame, features: list[str], *columns: str) -> tuple[VectorAssembler, DataFrame]:
+    """The assembler, and what a learner needs of ``df``: the feature vector and ``columns``."""
+    va = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
+    return va, va.transform(df).select("features", *columns)
+
+
+def _gbt(params: dict, target: str, seed: int) -> GBTRegressor:
+    return GBTRegressor(
         featuresCol="features", labelCol=target, predictionCol=PRED_COL,
         maxIter=int(params["n_estimators"]), stepSize=float(params["learning_rate"]),
         maxDepth=_depth(params), minInstancesPerNode=int(params["min_child_samples"]),
         subsamplingRate=float(params["subsample"]), featureSubsetStrategy=str(float(params["colsample_bytree"])),
         lossType="squared", seed=seed, checkpointInterval=10, cacheNodeIds=True,
     )
-    va = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[va, gbt])
 
 
 def best_round(errors: list[float], rounds: int) -> tuple[int, bool]:
@@ -96,32 +101,20 @@ def best_round(errors: list[float], rounds: int) -> tuple[int, bool]:
     return best + 1, False
 
 
-def _first_trees(spark: SparkSession, model: GBTRegressionModel, n: int) -> GBTRegressionModel:
-    """The ensemble of the first ``n`` trees, with the params of ``model``."""
-    sc = spark.sparkContext
-    kind, java = sc._jvm.org.apache.spark.ml.regression, model._java_obj
-    trees = sc._gateway.new_array(kind.DecisionTreeRegressionModel, n)
-    weights = sc._gateway.new_array(sc._gateway.jvm.double, n)
-    for i, (t, w) in enumerate(zip(java.trees()[:n], model.treeWeights[:n])):
-        trees[i], weights[i] = t, float(w)
-    cut = kind.GBTRegressionModel(java.uid(), trees, weights, model.numFeatures)
-    java.copyValues(cut, sc._jvm.org.apache.spark.ml.param.ParamMap())
-    return model._from_java(cut)
-
+def _fit_stopped(train: DataFrame, validation: DataFrame, params: dict, target: str, seed: int) -> GBTRegressionModel:
+    """Fit on ``train`` (vectors) up to the tree with the smallest error on ``validation``, as boosting that ends after
+    ``early_stopping_rounds`` trees without a smaller one.
 
-def _fit_stopped(train: DataFrame, validation: DataFrame, features: list[str], params: dict, target: str, seed: int) -> PipelineModel:
-    """Fit on ``train`` up to the tree with the smallest error on ``validation``, as boosting that ends after
-    ``early_stopping_rounds`` trees without a smaller one. A fit cannot be continued, but its first trees do not
-    depend on how many follow: sizes are doubled until one shows the end."""
+    A fit cannot be continued, but its first trees do not depend on how many follow: one and a half times the rounds are
+    tried first, then twice as many each time until the end shows, and the trees up to the best one are fitted on their own.
+    """
     rounds, total = int(params.get("early_stopping_rounds", GBT_DEFAULTS["early_stopping_rounds"])), int(params["n_estimators"])
-    size = min(total, 2 * rounds)
+    size = min(total, rounds + max(1, rounds // 2))
     while True:
-        model = _gbt(features, dict(params, n_estimators=size), target, seed).fit(train)
-        va, trees = model.stages
-        errors = trees.evaluateEachIteration(va.transform(validation), "squared")
-        n, stopped = best_round(errors, rounds)
+        model = _gbt(dict(params, n_estimators=size), target, seed).fit(train)
+        n, stopped = best_round(model.evaluateEachIteration(validation, "squared"), rounds)
         if stopped or size == total:
-            return PipelineModel(stages=[va, trees if n == size else _first_trees(train.sparkSession, trees, n)])
+            return model if n == size else _gbt(dict(params, n_estimators=n), target, seed).fit(train)
         size = min(total, 2 * size)
 
 
@@ -133,16 +126,17 @@ def with_validation_tail(train: DataFrame, fraction: float = 0.1, col: str = "is
 
 def train_gbt(train: DataFrame, features: list[str], params: dict | None = None, target: str = TARGET,
               early_stopping: bool = True, seed: int = 42) -> PipelineModel:
+    """Boosted trees; only the feature vector, the target and the validation mark are kept between the iterations."""
     params = params or gbt_params()
     if early_stopping and "is_validation" not in train.columns:
         train = with_validation_tail(train)
-    data = train
-    data = data.persist()  # iterative learner: reuse the assembled rows across iterations
+    va, data = assembled(train, features, target, *(["is_validation"] if early_stopping else []))
+    data = data.persist()
     try:
         tail = data.filter("is_validation") if early_stopping else None
         if tail is None or tail.isEmpty():
-            return _gbt(features, params, target, seed).fit(data)
-        return _fit_stopped(data.filter("NOT is_validation"), tail, features, params, target, seed)
+            return PipelineModel(stages=[va, _gbt(params, target, seed).fit(data)])
+        return PipelineModel(stages=[va, _fit_stopped(data.filter("NOT is_validation"), tail, params, target, seed)])
     finally:
         data.unpersist()
 
@@ -168,31 +162,45 @@ def evaluate(model: PipelineModel, df: DataFrame, target: str = TARGET) -> DataF
     return M.regression_metrics(predict(model, df), target, PRED_COL)
 
 
-def fold_metrics(df: DataFrame, features: list[str], params: dict, n_splits: int = 5, target: str = TARGET,
-                 seed: int = 42, early_stopping: bool = False) -> DataFrame:
-    """MAE/RMSE/R2 per expanding time fold (one distributed fit per fold; with ``early_stopping`` on the fold's own
-    validation rows, as the published search does).
+def folded(df: DataFrame, features: list[str], n_splits: int, target: str = TARGET) -> DataFrame:
+    """(features, target, part) for expanding time folds: fold i learns from the parts 0 to i and is judged on part i + 1.
 
-    Only the (time, id) keys are ranked; each fold is a comparison against the
-    cutoff keys at its boundary ranks, so the data is never copied per fold.
+    Only the (time, id) keys are ranked; a row's part follows from comparisons with the cutoff keys at the folds'
+    boundary ranks, so one narrow table serves all folds (and all trials of a search).
     """
     cut = RankCutoffs(df, ["order_timestamp", "order_id"])
-    n = cut.n
-    s = n // (n_splits + 1)
-    starts = [n - (n_splits - i) * s for i in range(n_splits)]
-    cut.fetch(starts + [st + s for st in starts])
-    rows = []
-    for i, start in enumerate(starts):
-        train = df.filter(cut.at_or_before(start))
-        val = df.filter(~cut.at_or_before(start) & cut.at_or_before(start + s))
-        if early_stopping:
-            m = _fit_stopped(train, val, features, params, target, seed)
-        else:
-            m = _gbt(features, params, target, seed).fit(train)
-        r = M.regression_metrics(predict(m, val), target, PRED_COL, with_percentiles=False).first()
-        rows.append((i, float(r["mae"]), float(r["rmse"]), float(r["r2"]) if r["r2"] is not None else None))
-    schema = "fold long, mae double, rmse double, r2 double"
-    return df.sparkSession.createDataFrame(rows, schema)  # one row per fold
+    s = cut.n // (n_splits + 1)
+    starts = [cut.n - (n_splits - i) * s for i in range(n_splits)]
+    cut.fetch(starts)
+    part = F.lit(n_splits)
+    for i in reversed(range(n_splits)):
+        part = F.when(cut.at_or_before(starts[i]), F.lit(i)).otherwise(part)
+    return assembled(df.withColumn("part", part), features, target, "part")[1]
+
+
+def fit_folds(parts: DataFrame, params: dict, n_splits: int, target: str = TARGET, seed: int = 42, early_stopping: bool = False) -> list[tuple]:
+    """(fold, mae, rmse, r2) of every fold of a ``folded`` table (cache it), all folds at once: each is a series of small
+    jobs that leave most of a cluster idle, so that they are submitted from a thread each."""
+    def one(i: int) -> tuple:
+        train, val = parts.filter(F.col("part") <= i), parts.filter(F.col("part") == i + 1)
+        m = _fit_stopped(train, val, params, target, seed) if early_stopping else _gbt(params, target, seed).fit(train)
+        r = M.regression_metrics(m.transform(val), target, PRED_COL, with_percentiles=False).first()
+        return i, float(r["mae"]), float(r["rmse"]), float(r["r2"]) if r["r2"] is not None else None
+
+    with ThreadPoolExecutor(max_workers=n_splits) as pool:
+        return list(pool.map(inheritable_thread_target(parts.sparkSession)(one), range(n_splits)))
+
+
+def fold_metrics(df: DataFrame, features: list[str], params: dict, n_splits: int = 5, target: str = TARGET,
+                 seed: int = 42, early_stopping: bool = False) -> DataFrame:
+    """MAE/RMSE/R2 per expanding time fold (with ``early_stopping`` on the fold's own validation rows, as the published
+    search does)."""
+    parts = folded(df, features, n_splits, target).persist()
+    try:
+        rows = fit_folds(parts, params, n_splits, target, seed, early_stopping)
+    finally:
+        parts.unpersist()
+    return df.sparkSession.createDataFrame(rows, "fold long, mae double, rmse double, r2 double")  # one row per fold
 
 
 def cross_validate_time(df: DataFrame, features: list[str], params: dict, n_splits: int = 5, target: str = TARGET) -> tuple[DataFrame, DataFrame]:
@@ -223,9 +231,10 @@ def tune_hyperparameters(df: DataFrame, features: list[str], n_trials: int = 50,
     """Minimise mean fold MAE over seeded random trials; a time budget holds only where one is given, and
     the trials that it leaves out are rows without an MAE.
 
-    Trials are submitted from a small thread pool; each trial is a set of Spark jobs.
+    All trials share one cached table of folds; ``parallelism`` trials run at once, each with all its folds at once.
     """
     trials = sample_params(n_trials, seed, space)
+    parts = folded(df, features, n_splits, target).persist()
     start = time.time()
     results = []
 
@@ -233,12 +242,15 @@ def tune_hyperparameters(df: DataFrame, features: list[str], n_trials: int = 50,
         i, p = i_p
         if timeout_s is not None and time.time() - start > timeout_s:
             return i, p, None
-        fm = fold_metrics(df, features, gbt_params(**p), n_splits, target, seed, early_stopping=True)
-        return i, p, fm.agg(F.avg("mae")).first()[0]
+        found = fit_folds(parts, gbt_params(**p), n_splits, target, seed, early_stopping=True)
+        return i, p, sum(r[1] for r in found) / len(found)
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        for i, p, mae in pool.map(run, list(enumerate(trials))):
-            results.append((i, *[float(p[k]) for k in space], None if mae is None else float(mae)))
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            for i, p, mae in pool.map(inheritable_thread_target(df.sparkSession)(run), list(enumerate(trials))):
+                results.append((i, *[float(p[k]) for k in space], None if mae is None else float(mae)))
+    finally:
+        parts.unpersist()
     schema = T.StructType([T.StructField("trial", T.LongType())] + [T.StructField(k, T.DoubleType()) for k in space]
                           + [T.StructField("mean_mae", T.DoubleType())])
     table = df.sparkSession.createDataFrame(results, schema)  # one row per trial
