@@ -25,7 +25,7 @@ from ..constants import (
     VALID_RANGES,
 )
 from ..functions.geo import clip
-from .rank import column_percentiles, exact_percentiles
+from .rank import column_percentiles, exact_percentiles, grouped_percentiles
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 INTEGRAL_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -315,7 +315,7 @@ def describe_summary(df: DataFrame, cols: list[str]) -> DataFrame:
     base = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])).alias("kv")).select("kv.*")
     extra = {"count": F.count("value"), "mean": F.avg("value"), "std": F.stddev_samp("value"),
              "min": F.min("value"), "max": F.max("value")}
-    q = exact_percentiles(base, "value", [0.25, 0.5, 0.75], ["column"], names=["p25", "p50", "p75"], extra_aggs=extra)
+    q = grouped_percentiles(base, "value", [0.25, 0.5, 0.75], ["column"], names=["p25", "p50", "p75"], extra_aggs=extra)
     return q.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 

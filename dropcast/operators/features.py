@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .. import functions as X
 from ..constants import LAG_FALLBACK, MODEL_FEATURES, TARGET, TE_MIN_SAMPLES, TE_SMOOTHING, TIME_COL, ID_COL
 from .joins import broadcast_ok
-from .rank import column_percentiles, exact_percentiles, ranked
+from .rank import column_percentiles, exact_percentiles, grouped_percentiles, ranked
 
 
 # ---- persistence for table-backed models ---------------------------------------
@@ -278,7 +278,7 @@ class GroupStats(Estimator, _HasTarget, DefaultParamsReadable, DefaultParamsWrit
             F.struct(F.lit(k).alias("_key"), F.col(k).cast("string").alias("_kv")) for k in keys])).alias("_e"),
             F.col(y).alias("_y")).select("_e._key", "_e._kv", "_y").filter(F.col("_kv").isNotNull())
         extra = {"_mean": F.avg("_y"), "_std": F.stddev_samp("_y"), "_count": F.count("_y")}
-        both, _ = _materialize(exact_percentiles(stacked, "_y", [0.5], ["_key", "_kv"], names=["_median"],
+        both, _ = _materialize(grouped_percentiles(stacked, "_y", [0.5], ["_key", "_kv"], names=["_median"],
                                                  extra_aggs=extra))
         for key in keys:
             stats = both.filter(F.col("_key") == key).select(

@@ -16,7 +16,7 @@ from ..constants import (
     SERVING_PREDICTED_BUCKETS,
     WITHIN_K_MINUTES,
 )
-from .rank import exact_percentiles
+from .rank import exact_percentiles, grouped_percentiles
 
 MACHINE_EPS = 2.220446049250313e-16
 
@@ -98,8 +98,8 @@ def segment_metrics(df: DataFrame, segment: str, actual: str = "actual_eta_minut
                     predicted: str = "predicted_eta_minutes", min_count: int | None = None) -> DataFrame:
     """Per segment: mae, median_ae, std_ae, count, avg/std actual, within-5 %; ordered by mae.
 
-    Moments and the exact median come from one aggregation over the rows ranked
-    within each segment (skew-safe: a hot segment spans many range partitions).
+    Moments come from one aggregation, the exact medians from refined bucket counts of all
+    segments at once (a hot segment is combined map-side like any other).
     """
     base = df.select(F.col(segment).alias("segment"), F.col(actual).alias("_y"),
                      F.abs(F.col(actual) - F.col(predicted)).alias("_ae"))
@@ -111,7 +111,7 @@ def segment_metrics(df: DataFrame, segment: str, actual: str = "actual_eta_minut
         "std_actual_eta": F.stddev_samp("_y"),
         "within_5min_pct": F.avg((F.col("_ae") <= 5).cast("double")) * 100.0,
     }
-    out = exact_percentiles(base, "_ae", [0.5], ["segment"], names=["median_ae"], carry=["_y"], extra_aggs=extra)
+    out = grouped_percentiles(base, "_ae", [0.5], ["segment"], names=["median_ae"], carry=["_y"], extra_aggs=extra)
     if min_count is not None:
         out = out.filter(F.col("count") >= min_count)
     out = out.select("segment", "mae", "median_ae", "std_ae", "count", "avg_actual_eta", "std_actual_eta",

@@ -7,9 +7,9 @@ Three exact paths, none of which sends a data row to a single task:
   checkpointed to the shared checkpoint folder (fixing partition ids and
   positions). A small per-(partition, group) table gives each segment's offset;
   the rank is that offset plus the position inside the partition.
-* Global (ungrouped) percentiles: exact selection by histogram refinement -
+* Percentiles, global and grouped: exact selection by histogram refinement -
   a few map-side-combined aggregations of bucket counts, no sort at all.
-* Value-count tables (grouped percentiles, multi-column medians, CDF): counts
+* Value-count tables (multi-column medians, CDF): counts
   per (group, distinct value) first, then range-partitioned running sums.
 
 Splits and folds rank only the (time, id) keys and filter the original rows
@@ -262,6 +262,75 @@ def _global_percentiles(df: DataFrame, value_col: str, probs: list[float], names
     return spark.createDataFrame([tuple(row[f.name] for f in extra_fields) + tuple(pct)], schema)
 
 
+# Groups of up to so many values are ordered as one list; larger ones are refined by buckets of equal width first.
+GROUP_BUCKETS = 256
+
+
+def _inside(base: DataFrame, value_col: str, intervals: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _a, _b, value) of the rows that lie in an interval (keys, _a, _b) of their group."""
+    side = intervals.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], "_a", "_b").distinct()
+    side = F.broadcast(side) if broadcast_ok(side.count(), side.schema) else side
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)])
+    return base.select(*keys, value_col).join(side, same & F.col(value_col).between(F.col("_a"), F.col("_b"))).select(*keys, "_a", "_b", value_col)
+
+
+def _grouped_percentiles(base: DataFrame, value_col: str, probs: list[float], keys: list[str], names: list[str],
+                         extra_aggs: dict) -> DataFrame | None:
+    """Exact percentiles of every group by refinement, without sorting the rows; None where buckets can't part them.
+
+    All groups are refined at once: a table of (group, rank, interval) names where each wanted rank lies, and one
+    map-side-combined count per (interval, bucket) narrows all intervals to one bucket's [min, max]. A bucket with a
+    single repeated value is an answer; an interval of at most REFINE_FINAL_ROWS values is ordered as one list.
+    """
+    ensure_checkpoint_dir(base.sparkSession)
+    base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        v, wide = F.col(value_col), F.col("_hi").cast("double")
+        groups = base.groupBy(*keys).agg(F.count(v).alias("_n"), F.min(v).alias("_lo"), F.max(v).alias("_hi"),
+                                         *[e.alias(n) for n, e in extra_aggs.items()]).checkpoint(eager=True)
+        infinite = F.isnan(wide) | (F.abs(wide) == float("inf")) | (F.abs(F.col("_lo").cast("double")) == float("inf"))
+        if not groups.filter(infinite).isEmpty():
+            return None
+        place = [(F.col("_n") - 1) * float(p) + 1 for p in probs]
+        ranks = F.array_distinct(F.array(*[f(h).cast("long") for h in place for f in (F.floor, F.ceil)]))
+        wanted = groups.filter("_n > 0").select(*keys, F.explode(ranks).alias("_k"), F.col("_lo").alias("_a"), F.col("_hi").alias("_b"),
+                                                F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_in"))
+        narrow = (F.col("_a") == F.col("_b")) | (F.col("_in") <= REFINE_FINAL_ROWS)
+        for _ in range(REFINE_MAX_ROUNDS):
+            open_ = wanted.filter(~narrow)
+            if open_.isEmpty():
+                break
+            part = (v.cast("double") - F.col("_a")) / (F.col("_b").cast("double") - F.col("_a")) * GROUP_BUCKETS
+            counts = _inside(base, value_col, open_, keys).groupBy(
+                *keys, "_a", "_b", F.least(F.floor(part), F.lit(GROUP_BUCKETS - 1)).alias("_bucket")).agg(
+                F.count(F.lit(1)).alias("_c"), F.min(v).alias("_min"), F.max(v).alias("_max"))
+            upto = Window.partitionBy(*keys, "_a", "_b").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)  # at most GROUP_BUCKETS rows
+            counts = counts.withColumn("_upto", F.sum("_c").over(upto)).select(
+                *[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], F.col("_a").alias("_x"), F.col("_b").alias("_y"), "_c", "_min", "_max", "_upto")
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)])
+            there = (F.col("_a") == F.col("_x")) & (F.col("_b") == F.col("_y")) & (F.col("_k") - F.col("_below")).between(F.col("_upto") - F.col("_c") + 1, F.col("_upto"))
+            moved = open_.join(counts, same & there).select(*keys, "_k", F.col("_min").alias("_a"), F.col("_max").alias("_b"),
+                                                            (F.col("_below") + F.col("_upto") - F.col("_c")).alias("_below"), F.col("_c").alias("_in"))
+            wanted = wanted.filter(narrow).unionByName(moved).checkpoint(eager=True)
+        else:
+            if not wanted.filter(~narrow).isEmpty():
+                return None
+        some = wanted.filter("_a < _b")
+        lists = _inside(base, value_col, some, keys).groupBy(*keys, "_a", "_b").agg(F.sort_array(F.collect_list(value_col)).alias("_values"))
+        lists = lists.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], F.col("_a").alias("_x"), F.col("_b").alias("_y"), "_values")
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)])
+        listed = some.join(lists, same & (F.col("_a") == F.col("_x")) & (F.col("_b") == F.col("_y"))).select(
+            *keys, "_k", F.element_at("_values", (F.col("_k") - F.col("_below")).cast("int")).alias("_v"))
+        found = wanted.filter("_a = _b").select(*keys, "_k", F.col("_a").alias("_v")).unionByName(listed)
+        found = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_k", "_v"))).alias("_at"))
+        found = found.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], "_at").checkpoint(eager=True)  # a row per group
+    finally:
+        base.unpersist()
+    low, high = ([F.try_element_at("_at", f(h).cast("long")) for h in place] for f in (F.floor, F.ceil))
+    return groups.join(found, same, "left").select(
+        *keys, *extra_aggs, *[(a + (h - F.floor(h)) * (b - a)).alias(n) for a, b, h, n in zip(low, high, place, names)])
+
+
 def exact_percentiles(
     df: DataFrame,
     value_col: str,
@@ -279,6 +348,7 @@ def exact_percentiles(
     ``extra_aggs`` (name -> aggregate over ``value_col`` and the ``carry``
     columns). Values are counted per (group, value) first, with map-side
     combine, so a value that very many rows share is one row of what is ranked.
+    Continuous values are better served by ``grouped_percentiles``.
     """
     group_cols = list(group_cols)
     names = names or [f"p{int(round(p * 100))}" for p in probs]
@@ -298,6 +368,16 @@ def exact_percentiles(
     return moments.join(pct, same, "left").select(*group_cols, *extra.keys(), *names)
 
 
+def grouped_percentiles(df: DataFrame, value_col: str, probs: list[float], group_cols: list[str], names: list[str] | None = None,
+                        carry: list[str] | tuple = (), extra_aggs: dict | None = None) -> DataFrame:
+    """``exact_percentiles`` per group without ranking: values are selected by refinement of bucket counts. Only
+    infinite values, and values of too many magnitudes for the rounds, are counted and ranked as there."""
+    names = names or [f"p{int(round(p * 100))}" for p in probs]
+    narrow = df.select(*dict.fromkeys([*group_cols, value_col, *carry]))
+    out = _grouped_percentiles(narrow, value_col, probs, list(group_cols), names, dict(extra_aggs or {}))
+    return out if out is not None else exact_percentiles(df, value_col, probs, group_cols, names, carry=carry, extra_aggs=extra_aggs)
+
+
 def weighted_percentiles(counts: DataFrame, value_col: str, weight_col: str, probs: list[float],
                          group_cols: list[str] | tuple = (), names: list[str] | None = None,
                          num_partitions: int | None = None) -> DataFrame:

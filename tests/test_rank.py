@@ -143,3 +143,28 @@ def test_global_percentiles_with_infinity_fall_back(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),)], "v double")
     r = R.exact_percentiles(df, "v", [0.0, 0.5], names=["a", "b"]).first()
     assert (r.a, r.b) == (1.0, 2.0)
+
+
+@pytest.mark.parametrize("final", [4, 10_000])
+def test_grouped_percentiles_by_refinement(spark, monkeypatch, final):
+    """Ties, null groups and values, a group with most rows, tiny groups: equal to numpy without ranking any rows."""
+    monkeypatch.setattr(R, "REFINE_FINAL_ROWS", final)
+    monkeypatch.setattr(R, "running_sums", None)  # the ranking path would call it
+    rng = np.random.default_rng(11)
+    rows = [("hot", float(x)) for x in rng.normal(size=3000)] + [("ties", 7.0)] * 900 + [("ties", float(x)) for x in rng.normal(size=100)]
+    rows += [(None, float(x)) for x in rng.exponential(size=50) ** 6] + [("one", 3.0), ("none", None), ("hot", None), ("two", -1.0), ("two", 2.5)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    out = R.grouped_percentiles(df, "v", probs, ["g"], names=[f"q{i}" for i in range(5)], extra_aggs={"n": F.count("v"), "rows": F.count(F.lit(1))})
+    got = {r.g: r for r in out.collect()}
+    assert set(got) == {"hot", "ties", None, "one", "none", "two"}
+    for g, r in got.items():
+        own = [v for k, v in rows if k == g and v is not None]
+        assert (r.n, r.rows) == (len(own), sum(k == g for k, _ in rows))
+        want = np.percentile(own, [100 * p for p in probs]) if own else [None] * 5
+        assert [r[f"q{i}"] for i in range(5)] == (pytest.approx(list(want), rel=1e-12) if own else want)
+
+
+def test_grouped_percentiles_of_infinite_values_are_ranked(spark):
+    df = spark.createDataFrame([("a", float("inf")), ("a", 1.0), ("a", 2.0), ("b", 5.0)], "g string, v double")
+    assert {r.g: r.p50 for r in R.grouped_percentiles(df, "v", [0.5], ["g"]).collect()} == {"a": 2.0, "b": 5.0}
