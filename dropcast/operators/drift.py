@@ -80,6 +80,34 @@ def ks_pvalue(d: Column, n_ref: Column, n_cur: Column) -> Column:
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), q))
 
 
+def log_gamma(z: Column) -> Column:
+    """Logarithm of the gamma function of a positive number: Stirling's series, ten places up."""
+    up = z + 10.0
+    series = (up - 0.5) * F.log(up) - up + 0.5 * math.log(2 * math.pi) + 1.0 / (12.0 * up) - 1.0 / (360.0 * up * up * up) + 1.0 / (1260.0 * F.pow(up, 5))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(9)), series, lambda acc, j: acc - F.log(z + j))
+
+
+def chi2_pvalue(statistic: Column, degrees: Column) -> Column:
+    """Upper tail of the chi-square distribution, the regularised incomplete gamma function Q(degrees / 2, statistic / 2).
+
+    1 - Q is the series x^a e^-x / gamma(a + 1) * (1 + x / (a + 1) + x^2 / ((a + 1)(a + 2)) + ...). Far above the mean
+    (12 deviations and 60) the tail is below 1e-12 and given as 0. No degrees of freedom: 1.
+    """
+    a, x = degrees / 2.0, statistic / 2.0
+    far = x > a + 12.0 * F.sqrt(a) + 60.0
+    near = F.when(far | (x <= 0) | (degrees < 1), F.lit(1.0)).otherwise(x)
+    terms = F.sequence(F.lit(1), F.ceil(near + 12.0 * F.sqrt(near + 1.0) + 60.0).cast("int"))
+    step = F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s"))
+
+    def add(acc: Column, j: Column) -> Column:
+        t = acc["t"] * near / (a + j)
+        return F.struct(t.alias("t"), (acc["s"] + t).alias("s"))
+
+    total = F.aggregate(terms, step, add, lambda acc: acc["s"])
+    below = F.exp(a * F.log(near) - near - log_gamma(a + 1.0)) * total
+    return F.when((degrees < 1) | (x <= 0), F.lit(1.0)).when(far, F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 1.0 - below)))
+
+
 def numeric_drift_from_counts(vc: DataFrame, threshold: float = DRIFT_NUMERIC_THRESHOLD) -> DataFrame:
     """W1 (normalised by the reference population std), KS D and p-value from value counts.
 
@@ -113,7 +141,10 @@ def numeric_drift_from_counts(vc: DataFrame, threshold: float = DRIFT_NUMERIC_TH
 
 
 def categorical_drift_from_counts(vc: DataFrame, threshold: float = DRIFT_CATEGORICAL_THRESHOLD) -> DataFrame:
-    """Jensen-Shannon distance (the drift score) and PSI from value counts."""
+    """Jensen-Shannon distance (the drift score), PSI and the chi-square test of equal shares from value counts.
+
+    The chi-square statistic compares both sides' counts with those that common shares would give; a side without rows
+    gives a null statistic and p-value."""
     cat = vc.filter(F.col("kind") == "categorical").select("column", F.col("svalue").alias("value"), "nr", "nc")
     tot = cat.groupBy("column").agg(F.sum("nr").alias("n_ref"), F.sum("nc").alias("n_cur"))
     j = cat.join(F.broadcast(tot), "column")  # one row per column
@@ -126,11 +157,17 @@ def categorical_drift_from_counts(vc: DataFrame, threshold: float = DRIFT_CATEGO
     agg = j.groupBy("column", "n_ref", "n_cur").agg(
         F.sqrt(F.greatest(F.lit(0.0), 0.5 * F.sum(kl_p) + 0.5 * F.sum(kl_q))).alias("js_distance"),
         F.sum((pe - qe) * F.log(pe / qe)).alias("psi"),
+        # both sides' squared deviations from the expected counts, over the expected counts
+        F.sum(F.try_divide(F.pow(F.col("nr") * F.col("n_cur") - F.col("nc") * F.col("n_ref"), F.lit(2.0)),
+                           (F.col("nr") + F.col("nc")).cast("double") * F.col("n_ref") * F.col("n_cur"))).alias("chi2_statistic"),
+        (F.count(F.lit(1)) - 1).alias("chi2_df"),
     )
     return agg.select(
         "column", F.lit("categorical").alias("kind"), F.lit("jensenshannon").alias("stattest"),
         F.col("n_ref").cast("long").alias("n_ref"), F.col("n_cur").cast("long").alias("n_cur"),
         F.col("js_distance").alias("drift_score"), "psi", (F.col("js_distance") > threshold).alias("drift_detected"),
+        "chi2_statistic", "chi2_df", F.when(F.col("chi2_statistic").isNotNull(), chi2_pvalue(
+            F.col("chi2_statistic"), F.col("chi2_df").cast("double"))).alias("chi2_pvalue"),
     )
 
 
@@ -174,7 +211,8 @@ def _side_sizes(vc: DataFrame) -> DataFrame:
 
 def dataset_drift(ref: DataFrame, cur: DataFrame, numeric: list[str], categorical: list[str],
                   share: float = DATASET_DRIFT_SHARE) -> DataFrame:
-    """One row: drift flag (share of drifted columns >= share), share, count, drifted list, sizes."""
+    """One row: drift flag (share of drifted columns >= share), share, count, the drifted columns' names and, as
+    ``drifted``, an array of (column, score, test) in the order of the names, sizes."""
     vc = value_counts(ref, cur, numeric, categorical)
     cd = _drift_table(vc, numeric, categorical)
     row = cd.agg(
@@ -182,6 +220,8 @@ def dataset_drift(ref: DataFrame, cur: DataFrame, numeric: list[str], categorica
         F.count_if("drift_detected").alias("n_drifted_columns"),
         F.count(F.lit(1)).alias("n_columns"),
         F.array_join(F.array_sort(F.collect_list(F.when(F.col("drift_detected"), F.col("column")))), ",").alias("drifted_columns"),
+        F.array_sort(F.collect_list(F.when(F.col("drift_detected"), F.struct(
+            "column", F.col("drift_score").alias("score"), F.col("stattest").alias("test"))))).alias("drifted"),
     ).withColumn("drift_detected", F.col("drift_share") >= share)
     return attach_row(row, _side_sizes(vc))
 

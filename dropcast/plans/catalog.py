@@ -699,11 +699,15 @@ def q_sink_clean(spark, sf):
 
 @query("sink_segment_csv")
 def q_sink_segment(spark, sf):
-    p = _pred(spark, sf).withColumn("hour_of_day", F.hour("order_timestamp"))
-    seg = M.segment_metrics(p, "hour_of_day").withColumn("segment", F.col("segment").cast("long"))
-    path = scratch_path(spark, "segments")
-    SK.write_csv(seg, path)
-    return rounded(RD.load_dimension(spark, path, "csv", seg.schema))
+    """Both segment tables, each written and read back: by hour and by weekday."""
+    p = _pred(spark, sf).withColumns({"hour_of_day": F.hour("order_timestamp"), "day_of_week": F.weekday("order_timestamp")})
+    parts = []
+    for by in ("hour_of_day", "day_of_week"):
+        seg = M.segment_metrics(p, by).withColumn("segment", F.col("segment").cast("long"))
+        path = scratch_path(spark, f"segments-{by}")
+        SK.write_csv(seg, path)
+        parts.append(RD.load_dimension(spark, path, "csv", seg.schema).withColumn("segment_by", F.lit(by)))
+    return rounded(parts[0].unionByName(parts[1]))
 
 
 @query("sink_report_json")
@@ -775,7 +779,9 @@ def q_drift_cat(spark, sf):
 @query("dataset_drift")
 def q_dataset_drift(spark, sf):
     ref, cur = _ref_cur(spark, sf)
-    return rounded(DR.dataset_drift(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL))
+    row = DR.dataset_drift(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL)
+    text = F.transform("drifted", lambda d: F.format_string("%s:%s:%.4f", d["column"], d["test"], d["score"]))
+    return rounded(row.withColumn("drifted", F.array_join(text, ",")))
 
 
 @query("target_drift")
@@ -1069,7 +1075,21 @@ def q_validate_schema(spark, sf):
 
 @query("load_model")
 def q_load_model(spark, sf):
-    return QUERIES["save_model"](spark, sf)
+    """The model that a training run registered, found through its registry, against the one still at hand: every order,
+    whether both predict the same, the features it was trained on, and whether the registry holds the test set's error."""
+    from . import jobs as J
+
+    prep, model = _trained(spark, sf)
+    path = scratch_path(spark, "training-run")
+    report = TR.evaluation_report(model, prep)
+    J.save_run(spark, prep, model, report, path, "eta_model", "v1")
+    loaded, entry = J.load_registered(spark, f"{path}/model_registry", "eta_model")
+    mae = report.metrics.filter("split = 'test'").first()["mae"]
+    d = _d(spark, sf)
+    both = TR.predict(loaded, d).select("order_id", "predicted_eta_minutes").join(
+        TR.predict(TR.scoring_model(prep, model), d).select("order_id", F.col("predicted_eta_minutes").alias("own")), "order_id")
+    return both.select("order_id", F.col("predicted_eta_minutes").eqNullSafe(F.col("own")).alias("same"), F.lit(entry["version"]).alias("version"),
+                       F.lit(len(entry["features"])).cast("long").alias("n_features"), F.lit(entry["mae"] == mae).alias("same_mae"))
 
 
 @query("scan_dims_csv")

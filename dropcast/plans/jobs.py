@@ -51,6 +51,52 @@ def clean_job(spark: SparkSession, input_path: str, output_path: str, fmt: str =
     return report
 
 
+def save_run(spark: SparkSession, prep: TR.Prepared, model: PipelineModel, report: TR.Report, output_path: str,
+             model_name: str, version: str) -> dict:
+    """Write a training run: scoring model, importance, segment tables, and a registry row with the test metrics, the
+    features in their order and the model's place. Returns the metrics by split."""
+    metrics = {r["split"]: {k: v for k, v in r.asDict().items() if k != "split"} for r in report.metrics.collect()}
+    path = os.path.join(output_path, "model")
+    TR.scoring_model(prep, model).write().overwrite().save(path)
+    SK.write_csv(TR.feature_importance(model, prep.features, spark), os.path.join(output_path, "feature_importance"))
+    SK.write_csv(report.hour_segments, os.path.join(output_path, "metrics_by_hour"))
+    SK.write_csv(report.dow_segments, os.path.join(output_path, "metrics_by_dow"))
+    entry = spark.createDataFrame(
+        [(model_name, version, "staging", metrics["test"]["mae"], metrics["test"]["rmse"], metrics["test"]["r2"], path, prep.features)],
+        "model_name string, version string, stage string, mae double, rmse double, r2 double, artifact_path string, features array<string>")
+    registry = os.path.join(output_path, "model_registry")
+    existing = _registry(spark, registry)
+    existing = entry.limit(0) if existing is None else existing.checkpoint(eager=True)
+    SK.write_parquet(SK.register_model_version(existing, entry), registry)
+    return metrics
+
+
+def _registry(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        found = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    # rows written before the features were recorded
+    return found if "features" in found.columns else found.withColumn("features", F.lit(None).cast("array<string>"))
+
+
+def load_registered(spark: SparkSession, registry_path: str, model_name: str = "eta_model", version: str | None = None) -> tuple[PipelineModel, dict]:
+    """A registered model and its registry row: the version asked for, else the last one in order of the names (digits
+    as numbers). A name or version that is not registered is an error."""
+    rows = _registry(spark, registry_path)
+    if rows is None:
+        raise LookupError(f"no model registry at {registry_path}")
+    found = rows.filter(F.col("model_name") == model_name)
+    found = found if version is None else found.filter(F.col("version") == version)
+    number = F.regexp_extract("version", r"(\d+)", 1).cast("long")
+    entry = found.orderBy(number.desc_nulls_last(), F.desc("version")).first()
+    if entry is None:
+        raise LookupError(f"{model_name} {version or ''} is not registered at {registry_path}")
+    return PipelineModel.load(entry["artifact_path"]), entry.asDict()
+
+
 def train_job(spark: SparkSession, input_path: str, output_path: str, fmt: str = "parquet", params: dict | None = None,
               cv_folds: int = 0, tune_trials: int = 0, tune_timeout_s: float = 1800, model_name: str = "eta_model",
               version: str = "v1") -> dict:
@@ -73,38 +119,27 @@ def train_job(spark: SparkSession, input_path: str, output_path: str, fmt: str =
         out["cv"] = summary.first().asDict()
     model = TR.train_gbt(prep.train, prep.features, best)
     report = TR.evaluation_report(model, prep)
-    metrics = {r["split"]: {k: v for k, v in r.asDict().items() if k != "split"} for r in report.metrics.collect()}
+    metrics = save_run(spark, prep, model, report, output_path, model_name, version)
     out["metrics"] = metrics
     out["target_met"] = bool(metrics["test"]["mae"] is not None and metrics["test"]["mae"] < 5.0)
-    full = TR.scoring_model(prep, model)
-    full.write().overwrite().save(os.path.join(output_path, "model"))
-    SK.write_csv(TR.feature_importance(model, prep.features, spark), os.path.join(output_path, "feature_importance"))
-    SK.write_csv(report.hour_segments, os.path.join(output_path, "metrics_by_hour"))
-    SK.write_csv(report.dow_segments, os.path.join(output_path, "metrics_by_dow"))
-    registry_row = spark.createDataFrame(
-        [(model_name, version, "staging", metrics["test"]["mae"], metrics["test"]["rmse"], metrics["test"]["r2"],
-          os.path.join(output_path, "model"))],
-        "model_name string, version string, stage string, mae double, rmse double, r2 double, artifact_path string")
-    reg_path = os.path.join(output_path, "model_registry")
-    try:
-        existing = spark.read.parquet(reg_path).checkpoint(eager=True)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        existing = registry_row.limit(0)
-    SK.write_parquet(SK.register_model_version(existing, registry_row), reg_path)
     _write_json_row(spark, out, os.path.join(output_path, "training_report"))
     return out
 
 
 def score_job(spark: SparkSession, input_path: str, model_path: str, output_path: str, fmt: str = "parquet",
               mae: float | None = None, model_version: str = "v1") -> DataFrame:
-    """Batch scoring: validity -> defaults -> fitted pipeline -> interval -> id -> prediction log."""
+    """Batch scoring: validity -> defaults -> fitted pipeline -> interval -> id -> prediction log.
+
+    The interval's width is the test error that training registered for this model (beside the model's folder), unless
+    ``mae`` is given; 4.5 minutes where neither is known."""
     from ..streaming.jobs import score_orders
 
     model = PipelineModel.load(model_path)
-    scored = score_orders(_read(spark, input_path, fmt), model=model, mae=mae if mae is not None else 4.5,
-                          model_version=model_version)
+    if mae is None:
+        rows = _registry(spark, os.path.join(os.path.dirname(model_path.rstrip("/")), "model_registry"))
+        entry = None if rows is None else rows.filter((F.col("artifact_path") == model_path.rstrip("/")) & F.col("mae").isNotNull()).orderBy(F.desc("version")).first()
+        mae = entry["mae"] if entry else 4.5
+    scored = score_orders(_read(spark, input_path, fmt), model=model, mae=mae, model_version=model_version)
     SK.write_parquet(scored, output_path)
     return spark.read.parquet(output_path)
 

@@ -629,7 +629,10 @@ SQL["scan_orders_limit"] = with_d(
     f"SELECT {ROUNDED_D} FROM d WHERE order_timestamp <= TIMESTAMP '2024-01-20' ORDER BY order_timestamp, order_id LIMIT 500")
 SQL["scan_orders_csv"] = with_d(f"SELECT {ROUNDED_D} FROM d")
 SQL["load_validated"] = SQL["scan_orders_csv"]
-SQL["sink_segment_csv"] = SQL["segment_metrics"]
+SQL["load_model"] = with_d("SELECT order_id, true AS same, 'v1' AS version, 28 AS n_features, true AS same_mae FROM d")
+SQL["sink_segment_csv"] = with_pred(" UNION ALL ".join(
+    f"SELECT '{name}' AS segment_by, * FROM ({SEG.format(seg=seg, segcast='CAST(s AS BIGINT)', having='')})"
+    for name, seg in (("hour_of_day", "hour(order_timestamp)"), ("day_of_week", "isodow(order_timestamp) - 1"))))
 SQL["sink_report_json"] = with_pred("""SELECT count(*) AS n, round(avg(abs(e)), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse,
   round(1e0 - sum(e * e) / (var_pop(y) * count(*)), 6) AS r2,
   CASE WHEN (avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) IS NULL OR (avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) = 0 THEN (avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) WHEN (floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12) >= 0 THEN round((avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) / pow(10e0, (floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12))) * pow(10e0, (floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12)) ELSE round((avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0) * pow(10e0, -(floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12))) / pow(10e0, -(floor(log10(abs(avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100e0))) + 1 - 12)) END AS mape,
@@ -690,7 +693,9 @@ def cat_drift_ctes(cols: list[str], out: str = "cd") -> str:
   CAST(n_cur AS BIGINT) AS n_cur,
   sqrt(greatest(0e0, 0.5e0 * sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0e0 END)
                    + 0.5e0 * sum(CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0e0 END))) AS drift_score,
-  sum((greatest(p, 1e-4) - greatest(q, 1e-4)) * ln(greatest(p, 1e-4) / greatest(q, 1e-4))) AS psi
+  sum((greatest(p, 1e-4) - greatest(q, 1e-4)) * ln(greatest(p, 1e-4) / greatest(q, 1e-4))) AS psi,
+  sum(pow(nr - (nr + nc) * n_ref / (n_ref + n_cur), 2) / ((nr + nc) * n_ref / (n_ref + n_cur))
+    + pow(nc - (nr + nc) * n_cur / (n_ref + n_cur), 2) / ((nr + nc) * n_cur / (n_ref + n_cur))) AS chi2_statistic, count(*) - 1 AS chi2_df
   FROM {out}_j GROUP BY col, n_ref, n_cur)"""
 
 
@@ -702,8 +707,8 @@ def with_drift(body: str, shift: float = 0.0, numeric=DRIFT_NUMERIC, categorical
     if categorical:
         parts.append(cat_drift_ctes(categorical))
     if numeric and categorical:
-        parts.append("al AS (SELECT \"column\", drift_detected FROM nd UNION ALL"
-                     " SELECT \"column\", drift_score > 0.1e0 FROM cd)")
+        parts.append("al AS (SELECT \"column\", drift_detected, drift_score AS score, stattest AS test FROM nd UNION ALL"
+                     " SELECT \"column\", drift_score > 0.1e0, drift_score, stattest FROM cd)")
     return with_d(body, extra=",\n".join(parts))
 
 
@@ -713,10 +718,14 @@ SELECT "column", kind, stattest, n_ref, n_cur, round(wasserstein, 6) AS wasserst
 FROM nd""", categorical=[])
 SQL["column_drift_categorical"] = with_drift("""
 SELECT "column", kind, stattest, n_ref, n_cur, round(drift_score, 6) AS drift_score, round(psi, 6) AS psi,
-  drift_score > 0.1e0 AS drift_detected FROM cd""", numeric=[])
+  drift_score > 0.1e0 AS drift_detected, round(chi2_statistic, 6) AS chi2_statistic, chi2_df,
+  round(CASE WHEN chi2_df < 1 OR chi2_statistic <= 0 THEN 1e0 ELSE greatest(0e0, 1e0 - list_sum(list_transform(range(0, 2000), lambda n:
+    exp((chi2_df / 2e0 + n) * ln(chi2_statistic / 2e0) - chi2_statistic / 2e0 - lgamma(chi2_df / 2e0 + n + 1))))) END, 6) AS chi2_pvalue
+FROM cd""", numeric=[])
 SQL["dataset_drift"] = with_drift("""
 SELECT round(avg(CAST(drift_detected AS DOUBLE)), 6) AS drift_share, count(*) FILTER (WHERE drift_detected) AS n_drifted_columns,
   count(*) AS n_columns, coalesce(string_agg("column", ',' ORDER BY "column") FILTER (WHERE drift_detected), '') AS drifted_columns,
+  coalesce(string_agg("column" || ':' || test || ':' || printf('%.4f', score), ',' ORDER BY "column") FILTER (WHERE drift_detected), '') AS drifted,
   avg(CAST(drift_detected AS DOUBLE)) >= 0.5e0 AS drift_detected,
   (SELECT count(*) FROM t WHERE is_ref) AS n_reference_samples, (SELECT count(*) FROM t WHERE NOT is_ref) AS n_current_samples
 FROM al""")

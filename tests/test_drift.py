@@ -73,3 +73,26 @@ def test_dataset_drift_and_retrain(sets):
 def test_target_drift_absent_target(sets):
     ref, cur, _, _, _, _ = sets
     assert DR.target_drift(ref, cur, "nope").count() == 0
+
+
+@pytest.mark.parametrize(("statistic", "degrees", "p"), [
+    (3.841459, 1, 0.05), (6.634897, 1, 0.01), (5.991465, 2, 0.05), (16.918978, 9, 0.05), (43.772972, 30, 0.05), (124.342113, 100, 0.05),
+    (0.0039321, 1, 0.95), (61.754079, 90, 0.99), (0.0, 3, 1.0), (5.0, 0, 1.0), (9000.0, 4, 0.0), (1074.679449, 1000, 0.05)])
+def test_chi_square_tail_equals_published_tables(spark, statistic, degrees, p):
+    got = spark.range(1).select(DR.chi2_pvalue(F.lit(statistic), F.lit(float(degrees))).alias("p")).first().p
+    assert got == pytest.approx(p, abs=2e-6)
+
+
+def test_chi_square_of_two_tables(spark):
+    ref = spark.createDataFrame([("a",)] * 30 + [("b",)] * 70, "c string")
+    cur = spark.createDataFrame([("a",)] * 50 + [("b",)] * 50, "c string")
+    r = DR.column_drift_categorical(ref, cur, ["c"]).first()
+    assert (r.chi2_df, r.chi2_statistic) == (1, pytest.approx(200 * (30 * 50 - 70 * 50) ** 2 / (100 * 100 * 80 * 120)))
+    assert r.chi2_pvalue == pytest.approx(0.003892, abs=1e-6)
+
+
+def test_drifted_columns_with_score_and_test(spark):
+    ref = spark.range(100).select(F.col("id").cast("double").alias("x"), F.lit("u").alias("c"), F.lit(1.0).alias("y"))
+    cur = ref.select((F.col("x") + 90).alias("x"), F.lit("v").alias("c"), "y")
+    r = DR.dataset_drift(ref, cur, ["x", "y"], ["c"]).first()
+    assert [(d.column, d.test) for d in r.drifted] == [("c", "jensenshannon"), ("x", "wasserstein")] and r.drifted[1].score > 1
