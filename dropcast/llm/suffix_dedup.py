@@ -12,7 +12,7 @@ in every round would cost many times the input, so positions travel together as
    of ``STEP`` positions, at the same distances from the seed in all contexts, so that equal positions lie in steps of the same
    number. All positions of a step are repeated if the bytes of the whole step are; of equal steps one stands for all.
 3. Doubling. The windows of a step share its core, the bytes that all of them hold. Spark ranks the steps by (seed, step, first
-   25 bytes of the core), then by (rank, next 25), (rank, next 50) and (rank, the rest): after each round only the steps
+   50 bytes of the core), then by (rank, next 50) and (rank, the rest): after each round only the steps
    that share their rank with another stay.
 4. The positions of the steps that are left become rows and are ranked by all their ``LENGTH`` bytes.
 5. Repeated positions are gathered for each text, and the bytes that they cover are cut out.
@@ -172,9 +172,9 @@ def _slices(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFra
 
 
 def _rounds(length: int) -> list[tuple[int, int]]:
-    """(offset, bytes) of the strings that ranks of cores grow by: an eighth of the length, then as many again, up to the core's end."""
+    """(offset, bytes) of the strings that ranks of cores grow by: a quarter of the length, then as many again, up to the core's end."""
     core = length - STEP + 1
-    out, h = [(0, max(1, length // 8))], max(1, length // 8)
+    out, h = [(0, max(1, length // 4))], max(1, length // 4)
     while h < core:
         out.append((h, min(h, core - h)))
         h += min(h, core - h)
