@@ -29,6 +29,7 @@ from .rank import running_sums
 
 PSI_EPS = 1e-4
 KS_TERMS = 100
+_VALUE = ("column", "kind", "dvalue", "svalue")
 
 
 def tagged_union(ref: DataFrame, cur: DataFrame, cols: list[str], tag: str = "is_ref") -> DataFrame:
@@ -37,6 +38,19 @@ def tagged_union(ref: DataFrame, cur: DataFrame, cols: list[str], tag: str = "is
             .unionByName(cur.select(*cols).withColumn(tag, F.lit(False))))
 
 
+def _long_values(df: DataFrame, numeric: list[str], categorical: list[str], *keep: str) -> DataFrame:
+    """One row per value: (column, kind, dvalue, svalue) and ``keep``, with one 'rows' entry for every input row."""
+    entries = [F.struct(F.lit(c).alias("column"), F.lit("numeric").alias("kind"), F.col(c).cast("double").alias("dvalue"),
+                        F.lit(None).cast("string").alias("svalue")) for c in numeric]
+    entries += [F.struct(F.lit(c).alias("column"), F.lit("categorical").alias("kind"),
+                         F.lit(None).cast("double").alias("dvalue"), F.col(c).cast("string").alias("svalue"))
+                for c in categorical]
+    entries.append(F.struct(F.lit("__rows__").alias("column"), F.lit("rows").alias("kind"),
+                            F.lit(0.0).alias("dvalue"), F.lit(None).cast("string").alias("svalue")))
+    long = df.select(*keep, F.explode(F.array(*entries)).alias("kv")).select("kv.*", *keep)
+    return long.filter(F.col("dvalue").isNotNull() | F.col("svalue").isNotNull())
+
+
 def value_counts(ref: DataFrame, cur: DataFrame, numeric: list[str], categorical: list[str] = ()) -> DataFrame:
     """Reference/current counts per distinct value of every column, in one pass over each side.
 
@@ -47,21 +61,25 @@ def value_counts(ref: DataFrame, cur: DataFrame, numeric: list[str], categorical
     never the sources again.
     """
     numeric, categorical = list(numeric), list(categorical)
-    t = tagged_union(ref, cur, numeric + categorical)
-    entries = [F.struct(F.lit(c).alias("column"), F.lit("numeric").alias("kind"), F.col(c).cast("double").alias("dvalue"),
-                        F.lit(None).cast("string").alias("svalue")) for c in numeric]
-    entries += [F.struct(F.lit(c).alias("column"), F.lit("categorical").alias("kind"),
-                         F.lit(None).cast("double").alias("dvalue"), F.col(c).cast("string").alias("svalue"))
-                for c in categorical]
-    entries.append(F.struct(F.lit("__rows__").alias("column"), F.lit("rows").alias("kind"),
-                            F.lit(0.0).alias("dvalue"), F.lit(None).cast("string").alias("svalue")))
-    long = t.select("is_ref", F.explode(F.array(*entries)).alias("kv")).select("kv.*", "is_ref")
-    long = long.filter(F.col("dvalue").isNotNull() | F.col("svalue").isNotNull())
-    vc = long.groupBy("column", "kind", "dvalue", "svalue").agg(
+    long = _long_values(tagged_union(ref, cur, numeric + categorical), numeric, categorical, "is_ref")
+    vc = long.groupBy(*_VALUE).agg(
         F.count_if(F.col("is_ref")).alias("nr"), F.count_if(~F.col("is_ref")).alias("nc"))
     return vc.checkpoint(eager=True)
 
 
+def reference_counts(ref: DataFrame, numeric: list[str], categorical: list[str] = ()) -> DataFrame:
+    """The reference's side of ``value_counts`` (column, kind, dvalue, svalue, n), to be stored and used many times."""
+    return _long_values(ref, list(numeric), list(categorical)).groupBy(*_VALUE).agg(F.count(F.lit(1)).alias("n"))
+
+
+def value_counts_with(stored: DataFrame, cur: DataFrame, numeric: list[str], categorical: list[str] = ()) -> DataFrame:
+    """``value_counts`` of a reference known by its ``reference_counts`` and of current rows."""
+    new = _long_values(cur, list(numeric), list(categorical))
+    both = (stored.select(*_VALUE, F.col("n").alias("nr"), F.lit(0).cast("long").alias("nc"))
+            .unionByName(new.select(*_VALUE, F.lit(0).cast("long").alias("nr"), F.lit(1).cast("long").alias("nc"))))
+    return both.groupBy(*_VALUE).agg(F.sum("nr").alias("nr"), F.sum("nc").alias("nc")).checkpoint(eager=True)
+
+
 def ks_pvalue(d: Column, n_ref: Column, n_cur: Column) -> Column:
     """Asymptotic two-sided KS p-value Q(lambda), lambda = (en + 0.12 + 0.11/en) * D.
 
@@ -213,7 +231,12 @@ def dataset_drift(ref: DataFrame, cur: DataFrame, numeric: list[str], categorica
                   share: float = DATASET_DRIFT_SHARE) -> DataFrame:
     """One row: drift flag (share of drifted columns >= share), share, count, the drifted columns' names and, as
     ``drifted``, an array of (column, score, test) in the order of the names, sizes."""
-    vc = value_counts(ref, cur, numeric, categorical)
+    return dataset_drift_from_counts(value_counts(ref, cur, numeric, categorical), numeric, categorical, share)
+
+
+def dataset_drift_from_counts(vc: DataFrame, numeric: list[str], categorical: list[str],
+                              share: float = DATASET_DRIFT_SHARE) -> DataFrame:
+    """``dataset_drift`` over value counts that are there already."""
     cd = _drift_table(vc, numeric, categorical)
     row = cd.agg(
         F.avg(F.col("drift_detected").cast("double")).alias("drift_share"),

@@ -13,6 +13,7 @@ import os
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer  # noqa: F401
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, Observation, Window
@@ -332,26 +333,35 @@ class GroupStatsModel(TableBackedModel):
 # ---- weather ----------------------------------------------------------------------------
 
 class WeatherFeatures(Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """Ordinal code plus one-hot columns over the vocabulary seen at fit (first category dropped)."""
+    """Ordinal code plus a one-hot encoding over the vocabulary seen at fit, its alphabetically first entry dropped.
 
-    maxCategories = _p("maxCategories", "largest vocabulary accepted for one-hot columns", TypeConverters.toInt)
+    Up to ``maxColumns`` categories there is a 0/1 column for each of the others. A larger vocabulary is kept as a table
+    (category, index) and gives one sparse vector column ``weather_one_hot`` with the same entries in the same order.
+    The first category, an unseen one and NULL are all zeros.
+    """
+
+    maxColumns = _p("maxColumns", "largest vocabulary that gets a column per category", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, maxCategories: int = 1000):
+    def __init__(self, maxColumns: int = 1000):
         super().__init__()
-        self._setDefault(maxCategories=1000)
+        self._setDefault(maxColumns=1000)
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "WeatherFeaturesModel":
         m = WeatherFeaturesModel()
         if "weather_condition" in df.columns:
-            # categorical vocabulary, read with a proven bound (at most maxCategories + 1 rows)
-            k = int(self.getOrDefault(self.maxCategories))
-            vocab = [r[0] for r in df.select("weather_condition").where(F.col("weather_condition").isNotNull())
-                     .distinct().limit(k + 1).collect()]
-            if len(vocab) > k:
-                raise ValueError(f"weather_condition has more than {k} categories; one-hot encoding refused")
-            m._scalars["vocabulary"] = sorted(vocab)
+            # the vocabulary is read only up to the bound; a larger one stays distributed
+            k = int(self.getOrDefault(self.maxColumns))
+            known = df.select("weather_condition").where(F.col("weather_condition").isNotNull()).distinct()
+            vocab = [r[0] for r in known.limit(k + 1).collect()]
+            if len(vocab) <= k:
+                m._scalars["vocabulary"] = sorted(vocab)
+            else:
+                # the first category has index -1, the others 0, 1, ... in alphabetical order
+                places = ranked(known, ["weather_condition"], rank_col="_place", size_col=None).select(
+                    F.col("weather_condition").alias("_category"), (F.col("_place") - 2).cast("double").alias("_index"))
+                m._tables["categories"], m._scalars["rows_categories"] = _materialize(places)
         return m
 
 
@@ -363,7 +373,18 @@ class WeatherFeaturesModel(TableBackedModel):
         cols.update(X.weather_one_hot(self._scalars.get("vocabulary", [])))
         if "weather_multiplier" not in df.columns:
             cols["weather_multiplier"] = X.weather_multiplier("weather_condition")
-        return df.withColumns(cols)
+        out = df.withColumns(cols)
+        return self._sparse(out) if "categories" in self._tables else out
+
+    def _sparse(self, df: DataFrame) -> DataFrame:
+        width = int(self._scalars["rows_categories"]) - 1
+        # the place after the last one is the encoder's dropped category; the declared size saves it a scan
+        nominal = {"ml_attr": {"type": "nominal", "name": "_index", "num_vals": width + 1}}
+        index = F.coalesce(F.when(F.col("_index") >= 0, F.col("_index")), F.lit(float(width)))
+        j = df.join(self._side("categories"), F.col("weather_condition") == F.col("_category"), "left")
+        j = j.withColumn("_index", index).withMetadata("_index", nominal).drop("_category")
+        encoder = OneHotEncoder(inputCol="_index", outputCol="weather_one_hot", dropLast=True)
+        return encoder.fit(j).transform(j).drop("_index")
 
 
 # ---- lags -----------------------------------------------------------------------------------

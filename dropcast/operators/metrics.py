@@ -37,8 +37,9 @@ def round_significant(c: Column, digits: int = 12) -> Column:
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row frame to every row (one-row side is broadcast)."""
-    return df.join(F.broadcast(one_row), how="cross")
+    """Attach the columns of a one-row frame to every row as constants (NULL where that frame has no row)."""
+    row = one_row.first()
+    return df.withColumns({f.name: F.lit(None if row is None else row[f.name]).cast(f.dataType) for f in one_row.schema})
 
 
 def residuals(df: DataFrame, actual: str, predicted: str, keys: list[str] | tuple = ()) -> DataFrame:
@@ -232,6 +233,16 @@ def last_value_gauges(log: DataFrame, ts: str = "request_timestamp", group: str
     )
 
 
+def monitoring_gauges(drift: DataFrame, n_features: int) -> DataFrame:
+    """(gauge, value) of the latest state: drift flag as 0 or 1, share of drifted columns, features of the model.
+
+    ``drift`` is the one row of a drift report; a share that is not known counts as no drift and a NULL share."""
+    pairs = {"data_drift_detected": F.coalesce(F.col("drift_detected").cast("double"), F.lit(0.0)),
+             "data_drift_share": F.col("drift_share").cast("double"), "model_feature_count": F.lit(float(n_features))}
+    return drift.select(F.explode(F.array(*[F.struct(F.lit(name).alias("gauge"), value.alias("value"))
+                                            for name, value in pairs.items()])).alias("g")).select("g.*")
+
+
 def feature_quality_counters(df: DataFrame, ranges: dict[str, tuple]) -> DataFrame:
     """Missing and out-of-range counts per feature (NULL is missing, never out of range)."""
     cols = [c for c in ranges if c in df.columns]

@@ -784,6 +784,13 @@ def q_dataset_drift(spark, sf):
     return rounded(row.withColumn("drifted", F.array_join(text, ",")))
 
 
+@query("monitoring_gauges")
+def q_monitoring_gauges(spark, sf):
+    ref, cur = _ref_cur(spark, sf)
+    row = DR.dataset_drift(ref, cur, DRIFT_NUMERIC, DRIFT_CATEGORICAL)
+    return rounded(M.monitoring_gauges(row, len(DRIFT_NUMERIC) + len(DRIFT_CATEGORICAL)))
+
+
 @query("target_drift")
 def q_target_drift(spark, sf):
     ref, cur = _ref_cur(spark, sf, shift=20.0)
@@ -1027,6 +1034,26 @@ def q_stream_score(spark, sf):
     return rounded(out.select("order_id", "is_valid", "raw_prediction", "predicted_eta_minutes"))
 
 
+@query("stream_score_orders_model")
+def q_stream_score_model(spark, sf):
+    """Scoring with the fitted pipeline and the zone table, both inside the stream; every row is compared with its batch score."""
+    prep, model = _trained(spark, sf)
+    full = TR.scoring_model(prep, model)
+    d = _d(spark, sf)
+    mae = TR.evaluate(model, prep.test).first()["mae"]
+    zones = scratch_path(spark, "zone-stats")
+    _zone_stats_model(d)._tables["zone_id"].write.parquet(zones)
+    sink, ck = _stream_paths(spark, "score-model")
+    out = ST.run_score_orders(spark, sf, sink, ck, model=full, zone_path=zones, mae=mae, model_version="gbt-v1")
+    batch = ST.score_orders(d, spark.read.parquet(zones), full, mae, "gbt-v1").select(
+        "prediction_id", F.col("raw_prediction").alias("batch_prediction"))
+    p, lo, hi = F.col("predicted_eta_minutes"), F.col("confidence_interval_lower"), F.col("confidence_interval_upper")
+    return out.join(batch, "prediction_id", "left").select(
+        "order_id", "prediction_id", "is_valid", "zone_stats_hit",
+        F.coalesce(F.abs(F.col("raw_prediction") - F.col("batch_prediction")) < 1e-9, F.lit(False)).alias("equals_batch"),
+        F.coalesce((lo <= p) & (p <= hi), F.lit(False)).alias("in_interval"))
+
+
 @query("stream_prediction_metrics")
 def q_stream_metrics(spark, sf):
     sink, ck = _stream_paths(spark, "metrics")

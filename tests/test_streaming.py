@@ -68,3 +68,56 @@ def test_files_in_any_order_lose_no_row(spark, tmp_path):
     assert metrics.agg(F.sum("count")).first()[0] == total
     feedback = ST.run_feedback_join(spark, str(tmp_path), scratch_path(spark, "t-f"), scratch_path(spark, "t-fck"))
     assert feedback.count() == total
+
+
+def _parts(spark, tmp_path, n=3):
+    spark.read.parquet(f"{SF001}/events.parquet").repartition(n, F.hash("event_id")).write.parquet(f"{tmp_path}/events.parquet")
+    return str(tmp_path)
+
+
+def test_drift_batches_read_the_reference_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def mark(v):
+        seen.add(1)
+        return v
+
+    d = CAT._d(spark, SF001)
+    ref = d.filter("order_timestamp < TIMESTAMP_NTZ'2024-01-16 00:00:00'")
+    n = ref.count()
+    counted = ref.withColumn("zone_id", mark("zone_id"))
+    sink, ck = scratch_path(spark, "t-d"), scratch_path(spark, "t-dck")
+    folder = _parts(spark, tmp_path)
+    out = ST.run_drift_batches(spark, folder, counted, ["zone_id", "prep_time_minutes"], ["weather_condition"], sink, ck,
+                               max_files_per_trigger=1)
+    rows = {r.batch_id: r for r in out.collect()}
+    assert len(rows) == 3 and seen.value == n
+    assert sum(r.n_current_samples for r in rows.values()) == d.count()
+    assert {r.n_reference_samples for r in rows.values()} == {n}
+
+    # a later run knows the reference by its stored counts alone, and gives what a plain comparison gives
+    sink2, ck2 = scratch_path(spark, "t-d2"), scratch_path(spark, "t-d2ck")
+    again = ST.run_drift_batches(spark, SF001, None, ["zone_id", "prep_time_minutes"], ["weather_condition"], sink2, ck2,
+                                 counts_path=f"{ck}/reference_counts").drop("batch_id")
+    plain = ST.DR.dataset_drift(ref, d, ["zone_id", "prep_time_minutes"], ["weather_condition"])
+    assert seen.value == n
+    assert _rows(again.select(plain.columns)) == _rows(plain)
+
+
+def test_refreshed_zone_table_is_used_from_the_next_batch_on(spark, tmp_path):
+    folder, zones = _parts(spark, tmp_path), str(tmp_path / "zones")
+    schema = "zone_id int, zone_id_eta_mean double"
+    sink, ck = scratch_path(spark, "t-z"), scratch_path(spark, "t-zck")
+    spark.createDataFrame([(1, 20.0)], schema).write.parquet(zones)
+    first = ST.run_score_orders(spark, folder, sink, ck, zone_path=zones)
+    assert first.filter("zone_stats_hit AND zone_id <> 1").count() == 0 < first.filter("zone_stats_hit").count()
+    n, hits = first.count(), first.filter("zone_stats_hit").count()
+    # new orders and a table with another zone; the stored rows stay as they were scored
+    spark.createDataFrame([(1, 20.0), (2, 30.0)], schema).write.mode("overwrite").parquet(zones)
+    spark.read.parquet(f"{SF001}/events.parquet").limit(500).withColumn("event_id", F.col("event_id") + 10**8).coalesce(1).write.mode(
+        "append").parquet(f"{tmp_path}/events.parquet")
+    second = ST.run_score_orders(spark, folder, sink, ck, zone_path=zones)
+    assert second.count() == n + 500
+    assert second.filter("zone_stats_hit AND zone_id = 1").count() > hits
+    assert second.filter("zone_stats_hit AND zone_id = 2").count() > 0
