@@ -1071,7 +1071,7 @@ def q_stream_drift(spark, sf):
     sink, ck = _stream_paths(spark, "drift")
     ref = _train(_d(spark, sf))
     out = ST.run_drift_batches(spark, sf, ref, DRIFT_NUMERIC, DRIFT_CATEGORICAL, sink, ck)
-    return rounded(out)
+    return rounded(out.drop("drifted"))
 
 
 # ---- schema-level operators (work still grows with the table) -------------------------------
