@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,8 +13,8 @@ from pyspark.sql import functions as F
 from .common import connected_components, cut
 
 THRESHOLD = 0.95
-NEAREST = 8
-MOST_PIVOTS = 2048
+NEAREST, SHARED = 12, 2
+MOST_PIVOTS = 65_536
 LIST_BLOCK = 1024
 
 
@@ -58,25 +59,27 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD,
                     nearest: int = NEAREST, vectors_per_pivot: int = 64, most_pivots: int = MOST_PIVOTS,
-                    list_block: int = LIST_BLOCK) -> DataFrame:
+                    list_block: int = LIST_BLOCK, shared: int = SHARED) -> DataFrame:
     """(id, n_links, component_id, kept) of every row.
 
-    Links: pairs with a cosine of at least ``threshold`` in double precision that share at least one of their
-    ``nearest`` nearest pivots. n_links counts other rows linked directly, component_id is the smallest id reachable,
+    Links: pairs with a cosine of at least ``threshold`` in double precision that share at least ``shared`` of their
+    ``nearest`` nearest pivots (all, if there are fewer pivots). n_links counts other rows linked directly, component_id is the smallest id reachable,
     kept marks the rows whose id it is. Vectors that are null, empty, zero or hold null or non-finite components link
     with nothing, nor do vectors of different lengths. Rows without id link with nothing, have a null component and
     are kept. Repeated rows count as further vectors. Other columns are ignored.
 
-    Pivots are a sample of distinct vectors, one for every ``vectors_per_pivot``, at most ``most_pivots`` (the only
-    bounded part: every vector is posted). Equal vectors are one representative with a count. A list longer than
+    Pivots are a sample of the n distinct vectors: one for every ``vectors_per_pivot``, beyond 262,144 vectors
+    8 * sqrt(n), at most ``most_pivots`` (the only bounded part: every vector is posted). Equal vectors are one representative with a count. A list longer than
     ``list_block`` is split into blocks, and every pair of blocks is a task, so a long list is many tasks of bounded
-    size. A pair that shares several pivots counts in the list of the smallest one; lists return sums and a spanning
+    size. In a list the pivots that two members share are counted, pairs with enough of them are verified, and a pair
+    counts in the list of the smallest pivot it shares; lists return sums and a spanning
     set of links for each member, never pairs.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
     good = rows.where(usable(F.col("v")) & F.col("id").isNotNull())
     classes = cut(good.groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "vector-classes")
-    n_pivots = max(1, min(most_pivots, -(-classes.count() // vectors_per_pivot)))
+    n = classes.count()
+    n_pivots = max(1, min(most_pivots, -(-n // vectors_per_pivot), math.ceil(8 * math.sqrt(n))))
     sample = classes.select("rep", "v").orderBy(F.xxhash64("rep"), "rep").limit(n_pivots).collect()  # bounded by most_pivots
     width = max((len(r["v"]) for r in sample), default=0)
     pivots = np.zeros((len(sample), width))
@@ -104,16 +107,24 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
         pivot, _, lo, hi = key
         some = some.sort_values("rep", ignore_index=True)
         x, perm, reps, copies = unit(list(some["v"])), np.stack(some["perm"]), some["rep"].to_numpy(), some["copies"].to_numpy()
+        known, place = np.unique(perm, return_inverse=True)
+        marks = np.zeros((len(some), len(known)), np.float32)
+        marks[np.arange(len(some))[:, None], place.reshape(perm.shape)] = 1
+        need = min(shared, perm.shape[1])
         left = np.arange(len(some)) if lo == hi else np.flatnonzero(some["mine"] == lo)
         right = left if lo == hi else np.flatnonzero(some["mine"] == hi)
         found = [np.zeros((2, 0), np.int64)]
         for k in range(0, len(left), 256):
-            a, b = np.nonzero(x[left[k:k + 256]] @ x[right].T >= threshold)
-            a, b = left[k:k + 256][a], right[b]
+            some_left = left[k:k + 256]
+            retrieved = marks[some_left] @ marks[right].T >= need
+            if not retrieved.any():
+                continue
+            a, b = np.nonzero(retrieved & (x[some_left] @ x[right].T >= threshold))
+            a, b = some_left[a], right[b]
             if lo == hi:
                 a, b = a[a < b], b[a < b]
-            shared = (perm[a][:, :, None] == perm[b][:, None, :]).any(axis=2)
-            smallest = np.where(shared, perm[a], np.iinfo(np.int32).max).min(axis=1)
+            common = (perm[a][:, :, None] == perm[b][:, None, :]).any(axis=2)
+            smallest = np.where(common, perm[a], np.iinfo(np.int32).max).min(axis=1)
             found.append(np.stack([a[smallest == pivot], b[smallest == pivot]]))
         a, b = np.concatenate(found, axis=1)
         n = np.bincount(a, copies[b], len(some)) + np.bincount(b, copies[a], len(some))
