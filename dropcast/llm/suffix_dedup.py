@@ -242,11 +242,12 @@ def repeated(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFra
     contexts = cut(found.groupBy("seed", "context").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in (*KEY, "lo", "n"))), "suffix-contexts")
     several = contexts.groupBy("seed").agg(F.count("*").alias("c")).where("c > 1").select("seed")
     picked = cut(contexts.join(several, "seed", "left_semi").select("seed", "context", (F.col("copies") == 1).alias("alone"), *KEY, "lo", "n"), "suffix-picked")
+    twice = cut(contexts.where("copies > 1").select("seed", "context"), "suffix-twice")
+    discard(contexts)  # the runs of all other texts: most of the rows
     given = _contexts(docs, picked, length)
     texts = picked.select(*KEY).distinct()  # a text that several rows have gives its contexts as often
     several_rows = not docs.join(texts, list(KEY), "left_semi").groupBy(*KEY).count().where("count > 1").isEmpty()
     data = cut(given.dropDuplicates(["seed", "context"]) if several_rows else given, "suffix-data")
-    discard(picked)
 
     steps = cut(_parted(data, length, seed), "suffix-steps")
     ranks = [f"r{k}" for k in range(len(_rounds(length)))]
@@ -265,9 +266,8 @@ def repeated(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFra
     discard(data)
     single = rows.where("open").join(_shared(rows, "rank"), "rank", "left_semi").select("seed", "context", "first", F.lit(1).alias("n"))
 
-    alone = contexts.where("copies = 1").select("seed", "context", *KEY, "lo")
+    alone = picked.where("alone").select("seed", "context", *KEY, "lo")
     parts = whole.unionByName(single).join(alone, ["seed", "context"]).select(*KEY, (F.col("lo") + F.col("first")).alias("lo"), F.col("n").cast("long").alias("n"))
-    twice = contexts.where("copies > 1").select("seed", "context")
     return found.join(twice, ["seed", "context"], "left_semi").select(*KEY, "lo", F.col("n").cast("long").alias("n")).unionByName(parts)
 
 
