@@ -27,17 +27,29 @@ def broadcast_ok(n_rows: int, schema: T.StructType, max_rows: int = DEFAULT_BROA
     return n_rows <= max_rows and n_rows * estimated_row_bytes(schema) <= max_bytes
 
 
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df`` from one aggregation; strings and nested values count with their own lengths."""
+    long = [f.name for f in df.schema.fields if type(f.dataType) not in _WIDTH]
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in long]
+    each = reduce(lambda a, b: a + b, sizes, F.lit(0)).cast("long")
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(each), F.lit(0)).alias("b")).first()
+    fixed = 16 + sum(_WIDTH.get(type(f.dataType), 16) for f in df.schema.fields)
+    return int(row["n"]), int(row["n"]) * fixed + int(row["b"])
+
+
 def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                       known_rows: int | None = None, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """``broadcast(small)`` if its size is proven within the bounds; else ``small`` unchanged.
 
-    ``known_rows`` lets a caller pass a count measured earlier (e.g. at fit time)
-    and avoid another job. Beyond the bound Spark plans a shuffle join (AQE may
+    The size is measured: rows, and the bytes that their strings really have. ``known_rows`` lets a caller pass
+    a count measured earlier (e.g. at fit time) and avoid another job; the width is then estimated from the schema. Beyond the bound Spark plans a shuffle join (AQE may
     still turn it into a broadcast at runtime from measured sizes, and splits
     skewed partitions of the large side).
     """
-    n = known_rows if known_rows is not None else small.count()
-    return F.broadcast(small) if broadcast_ok(n, small.schema, max_rows, max_bytes) else small
+    if known_rows is not None:
+        return F.broadcast(small) if broadcast_ok(known_rows, small.schema, max_rows, max_bytes) else small
+    n, size = measured_size(small)
+    return F.broadcast(small) if n <= max_rows and size <= max_bytes else small
 
 
 def null_safe_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:

@@ -1018,6 +1018,66 @@ def q_target_met(spark, sf):
     return rounded(TR.target_met(TR.evaluate(model, prep.test)))
 
 
+@query("prediction_records")
+def q_prediction_records(spark, sf):
+    """Every order scored by the fitted pipeline as a batch and again as a request with id and interval: whether both
+    give the same prediction (rounded as in the response), and whether the interval holds it and keeps its lower bound."""
+    prep, model = _trained(spark, sf)
+    full = TR.scoring_model(prep, model)
+    mae = TR.evaluate(model, prep.test).first()["mae"]
+    batch = TR.predict(full, _d(spark, sf)).select("order_id", X.round_1dp(F.col("predicted_eta_minutes")).alias("batch"))
+    iv = X.prediction_interval("predicted_eta_minutes", mae)
+    one = TR.predict(full, _d(spark, sf)).select("order_id", *[c.alias(n) for n, c in iv.items()])
+    p, lo, hi = F.col("predicted_eta_minutes"), F.col("confidence_interval_lower"), F.col("confidence_interval_upper")
+    return one.join(batch, "order_id").select(
+        "order_id", X.prediction_id(F.col("order_id"), F.lit("gbt-v1")).alias("prediction_id"), F.lit("gbt-v1").alias("model_version"),
+        p.eqNullSafe(F.col("batch")).alias("same"), F.coalesce((lo <= p) & (p <= hi) & (lo >= 1.0), F.lit(False)).alias("in_interval"))
+
+
+@query("importance_records")
+def q_importance_records(spark, sf):
+    """A row per model feature: whether its importance is a share of one, whether the table's order is descending up to
+    it, whether it survives the CSV sink, and whether the top 10 are the features of the ranks up to 10."""
+    prep, model = _trained(spark, sf)
+    imp = TR.feature_importance(model, prep.features, spark)
+    path = scratch_path(spark, "importance")
+    SK.write_csv(imp, path)
+    back = RD.load_dimension(spark, path, "csv", imp.schema).select("feature", F.col("importance").alias("read"))
+    rows = imp.collect()  # one row per feature
+    total = sum(r["importance"] for r in rows)
+    place = [(r["feature"], k + 1, k == 0 or rows[k - 1]["importance"] >= r["importance"]) for k, r in enumerate(rows)]
+    top = TR.top_k_importance(imp, 10).select("feature", F.lit(True).alias("top"))
+    return (spark.createDataFrame(place, "feature string, place int, descending boolean").join(imp, "feature").join(back, "feature", "left")
+            .join(top, "feature", "left").select(
+                "feature", F.lit(abs(total - 1.0) < 1e-9).alias("sums_to_one"), "descending",
+                (F.abs(F.col("importance") - F.col("read")) < 1e-12).alias("same_in_csv"),
+                (F.coalesce(F.col("top"), F.lit(False)) == (F.col("place") <= 10)).alias("top_agrees")))
+
+
+@query("evaluation_records")
+def q_evaluation_records(spark, sf):
+    """The evaluation report against its own written predictions: rows of both splits and of every hour and weekday of
+    the test rows, and whether the report's MAE is that of the predictions read back."""
+    prep, model = _trained(spark, sf)
+    rep = TR.evaluation_report(model, prep)
+    path = scratch_path(spark, "evaluated")
+    for split, rows in (("train", prep.train), ("test", prep.test)):
+        TR.predict(model, rows).select("order_timestamp", "actual_eta_minutes", "predicted_eta_minutes").write.parquet(f"{path}/split={split}")
+    log = spark.read.parquet(path).withColumn("error", F.abs(F.col("actual_eta_minutes") - F.col("predicted_eta_minutes")))
+    sums = [F.count(F.lit(1)).alias("n_rows"), F.avg("error").alias("again")]
+    test = log.filter("split = 'test'")
+    hour, day = F.hour("order_timestamp"), F.weekday("order_timestamp")
+    parts = [(rep.metrics.select(F.col("split").alias("part"), F.lit(-1).cast("long").alias("segment"), "mae", F.col("n").cast("long").alias("n")),
+              log.groupBy(F.col("split").alias("part"), F.lit(-1).cast("long").alias("segment")).agg(*sums))]
+    parts += [(seg.select(F.lit(name).alias("part"), F.col("segment").cast("long").alias("segment"), "mae", F.col("count").alias("n")),
+               test.groupBy(F.lit(name).alias("part"), key.cast("long").alias("segment")).agg(*sums))
+              for name, key, seg in (("hour_of_day", hour, rep.hour_segments), ("day_of_week", day, rep.dow_segments))]
+    both = [a.join(b, ["part", "segment"], "full") for a, b in parts]
+    return both[0].unionByName(both[1]).unionByName(both[2]).select(
+        "part", "segment", "n", F.coalesce((F.col("n") == F.col("n_rows")) & (F.abs(F.col("mae") - F.col("again")) < 1e-9), F.lit(False)).alias("same_mae"),
+        F.lit(len(prep.features)).cast("long").alias("n_features"))
+
+
 # ---- 2.10 streaming (availableNow runs into file sinks) ------------------------------------
 
 from ..streaming import jobs as ST  # noqa: E402

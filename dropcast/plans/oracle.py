@@ -630,6 +630,19 @@ SQL["scan_orders_limit"] = with_d(
 SQL["scan_orders_csv"] = with_d(f"SELECT {ROUNDED_D} FROM d")
 SQL["load_validated"] = SQL["scan_orders_csv"]
 SQL["load_model"] = with_d("SELECT order_id, true AS same, 'v1' AS version, 28 AS n_features, true AS same_mae FROM d")
+SQL["prediction_records"] = with_d("""
+SELECT order_id, substring(md5(concat_ws('-', order_id, 'gbt-v1')), 1, 12) AS prediction_id, 'gbt-v1' AS model_version,
+  true AS same, true AS in_interval FROM d""")
+SQL["importance_records"] = (
+    "SELECT unnest([" + ", ".join(f"'{c}'" for c in MODEL_FEATURES) + "]) AS feature, true AS sums_to_one, true AS descending,"
+    " true AS same_in_csv, true AS top_agrees")
+SQL["evaluation_records"] = with_d("""
+SELECT part, segment, count(*) AS n, true AS same_mae, 28 AS n_features
+FROM (SELECT unnest(CASE WHEN is_train THEN [{'part': 'train', 'segment': CAST(-1 AS BIGINT)}]
+                    ELSE [{'part': 'test', 'segment': CAST(-1 AS BIGINT)}, {'part': 'hour_of_day', 'segment': CAST(hour(order_timestamp) AS BIGINT)},
+                          {'part': 'day_of_week', 'segment': CAST(isodow(order_timestamp) - 1 AS BIGINT)}] END, recursive := true)
+      FROM (SELECT *, row_number() OVER (ORDER BY order_timestamp, order_id) <= floor(count(*) OVER () * (1e0 - 0.2e0)) AS is_train FROM d))
+GROUP BY part, segment""")
 SQL["sink_segment_csv"] = with_pred(" UNION ALL ".join(
     f"SELECT '{name}' AS segment_by, * FROM ({SEG.format(seg=seg, segcast='CAST(s AS BIGINT)', having='')})"
     for name, seg in (("hour_of_day", "hour(order_timestamp)"), ("day_of_week", "isodow(order_timestamp) - 1"))))

@@ -89,3 +89,15 @@ def test_broadcast_bounds(spark):
     small = spark.createDataFrame([(1, 2.0)], schema)
     plan = spark.range(5).join(checked_broadcast(small.withColumnRenamed("k", "id")), "id")._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan
+
+
+def test_side_of_long_strings_is_not_broadcast(spark):
+    from dropcast.operators.joins import checked_broadcast, measured_size
+
+    side = spark.range(200).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 10_000).alias("text"), F.array(F.col("id")).alias("list"))
+    n, size = measured_size(side)
+    assert n == 200 and size >= 200 * 10_000
+    assert measured_size(side.limit(0))[0] == 0 and measured_size(side.withColumn("text", F.lit(None).cast("string")))[1] < 200 * 200
+    joined = lambda s: spark.range(10).withColumnRenamed("id", "k").join(s, "k")._jdf.queryExecution().logical().toString()
+    assert "broadcast" in joined(checked_broadcast(side))
+    assert "broadcast" not in joined(checked_broadcast(side, max_bytes=1 << 20))  # 64 bytes a string would be within it
