@@ -147,14 +147,17 @@ def scan_lines(docs: DataFrame, known: DataFrame | None = None, id_col: str = "d
 def scan_both(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, digest, license_id, line_licenses) of every row: the results of ``scan``, which here knows FULL_TEXTS too,
     and, as an array of (line_no, license_id) in the order of the lines, those of ``scan_lines``. Rows without such a
-    line have an empty array; null and repeated ids stay apart. One pass, no shuffle: the known digests are one broadcast map. Unless
+    line have an empty array; null and repeated ids stay apart. One pass, no shuffle: the known digests (a bounded list, held
+    by the driver) are a constant map; of equal digests the last name counts; an empty list knows nothing. Unless
     ``known`` is given, lines without any of ``MARKS`` are not digested, as they cannot be known.
     """
     marks = MARKS if known is None else ()
     if known is None:
         full = docs.sparkSession.createDataFrame(FULL_TEXTS, "license_id string, digest string")
         known = known_digests(docs.sparkSession).unionByName(full)
-    table = known.agg(F.map_from_entries(F.collect_list(F.struct("digest", "license_id"))).alias("_known"))
+    named_digests = dict(known.where("digest is not null").select("digest", "license_id").orderBy("digest", "license_id").collect())
+    entries = [F.lit(x) for pair in named_digests.items() for x in pair]
+    by_digest = F.create_map(*entries) if entries else F.create_map().cast("map<string,string>")
 
     def marked(text: Column) -> Column:
         low = F.lower(text)
@@ -168,8 +171,7 @@ def scan_both(docs: DataFrame, known: DataFrame | None = None, id_col: str = "do
     lines = F.filter(lines, lambda x: (F.octet_length(x["line"]) > 0) & marked(x["line"]))
     none = F.array().cast("array<struct<line_no:int,license_id:string>>")
     named = F.transform(lines, lambda x: F.struct(
-        x["line_no"].alias("line_no"), F.try_element_at("_known", F.sha2(canonical(x["line"]), 256)).alias("license_id")))
+        x["line_no"].alias("line_no"), F.try_element_at(by_digest, F.sha2(canonical(x["line"]), 256)).alias("license_id")))
     found = F.when(marked(text), F.filter(named, lambda x: x["license_id"].isNotNull()))
-    scanned = docs.select(id_col, text_col).crossJoin(F.broadcast(table)).select(
-        F.col(id_col), F.sha2(canonical(text), 256).alias("digest"), F.coalesce(found, none).alias("line_licenses"), "_known")
-    return scanned.select(id_col, "digest", F.try_element_at("_known", F.col("digest")).alias("license_id"), "line_licenses")
+    scanned = docs.select(F.col(id_col), F.sha2(canonical(text), 256).alias("digest"), F.coalesce(found, none).alias("line_licenses"))
+    return scanned.select(id_col, "digest", F.try_element_at(by_digest, F.col("digest")).alias("license_id"), "line_licenses")

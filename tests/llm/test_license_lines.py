@@ -42,3 +42,14 @@ def test_full_texts_are_known(spark):
         pytest.skip("no licence texts here")
     docs = spark.createDataFrame([(n, (folder / f).read_text("utf-8")) for n, f in files.items()], "doc_id string, text string")
     assert {r.doc_id: r.license_id for r in licenses.scan_both(docs).collect()} == {n: n for n in files}
+
+
+def test_lines_edges(spark):
+    docs = spark.createDataFrame([(1, "a\nb", "x"), (None, None, "y"), (2, "", "z")], "doc_id long, text string, _known string")
+    known = spark.createDataFrame([("L", None)], "license_id string, digest string")
+    rows = {r["doc_id"]: r for r in licenses.scan_both(docs, known).collect()}
+    assert len(rows) == 3 and all(r["license_id"] is None and r["line_licenses"] == [] for r in rows.values())
+    assert licenses.scan_both(docs.limit(0)).count() == 0
+    twice = licenses.known_digests(spark).unionByName(licenses.known_digests(spark))
+    assert licenses.scan_both(docs, twice).count() == 3
+    assert "Join" not in licenses.scan_both(docs, twice)._jdf.queryExecution().executedPlan().toString()
