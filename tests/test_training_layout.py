@@ -1,5 +1,6 @@
-"""Fits whose rows come in few partitions."""
+"""Fits whose rows come in few partitions, and forests grown in parts."""
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from dropcast.plans import training as TR
@@ -35,3 +36,24 @@ def test_large_partitions_are_dealt_and_small_ones_left(spark):
 
 def test_node_ids_are_not_stored():
     assert TR._gbt(TR.gbt_params(), "actual_eta_minutes", 42).getCacheNodeIds() is False
+
+
+def test_forest_in_parts_is_the_mean_of_its_trees(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(TR, "FOREST_TREES", 3)
+    df = _rows(spark, 400, 2).persist()
+    p = TR.gbt_params(n_estimators=7, max_depth=3, min_child_samples=5)
+    model = TR.train_alt_model(df, FEATURES, p)
+    forests = TR.tree_stages(model)
+    assert [f.getNumTrees for f in forests] == [3, 3, 1]
+    assert len({t.toDebugString for f in forests for t in f.trees}) > 3
+    path = str(tmp_path / "forest")
+    model.write().save(path)
+    got = TR.predict(PipelineModel.load(path), df)
+    assert got.columns == [*df.columns, TR.PRED_COL]
+    for r in got.limit(5).collect():
+        vector = TR.assembled(spark.createDataFrame([r]), FEATURES)[1].first()["features"]
+        trees = [t.predict(vector) for f in forests for t in f.trees]
+        assert r[TR.PRED_COL] == pytest.approx(sum(trees) / 7)
+    imp = TR.feature_importance(model, FEATURES, spark).collect()
+    assert sum(r["importance"] for r in imp) == pytest.approx(1.0)
+    df.unpersist()
