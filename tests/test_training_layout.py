@@ -57,3 +57,23 @@ def test_forest_in_parts_is_the_mean_of_its_trees(spark, monkeypatch, tmp_path):
     imp = TR.feature_importance(model, FEATURES, spark).collect()
     assert sum(r["importance"] for r in imp) == pytest.approx(1.0)
     df.unpersist()
+
+
+def _fits(monkeypatch):
+    """Numbers of trees of the fits that are begun."""
+    sizes, made = [], TR._gbt
+    monkeypatch.setattr(TR, "_gbt", lambda p, *a: sizes.append(int(p["n_estimators"])) or made(p, *a))
+    return sizes
+
+
+def test_first_try_is_little_longer_than_the_rounds(spark, monkeypatch):
+    p = TR.gbt_params(n_estimators=100, max_depth=2, min_child_samples=5, early_stopping_rounds=10)
+    train = TR.assembled(_rows(spark, 300, 1), FEATURES, "actual_eta_minutes")[1].persist()
+    worse = train.withColumn("actual_eta_minutes", F.lit(101.0) - F.col("actual_eta_minutes"))  # the better the fit, the worse
+    sizes = _fits(monkeypatch)
+    model, errors, n = TR._grown(train, worse, p, "actual_eta_minutes", 42)
+    assert sizes == [11] and len(errors) == 11 and n == 1
+    sizes.clear()
+    assert TR._grown(train, train, dict(p, subsample=1.0, n_estimators=30), "actual_eta_minutes", 42)[0].getNumTrees == 30
+    assert sizes == [11, 22, 30]  # as long as errors get smaller
+    train.unpersist()
