@@ -77,3 +77,20 @@ def test_first_try_is_little_longer_than_the_rounds(spark, monkeypatch):
     assert TR._grown(train, train, dict(p, subsample=1.0, n_estimators=30), "actual_eta_minutes", 42)[0].getNumTrees == 30
     assert sizes == [11, 22, 30]  # as long as errors get smaller
     train.unpersist()
+
+
+def test_stopped_folds_have_the_metrics_of_their_best_trees(spark, monkeypatch):
+    p = TR.gbt_params(n_estimators=24, learning_rate=0.6, max_depth=4, min_child_samples=5, early_stopping_rounds=3)
+    noisy = _rows(spark, 600, 2).withColumn("actual_eta_minutes", F.col("actual_eta_minutes") + 80 * F.rand(3))
+    rows = noisy.withColumn("id", F.monotonically_increasing_id()).select("*", F.timestamp_seconds("id").alias("order_timestamp"), F.col("id").alias("order_id"))
+    parts = TR.folded(rows, FEATURES, 2).persist()
+    sizes = _fits(monkeypatch)
+    got = TR.fit_folds(parts, p, 2, early_stopping=True)
+    assert len(sizes) == len([s for s in sizes if s in (4, 8, 16, 24)])  # tries only, nothing fitted again
+    for i, mae, rmse, r2 in got:
+        val = parts.filter(F.col("part") == i + 1)
+        m = TR._fit_stopped(parts.filter(F.col("part") <= i), val, p, "actual_eta_minutes", 42)
+        r = TR.M.regression_metrics(m.transform(val), "actual_eta_minutes", TR.PRED_COL, with_percentiles=False).first()
+        assert m.getNumTrees not in (4, 8, 16, 24)  # so that a refit would show above
+        assert (mae, rmse, r2) == pytest.approx((r["mae"], r["rmse"], r["r2"]))
+    parts.unpersist()
