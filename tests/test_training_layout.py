@@ -79,6 +79,25 @@ def test_first_try_is_little_longer_than_the_rounds(spark, monkeypatch):
     train.unpersist()
 
 
+@pytest.mark.parametrize("best, tries", [(5, [55]), (12, [55, 62]), (40, [55, 110]), (200, [55, 110, 220, 400])])
+def test_tries_follow_the_best_tree(monkeypatch, best, tries):
+    sizes = []
+
+    class Fit:
+        def __init__(self, params, *_):
+            sizes.append(params["n_estimators"])
+
+        def fit(self, _):
+            return self
+
+        def evaluateEachIteration(self, *_):
+            return [float(abs(k + 1 - best)) for k in range(sizes[-1])]
+
+    monkeypatch.setattr(TR, "_gbt", Fit)
+    assert TR._grown(None, None, TR.gbt_params(n_estimators=400), "y", 42)[2] == best
+    assert sizes == tries
+
+
 def test_stopped_folds_have_the_metrics_of_their_best_trees(spark, monkeypatch):
     p = TR.gbt_params(n_estimators=24, learning_rate=0.6, max_depth=4, min_child_samples=5, early_stopping_rounds=3)
     noisy = _rows(spark, 600, 2).withColumn("actual_eta_minutes", F.col("actual_eta_minutes") + 80 * F.rand(3))
@@ -94,3 +113,20 @@ def test_stopped_folds_have_the_metrics_of_their_best_trees(spark, monkeypatch):
         assert m.getNumTrees not in (4, 8, 16, 24)  # so that a refit would show above
         assert (mae, rmse, r2) == pytest.approx((r["mae"], r["rmse"], r["r2"]))
     parts.unpersist()
+
+
+@pytest.mark.parametrize("stopping", [False, True])
+def test_folds_keep_a_short_lineage(spark, monkeypatch, stopping):
+    class Seen(Exception):
+        pass
+
+    def spy(*args):
+        assert made(*args).getCheckpointInterval() == TR.FOLD_CHECKPOINT < 10
+        raise Seen
+
+    made = TR._gbt
+    monkeypatch.setattr(TR, "_gbt", spy)
+    parts = TR.assembled(_rows(spark, 30, 1), FEATURES, "actual_eta_minutes")[1].withColumn("part", F.lit(0))
+    with pytest.raises(Seen):
+        TR.fit_folds(parts, TR.gbt_params(), 1, early_stopping=stopping)
+    assert made(TR.gbt_params(), "actual_eta_minutes", 42).getCheckpointInterval() == 10
