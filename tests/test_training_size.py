@@ -60,3 +60,17 @@ def test_training_rows_are_made_by_compiled_code(spark):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
     assert sizes and max(sizes) <= 8000
+
+
+def test_dealt_partitions_fill_whole_turns_of_the_cores(spark, monkeypatch):
+    """Rows for one and a quarter turns: before, a quarter of the cores had twice the rows of the others in every job."""
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(TR, "MAX_PARTITION_ROWS", 1000)
+    n = 1250 * cores
+    df = spark.range(0, n, 1, 1).select(F.col("id").alias("a"), (F.col("id") % 7 + 0.5).alias("y"))
+    data = TR.spread(TR.with_vector(df, ["a"]).select("features", "y"), "y", 100)
+    sizes = [r["count"] for r in data.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == n == data.select("features").distinct().count()
+    assert data.rdd.getNumPartitions() == 2 * cores
+    assert max(sizes) <= 1000 and max(sizes) * 2 * cores <= TR.SPREAD_SHARE * n
+    data.unpersist()
