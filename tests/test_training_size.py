@@ -74,3 +74,33 @@ def test_dealt_partitions_fill_whole_turns_of_the_cores(spark, monkeypatch):
     assert data.rdd.getNumPartitions() == 2 * cores
     assert max(sizes) <= 1000 and max(sizes) * 2 * cores <= TR.SPREAD_SHARE * n
     data.unpersist()
+
+
+def test_rows_are_dealt_for_scoring_by_many_trees(spark, monkeypatch):
+    """One partition of rows: before, one core scored them all."""
+    df = spark.range(0, 600, 1, 1).select("id", (F.col("id") % 31).cast("double").alias("a"), (F.col("id") % 7 + 0.5).alias("y")).persist()
+    model = TR.train_alt_model(df, ["a"], TR.gbt_params(n_estimators=4, max_depth=2), "y")
+    assert TR.predict(model, df).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(TR, "MANY_TREES", 4)
+    dealt = TR.predict(model, df)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert dealt.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and max(sizes) <= math.ceil(600 / len(sizes)) + 1
+    plain = model.transform(df).drop("features")
+    assert dealt.columns == plain.columns and dealt.count() == 600
+    assert dealt.exceptAll(plain).count() == 0 == plain.exceptAll(dealt).count()
+    df.unpersist()
+
+
+def test_forests_keep_node_ids_and_grow_the_same_trees(spark, monkeypatch):
+    df = spark.range(0, 900, 1, 2).select((F.col("id") * 7919 % 101).cast("double").alias("a"), (F.col("id") * 31 % 17).cast("double").alias("b"),
+                                          (F.col("id") * 7919 % 101 + F.col("id") % 3).cast("double").alias("y")).persist()
+    p, made, seen = TR.gbt_params(n_estimators=6, max_depth=5, min_child_samples=3), TR.RandomForestRegressor, []
+
+    def trees():
+        return [t.toDebugString.split("\n", 1)[1] for f in TR.tree_stages(TR.train_alt_model(df, ["a", "b"], p, "y")) for t in f.trees]
+
+    monkeypatch.setattr(TR, "RandomForestRegressor", lambda **kw: seen.append(kw.get("cacheNodeIds", False)) or made(**kw))
+    kept = trees()
+    monkeypatch.setattr(TR, "RandomForestRegressor", lambda **kw: made(**dict(kw, cacheNodeIds=False)))
+    assert seen == [True] and kept == trees()
+    df.unpersist()
