@@ -104,3 +104,25 @@ def test_forests_keep_node_ids_and_grow_the_same_trees(spark, monkeypatch):
     monkeypatch.setattr(TR, "RandomForestRegressor", lambda **kw: made(**dict(kw, cacheNodeIds=False)))
     assert seen == [True] and kept == trees()
     df.unpersist()
+
+
+def test_folds_are_fitted_on_rows_of_a_short_lineage(spark, monkeypatch):
+    """Before, each job of a fold carried the steps that made the features; the rows, their places and the metrics stay."""
+    df = spark.range(0, 400, 1, 2).select(
+        (F.col("id") * 7919 % 101).cast("double").alias("a"), (F.col("id") * 7919 % 101 + F.col("id") % 3).cast("double").alias(TR.TARGET),
+        F.timestamp_seconds("id").alias("order_timestamp"), F.col("id").alias("order_id"))
+    for i in range(40):
+        df = df.withColumn("a", F.when(F.col("a") > i, F.col("a")).otherwise(F.col("a") + 0.0))
+    plain, cut = (TR.spread(TR.folded(df, ["a"], 2), rows=5000, cut=c) for c in (False, True))
+    lineage = lambda d: d.rdd.toDebugString().decode()
+    assert "ReliableCheckpointRDD" in lineage(cut) and "ReliableCheckpointRDD" not in lineage(plain)
+    place = lambda d: [tuple(r) for r in d.select("*", F.spark_partition_id(), F.monotonically_increasing_id()).collect()]
+    assert place(plain) == place(cut)
+    p = TR.gbt_params(n_estimators=3, max_depth=3, min_child_samples=5)
+    seen, fit = [], TR.fit_folds
+    monkeypatch.setattr(TR, "fit_folds", lambda parts, *a: seen.append(lineage(parts)) or fit(parts, *a))
+    rows = TR.fold_metrics(df, ["a"], p, 2).collect()
+    assert "ReliableCheckpointRDD" in seen[0]
+    assert [tuple(r) for r in rows] == fit(plain, p, 2)
+    for d in (plain, cut):
+        d.unpersist()
