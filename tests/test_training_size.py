@@ -116,6 +116,8 @@ def test_folds_are_fitted_on_rows_of_a_short_lineage(spark, monkeypatch):
     plain, cut = (TR.spread(TR.folded(df, ["a"], 2), rows=5000, cut=c) for c in (False, True))
     lineage = lambda d: d.rdd.toDebugString().decode()
     assert "ReliableCheckpointRDD" in lineage(cut) and "ReliableCheckpointRDD" not in lineage(plain)
+    if spark.sparkContext.defaultParallelism > 2:
+        assert not cut.storageLevel.useMemory  # every executor may read the rows
     place = lambda d: [tuple(r) for r in d.select("*", F.spark_partition_id(), F.monotonically_increasing_id()).collect()]
     assert place(plain) == place(cut)
     p = TR.gbt_params(n_estimators=3, max_depth=3, min_child_samples=5)
